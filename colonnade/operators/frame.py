@@ -99,12 +99,13 @@ def assign(df: DataFrame, **kwargs) -> DataFrame:
     return df
 
 
-def setitem(df: DataFrame, key, value) -> DataFrame:
+def setitem(df: DataFrame, key, value, cols: Sequence[str] | None = None) -> DataFrame:
     """Assign by name, by a list of names, or by a boolean mask Column
-    (``mask -> value`` on every column the value type fits)."""
+    (``mask -> value`` on ``cols``, default every numeric column)."""
     if isinstance(key, Column):
+        cols = cols or [f.name for f in df.schema.fields if is_numeric(f.dataType)]
         return df.select(*[F.when(F.coalesce(key, F.lit(False)), F.lit(value)).otherwise(F.col(c)).alias(c)
-                           if is_numeric(df.schema[c].dataType) else F.col(c) for c in df.columns])
+                           if c in cols else F.col(c) for c in df.columns])
     if isinstance(key, str):
         key = [key]
         value = [value]
