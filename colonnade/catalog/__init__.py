@@ -18,7 +18,7 @@ _QUERIES: dict[str, QueryFn] = {}
 _SQL: dict[str, str] = {}
 
 _MODULES = (
-    "sources", "frame", "joins", "aggregates", "ordered", "reshape", "missing",
+    "sources", "frame", "joins", "aggregates", "ordered", "reshape",
     "timeseries", "udf", "corpus", "features", "stats", "learners",
 )
 
