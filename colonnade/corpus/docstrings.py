@@ -191,9 +191,15 @@ def keep_written(parsed: DataFrame, df: DataFrame) -> DataFrame:
     return df.join(flags.where("_w = 1"), "doc_id", "left_semi")
 
 
-def parse(docs: DataFrame) -> dict[str, DataFrame]:
-    """The whole job; returns every stage keyed by name."""
-    cl = classify_lines(split_lines(docs))
+def parse(docs: DataFrame, partitions: int | None = None) -> dict[str, DataFrame]:
+    """The whole job; returns every stage keyed by name.
+
+    Documents are hash-partitioned by doc_id *before* they are exploded into
+    lines: the single shuffle moves one row per document, the line split
+    runs in parallel, and every later window / aggregate (all keyed by
+    doc_id) reuses that partitioning."""
+    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    cl = classify_lines(split_lines(docs.repartition(n, "doc_id")))
     entries = fold_entries(cl)
     parsed = last_per_key(entries)
     # documents that write output, flagged by a window on the doc_id

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.functions.columns import sort_keys
-from colonnade.plans.ordered import BFill, FFill, Lag, Lead, Pos, ordered_scan
+from colonnade.plans.ordered import BFill, FFill, Lag, Lead, Pos, RPos, ordered_scan
 
 
 def _order(order) -> list[Column]:
@@ -35,19 +35,13 @@ def shift(df: DataFrame, cols: Sequence[str], periods: int, order: Sequence, by:
     if periods == 0:
         return df
     ops = [Lag(c, periods, f"_s_{c}") if periods > 0 else Lead(c, -periods, f"_s_{c}") for c in cols]
-    ops.append(Pos("_pos"))
-    if periods < 0:
-        # position from the end decides the fill for leads
-        out = ordered_scan(df, _order(order), by, ops)
-        out = out.join(out.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), list(by)) if by else \
-            out.withColumn("_n", F.lit(out.count()))
-        missing = F.col("_n") - F.col("_pos") <= -periods
-    else:
-        out = ordered_scan(df, _order(order), by, ops)
-        missing = F.col("_pos") < periods
+    # rows without a source row: the first n (lag) or the last n (lead)
+    ops.append(Pos("_pos") if periods > 0 else RPos("_pos"))
+    out = ordered_scan(df, _order(order), by, ops)
+    missing = F.col("_pos") < abs(periods)
     res = {f"{c}{suffix}": (F.when(missing, F.lit(fill_value)).otherwise(F.col(f"_s_{c}"))
                             if fill_value is not None else F.col(f"_s_{c}")) for c in cols}
-    return out.withColumns(res).drop(*[f"_s_{c}" for c in cols], "_pos", "_n")
+    return out.withColumns(res).drop(*[f"_s_{c}" for c in cols], "_pos")
 
 
 def diff(df: DataFrame, cols: Sequence[str], periods: int, order: Sequence, by: Sequence[str] = (),

@@ -15,7 +15,7 @@ instead:
 4. broadcasts the carry (at most 2P rows, a proven bound) and combines it
    with the local results.
 
-Supported scans: position in the key group, running sum, forward fill,
+Supported scans: position in the key group (from the start or the end), running sum, forward fill,
 backward fill (with the position of the value used), lag and lead by n.
 The order must be a total order (add a unique tie breaker).
 """
@@ -38,6 +38,12 @@ class Pos:
     name: str
 
 
+@dataclass(frozen=True)
+class RPos:
+    """0-based position counted from the end of the key group."""
+    name: str
+
+
 @dataclass(frozen=True)
 class CumSum:
     col: str
@@ -102,12 +108,17 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
 
     r = df.repartitionByRange(P, *[F.col(k).asc_nulls_first() for k in keys], *order) \
         .withColumn("_pid", F.spark_partition_id())
-    if checkpoint:
-        r = materialize(r)
+
+    # One pass of windows.  The partition-level window (by _pid) comes first:
+    # its hash exchange on _pid also satisfies every (_pid, keys) window.
+    kstruct = F.struct(*[F.col(k) for k in keys])
+    w_pid = Window.partitionBy("_pid").orderBy(*[F.col(k).asc_nulls_first() for k in keys], *order)
+    w_pid_all = w_pid.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    r = r.withColumns({"_fk": F.first(kstruct).over(w_pid_all), "_lk": F.last(kstruct).over(w_pid_all)})
+    r = r.withColumn("_bnd", kstruct.eqNullSafe(F.col("_fk")) | kstruct.eqNullSafe(F.col("_lk"))).drop("_fk", "_lk")
 
     w = Window.partitionBy("_pid", *keys).orderBy(*order)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_rest = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     w_all = Window.partitionBy("_pid", *keys)
 
     local = {"_lpos": F.row_number().over(w) - 1, "_lcnt": F.count(F.lit(1)).over(w_all)}
@@ -116,31 +127,33 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
             local[f"_l{i}"] = F.sum(op.col).over(w_run)
         elif isinstance(op, FFill):
             local[f"_l{i}"] = F.last(op.col, ignorenulls=True).over(w_run)
-        elif isinstance(op, BFill):
-            local[f"_l{i}"] = F.first(op.col, ignorenulls=True).over(w_rest)
         elif isinstance(op, Lag):
             local[f"_l{i}"] = F.lag(op.col, op.n).over(w)
         elif isinstance(op, Lead):
             local[f"_l{i}"] = F.lead(op.col, op.n).over(w)
     r = r.withColumns({"_lpos": local.pop("_lpos"), "_lcnt": local.pop("_lcnt")})
-    # positions of the values used by fills need _lpos first
+    # positions of the values used by fills need _lpos first.  Backward
+    # fills run as forward fills over the reversed position: a running frame
+    # (linear), never a current-to-unbounded-following frame (quadratic).
+    w_rev = Window.partitionBy("_pid", *keys).orderBy(F.col("_lpos").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for i, op in enumerate(ops):
         if isinstance(op, FFill):
             local[f"_p{i}"] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_lpos")),
                                      ignorenulls=True).over(w_run)
         elif isinstance(op, BFill):
-            local[f"_p{i}"] = F.first(F.when(F.col(op.col).isNotNull(), F.col("_lpos")),
-                                      ignorenulls=True).over(w_rest)
+            local[f"_l{i}"] = F.last(op.col, ignorenulls=True).over(w_rev)
+            local[f"_p{i}"] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_lpos")),
+                                     ignorenulls=True).over(w_rev)
     if local:
         r = r.withColumns(local)
+    if checkpoint:
+        # fixes partition ids and local results under retries; both the
+        # boundary summary and the final join read the materialized rows
+        r = materialize(r)
 
     # -- boundary groups: first and last key group of every partition (<= 2P rows)
-    kstruct = F.struct(*[F.col(k) for k in keys])
-    pid_keys = r.groupBy("_pid").agg(F.min(kstruct).alias("_fk"), F.max(kstruct).alias("_lk"))
-    flagged = r.alias("r").join(F.broadcast(pid_keys.alias("b")), "_pid") \
-        .where(F.col("r._lpos").isNotNull() & (kstruct.eqNullSafe(F.col("b._fk"))
-                                               | kstruct.eqNullSafe(F.col("b._lk")))) \
-        .select("r.*")
+    flagged = r.where("_bnd")
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     for i, op in enumerate(ops):
         c = F.col(op.col) if hasattr(op, "col") else None
@@ -164,7 +177,7 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
     prev = wk.rowsBetween(Window.unboundedPreceding, -1)
     nxt = wk.rowsBetween(1, Window.unboundedFollowing)
     summ = summ.withColumn("_base", F.coalesce(F.sum("_cnt").over(prev), F.lit(0)))
-    carry = {"_c_cnt": F.col("_base")}
+    carry = {"_c_cnt": F.col("_base"), "_c_after": F.coalesce(F.sum("_cnt").over(nxt), F.lit(0))}
     for i, op in enumerate(ops):
         if isinstance(op, CumSum):
             carry[f"_c{i}"] = F.sum(f"_s{i}").over(prev)
@@ -192,6 +205,8 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
     for i, op in enumerate(ops):
         if isinstance(op, Pos):
             out[op.name] = base + lpos
+        elif isinstance(op, RPos):
+            out[op.name] = F.coalesce(F.col("c._c_after"), F.lit(0)) + F.col("r._lcnt") - 1 - lpos
         elif isinstance(op, CumSum):
             lv, cv = F.col(f"r._l{i}"), F.col(f"c._c{i}")
             out[op.name] = F.when(lv.isNull() & cv.isNull(), F.lit(None)).otherwise(
@@ -214,6 +229,7 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
     return j.select(*[F.col(f"r.{c}") for c in user_cols], *[v.alias(k) for k, v in out.items()])
 
 
+
 def row_number(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (),
                name: str = "row_id", partitions: int | None = None) -> DataFrame:
     """0-based position along ``order`` (within ``keys``) without a global window."""

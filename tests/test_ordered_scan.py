@@ -6,9 +6,9 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from colonnade.plans.ordered import BFill, CumSum, FFill, Lag, Lead, Pos, ordered_scan
+from colonnade.plans.ordered import BFill, CumSum, FFill, Lag, Lead, Pos, RPos, ordered_scan
 
-OPS = [Pos("pos"), CumSum("v", "cs"), FFill("v", "ff", "ffp"), BFill("v", "bf", "bfp"), Lag("v", 3, "lag3"),
+OPS = [Pos("pos"), RPos("rpos"), CumSum("v", "cs"), FFill("v", "ff", "ffp"), BFill("v", "bf", "bfp"), Lag("v", 3, "lag3"),
        Lead("v", 2, "lead2")]
 
 
@@ -16,7 +16,9 @@ def _reference(df, keys):
     w = Window.partitionBy(*keys).orderBy("o") if keys else Window.orderBy("o")
     up = w.rowsBetween(Window.unboundedPreceding, 0)
     dn = w.rowsBetween(0, Window.unboundedFollowing)
-    return df.select("o", (F.row_number().over(w) - 1).alias("pos"), F.sum("v").over(up).alias("cs"),
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys) if keys else Window.partitionBy())
+    return df.select("o", (F.row_number().over(w) - 1).alias("pos"),
+                     (n - F.row_number().over(w)).alias("rpos"), F.sum("v").over(up).alias("cs"),
                      F.last("v", True).over(up).alias("ff"), F.first("v", True).over(dn).alias("bf"),
                      F.lag("v", 3).over(w).alias("lag3"), F.lead("v", 2).over(w).alias("lead2"))
 
@@ -24,7 +26,7 @@ def _reference(df, keys):
 def _check(spark, rows, keys, parts):
     df = spark.createDataFrame(rows, "o long, k long, v long")
     got = ordered_scan(df, [F.col("o")], keys, OPS, partitions=parts) \
-        .select("o", "pos", "cs", "ff", "bf", "lag3", "lead2")
+        .select("o", "pos", "rpos", "cs", "ff", "bf", "lag3", "lead2")
     want = _reference(df, keys)
     assert sorted(got.collect()) == sorted(want.collect())
 
