@@ -211,3 +211,20 @@ def q_pivot_margins(spark, d):
     out = A.pivot_margins(Tables(spark, d).lineitem, "l_returnflag", "l_linestatus", "l_quantity", ["sum", "mean"],
                           col_values=["F", "O"])
     return out.withColumns({c: _r(F.col(c), 9) for c in out.columns if c.startswith("mean_")})
+
+
+_KC = ["e0", "e1", "e2"]
+_KENDALL_PAIR_SQL = """SELECT '{a}' AS col_a, '{b}' AS col_b, round(
+  sum(sign(p.{a} - q.{a}) * sign(p.{b} - q.{b}))
+  / sqrt((count(*) - count(CASE WHEN p.{a} = q.{a} THEN 1 END)) * (count(*) - count(CASE WHEN p.{b} = q.{b} THEN 1 END))), 12)
+  AS corr FROM e p JOIN e q ON p.vec_id < q.vec_id"""
+
+
+@query("corr_kendall", sql="WITH e AS (SELECT vec_id, " + ", ".join(
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(3)) + " FROM embeddings) " + "\nUNION ALL ".join(
+    [_KENDALL_PAIR_SQL.format(a=a, b=b) for a in _KC for b in _KC if a != b]
+    + [f"SELECT '{a}' AS col_a, '{a}' AS col_b, CAST(1.0 AS DOUBLE) AS corr" for a in _KC]))
+def q_corr_kendall(spark, d):
+    e = Tables(spark, d).embeddings.select(
+        "vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(3)])
+    return A.corr_kendall(e, _KC, "vec_id", digits=12)

@@ -266,3 +266,35 @@ def q_implication(spark, d):
         F.col("constraints").alias("rule_id"), "constraints").distinct()
     rows = M.long_rows(o, "o_orderkey", {"status": "o_orderstatus", "priority": "o_orderpriority"})
     return M.implication_violations(rows, rules)
+
+
+# -- definitions from source text ------------------------------------------------
+
+def _sources(spark, d):
+    from colonnade.corpus.sources import sources_from_part
+    part = Tables(spark, d).part
+    return sources_from_part(part, D.docstrings_from_part(part))
+
+
+@query("extract_defs")
+def q_extract_defs(spark, d):
+    from colonnade.corpus.sources import extract_defs
+    return extract_defs(_sources(spark, d)).select("lib", "sha", "filepath", "kind", "name", "parent", "line")
+
+
+@query("def_target_join", sql=f"""
+WITH docs AS ({DOCS_SQL}),
+p AS (SELECT p_partkey, p_brand AS lib, md5(p_name) AS sha, replace(lower(p_type), ' ', '/') || '.py' AS filepath,
+             len(string_split(text, chr(10))) AS t, contains(text, 'Parameters' || chr(10) || '-----') AS gated
+      FROM part JOIN docs ON doc_id = p_partkey),
+defs AS (SELECT lib, sha, filepath, 'function' AS kind, 'f' || CAST(p_partkey AS VARCHAR) AS name, CAST(4 AS BIGINT) AS line FROM p WHERE gated
+         UNION ALL SELECT lib, sha, filepath, 'class', 'C' || CAST(p_partkey AS VARCHAR), CAST(10 + t AS BIGINT) FROM p WHERE gated
+         UNION ALL SELECT lib, sha, filepath, 'method', 'fit', CAST(14 + 2 * t AS BIGINT) FROM p WHERE gated),
+m AS ({MANIFEST_FROM_PART_SQL}),
+roles AS (SELECT DISTINCT lib, sha, filepath, 'code' AS role, CASE WHEN "class" = 'NA' THEN func ELSE "class" END AS name FROM m
+          UNION SELECT DISTINCT lib, sha, filepath, 'doc', docfrom FROM m)
+SELECT r.lib, r.sha, r.filepath, r.role, r.name, arg_max(kind, line) AS kind, max(line) AS line
+FROM roles r JOIN defs USING (lib, sha, filepath, name) GROUP BY r.lib, r.sha, r.filepath, r.role, r.name""")
+def q_def_target_join(spark, d):
+    from colonnade.corpus.sources import extract_defs, match_targets
+    return match_targets(_manifest(spark, d), extract_defs(_sources(spark, d)))

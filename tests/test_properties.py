@@ -87,3 +87,27 @@ def test_ridge_matches_numpy(spark):
 def test_auc_ties_half(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9), (0, 0.1)], "y int, s double")
     assert MT.roc_auc(df, "y", "s") == (1 + 0.5 + 1 + 1) / 4
+
+
+def _kendall_brute(x, y):
+    n = len(x)
+    s = n1 = n2 = 0
+    for i in range(n):
+        for j in range(i + 1, n):
+            dx, dy = np.sign(x[i] - x[j]), np.sign(y[i] - y[j])
+            s += dx * dy
+            n1 += dx == 0
+            n2 += dy == 0
+    n0 = n * (n - 1) / 2
+    return s / math.sqrt((n0 - n1) * (n0 - n2))
+
+
+def test_kendall_matches_brute_force(spark):
+    from colonnade.operators.aggregates import kendall_tau_b
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, 120)
+    y = (x + rng.integers(0, 4, 120)) % 7
+    df = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(x, y))], "id long, x long, y long")
+    got, n = kendall_tau_b(df, "x", "y", "id")
+    assert n == 120
+    assert math.isclose(got, _kendall_brute(x, y), rel_tol=1e-12)
