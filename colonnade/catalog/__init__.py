@@ -19,7 +19,7 @@ _SQL: dict[str, str] = {}
 
 _MODULES = (
     "sources", "frame", "joins", "aggregates", "ordered", "reshape",
-    "timeseries", "udf", "corpus", "features", "stats", "learners",
+    "timeseries", "udf", "corpus", "features", "stats", "learners", "neighbors",
 )
 
 
