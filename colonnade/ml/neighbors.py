@@ -19,6 +19,7 @@ from __future__ import annotations
 import itertools
 import math
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,14 @@ from colonnade.session import materialize
 PROJ_DIMS = 2
 
 
-def _sqdist(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+@F.pandas_udf("double")
+def euclidean(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Row-wise Euclidean distance of two array columns, one Arrow batch at
+    a time (numpy; higher-order SQL functions would run interpreted)."""
+    if len(a) == 0:
+        return pd.Series([], dtype=float)
+    x, y = np.stack(a.to_numpy()), np.stack(b.to_numpy())
+    return pd.Series(np.sqrt(((x - y) ** 2).sum(axis=1)))
 
 
 class Space:
@@ -74,7 +81,7 @@ class Space:
         q = queries.select(F.col("_id").alias("i"), F.col("_v").alias("vi"),
                            F.explode(F.array(*[cell(F.col("_p"), off) for off in offsets])).alias("cell"))
         data = self.points.select(F.col("_id").alias("j"), F.col("_v").alias("vj"), cell(F.col("_p")).alias("cell"))
-        cand = q.join(data, "cell").select("i", "j", F.sqrt(_sqdist(F.col("vi"), F.col("vj"))).alias("dist"))
+        cand = q.join(data, "cell").select("i", "j", euclidean(F.col("vi"), F.col("vj")).alias("dist"))
         return cand.where(F.col("dist") < r if strict else F.col("dist") <= r)
 
     def knn(self, k: int) -> DataFrame:
