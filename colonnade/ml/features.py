@@ -299,10 +299,19 @@ def kbins_inverse(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
+def _by_doc(docs: DataFrame, doc: str) -> DataFrame:
+    """Hash-partition documents by id before the per-row text work: the
+    tokenizer runs on every core, and the (doc, term) aggregation and the
+    per-document norms reuse this partitioning instead of shuffling again."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return docs.repartition(n, doc)
+
+
 def term_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", lowercase: bool = True) -> DataFrame:
     """(doc, term, tf) with tokens of two or more word characters."""
     t = F.lower(text) if lowercase else F.col(text)
-    toks = docs.select(doc, F.explode(F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)).alias("term"))
+    toks = _by_doc(docs.select(doc, text), doc).select(
+        doc, F.explode(F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)).alias("term"))
     return toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -347,6 +356,7 @@ def char_ngrams(docs: DataFrame, ngram_range=(2, 3), analyzer: str = "char_wb",
     and stops the longer sizes."""
     lo, hi = ngram_range
     t = F.lower(text)
+    docs = _by_doc(docs.select(doc, text), doc)
     if analyzer == "char":
         s = docs.select(doc, F.regexp_replace(t, r"\s\s+", " ").alias("_s"))
         grams = []

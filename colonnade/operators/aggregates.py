@@ -291,12 +291,26 @@ def cov(df: DataFrame, cols: Sequence[str], ddof: int = 1, min_periods: int = 1,
     return df.agg(F.array(*exprs).alias("m")).select(F.explode("m").alias("e")).select("e.*")
 
 
+def multi_average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Average ranks of several columns from ONE counted-position scan keyed
+    by column name: (column, value, rank)."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v"))
+                                         for c in cols])).alias("e")).select("e._c", "e._v")
+    counts = long.where(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    cum = ordered_scan(counts, [F.col("_v").asc()], ["_c"], [CumSum("_cnt", "_cum")])
+    return cum.select("_c", "_v", (F.col("_cum") - (F.col("_cnt") - 1) / 2).alias("_rank"))
+
+
 def corr_spearman(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
-    """Spearman: Pearson on average ranks of the complete rows."""
-    d = df.select(*cols).dropna()
+    """Spearman: Pearson on average ranks of the complete rows.  Ranks of all
+    columns come from one scan; each column takes its rank by a join on its
+    value (AQE broadcasts the rank table when it is small)."""
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    ranks = multi_average_ranks(d, cols)
     ranked = d
     for c in cols:
-        ranked = average_ranks(ranked, c, f"_r_{c}")
+        rc = ranks.where(F.col("_c") == c).select(F.col("_v").alias(c), F.col("_rank").alias(f"_r_{c}"))
+        ranked = ranked.join(rc, c, "left")
     r = ranked.select(*[F.col(f"_r_{c}").alias(c) for c in cols])
     return corr(r, cols, digits=digits)
 

@@ -60,7 +60,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage with a table written under the shared checkpoint folder
+    (reliable storage: survives executor loss).  One write job, then a
+    plain parquet scan; unlike ``Dataset.checkpoint`` the input is computed
+    only once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
