@@ -334,23 +334,31 @@ def corrwith(left: DataFrame, right: DataFrame, key: Sequence[str], drop: bool =
     return j.agg(F.array(*exprs).alias("m")).select(F.explode("m").alias("e")).select("e.*")
 
 
+_RAW = {"sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count, "median": F.median,
+        "std": F.stddev_samp, "var": F.var_samp}
+
+
 def pivot_margins(df: DataFrame, index: str, columns: str, values: str, aggfuncs: Sequence[str],
                   margins_name: str = "All", col_values: Sequence | None = None) -> DataFrame:
-    """pivot_table with margins: grouping sets (index, columns), (index),
-    (columns), (); the margin label comes from ``grouping()``, never from a
-    null test.  Output columns ``{agg}_{column value}`` plus
-    ``{agg}_{margins_name}``."""
+    """pivot_table with margins in ONE aggregate: grouping sets (index) and
+    () with a conditional aggregate per column value plus the unconditional
+    margin column; the margin row is named from ``grouping()``, never from a
+    null test.  Output columns ``{agg}_{column value}`` and
+    ``{agg}_{margins_name}``; a combination without rows is null."""
     if col_values is None:
         col_values = [r[0] for r in df.select(columns).distinct().orderBy(columns).collect()]
-    aggs = [agg_expr(f, values).alias(f) for f in aggfuncs]
-    gs = df.groupingSets([[index, columns], [index], [columns], []], index, columns).agg(
-        *aggs, F.grouping(index).alias("_gi"), F.grouping(columns).alias("_gc"))
-    gs = gs.select(F.when(F.col("_gi") == 1, F.lit(margins_name)).otherwise(F.col(index).cast("string")).alias(index),
-                   F.when(F.col("_gc") == 1, F.lit(margins_name)).otherwise(F.col(columns).cast("string")).alias("_c"),
-                   *aggfuncs)
-    labels = [str(v) for v in col_values] + [margins_name]
-    return gs.groupBy(index).pivot("_c", labels).agg(*[F.first(f).alias(f) for f in aggfuncs]) \
-        .select(index, *[F.col(f"{lab}_{f}").alias(f"{f}_{lab}") for f in aggfuncs for lab in labels])
+    exprs = []
+    for f in aggfuncs:
+        for v in col_values:
+            e = _RAW[f](F.when(F.col(columns) == F.lit(v), F.col(values)))
+            if f == "count":
+                e = F.when(e > 0, e)
+            exprs.append(e.alias(f"{f}_{v}"))
+        exprs.append(_RAW[f](F.col(values)).alias(f"{f}_{margins_name}"))
+    g = df.groupingSets([[index], []], index).agg(*exprs, F.grouping(index).alias("_gi"))
+    names = [f"{f}_{v}" for f in aggfuncs for v in [*col_values, margins_name]]
+    return g.select(F.when(F.col("_gi") == 1, F.lit(margins_name)).otherwise(F.col(index).cast("string")).alias(index),
+                    *names)
 
 
 # -- Kendall tau-b without pairs ------------------------------------------------

@@ -43,8 +43,9 @@ def getitem(df: DataFrame, key) -> DataFrame:
 
 
 def filter_mask(df: DataFrame, mask: Column) -> DataFrame:
-    """Keep rows whose mask is True (a NULL mask drops the row)."""
-    return df.filter(F.coalesce(mask, F.lit(False)))
+    """Keep rows whose mask is True.  A NULL mask drops the row already in
+    Spark's filter, so the predicate is passed as is and reaches the scan."""
+    return df.filter(mask)
 
 
 def query(df: DataFrame, expr: str, **variables) -> DataFrame:
