@@ -96,3 +96,18 @@ def strip(c) -> Column:
 
 def null_safe_ne(a, b) -> Column:
     return ~col(a).eqNullSafe(col(b))
+
+
+def bounded_distinct(df: DataFrame, c: str, limit: int = 10_000, what: str = "values") -> list:
+    """Sorted distinct non-null values of a column that must stay small
+    (labels, classes, pivot values); raises instead of pulling an unbounded
+    list to the driver."""
+    vals = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(limit + 1).collect()]
+    if len(vals) > limit:
+        raise ValueError(f"more than {limit} distinct {what} in {c}")
+    return vals
+
+
+def is_small(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows (a bounded count)."""
+    return df.limit(limit + 1).count() <= limit

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colonnade.functions.columns import bounded_distinct
 from colonnade.ml.linalg import Gram, affine_columns, gram, grouped_vector_sum, linear_predict, vector_sum
 from colonnade.ml.metrics import kfold
 from colonnade.session import materialize
@@ -107,7 +108,7 @@ def ridge_classifier_cv(df: DataFrame, cols: Sequence[str], label: str, alphas:
     model is then a d x d solve, and all accuracies come from one more pass."""
     cols = list(cols)
     d = len(cols)
-    classes = sorted(r[0] for r in df.select(label).distinct().collect())
+    classes = bounded_distinct(df, label, 1000, "classes")
     f = kfold(df, cv, key).where(" AND ".join(f"`{c}` IS NOT NULL" for c in cols))
     K = len(classes)
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colonnade.functions.columns import bounded_distinct
 from colonnade.plans.ordered import CumSum, Pos, ordered_scan
 
 _AGG = {
@@ -346,7 +347,7 @@ def pivot_margins(df: DataFrame, index: str, columns: str, values: str, aggfuncs
     null test.  Output columns ``{agg}_{column value}`` and
     ``{agg}_{margins_name}``; a combination without rows is null."""
     if col_values is None:
-        col_values = [r[0] for r in df.select(columns).distinct().orderBy(columns).collect()]
+        col_values = bounded_distinct(df, columns, 10_000, "pivot columns")
     exprs = []
     for f in aggfuncs:
         for v in col_values:
