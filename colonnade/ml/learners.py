@@ -134,22 +134,29 @@ def ridge_classifier_cv(df: DataFrame, cols: Sequence[str], label: str, alphas:
             W = np.linalg.solve(cxx + a * np.eye(d), xt - n * np.outer(mx, st / n))   # (d, K)
             b = st / n - mx @ W
             models[(a, k)] = (W, b)
-    accs = []
-    for a in alphas:
-        best = None
+    # accuracies of every (alpha, fold) model in one pass: per batch, numpy
+    # decisions for the fold's models, correct counts summed by Spark
+    cls_arr = np.array(classes, dtype=float)
+
+    def correct(m):
+        x, lab, fold = m[:, :d], m[:, d], m[:, d + 1]
+        out = np.zeros(len(alphas) * cv + cv)
         for k in range(cv):
-            W, b = models[(a, k)]
-            dec = [linear_predict(W[:, j], cols, b[j]) for j in range(K)]
-            pick, top = F.lit(float(classes[0])), dec[0]
-            for j in range(1, K):
-                pick = F.when(dec[j] > top, F.lit(float(classes[j]))).otherwise(pick)
-                top = F.greatest(top, dec[j])
-            best = pick if best is None else F.when(F.col("fold") == k, pick).otherwise(best)
-            if k == 0:
-                best = F.when(F.col("fold") == 0, pick)
-        accs.append(F.avg((best == F.col(label).cast("double")).cast("double")).alias(f"a{alphas.index(a)}"))
-    per_fold = f.groupBy("fold").agg(*accs).collect()
-    scores = {a: float(np.mean([r[f"a{i}"] for r in per_fold])) for i, a in enumerate(alphas)}
+            sel = fold == k
+            if not sel.any():
+                continue
+            out[len(alphas) * cv + k] = sel.sum()
+            for ai, a in enumerate(alphas):
+                W, b = models[(a, k)]
+                pred = cls_arr[np.argmax(x[sel] @ W + b, axis=1)]
+                out[ai * cv + k] = (pred == lab[sel]).sum()
+        return out
+
+    tot = grouped_vector_sum(f.withColumn("_fold", F.col("fold").cast("double")), cols + [label, "_fold"], correct,
+                             len(alphas) * cv + cv)[None]
+    sizes = tot[len(alphas) * cv:]
+    scores = {a: float(np.mean([tot[ai * cv + k] / sizes[k] for k in range(cv) if sizes[k] > 0]))
+              for ai, a in enumerate(alphas)}
     best_alpha = max(alphas, key=lambda a: (scores[a], -a))
     return {"alpha": best_alpha, "scores": scores}
 

@@ -173,10 +173,17 @@ def linear_predict(coef: Sequence[float], cols: Sequence[str], intercept: float
     return e
 
 
+EXPR_TERMS_MAX = 256  # larger linear maps run per Arrow batch in numpy
+
+
 def affine_columns(df: DataFrame, mat: np.ndarray, cols: Sequence[str], names: Sequence[str],
                    offset: np.ndarray | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """``names = mat @ (x - offset)`` as literal column expressions."""
+    """``names = mat @ (x - offset)``: literal column expressions for small
+    maps (whole-stage codegen), a per-batch numpy product for large ones
+    (one huge expression would exceed the generated-code size limit)."""
     offset = np.zeros(len(cols)) if offset is None else offset
+    if mat.size > EXPR_TERMS_MAX:
+        return _affine_numpy(df, np.asarray(mat, float), list(cols), list(names), np.asarray(offset, float), list(keep))
     exprs = []
     for k, n in enumerate(names):
         e = F.lit(0.0)
@@ -185,3 +192,22 @@ def affine_columns(df: DataFrame, mat: np.ndarray, cols: Sequence[str], names: S
                 e = e + (F.col(c) - F.lit(float(offset[i]))) * F.lit(float(mat[k, i]))
         exprs.append(e.alias(n))
     return df.select(*keep, *exprs)
+
+
+def _affine_numpy(df: DataFrame, mat: np.ndarray, cols: list[str], names: list[str], offset: np.ndarray,
+                  keep: list[str]) -> DataFrame:
+    from pyspark.sql import types as T
+    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in names])
+
+    def run(batches):
+        for pdf in batches:
+            out = pdf[keep].copy()
+            if len(pdf):
+                z = (pdf[cols].to_numpy(dtype=float) - offset) @ mat.T
+            else:
+                z = np.zeros((0, len(names)))
+            for k, n in enumerate(names):
+                out[n] = z[:, k]
+            yield out
+
+    return df.select(*keep, *[c for c in cols if c not in keep]).mapInPandas(run, schema)
