@@ -31,6 +31,11 @@ from pyspark.sql import functions as F
 from colonnade.session import materialize
 
 MAX_LAG = 10_000  # tails/heads of this many rows per partition are carried
+# Inputs proven (by a bounded count) to hold at most this many rows are
+# scanned with plain windows: the whole input then fits one task by that
+# bound, like a broadcast below its size threshold.  Anything larger takes
+# the range-partition + carry plan.
+SMALL_SCAN_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -99,6 +104,8 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
         if isinstance(op, (Lag, Lead)) and not 0 < op.n <= MAX_LAG:
             raise ValueError(f"lag/lead distance must be in 1..{MAX_LAG}")
     keys = list(keys)
+    if partitions is None and SMALL_SCAN_ROWS and df.limit(SMALL_SCAN_ROWS + 1).count() <= SMALL_SCAN_ROWS:
+        return _window_scan(df, order, keys, ops)
     dummy = not keys
     if dummy:
         df = df.withColumn("_k0", F.lit(0))
@@ -230,6 +237,37 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
 
 
 
+def _window_scan(df: DataFrame, order: Sequence[Column], keys: list[str], ops: Sequence) -> DataFrame:
+    """The same scans with plain windows, for inputs under SMALL_SCAN_ROWS."""
+    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    out = df.withColumns({"_wpos": F.row_number().over(w) - 1, "_wcnt": F.count(F.lit(1)).over(part)})
+    rev = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(F.col("_wpos").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = {}
+    for op in ops:
+        if isinstance(op, Pos):
+            cols[op.name] = F.col("_wpos")
+        elif isinstance(op, RPos):
+            cols[op.name] = F.col("_wcnt") - 1 - F.col("_wpos")
+        elif isinstance(op, CumSum):
+            cols[op.name] = F.sum(op.col).over(run)
+        elif isinstance(op, FFill):
+            cols[op.name] = F.last(op.col, ignorenulls=True).over(run)
+            if op.pos_name:
+                cols[op.pos_name] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_wpos")), ignorenulls=True).over(run)
+        elif isinstance(op, BFill):
+            cols[op.name] = F.last(op.col, ignorenulls=True).over(rev)
+            if op.pos_name:
+                cols[op.pos_name] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_wpos")), ignorenulls=True).over(rev)
+        elif isinstance(op, Lag):
+            cols[op.name] = F.lag(op.col, op.n).over(w)
+        elif isinstance(op, Lead):
+            cols[op.name] = F.lead(op.col, op.n).over(w)
+    return out.withColumns(cols).drop("_wpos", "_wcnt")
+
+
 def row_number(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (),
                name: str = "row_id", partitions: int | None = None) -> DataFrame:
     """0-based position along ``order`` (within ``keys``) without a global window."""

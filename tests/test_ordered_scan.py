@@ -45,3 +45,14 @@ def test_hot_key(spark, keys, parts):
 def test_random(spark, data, parts):
     rows = [(i, k, v) for i, (k, v) in enumerate(data)]
     _check(spark, rows, ["k"], parts)
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_small_input_path_equals_windows(spark, keys):
+    rows = [(i, 0 if i % 5 else i % 3, None if (i // 4) % 3 == 0 else i % 11) for i in range(200)]
+    df = spark.createDataFrame(rows, "o long, k long, v long")
+    got = ordered_scan(df, [F.col("o")], keys, OPS).select("o", "pos", "rpos", "cs", "ff", "bf", "lag3", "lead2")
+    _check(spark, rows, keys, 4)  # the range + carry path on the same data
+    want = ordered_scan(df, [F.col("o")], keys, OPS, partitions=4) \
+        .select("o", "pos", "rpos", "cs", "ff", "bf", "lag3", "lead2")
+    assert sorted(got.collect()) == sorted(want.collect())
