@@ -198,8 +198,9 @@ def parse(docs: DataFrame, partitions: int | None = None) -> dict[str, DataFrame
     lines: the single shuffle moves one row per document, the line split
     runs in parallel, and every later window / aggregate (all keyed by
     doc_id) reuses that partitioning."""
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    cl = classify_lines(split_lines(docs.repartition(n, "doc_id")))
+    # no explicit count unless asked: AQE may then coalesce small shuffles
+    by_doc = docs.repartition(partitions, "doc_id") if partitions else docs.repartition("doc_id")
+    cl = classify_lines(split_lines(by_doc))
     entries = fold_entries(cl)
     parsed = last_per_key(entries)
     # documents that write output, flagged by a window on the doc_id

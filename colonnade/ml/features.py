@@ -303,8 +303,7 @@ def _by_doc(docs: DataFrame, doc: str) -> DataFrame:
     """Hash-partition documents by id before the per-row text work: the
     tokenizer runs on every core, and the (doc, term) aggregation and the
     per-document norms reuse this partitioning instead of shuffling again."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return docs.repartition(n, doc)
+    return docs.repartition(doc)  # shuffle-partition count; AQE may coalesce
 
 
 def term_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", lowercase: bool = True) -> DataFrame:
