@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from colonnade.catalog import query
 from colonnade.operators import joins as J
+from colonnade.operators.timeseries import time_grid
 from colonnade.sources.tables import Tables
 
 
@@ -101,8 +102,7 @@ def q_reindex_rows(spark, d):
     o = Tables(spark, d).orders
     per = o.groupBy(F.col("o_orderdate").alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
-    days = o.agg(F.explode(F.sequence(F.min("o_orderdate"), F.max("o_orderdate"),
-                                      F.expr("INTERVAL 1 DAY"))).alias("day"))
+    days = time_grid(o, "o_orderdate", "1 day", "day")
     return J.reindex_rows(per, "day", days, fill_value=0)
 
 
