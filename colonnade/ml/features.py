@@ -129,8 +129,8 @@ def fit_simple_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean
     missing are dropped, except with the constant strategy (default
     constant 0)."""
     cols = list(cols)
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-    missing_cols = [c for c in cols if counts[c] < df.count()] if cols else []
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in cols]).first()
+    missing_cols = [c for c in cols if counts[c] < counts["_rows"]]
     fill, dropped = {}, []
     for c in cols:
         if strategy == "constant":
