@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from colonnade.functions.columns import bounded_distinct
 from colonnade.ml.linalg import Gram, affine_columns, gram, grouped_vector_sum, linear_predict, vector_sum
 from colonnade.ml.metrics import kfold
+from colonnade.plans.ordered import Pos, ordered_scan
 from colonnade.session import materialize
 
 # -- ridge / OMP --------------------------------------------------------------
@@ -538,10 +539,13 @@ def learning_curve(df: DataFrame, cols: Sequence[str], y: str, key: str, train_s
         train = f.where(F.col("fold") != k)
         n_train = train.count()
         test_g = gram(f.where(F.col("fold") == k), cols, y)
+        # positions along the hash order, once per fold (range + carry scan:
+        # no large global limit funnels the rows through one partition)
+        numbered = ordered_scan(train.select(*cols, y, "_o", key), [F.col("_o").asc(), F.col(key).asc()], [],
+                                [Pos("_pos")])
         for frac in train_sizes:
             m_n = max(int(math.floor(frac * n_train)), 1)
-            cut = train.select("_o").orderBy("_o").limit(m_n).agg(F.max("_o")).first()[0]
-            g = gram(train.where(F.col("_o") <= cut), cols, y)
+            g = gram(numbered.where(F.col("_pos") < m_n), cols, y)
             model = ridge_from_gram(g, alpha)
             idx = list(range(len(cols)))
             rows.append((k, int(g.n), float(_r2_on(g, model, idx)), float(_r2_on(test_g, model, idx))))
