@@ -100,28 +100,15 @@ class TokenFile:
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
 
 
-def encode_documents(docs: DataFrame, vocab: str, end_id: int) -> DataFrame:
-    """doc_id, n and the packed ids (end id last) of each document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokens.encoder(vocab)
-        bits = bits_for(max(enc.vocab_size, end_id + 1))
-        for b in common.pieces(batches):
-            ids = [np.append(x, np.uint32(end_id)) for x in enc.encode(b.column("text").to_pylist())]
-            yield pa.record_batch([b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                                   pa.array([pack_bits(x, bits) for x in ids], pa.binary())], ["doc_id", "n", "packed"])
-
-    kept = docs.select(docs["doc_id"].cast("long").alias("doc_id"), common.text_of(docs).alias("text"))
-    return kept.mapInArrow(run, "doc_id long, n long, packed binary")
-
-
 def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int = 0, segment_ids: int = SEGMENT_IDS) -> None:
-    """Write all documents' ids, in ascending doc_id order, as segments under ``path``."""
+    """Write all documents' ids, in ascending doc_id order, as segments under ``path``. Documents are put in order
+    before they are encoded, so that finding the ranges' bounds encodes nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bits = bits_for(max(tokens.encoder(vocab).vocab_size, end_id + 1))
+        enc = tokens.encoder(vocab)
+        bits = bits_for(max(enc.vocab_size, end_id + 1))
         shard, segment = TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -136,19 +123,20 @@ def write_token_files(docs: DataFrame, path: str, vocab: str, end_id: int = 0, s
             segment, names, ids, have = segment + 1, [], [], 0
             return out
 
-        for b in batches:
-            for d, n, packed in zip(b.column("doc_id").to_pylist(), b.column("n").to_pylist(), b.column("packed")):
+        for b in common.pieces(batches):
+            for d, x in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text").to_pylist())):
                 names.append(d)
-                ids.append(unpack_bits(packed.as_buffer(), n, bits))
-                have += n
+                ids.append(np.append(x, np.uint32(end_id)))
+                have += len(ids[-1])
                 if have >= segment_ids:
                     yield flush()
         if names:
             yield flush()
 
-    spread = encode_documents(docs, vocab, end_id).repartitionByRange(F.col("doc_id").asc_nulls_first())
-    ordered = spread.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "packed")
-    segments = ordered.mapInArrow(run, "shard int, segment int, n_ids long, n_docs long, data binary")
+    kept = docs.select(docs["doc_id"].cast("long").alias("doc_id"), common.text_of(docs).alias("text"))
+    order = F.col("doc_id").asc_nulls_first()
+    segments = kept.repartitionByRange(order).sortWithinPartitions(order, "text").mapInArrow(
+        run, "shard int, segment int, n_ids long, n_docs long, data binary")
     # ids hardly compress further
     segments.write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 
