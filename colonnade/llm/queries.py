@@ -3,14 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from colonnade.llm import cost_packing, fuse_dedup, token_files, tokens
+from colonnade.llm import (chosen_path, common, context_tree, cost_packing, decontaminate, fuse_dedup, language_id,
+                           license_scan, ordinal_toxicity, suffix_dedup, token_files, tokens)
 from colonnade.session import scratch_path
 from colonnade.sources.tables import load
 
 SQL: dict[str, str] = {}
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from the two thirds that are not held out."""
+    return language_id.identify(load(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every text: fixed phrases and template containment."""
+    return license_scan.scan(load(spark, sf_dir, "documents"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text that repeated strings of 200 bytes cover."""
+    return suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"))
+
+
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram baseline and context-tree score of every text, learned from four fifths of them."""
+    docs = load(spark, sf_dir, "documents")
+    out = context_tree.score(docs, ~common.held_out(F.col("doc_id"), 5))
+    return out.withColumn("held_out", common.held_out(F.col("doc_id"), 5))
+
+
+def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of the whole table on 4-word shingles."""
+    return chosen_path.near_duplicates(load(spark, sf_dir, "documents")).drop("mark")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every text."""
+    return decontaminate.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, written as bit-packed segments, and read back."""
     path = scratch_path(spark, "token-files")
@@ -23,6 +57,11 @@ def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cost_packing.pack(load(spark, sf_dir, "documents"), tokens.vocabulary_path(), 2048, end_id=1)
 
 
+def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity grade and expected severity of every text."""
+    return ordinal_toxicity.grade_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op10_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of the whole table."""
     return fuse_dedup.dedup(load(spark, sf_dir, "documents"))
@@ -34,4 +73,6 @@ g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
 """
 
-QUERIES = {f.__name__: f for f in (op7_token_files, op8_cost_packing, op10_fuse_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_license_scan, op3_suffix_dedup, op4_context_tree, op5_chosen_path, op6_decontaminate, op7_token_files, op8_cost_packing, op9_ordinal_toxicity,
+    op10_fuse_dedup)}
