@@ -115,14 +115,17 @@ def q_cmp_ops(spark, d):
 
 
 @query("divmod", sql="""SELECT l_orderkey, l_linenumber,
+  CAST(((l_partkey + 1152921504606846976)::HUGEINT - (((l_partkey + 1152921504606846976)::HUGEINT % 7) + 7) % 7) // 7 AS BIGINT) AS div_big,
+  CAST((l_partkey + 1152921504606846976) % 7 AS BIGINT) AS mod_big,
   CAST(floor(l_partkey / -7) AS BIGINT) AS div_key, l_partkey - CAST(floor(l_partkey / -7) AS BIGINT) * -7 AS mod_key,
   CAST(floor(l_extendedprice / 7.5) AS DOUBLE) AS div_price, l_extendedprice - floor(l_extendedprice / 7.5) * 7.5 AS mod_price
 FROM lineitem""")
 def q_divmod(spark, d):
     li = Tables(spark, d).lineitem
-    dk, mk = O.divmod_cols("l_partkey", F.lit(-7))
+    dk, mk = O.divmod_cols("l_partkey", F.lit(-7).cast("bigint"), integral=True)
+    db, mb = O.divmod_cols(F.col("l_partkey") + F.lit(1 << 60), F.lit(7).cast("bigint"), integral=True)  # beyond doubles
     dp, mp = O.divmod_cols("l_extendedprice", F.lit(7.5))
-    return li.select("l_orderkey", "l_linenumber", dk.cast("bigint").alias("div_key"), mk.alias("mod_key"),
+    return li.select("l_orderkey", "l_linenumber", db.alias("div_big"), mb.alias("mod_big"), dk.alias("div_key"), mk.alias("mod_key"),
                      dp.cast("double").alias("div_price"), mp.alias("mod_price"))
 
 
@@ -156,11 +159,13 @@ def q_round(spark, d):
     return O.round_frame(li, {"l_extendedprice": 0, "l_discount": 1, "l_tax": 1})
 
 
-@query("clip", sql="""SELECT l_orderkey, l_linenumber,
+@query("clip", sql="""SELECT l_orderkey, l_linenumber, greatest(l_partkey + 1152921504606846976, 1152921504606846977 + 50) AS big,
   CASE WHEN l_quantity < 5 THEN 5 WHEN l_quantity > 45 THEN 45 ELSE l_quantity END AS l_quantity,
   CASE WHEN l_discount < 0.02 THEN 0.02 ELSE l_discount END AS l_discount FROM lineitem""")
 def q_clip(spark, d):
-    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount",
+                                          (F.col("l_partkey") + F.lit(1 << 60)).alias("big"))
+    li = O.clip(li, lower=(1 << 60) + 51, cols=["big"])  # 64-bit values that doubles cannot hold
     return O.clip(O.clip(li, 5, 45, ["l_quantity"]), lower=0.02, cols=["l_discount"])
 
 

@@ -17,8 +17,7 @@ _ORDER = ["ts", "event_id"]
   lead(v, 1) OVER {_W_USER} AS value_lead1 FROM {_EV}""")
 def q_shift(spark, d):
     ev = events_with_nulls(Tables(spark, d)).select("event_id", "ts", "user_id", "value")
-    ev = R.shift(ev, ["value"], 2, _ORDER, by=["user_id"], fill_value=0.0, suffix="_lag2")
-    ev = R.shift(ev, ["value"], -1, _ORDER, by=["user_id"], suffix="_lead1")
+    ev = R.shifts(ev, [("value", 2, "value_lag2", 0.0), ("value", -1, "value_lead1", None)], _ORDER, by=["user_id"])
     return ev.select("event_id", "user_id", "value", "value_lag2", "value_lead1")
 
 
@@ -79,20 +78,29 @@ def q_duplicated(spark, d):
     return R.duplicated(o, ["o_custkey", "o_orderstatus"], "first", ["o_orderkey"])
 
 
-@query("sort_values", sql="SELECT * FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderdate ASC NULLS LAST")
+_NULL_PRICE = "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END"
+
+
+@query("sort_values", sql=f"""SELECT *, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderdate ASC NULLS LAST, o_orderkey) - 1 AS place
+FROM (SELECT * REPLACE ({_NULL_PRICE} AS o_totalprice) FROM orders)""")
 def q_sort_values(spark, d):
-    return R.sort_values(Tables(spark, d).orders, ["o_totalprice", "o_orderdate"], ascending=[False, True])
+    o = Tables(spark, d).orders.withColumn("o_totalprice", F.expr(_NULL_PRICE))
+    return R.sort_values(o, ["o_totalprice", "o_orderdate", "o_orderkey"], ascending=[False, True, True], position="place")
 
 
-@query("sort_index", sql="SELECT * FROM customer ORDER BY c_nationkey, c_custkey")
+@query("sort_index", sql="SELECT *, row_number() OVER (ORDER BY c_nationkey, c_custkey) - 1 AS place FROM customer")
 def q_sort_index(spark, d):
-    return R.sort_index(Tables(spark, d).customer, ["c_nationkey", "c_custkey"])
+    return R.sort_index(Tables(spark, d).customer, ["c_nationkey", "c_custkey"], position="place")
 
 
-@query("nlargest", sql="""SELECT * FROM lineitem WHERE l_quantity >=
-  (SELECT l_quantity FROM lineitem ORDER BY l_quantity DESC LIMIT 1 OFFSET 4)""")
+@query("nlargest", sql="""WITH v AS (SELECT * REPLACE (CASE WHEN l_quantity > 1 THEN NULL ELSE l_quantity END AS l_quantity) FROM lineitem),
+r AS (SELECT *, rank() OVER (ORDER BY l_quantity DESC NULLS LAST) AS rk FROM v)
+SELECT * EXCLUDE (rk) FROM r WHERE rk <= (SELECT count(l_quantity) + 1 FROM v)""")
 def q_nlargest(spark, d):
-    return R.nlargest(Tables(spark, d).lineitem, 5, ["l_quantity"], keep="all")
+    """The n-th row has a null key: all rows with a value and all null rows stay."""
+    li = Tables(spark, d).lineitem.withColumn("l_quantity", F.when(F.col("l_quantity") <= 1, F.col("l_quantity")))
+    n = li.where("l_quantity is not null").count() + 1
+    return R.nlargest(li, n, ["l_quantity"], keep="all")
 
 
 @query("nsmallest", sql="SELECT * FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 10")

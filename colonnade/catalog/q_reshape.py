@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from colonnade.catalog import query
+from colonnade.catalog.q_joins import _REGIONS
 from colonnade.catalog.q_frame import NULLED_VALUE, events_with_nulls
 from colonnade.catalog.q_aggregates import NULLED_USER
 from colonnade.operators import membership as MB
@@ -69,8 +70,8 @@ def q_in1d_invert(spark, d):
 _PRIOS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
-@query("pivot", sql="""PIVOT (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2)
-ON o_orderpriority USING first(n) GROUP BY o_custkey""")
+@query("pivot", sql="SELECT o_custkey, " + ", ".join(
+    f"nullif(count(*) FILTER (o_orderpriority = '{p}'), 0) AS \"{p}\"" for p in _PRIOS) + " FROM orders GROUP BY o_custkey")
 def q_pivot(spark, d):
     per = Tables(spark, d).orders.groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
     return RS.pivot(per, ["o_custkey"], "o_orderpriority", "n")
@@ -103,9 +104,11 @@ def q_stack(spark, d):
     return RS.stack(ev, ["event_id"], ["value", "user_id"])
 
 
-@query("unstack", sql="""SELECT c_nationkey, COALESCE(COLUMNS(* EXCLUDE (c_nationkey)), 0) FROM (
-  PIVOT (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY 1, 2) ON c_mktsegment USING first(n)
-  GROUP BY c_nationkey)""")
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("unstack", sql="SELECT c_nationkey, " + ", ".join(
+    f"count(*) FILTER (c_mktsegment = '{s}') AS \"{s}\"" for s in _SEGMENTS) + " FROM customer GROUP BY c_nationkey")
 def q_unstack(spark, d):
     per = Tables(spark, d).customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
     return RS.unstack(per, ["c_nationkey"], "c_mktsegment", "n", fill_value=0)
@@ -135,7 +138,7 @@ WITH s AS (SELECT r_name, CAST(count(*) AS DOUBLE) AS n_nations, CAST(sum(n_nati
                   CAST(r_regionkey AS DOUBLE) AS regionkey
            FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name, r_regionkey),
 u AS (UNPIVOT s ON n_nations, key_sum, regionkey INTO NAME "column" VALUE v)
-PIVOT u ON r_name USING first(v) GROUP BY "column" """)
+SELECT "column", """ + ", ".join(f"first(v) FILTER (r_name = '{r}') AS \"{r}\"" for r in _REGIONS) + " FROM u GROUP BY \"column\"")
 def q_transpose(spark, d):
     t = Tables(spark, d)
     s = t.region.join(t.nation, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name", "r_regionkey").agg(

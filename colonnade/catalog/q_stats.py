@@ -64,18 +64,18 @@ def q_roc_auc_partial(spark, d):
 
 
 def _softmax_long(spark, d):
-    e = Tables(spark, d).embeddings
-    x = e.select("vec_id", "label", F.posexplode(F.slice("embedding", 1, 10)).alias("cls", "v"))
-    x = x.withColumn("ev", F.exp(F.col("v").cast("double")))
-    tot = x.groupBy("vec_id").agg(F.sum("ev").alias("_t"))
-    return x.join(tot, "vec_id").select("vec_id", F.col("label").cast("long").alias("label"),
-                                        F.col("cls").cast("long").alias("cls"), (F.col("ev") / F.col("_t")).alias("p"))
+    """Class scores over all 64 dimensions: similarity to the class mean (rounded, so that both engines see the same
+    ties).  Classes are texts."""
+    e = Tables(spark, d).embeddings.select("vec_id", F.concat(F.lit("c"), F.col("label").cast("string")).alias("label"),
+                                           F.posexplode("embedding").alias("i", "v")).withColumn("v", F.col("v").cast("double"))
+    means = e.groupBy(F.col("label").alias("cls"), "i").agg(F.avg("v").alias("m"))
+    return e.join(means, "i").groupBy("vec_id", "label", "cls").agg(F.round(F.sum(F.col("v") * F.col("m")), 6).alias("p"))
 
 
 _SOFTMAX_SQL = """
-x AS (SELECT vec_id, CAST(label AS BIGINT) AS label, CAST(generate_subscripts(embedding[1:10], 1) - 1 AS BIGINT) AS cls,
-             exp(CAST(unnest(embedding[1:10]) AS DOUBLE)) AS ev FROM embeddings),
-sm AS (SELECT vec_id, label, cls, ev / sum(ev) OVER (PARTITION BY vec_id) AS p FROM x)"""
+x AS (SELECT vec_id, 'c' || label AS label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+m AS (SELECT label AS cls, i, avg(v) AS m FROM x GROUP BY 1, 2),
+sm AS (SELECT vec_id, label, cls, round(sum(v * m), 6) AS p FROM x JOIN m USING (i) GROUP BY 1, 2, 3)"""
 
 
 def _auc_sql(src, pos, score, keys):
@@ -84,7 +84,7 @@ def _auc_sql(src, pos, score, keys):
     return f"""(SELECT {k + ',' if keys else ''}
    (sum(CASE WHEN {pos} THEN rk END) - count(CASE WHEN {pos} THEN 1 END) * (count(CASE WHEN {pos} THEN 1 END) + 1) / 2.0)
    / (count(CASE WHEN {pos} THEN 1 END) * count(CASE WHEN NOT ({pos}) THEN 1 END)) AS auc,
-   count(CASE WHEN {pos} THEN 1 END) AS n_pos
+   count(CASE WHEN {pos} THEN 1 END) AS n_pos, count(*) AS n_all
    FROM (SELECT *, rank() OVER ({kp} ORDER BY {score}) + (count(*) OVER ({kp}{',' if keys else 'PARTITION BY'} {score}) - 1) / 2.0 AS rk
          FROM {src}) {'GROUP BY ' + k if keys else ''})"""
 
@@ -95,17 +95,16 @@ ovr AS {_auc_sql('sm', 'label = cls', 'p', ['cls'])},
 pr AS (SELECT a.cls AS ca, b.cls AS cb FROM (SELECT DISTINCT cls FROM sm) a, (SELECT DISTINCT cls FROM sm) b WHERE a.cls <> b.cls),
 sub AS (SELECT sm.*, ca, cb FROM sm JOIN pr ON sm.cls = pr.ca AND sm.label IN (pr.ca, pr.cb)),
 ovo AS {_auc_sql('sub', 'label = ca', 'p', ['ca', 'cb'])},
-ovo2 AS (SELECT least(ca, cb) AS lo, greatest(ca, cb) AS hi, avg(auc) AS auc FROM ovo GROUP BY 1, 2)
-SELECT round((SELECT avg(auc) FROM ovr), 12) AS ovr_macro,
-       round((SELECT sum(auc * n_pos) / sum(n_pos) FROM ovr), 12) AS ovr_weighted,
-       round((SELECT avg(auc) FROM ovo2), 12) AS ovo_macro""")
+ovo2 AS (SELECT least(ca, cb) AS lo, greatest(ca, cb) AS hi, avg(auc) AS auc, max(n_all) AS w FROM ovo GROUP BY 1, 2)
+SELECT round((SELECT avg(auc) FROM ovr), 9) AS ovr_macro,
+       round((SELECT sum(auc * n_pos) / sum(n_pos) FROM ovr), 9) AS ovr_weighted,
+       round((SELECT avg(auc) FROM ovo2), 9) AS ovo_macro,
+       round((SELECT sum(auc * w) / sum(w) FROM ovo2), 9) AS ovo_weighted""")
 def q_roc_auc_multi(spark, d):
     long = _softmax_long(spark, d)
-    vals = [MT.roc_auc_multiclass(long, "vec_id", "label", "cls", "p", "ovr", "macro"),
-            MT.roc_auc_multiclass(long, "vec_id", "label", "cls", "p", "ovr", "weighted"),
-            MT.roc_auc_multiclass(long, "vec_id", "label", "cls", "p", "ovo", "macro")]
-    return spark.range(1).select(*[F.round(F.lit(v), 12).alias(n) for v, n in
-                                   zip(vals, ["ovr_macro", "ovr_weighted", "ovo_macro"])])
+    forms = {f"{m}_{a}": MT.roc_auc_multiclass(long, "vec_id", "label", "cls", "p", m, a)
+             for m in ("ovr", "ovo") for a in ("macro", "weighted")}
+    return spark.range(1).select(*[F.round(F.lit(v), 9).alias(n) for n, v in forms.items()])
 
 
 def _multilabel_long(spark, d):
@@ -154,10 +153,6 @@ SELECT round(mss, 12) AS max_squared_sum, round(1.0 / lip_log, 12) AS step_log,
   round(1.0 / (2 * lip_log + least(2 * n * a, lip_log)), 12) AS step_saga FROM l""")
 def q_auto_step_size(spark, d):
     li = Tables(spark, d).lineitem.withColumn("l_quantity", F.col("l_quantity") / 50)
-    mss = MT.max_squared_sum(li, _STEP_COLS)
-    n = li.count()
-    a = 1.0 / n
-    vals = {"max_squared_sum": mss, "step_log": MT.auto_step_size(mss, a, "log", True),
-            "step_squared": MT.auto_step_size(mss, a, "squared", True),
-            "step_saga": MT.auto_step_size(mss, a, "log", True, n, True)}
-    return spark.range(1).select(*[F.round(F.lit(v), 12).alias(k) for k, v in vals.items()])
+    out = MT.step_sizes(li, _STEP_COLS, {"step_log": {"loss": "log"}, "step_squared": {"loss": "squared"},
+                                         "step_saga": {"loss": "log", "averaged": True}})
+    return out.select(*[F.round(c, 12).alias(c) for c in out.columns])

@@ -14,7 +14,8 @@ cal AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 10 MINU
 SELECT bucket, coalesce(n, 0) AS n, total FROM cal LEFT JOIN b USING (bucket)""")
 def q_resample(spark, d):
     ev = Tables(spark, d).events
-    return TS.resample(ev, "ts", "10 minutes", [F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")])
+    return TS.resample(ev, "ts", "10 minutes", [F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")],
+                       count_cols=["n"])
 
 
 @query("asfreq", sql="""

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colonnade.functions.columns import is_small
 from colonnade.session import scratch_path
 
 MANIFEST_FIELDS = ("lib sha issue_sha issue_type granularity filepath docfrom class func "
@@ -125,12 +124,10 @@ def implication_violations(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows (long form: row_id, param, value) violating ``A -> B`` rules.
 
     The antecedent and the consequent are looked up by joins on the
-    parameter name (rules are a broadcast dimension); a row violates a rule
+    parameter name; a row violates a rule
     when A holds and B does not (a missing B value counts as not holding).
     """
     r = rules.select("rule_id", *parse_implication("constraints")).where(F.col("a_param") != "")
-    if is_small(r, 100_000):
-        r = F.broadcast(r)  # a checked, bounded rule table
     a = rows.alias("x").join(r.alias("r"), F.col("x.param") == F.col("r.a_param"))
     a_holds = F.when(F.col("r.a_op") == "=", F.col("x.value") == F.col("r.a_value")) \
         .otherwise(F.col("x.value") != F.col("r.a_value"))

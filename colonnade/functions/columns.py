@@ -59,7 +59,7 @@ def sort_keys(by: Sequence, ascending=True, na_position: str = "last") -> list[C
 
 
 def floor_div(a, b) -> Column:
-    """Floor division with the sign of the divisor (Python ``//``)."""
+    """Floor division (Python ``//``) of floating values."""
     a, b = col(a), col(b)
     return F.floor(a / b)
 
@@ -70,6 +70,21 @@ def floor_mod(a, b) -> Column:
     return a - F.floor(a / b) * b
 
 
+def int_floor_mod(a, b) -> Column:
+    """Exact modulus of integers, with the sign of the divisor; null for a zero divisor."""
+    a, b = col(a), F.nullif(col(b), F.lit(0))
+    rest = a % b
+    return F.when((rest != 0) & ((rest < 0) != (b < 0)), rest + b).otherwise(rest)
+
+
+def int_floor_div(a, b) -> Column:
+    """Exact floor division of integers (no detour over doubles, which are exact below 2^53 only); null for a zero
+    divisor.  Once the remainder is taken off, the quotient is whole and its decimal division exact."""
+    a, b = col(a), F.nullif(col(b), F.lit(0))
+    exact = a.cast("decimal(20,0)") - int_floor_mod(a, b).cast("decimal(20,0)")
+    return (exact / b.cast("decimal(20,0)")).cast("bigint")
+
+
 def clip(c, lower=None, upper=None) -> Column:
     """Null bound means no bound; null data stays null."""
     c = col(c)
@@ -80,8 +95,7 @@ def clip(c, lower=None, upper=None) -> Column:
     if upper is not None:
         hi = col(upper) if not isinstance(upper, (int, float)) else F.lit(upper)
         out = F.when(hi.isNotNull() & (out > hi), hi).otherwise(out)
-    return F.when(c.isNull(), F.lit(None).cast(T.DoubleType())).otherwise(out) \
-        if lower is not None or upper is not None else c
+    return F.when(c.isNotNull(), out) if lower is not None or upper is not None else c
 
 
 def round_half_even(c, decimals: int = 0) -> Column:
@@ -106,8 +120,3 @@ def bounded_distinct(df: DataFrame, c: str, limit: int = 10_000, what: str = "va
     if len(vals) > limit:
         raise ValueError(f"more than {limit} distinct {what} in {c}")
     return vals
-
-
-def is_small(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (a bounded count)."""
-    return df.limit(limit + 1).count() <= limit

@@ -15,8 +15,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colonnade.functions.columns import missing, nan_to_null
 from colonnade.operators.aggregates import quantiles
 from colonnade.plans.ordered import CumSum, ordered_scan
+from colonnade.session import materialize
 
 # -- standard scaler ----------------------------------------------------------
 
@@ -42,6 +44,7 @@ def fit_std_scaler(df: DataFrame, cols: Sequence[str], weight: str | None = None
     column: weighted mean and variance, seen count = weight sum.  Zero
     variance gives scale 1."""
     cols = list(cols)
+    df = nan_to_null(df, cols)
     if weight is None:
         row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.var_pop(c).alias(f"v_{c}") for c in cols],
                      *[F.count(c).alias(f"n_{c}") for c in cols]).first()
@@ -59,7 +62,8 @@ def fit_std_scaler(df: DataFrame, cols: Sequence[str], weight: str | None = None
 
 
 def std_scale(df: DataFrame, stats: ScalerStats, with_mean: bool = True, with_std: bool = True) -> DataFrame:
-    """``(x - mean) / scale``; nulls stay null."""
+    """``(x - mean) / scale``; nulls and NaN become null."""
+    df = nan_to_null(df, stats.cols)
     out = {}
     for c in stats.cols:
         e = F.col(c)
@@ -115,6 +119,7 @@ class ImputerStats:
     fill: dict
     dropped: list[str]
     missing_cols: list[str]
+    missing_values: object = None
 
 
 def most_frequent(df: DataFrame, c: str):
@@ -124,12 +129,23 @@ def most_frequent(df: DataFrame, c: str):
     return r[0][0] if r else None
 
 
-def fit_simple_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean", fill_value=None) -> ImputerStats:
+def _marked(df: DataFrame, cols: Sequence[str], missing_values=None) -> DataFrame:
+    """``df`` with NaN, and cells equal to ``missing_values``, as null."""
+    df = nan_to_null(df, cols)
+    if missing_values is None:
+        return df
+    return df.withColumns({c: F.when(F.col(c) != F.lit(missing_values), F.col(c)) for c in cols})
+
+
+def fit_simple_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean", fill_value=None,
+                       missing_values=None) -> ImputerStats:
     """mean / median / most_frequent / constant.  Columns that are entirely
     missing are dropped, except with the constant strategy (default
-    constant 0)."""
+    constant 0).  Missing are null, NaN and ``missing_values``.  Counts and means come from one aggregate."""
     cols = list(cols)
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in cols]).first()
+    df = _marked(df, cols, missing_values)
+    means = [F.avg(c).alias(f"_m_{c}") for c in cols] if strategy == "mean" else []
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in cols], *means).first()
     missing_cols = [c for c in cols if counts[c] < counts["_rows"]]
     fill, dropped = {}, []
     for c in cols:
@@ -140,18 +156,18 @@ def fit_simple_imputer(df: DataFrame, cols: Sequence[str], strategy: str = "mean
             dropped.append(c)
             continue
         if strategy == "mean":
-            fill[c] = df.agg(F.avg(c)).first()[0]
+            fill[c] = counts[f"_m_{c}"]
         elif strategy == "median":
             fill[c] = quantiles(df, c, [0.5]).first()["value"]
         elif strategy == "most_frequent":
             fill[c] = most_frequent(df, c)
         else:
             raise ValueError(strategy)
-    return ImputerStats(strategy, fill, dropped, missing_cols)
+    return ImputerStats(strategy, fill, dropped, missing_cols, missing_values)
 
 
 def impute(df: DataFrame, stats: ImputerStats, add_indicator: bool = False, suffix: str = "_missing") -> DataFrame:
-    out = df
+    out = _marked(df, [*stats.fill, *stats.dropped], stats.missing_values)
     if add_indicator:
         out = out.withColumns({f"{c}{suffix}": F.col(c).isNull().cast("int") for c in stats.missing_cols})
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in stats.fill.items()})
@@ -170,7 +186,7 @@ def unimpute(df: DataFrame, stats: ImputerStats, suffix: str = "_missing") -> Da
 def fit_missing_indicator(df: DataFrame, cols: Sequence[str], features: str = "missing-only") -> list[str]:
     if features == "all":
         return list(cols)
-    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).first()
+    counts = nan_to_null(df, cols).agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).first()
     return [c for c in cols if counts[c] < counts["_n"]]
 
 
@@ -178,18 +194,19 @@ def missing_indicator(df: DataFrame, fitted: Sequence[str], cols: Sequence[str],
                       keep: Sequence[str] = ()) -> DataFrame:
     """Flags for the fitted columns; a column missing at transform time but
     not at fit time raises when ``error_on_new``."""
+    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
     if error_on_new:
         new = [c for c in fitted_new(df, fitted, cols)]
         if new:
-            raise ValueError(f"features {new} have missing values in transform but have no missing values in fit")
-    return df.select(*keep, *[F.col(c).isNull().alias(f"{c}_missing") for c in fitted])
+            raise ValueError(f"columns without missing values at fit time now have some: {new}")
+    return df.select(*keep, *[(missing(c) if c in floating else F.col(c).isNull()).alias(f"{c}_missing") for c in fitted])
 
 
 def fitted_new(df: DataFrame, fitted: Sequence[str], cols: Sequence[str]) -> list[str]:
     others = [c for c in cols if c not in fitted]
     if not others:
         return []
-    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in others]).first()
+    counts = nan_to_null(df, others).agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in others]).first()
     return [c for c in others if counts[c] < counts["_n"]]
 
 
@@ -226,10 +243,10 @@ def weighted_percentiles(df: DataFrame, c: str, w: str, ps: Sequence[float]) ->
     cumulative weight reaches p/100 of the total weight."""
     sums = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.sum(w).alias("_w"))
     cum = ordered_scan(sums, [F.col(c).asc()], [], [CumSum("_w", "_cw")])
-    total = sums.agg(F.sum("_w")).first()[0]
-    pdf = df.sparkSession.createDataFrame([(float(p), float(p) / 100.0 * total) for p in ps], "p double, target double")
-    hit = cum.join(F.broadcast(pdf), F.col("_cw") >= F.col("target"))
-    return hit.groupBy("p").agg(F.min(c).alias("value"))
+    total = cum.agg(F.max("_cw")).first()[0]
+    hits = cum.agg(*[F.min(F.when(F.col("_cw") >= F.lit(float(p) / 100.0 * total), F.col(c))).alias(f"_{i}") for i, p in enumerate(ps)])
+    each = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("p"), F.col(f"_{i}").alias("value")) for i, p in enumerate(ps)]))
+    return hits.select(each.alias("e")).select("e.*").where("value is not null")
 
 
 def weighted_quantile_edges(df: DataFrame, c: str, w: str, n_bins: int) -> list[float]:
@@ -299,18 +316,10 @@ def kbins_inverse(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
-def _by_doc(docs: DataFrame, doc: str) -> DataFrame:
-    """Hash-partition documents by id before the per-row text work: the
-    tokenizer runs on every core, and the (doc, term) aggregation and the
-    per-document norms reuse this partitioning instead of shuffling again."""
-    return docs.repartition(doc)  # shuffle-partition count; AQE may coalesce
-
-
 def term_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", lowercase: bool = True) -> DataFrame:
     """(doc, term, tf) with tokens of two or more word characters."""
     t = F.lower(text) if lowercase else F.col(text)
-    toks = _by_doc(docs.select(doc, text), doc).select(
-        doc, F.explode(F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)).alias("term"))
+    toks = docs.select(doc, F.explode(F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)).alias("term"))
     return toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -320,7 +329,7 @@ def tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_df=1, ma
     """TF-IDF in long form (doc, term, tfidf).  df cut-offs (ints = document
     counts, floats = fractions), optional vocabulary cap by total count,
     smoothed idf ln((1+n)/(1+df))+1, and l1/l2 row norms."""
-    tc = term_counts(docs, doc, text)
+    tc = materialize(term_counts(docs, doc, text), "terms")  # read by the frequencies, the weights and the norms
     n_docs = docs.select(doc).distinct().count()
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     lo = min_df if isinstance(min_df, int) else math.ceil(min_df * n_docs)
@@ -355,7 +364,7 @@ def char_ngrams(docs: DataFrame, ngram_range=(2, 3), analyzer: str = "char_wb",
     and stops the longer sizes."""
     lo, hi = ngram_range
     t = F.lower(text)
-    docs = _by_doc(docs.select(doc, text), doc)
+    docs = docs.select(doc, text)
     if analyzer == "char":
         s = docs.select(doc, F.regexp_replace(t, r"\s\s+", " ").alias("_s"))
         grams = []

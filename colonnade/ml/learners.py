@@ -258,32 +258,32 @@ class FAModel:
 
 def factor_analysis(df: DataFrame, cols: Sequence[str], n_components: int, tol: float = 1e-2,
                     max_iter: int = 1000) -> FAModel:
-    """Factor analysis by the SVD-based EM iteration on the covariance
-    (population) matrix; every iteration is a d x d eigenproblem."""
+    """Factor analysis, x = mean + L f + e, by expectation-maximisation on second moments: one distributed Gram, then
+    k x k and d x d algebra.  The posterior moments of the factors given the data covariance S are
+    E[f x'] = B S and E[f f'] = I - B L + B S B' with B = L' (L L' + Psi)^-1; the loadings and noise that maximise the
+    expected likelihood follow in closed form.  Starts from the leading eigenvectors; stops when the Gaussian
+    log-likelihood gains less than ``tol``.  Loadings are turned so that L' Psi^-1 L is diagonal, largest factor first."""
     g = gram(df, cols)
-    n, d = g.n, len(cols)
-    cov = g.cov(ddof=0)
-    var = np.diag(cov).copy()
-    psi = np.ones(d)
-    small = 1e-12
-    const = d * math.log(2 * math.pi)
-    old_ll, lls, it = -np.inf, [], 0
-    w = np.zeros((n_components, d))
-    for it in range(1, max_iter + 1):
-        sq = np.sqrt(psi) + small
-        vals, vecs = np.linalg.eigh(cov / np.outer(sq, sq))
-        order = np.argsort(vals)[::-1]
-        vals, vecs = vals[order], vecs[:, order]
-        s2 = vals[:n_components]
-        unexp = vals[n_components:].sum()
-        w = (np.sqrt(np.maximum(s2 - 1.0, 0.0))[:, None] * vecs[:, :n_components].T) * sq
-        ll = -n / 2 * (np.sum(np.log(np.maximum(s2, small))) + unexp + np.sum(np.log(psi)) + const)
-        lls.append(float(ll))
-        if ll - old_ll < tol:
+    n, d, k = g.n, len(cols), n_components
+    moments = g.cov(ddof=0)
+    floor = 1e-12
+    vals, vecs = np.linalg.eigh(moments)
+    load = vecs[:, ::-1][:, :k] * np.sqrt(np.maximum(vals[::-1][:k], floor))
+    noise = np.maximum(np.diag(moments) - (load ** 2).sum(axis=1), 0.05 * np.maximum(np.diag(moments), floor))
+    history: list[float] = []
+    for _ in range(max_iter):
+        model = load @ load.T + np.diag(noise)
+        solved = np.linalg.solve(model, np.column_stack([load, moments]))
+        gain, spread = solved[:, :k].T, np.trace(solved[:, k:])
+        history.append(float(-0.5 * n * (d * math.log(2 * math.pi) + np.linalg.slogdet(model)[1] + spread)))
+        if len(history) > 1 and history[-1] - history[-2] < tol:
             break
-        old_ll = ll
-        psi = np.maximum(var - np.sum(w ** 2, axis=0), small)
-    return FAModel(list(cols), g.mean, w, psi, lls, it)
+        cross = moments @ gain.T                                  # E[x f']
+        second = np.eye(k) - gain @ load + gain @ cross           # E[f f']
+        load = np.linalg.solve(second.T, cross.T).T
+        noise = np.maximum(np.diag(moments) - np.einsum("ij,ij->i", load, cross), floor)
+    turn = np.linalg.eigh((load / noise[:, None]).T @ load)[1][:, ::-1]
+    return FAModel(list(cols), g.mean, _sign_fix((load @ turn).T), noise, history, len(history))
 
 
 # -- FastICA ------------------------------------------------------------------
@@ -445,9 +445,9 @@ def iterative_impute(df: DataFrame, cols: Sequence[str], max_iter: int = 10, tol
     base = df.select(*keep, *cols, *[F.col(c).isNull().alias(f"_m_{c}") for c in cols])
     stats = base.agg(*[F.avg(c).alias(f"a_{c}") for c in cols], *[F.min(c).alias(f"lo_{c}") for c in cols],
                      *[F.max(c).alias(f"hi_{c}") for c in cols], *[F.count(c).alias(f"n_{c}") for c in cols],
-                     *[F.max(F.abs(c)).alias(f"x_{c}") for c in cols]).first()
+                     *[F.max(F.abs(c)).alias(f"x_{c}") for c in cols], F.count(F.lit(1)).alias("_rows")).first()
     cur = materialize(base.withColumns({c: F.coalesce(F.col(c), F.lit(stats[f"a_{c}"])) for c in cols}))
-    order = sorted([c for c in cols if stats[f"n_{c}"] < df.count()], key=lambda c: -stats[f"n_{c}"])
+    order = sorted([c for c in cols if stats[f"n_{c}"] < stats["_rows"]], key=lambda c: -stats[f"n_{c}"])
     scale = max(abs(stats[f"x_{c}"] or 0.0) for c in cols) or 1.0
     it = 0
     for it in range(1, max_iter + 1):
@@ -682,14 +682,15 @@ def self_training(df: DataFrame, label: str, key: str, threshold: float = 0.75,
     """Self-training with a logistic base model.  Label -1 = unlabeled.  Each
     round fits on the labeled rows, predicts the rest and adopts rows whose
     top probability exceeds ``threshold`` (or the ``k_best`` most
-    confident); records the round a label was added and the stop reason."""
+    confident); records the round a label was added and the stop reason (all_labeled, no_change, one_class or
+    max_iter)."""
     cur = materialize(df.withColumn("_y", F.col(label).cast("double"))
                       .withColumn("labeled_iter", F.when(F.col(label) != -1, F.lit(0))))
     reason, it = "max_iter", 0
     for it in range(1, max_iter + 1):
         train = cur.where("_y != -1")
-        if train.select("_y").distinct().count() < 2:
-            reason = "all_labeled"
+        if train.select("_y").distinct().limit(2).count() < 2:
+            reason = "one_class"  # nothing to learn from
             break
         model = LogisticRegression(featuresCol="features", labelCol="_y", maxIter=100).fit(train)
         pred = model.transform(cur.where("_y = -1"))

@@ -10,8 +10,7 @@ it, which makes them exact.  The work follows the data: it is small when
 the projection separates the points and approaches all pairs only when the
 vectors have no low-dimensional structure (then exact neighbors need it).
 
-Connected components use min-label propagation over the edge list (one
-join + aggregate per round, checkpointed).
+Connected components alternate large-star and small-star steps (``plans.components``).
 """
 
 from __future__ import annotations
@@ -21,15 +20,16 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import PowerIterationClustering
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colonnade.ml.linalg import gram
-from colonnade.plans.ordered import Pos, ordered_scan
+from colonnade.plans import components
 from colonnade.session import materialize
 
 PROJ_DIMS = 2
+CELL_ROWS = 2000  # points of a grid cell that one task compares
 
 
 @F.pandas_udf(T.DoubleType())
@@ -71,18 +71,26 @@ class Space:
         self.extent = [ext[self.m + k] - ext[k] for k in range(self.m)]
         self.trace = float(np.trace(g.cov(ddof=0)))
         self.d = d
-        self.diameter = 2.0 * math.sqrt(max(self.trace * 4, 1e-12))
+        centre = F.array(*[F.lit(float(x)) for x in mean])
+        far = self.points.agg(F.max(euclidean(F.col("_v"), centre))).first()[0] or 0.0
+        self.diameter = max(2.0 * far * (1 + 1e-9), 1e-9)  # a bound on the distance of any two points
 
     def within(self, queries: DataFrame, r: float, strict: bool = False) -> DataFrame:
         """All (i, j, dist) with dist <= r (< r when strict), i from
-        ``queries`` (columns _id, _v, _p), j from all points, i == j included."""
+        ``queries`` (columns _id, _v, _p), j from all points, i == j included.
+
+        A cell of more than ``CELL_ROWS`` points is cut into slices, so a dense cell is many tasks' work: each of its
+        points has one slice, and each query of the cell meets all slices."""
         cell = lambda p, off=None: F.array(*[F.floor(p[k] / F.lit(r)).cast("long") + (off[k] if off else 0)
                                              for k in range(self.m)])
         offsets = list(itertools.product((-1, 0, 1), repeat=self.m))
+        data = self.points.select(F.col("_id").alias("j"), F.col("_v").alias("vj"), cell(F.col("_p")).alias("cell"))
+        slices = data.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("slices"))
         q = queries.select(F.col("_id").alias("i"), F.col("_v").alias("vi"),
                            F.explode(F.array(*[cell(F.col("_p"), off) for off in offsets])).alias("cell"))
-        data = self.points.select(F.col("_id").alias("j"), F.col("_v").alias("vj"), cell(F.col("_p")).alias("cell"))
-        cand = q.join(data, "cell").select("i", "j", euclidean(F.col("vi"), F.col("vj")).alias("dist"))
+        q = q.join(slices, "cell").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+        data = data.join(slices, "cell").withColumn("slice", F.pmod(F.xxhash64("j"), F.col("slices")).cast("int")).drop("slices")
+        cand = q.join(data, ["cell", "slice"]).select("i", "j", euclidean(F.col("vi"), F.col("vj")).alias("dist"))
         return cand.where(F.col("dist") < r if strict else F.col("dist") <= r)
 
     def knn(self, k: int) -> DataFrame:
@@ -98,19 +106,18 @@ class Space:
         todo = self.points
         found = []
         while True:
-            last = r >= self.diameter
-            near = self.within(todo, r)
-            # rank per query point with the range-carry scan (a point with a
-            # huge neighborhood is split over partitions, not sorted in one task)
-            ranked = ordered_scan(near, [F.col("dist").asc(), F.col("j").asc()], ["i"], [Pos("_r")]) \
-                .withColumn("rank", F.col("_r") + 1).drop("_r")
-            counts = near.groupBy("i").agg(F.count(F.lit(1)).alias("c"))
-            done_ids = counts.where(F.col("c") >= k).select("i") if not last else counts.select("i")
-            found.append(materialize(ranked.join(done_ids, "i", "left_semi").where(F.col("rank") <= k)))
-            todo = materialize(todo.join(done_ids.withColumnRenamed("i", "_id"), "_id", "left_anti"))
-            if last or todo.limit(1).count() == 0:
+            last = r >= self.diameter  # no pair is farther apart: every point sees all others
+            near = materialize(self.within(todo, r), "near")
+            done_ids = near.groupBy("i").agg(F.count(F.lit(1)).alias("c"))
+            done_ids = done_ids.select("i") if last else done_ids.where(F.col("c") >= k).select("i")
+            # the k best of each point: Spark keeps k rows per point and partition before the shuffle
+            best = Window.partitionBy("i").orderBy("dist", "j")
+            ranked = near.join(done_ids, "i", "left_semi").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            found.append(materialize(ranked, "knn"))
+            todo = materialize(todo.join(done_ids.withColumnRenamed("i", "_id"), "_id", "left_anti"), "todo")
+            if last or todo.isEmpty():
                 break
-            r *= 2.0
+            r = min(r * 2.0, self.diameter)
         out = found[0]
         for f in found[1:]:
             out = out.unionByName(f)
@@ -135,29 +142,19 @@ def core_distance(space: Space, min_samples: int, max_eps: float = math.inf) ->
             nb.select(F.col("i").alias("id"), F.col("dist").alias("core_distance")), "id", "left") \
             .fillna(math.inf, subset=["core_distance"])
     near = space.within(space.points, max_eps)
-    kth = ordered_scan(near, [F.col("dist").asc(), F.col("j").asc()], ["i"], [Pos("_r")]) \
-        .where(F.col("_r") == min_samples - 1)
+    best = Window.partitionBy("i").orderBy("dist", "j")
+    kth = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= min_samples).where(F.col("rank") == min_samples)
     return space.points.select(F.col("_id").alias("id")).join(
         kth.select(F.col("i").alias("id"), F.col("dist").alias("core_distance")), "id", "left") \
         .fillna(math.inf, subset=["core_distance"])
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_iter: int = 100) -> DataFrame:
-    """Min-label propagation: (id, component = smallest id in the component).
-    ``edges`` (src, dst) are used in both directions."""
-    und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))) \
-        .where(F.col("src") != F.col("dst")).distinct()
-    und = materialize(und)
-    labels = materialize(vertices.select(F.col("id"), F.col("id").alias("component")))
-    for _ in range(max_iter):
-        msg = und.join(labels.withColumnRenamed("id", "src"), "src").select(F.col("dst").alias("id"), "component")
-        new = labels.unionByName(msg).groupBy("id").agg(F.min("component").alias("component"))
-        new = materialize(new)
-        changed = new.join(labels.withColumnRenamed("component", "old"), "id").where("component < old").limit(1).count()
-        labels = new
-        if not changed:
-            break
-    return labels
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component = smallest id in the component); ``edges`` (src, dst) are undirected, ids without an edge are
+    their own component.  Rounds grow with the logarithm of the longest path and end when nothing changes."""
+    cc = components.connected_components(edges, "src", "dst")
+    return vertices.select("id").join(cc.withColumnRenamed("vertex", "id"), "id", "left") \
+        .select("id", F.coalesce("component", "id").alias("component"))
 
 
 def single_link(space: Space, distance_threshold: float) -> DataFrame:
@@ -193,9 +190,3 @@ def spectral(space: Space, n_clusters: int, n_neighbors: int = 10, max_iter: int
     g = knn_graph(space, n_neighbors).where(F.col("src") != F.col("dst"))
     pic = PowerIterationClustering(k=n_clusters, maxIter=max_iter, weightCol="weight", srcCol="src", dstCol="dst")
     return pic.assignClusters(g).select("id", "cluster")
-
-
-def knn_edges(space: Space, k: int) -> DataFrame:
-    """Directed kNN edges (i, j, dist, rank)."""
-    return space.knn(k)
-

@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colonnade.functions.columns import bounded_distinct
+from colonnade.functions.columns import bounded_distinct, nan_to_null
 from colonnade.plans.ordered import CumSum, Pos, ordered_scan
+from colonnade.session import materialize
 
 _AGG = {
     "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
@@ -55,6 +56,7 @@ def groupby(df: DataFrame, by: Sequence[str], aggs: Sequence[Column] | Mapping,
             sort: bool = False) -> DataFrame:
     """Group and aggregate; ``dropna`` leaves out null keys, otherwise they
     form their own group."""
+    df = nan_to_null(df)
     if dropna:
         df = df.where(functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in by]))
     exprs = aggregate_exprs(aggs) if isinstance(aggs, Mapping) else list(aggs)
@@ -83,12 +85,14 @@ def aggregate(df: DataFrame, spec: Mapping | str | Sequence[str], by: Sequence[s
     elif not isinstance(spec, Mapping):
         spec = {c: list(spec) for c in df.columns if c not in by}
     exprs = aggregate_exprs(spec)
+    df = nan_to_null(df)
     return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
 
 
 def reduce(df: DataFrame, ops: Sequence[str], cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Reductions per column (nulls skipped): ``{op}_{col}`` columns."""
     exprs = [agg_expr(op, c).alias(f"{op}_{c}") for c in cols for op in ops]
+    df = nan_to_null(df)
     return df.groupBy(*by).agg(*exprs) if by else df.agg(*exprs)
 
 
@@ -106,14 +110,10 @@ def row_any(cols: Sequence) -> Column:
     return functools.reduce(lambda a, b: a | b, [F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(False)) for c in cols])
 
 
-def row_all(cols: Sequence) -> Column:
-    return functools.reduce(lambda a, b: a & b, [F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(True)) for c in cols])
-
-
 def count(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Non-null counts per column (per group)."""
     cols = cols or [c for c in df.columns if c not in by]
-    return df.groupBy(*by).agg(*[F.count(c).alias(c) for c in cols])
+    return nan_to_null(df, cols).groupBy(*by).agg(*[F.count(c).alias(c) for c in cols])
 
 
 def row_count(cols: Sequence[str]) -> Column:
@@ -133,18 +133,19 @@ def nunique(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), dropna:
         if not dropna:
             e = e + F.max(F.col(c).isNull().cast("int"))
         exprs.append(e.alias(c))
-    return df.groupBy(*by).agg(*exprs)
+    return nan_to_null(df, cols).groupBy(*by).agg(*exprs)
 
 
 def value_counts(df: DataFrame, subset: Sequence[str], normalize: bool = False, dropna: bool = True,
                  sort: bool = True, ascending: bool = False) -> DataFrame:
     """Frequencies of distinct rows of ``subset``; ``normalize`` divides by
     the total kept (a scalar from the small counts table, no global window)."""
-    d = df.select(*subset)
+    d = nan_to_null(df.select(*subset))
     if dropna:
         d = d.dropna()
     counts = d.groupBy(*subset).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
+        counts = materialize(counts, "counts")  # small; the total and the shares read it
         total = counts.agg(F.sum("count")).first()[0] or 0
         counts = counts.select(*subset, (F.col("count") / F.lit(float(total) if total else float("nan"))).alias("proportion"))
     if sort:
@@ -155,7 +156,7 @@ def value_counts(df: DataFrame, subset: Sequence[str], normalize: bool = False,
 
 def mode(df: DataFrame, col: str, by: Sequence[str] = (), dropna: bool = True) -> DataFrame:
     """All values tied for the highest count (per group)."""
-    d = df.select(*by, col)
+    d = nan_to_null(df.select(*by, col))
     if dropna:
         d = d.where(F.col(col).isNotNull())
     counts = d.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
@@ -171,7 +172,9 @@ def mode(df: DataFrame, col: str, by: Sequence[str] = (), dropna: bool = True) -
 def value_positions(df: DataFrame, col: str, by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Distinct non-null values with their 0-based position range
     ``[_lo, _hi]`` in the sorted column (per group) and the group size."""
+    df = nan_to_null(df, [col])
     counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = materialize(counts, "value-counts")  # read by the scan and the sizes
     cum = ordered_scan(counts, [F.col(col).asc()], list(by), [CumSum("_cnt", "_cum")], partitions)
     sizes = counts.groupBy(*by).agg(F.sum("_cnt").alias("_n")) if by else None
     cum = cum.withColumns({"_lo": F.col("_cum") - F.col("_cnt"), "_hi": F.col("_cum") - 1})
@@ -190,16 +193,17 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] =
     midpoint, nearest (half to even, like numpy); a list of interpolations
     gives one column per interpolation from the same pass."""
     pos = value_positions(df, col, by)
-    qdf = df.sparkSession.createDataFrame([(float(q),) for q in qs], "q double")
+    # each distinct value covers a range of positions: one conditional aggregate per quantile picks its two values
+    picks = []
+    for i, q in enumerate(qs):
+        h = F.lit(float(q)) * (F.col("_n") - 1)
+        for name_, at in (("l", F.floor(h)), ("h", F.ceil(h))):
+            picks.append(F.max(F.when((F.col("_lo") <= at) & (F.col("_hi") >= at), F.col(col))).alias(f"_x{name_}{i}"))
+    g = pos.groupBy(*by, "_n").agg(*picks)
+    each = F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col(f"_xl{i}").alias("_xl"), F.col(f"_xh{i}").alias("_xh"))
+                               for i, q in enumerate(qs)]))
+    g = g.select(*by, "_n", each.alias("e")).select(*by, "_n", "e.*")
     h = (F.col("q") * (F.col("_n") - 1))
-    lo, hi = F.floor(h), F.ceil(h)
-    # each distinct value is matched to the quantile positions it covers
-    tq = pos.join(F.broadcast(qdf), (F.col("_lo") <= hi) & (F.col("_hi") >= lo))
-    pick = tq.select(*by, "q", "_n", F.col(col).alias("_v"),
-                     ((F.col("_lo") <= lo) & (F.col("_hi") >= lo)).alias("_at_lo"),
-                     ((F.col("_lo") <= hi) & (F.col("_hi") >= hi)).alias("_at_hi"))
-    g = pick.groupBy(*by, "q", "_n").agg(F.max(F.when(F.col("_at_lo"), F.col("_v"))).alias("_xl"),
-                                         F.max(F.when(F.col("_at_hi"), F.col("_v"))).alias("_xh"))
     frac = h - F.floor(h)
     xl, xh = F.col("_xl"), F.col("_xh")
     interps = [interpolation] if isinstance(interpolation, str) else list(interpolation)
@@ -215,12 +219,6 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] =
     return g.select(*by, "q", *[forms[i].alias(i) for i in interps])
 
 
-def average_ranks(df: DataFrame, col: str, name: str, by: Sequence[str] = ()) -> DataFrame:
-    """1-based average ranks of non-null values (ties get the mean rank)."""
-    pos = value_positions(df, col, by).select(*by, col, ((F.col("_lo") + F.col("_hi")) / 2 + 1).alias(name))
-    return df.join(pos, [*by, col], "left")
-
-
 def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float], interpolation: str = "nearest") -> DataFrame:
     """Whole-row quantile: rows sorted by all columns, the row at position
     q*(n-1) (nearest / lower / higher)."""
@@ -251,7 +249,7 @@ def idxminmax(df: DataFrame, key: str, cols: Sequence[str], by: Sequence[str] =
     for c in cols:
         valid = F.col(c).isNotNull()
         exprs.append(F.min_by(F.when(valid, F.col(key)), F.when(valid, F.struct(F.col(c), F.col(key)))).alias(f"idxmin_{c}"))
-        exprs.append(F.max_by(F.when(valid, F.col(key)), F.when(valid, F.struct(F.col(c), -F.col(key)))).alias(f"idxmax_{c}"))
+        exprs.append(F.min_by(F.when(valid, F.col(key)), F.when(valid, F.struct((-F.col(c)).alias("v"), F.col(key)))).alias(f"idxmax_{c}"))
     return df.groupBy(*by).agg(*exprs)
 
 
@@ -264,6 +262,7 @@ def corr(df: DataFrame, cols: Sequence[str], min_periods: int = 1, digits: int |
     pairwise-complete rows of every pair; diagonal 1; below ``min_periods``
     rows null."""
     exprs = []
+    df = nan_to_null(df, cols)
     for a, b in _pairs(cols):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         n = F.count(F.when(both, F.lit(1)))
@@ -281,6 +280,7 @@ def cov(df: DataFrame, cols: Sequence[str], ddof: int = 1, min_periods: int = 1,
         digits: int | None = None) -> DataFrame:
     """Covariance matrix, long form (col_a, col_b, cov), pairwise complete."""
     exprs = []
+    df = nan_to_null(df, cols)
     for a, b in _pairs(cols):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         n = F.count(F.when(both, F.lit(1)))
@@ -306,14 +306,29 @@ def corr_spearman(df: DataFrame, cols: Sequence[str], digits: int | None = None)
     """Spearman: Pearson on average ranks of the complete rows.  Ranks of all
     columns come from one scan; each column takes its rank by a join on its
     value (AQE broadcasts the rank table when it is small)."""
-    d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    ranks = multi_average_ranks(d, cols)
-    ranked = d
-    for c in cols:
-        rc = ranks.where(F.col("_c") == c).select(F.col("_v").alias(c), F.col("_rank").alias(f"_r_{c}"))
-        ranked = ranked.join(rc, c, "left")
-    r = ranked.select(*[F.col(f"_r_{c}").alias(c) for c in cols])
-    return corr(r, cols, digits=digits)
+    d = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in cols])).dropna()
+    ranks = materialize(multi_average_ranks(d, cols), "ranks")
+    # ranks meet distinct (pair of values, count) rows, never the rows themselves: a frequent value is one row of a pair
+    exprs = []
+    for a, b in itertools.combinations(cols, 2):
+        pairs = d.groupBy(F.col(a).alias("_a"), F.col(b).alias("_b")).agg(F.count(F.lit(1)).alias("_w"))
+        for side, c in (("_a", a), ("_b", b)):
+            own = ranks.where(F.col("_c") == c).select(F.col("_v").alias(side), F.col("_rank").alias(f"_r{side}"))
+            pairs = pairs.join(own, side)
+        pairs = materialize(pairs, "rank-pairs")
+        x, y, w = F.col("_r_a"), F.col("_r_b"), F.col("_w")
+        n = F.sum(w)
+        mean = pairs.agg((F.sum(w * x) / n).alias("x"), (F.sum(w * y) / n).alias("y")).first()
+        dx, dy = x - F.lit(mean["x"]), y - F.lit(mean["y"])
+        v = F.sum(w * dx * dy) / F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))
+        exprs.append(pairs.agg(F.lit(a).alias("_x"), F.lit(b).alias("_y"), v.alias("corr")))
+    one = d.agg(*[(F.min(c) < F.max(c)).alias(c) for c in cols]).first() if cols else {}
+    rows = [(c, c, 1.0 if one[c] else None) for c in cols]
+    for e in exprs:
+        r = e.first()
+        rows += [(r["_x"], r["_y"], r["corr"]), (r["_y"], r["_x"], r["corr"])]
+    out = df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+    return out.withColumn("corr", F.round("corr", digits)) if digits is not None else out
 
 
 def corrwith(left: DataFrame, right: DataFrame, key: Sequence[str], drop: bool = False,

@@ -6,13 +6,14 @@ Row labels are explicit key columns; an operator that needs them takes a
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colonnade.functions.columns import (clip as clip_col, col, floor_div, floor_mod,
+from colonnade.functions.columns import (clip as clip_col, col, floor_div, floor_mod, int_floor_div, int_floor_mod,
                                          is_numeric)
 
 _TYPE_GROUPS = {
@@ -60,9 +61,9 @@ def query(df: DataFrame, expr: str, **variables) -> DataFrame:
 
 def eval_expr(df: DataFrame, expr: str) -> DataFrame:
     """``c = a + b`` assigns a column; a bare expression returns one column."""
-    if "=" in expr and not any(op in expr for op in ("==", "<=", ">=", "!=")):
-        name, rhs = expr.split("=", 1)
-        return df.withColumn(name.strip(), F.expr(rhs.strip()))
+    assigned = re.match(r"\s*(\w+)\s*=(?!=)(.*)$", expr, re.S)
+    if assigned:
+        return df.withColumn(assigned[1], F.expr(assigned[2].strip()))
     return df.selectExpr(expr)
 
 
@@ -71,7 +72,7 @@ def select_dtypes(df: DataFrame, include=None, exclude=None) -> DataFrame:
     inc = [include] if isinstance(include, str) else list(include or [])
     exc = [exclude] if isinstance(exclude, str) else list(exclude or [])
     if not inc and not exc:
-        raise ValueError("at least one of include or exclude must be non-empty")
+        raise ValueError("name a type group to include or exclude")
     if set(inc) & set(exc):
         raise ValueError("include and exclude overlap")
 
@@ -85,7 +86,7 @@ def select_dtypes(df: DataFrame, include=None, exclude=None) -> DataFrame:
 
 def insert(df: DataFrame, loc: int, column: str, value, allow_duplicates: bool = False) -> DataFrame:
     if column in df.columns and not allow_duplicates:
-        raise ValueError(f"cannot insert {column}, already exists")
+        raise ValueError(f"the frame has a column {column} already")
     v = value if isinstance(value, Column) else F.lit(value)
     cols = [F.col(c) for c in df.columns]
     return df.select(*cols[:loc], v.alias(column), *cols[loc:])
@@ -202,8 +203,9 @@ def combine_fill(a: Column, b: Column, fill_value) -> tuple[Column, Column]:
     return a2, b2
 
 
-def divmod_cols(a, b) -> tuple[Column, Column]:
-    return floor_div(a, b), floor_mod(a, b)
+def divmod_cols(a, b, integral: bool = False) -> tuple[Column, Column]:
+    """Quotient and modulus; ``integral`` (both are integers) computes them exactly for all 64-bit values."""
+    return (int_floor_div(a, b), int_floor_mod(a, b)) if integral else (floor_div(a, b), floor_mod(a, b))
 
 
 def reorder_levels(df: DataFrame, order: Sequence[str]) -> DataFrame:

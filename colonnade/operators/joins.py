@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from colonnade.functions.columns import is_numeric
 
-DOT_LITERAL_LIMIT = 4096  # right-hand matrices up to this many cells become literals
-
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -30,7 +28,11 @@ def merge(left: DataFrame, right: DataFrame, how: str = "inner", on=None, left_o
     ``indicator`` adds ``_merge`` (left_only / right_only / both) from two
     marker literals; ``validate`` raises when a checked side has duplicate
     keys (see ``validate_join``)."""
-    if on is not None:
+    if how == "cross":
+        if on is not None or left_on is not None or right_on is not None or validate:
+            raise ValueError("a cross join takes neither keys nor a cardinality check")
+        left_on, right_on = [], []
+    elif on is not None:
         left_on = right_on = _keys(on)
     left_on, right_on = _keys(left_on), _keys(right_on)
     if validate:
@@ -47,7 +49,9 @@ def merge(left: DataFrame, right: DataFrame, how: str = "inner", on=None, left_o
         l2 = l2.withColumn("_in_l", F.lit(True))
         r2 = r2.withColumn("_in_r", F.lit(True))
     how = {"outer": "full", "left": "left", "right": "right", "inner": "inner", "cross": "cross"}[how]
-    if same:
+    if how == "cross":
+        j = l2.crossJoin(r2)
+    elif same:
         j = l2.join(r2, left_on, how)
     else:
         lk = [c + suffixes[0] if c in overlap else c for c in left_on]
@@ -62,11 +66,17 @@ def merge(left: DataFrame, right: DataFrame, how: str = "inner", on=None, left_o
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "left", lsuffix: str = "", rsuffix: str = "",
          validate: str | None = None) -> DataFrame:
-    """Key join (default left); overlapping columns need suffixes."""
+    """Key join (default left); overlapping columns need suffixes.  ``how="cross"`` pairs all rows and takes no key."""
+    if how == "cross":
+        if on:
+            raise ValueError("a cross join takes no key")
+        if set(left.columns) & set(right.columns) and not (lsuffix or rsuffix):
+            raise ValueError("shared column names need a suffix")
+        return merge(left, right, how="cross", suffixes=(lsuffix, rsuffix))
     keys = _keys(on)
     overlap = (set(left.columns) & set(right.columns)) - set(keys)
     if overlap and not (lsuffix or rsuffix):
-        raise ValueError(f"columns overlap but no suffix specified: {sorted(overlap)}")
+        raise ValueError(f"shared column names need a suffix: {sorted(overlap)}")
     return merge(left, right, how=how, on=keys, suffixes=(lsuffix, rsuffix), validate=validate)
 
 
@@ -85,9 +95,10 @@ def validate_join(left: DataFrame, right: DataFrame, left_on, right_on, validate
     parts = []
 
     def dups(df, keys, side):
-        k = F.concat_ws("|", *[F.col(c).cast("string") for c in keys])
-        return df.groupBy(k.alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
-            .select(F.lit(side).alias("side"), "key", "n")
+        # grouped by the columns themselves; joined to one text only for the report
+        k = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in keys])
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+            .select(F.lit(side).alias("side"), k.alias("key"), "n")
 
     if v in ("1:1", "1:m"):
         parts.append(dups(left, left_on, "left"))
@@ -150,8 +161,14 @@ def reindex_rows(df: DataFrame, key: str, labels: DataFrame, fill_value=None) ->
 def combine(left: DataFrame, right: DataFrame, key: Sequence[str], func: Callable[[Column, Column], Column],
             fill_value=None, overwrite: bool = True) -> DataFrame:
     """Outer-aligned column-wise ``func(left, right)`` over the union of
-    columns; ``fill_value`` replaces a one-sided missing cell first."""
+    columns; ``fill_value`` replaces a one-sided missing cell first.  Without ``overwrite`` a column that the right
+    frame lacks, or has only nulls in, keeps the left values."""
     key = list(key)
+    empty: set[str] = set()
+    if not overwrite:
+        shared = [c for c in right.columns if c not in key]
+        seen = right.agg(*[F.count(c).alias(c) for c in shared]).first() if shared else {}
+        empty = {c for c in shared if seen[c] == 0}
     j = left.alias("l").join(right.alias("r"), key, "full")
     out = []
     lcols = [c for c in left.columns if c not in key]
@@ -162,8 +179,8 @@ def combine(left: DataFrame, right: DataFrame, key: Sequence[str], func: Callabl
         if fill_value is not None:
             fv = F.lit(fill_value)
             a, b = F.when(a.isNull() & b.isNotNull(), fv).otherwise(a), F.when(b.isNull() & a.isNotNull(), fv).otherwise(b)
-        if not overwrite and c not in rcols:
-            out.append(a.alias(c))
+        if not overwrite and (c not in rcols or c in empty):
+            out.append((F.col(f"l.{c}") if c in lcols else F.lit(None)).alias(c))
         else:
             out.append(func(a, b).alias(c))
     return j.select(*key, *out)
@@ -175,9 +192,10 @@ def combine_first(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Data
 
 
 def update(left: DataFrame, right: DataFrame, key: Sequence[str], overwrite: bool = True,
-           errors: str = "ignore") -> DataFrame:
+           errors: str = "ignore", filter_func: Callable[[Column], Column] | None = None) -> DataFrame:
     """Left join: non-null values of ``right`` overwrite (or, without
-    overwrite, only fill nulls of) the shared columns of ``left``."""
+    overwrite, only fill nulls of) the shared columns of ``left``; with ``filter_func`` only cells for which it holds
+    are replaced."""
     key = list(key)
     shared = [c for c in left.columns if c in right.columns and c not in key]
     j = left.alias("l").join(right.alias("r"), key, "left")
@@ -192,6 +210,8 @@ def update(left: DataFrame, right: DataFrame, key: Sequence[str], overwrite: boo
             sel.append(F.col(c))
         elif c in shared:
             e = F.coalesce(F.col(f"r.{c}"), F.col(f"l.{c}")) if overwrite else F.coalesce(F.col(f"l.{c}"), F.col(f"r.{c}"))
+            if filter_func is not None:
+                e = F.when(F.coalesce(filter_func(F.col(f"l.{c}")), F.lit(False)), e).otherwise(F.col(f"l.{c}"))
             sel.append(e.alias(c))
         else:
             sel.append(F.col(f"l.{c}"))
@@ -220,29 +240,17 @@ def dot(left: DataFrame, key: Sequence[str], right: DataFrame, right_key: str) -
     """Matrix product ``left @ right``.
 
     ``left`` holds numeric columns whose names must equal the row labels of
-    ``right`` (``right_key``).  When ``right`` is small (checked: at most
-    ``DOT_LITERAL_LIMIT`` cells) it is read once and each output column
-    becomes a literal linear combination of the left columns: a projection,
-    no join.  Otherwise the long forms are joined on the inner label and
-    summed by (row, column)."""
+    ``right`` (``right_key``), which is checked on both sides.  The long forms are joined on the inner label (Spark
+    broadcasts the right side when it is small) and summed by (row, column)."""
     key = list(key)
     inner = [c for c in left.columns if c not in key]
     out_cols = [c for c in right.columns if c != right_key]
-    n = right.count()
-    labels = {r[0] for r in right.select(right_key).collect()} if n * len(out_cols) <= DOT_LITERAL_LIMIT else None
-    if labels is not None:
-        if labels != set(inner):
-            raise ValueError("matrices are not aligned")
-        rows = {r[right_key]: r for r in right.collect()}
-        exprs = []
-        for oc in out_cols:
-            e = None
-            for ic in inner:
-                term = F.col(ic) * F.lit(float(rows[ic][oc]))
-                e = term if e is None else e + term
-            exprs.append(e.alias(oc))
-        return left.select(*key, *exprs)
+    spark = left.sparkSession
+    names = spark.createDataFrame([(c,) for c in inner], "_k string")
+    labels = right.select(F.col(right_key).cast("string").alias("_k"))
+    if not labels.join(names, "_k", "left_anti").isEmpty() or not names.join(labels, "_k", "left_anti").isEmpty():
+        raise ValueError("matrices are not aligned")
     ll = to_long(left, key, inner, "_k", "_lv")
-    rl = to_long(right, [right_key], out_cols, "_c", "_rv").withColumnRenamed(right_key, "_k")
-    prod = ll.join(rl, "_k").groupBy(*key, "_c").agg(F.sum(F.col("_lv") * F.col("_rv")).alias("_v"))
-    return prod.groupBy(*key).pivot("_c", out_cols).agg(F.first("_v"))
+    rl = right.select(F.col(right_key).cast("string").alias("_k"), *[F.col(c).cast("double").alias(f"_r_{c}") for c in out_cols])
+    sums = [F.sum(F.col("_lv") * F.col(f"_r_{c}")).alias(c) for c in out_cols]
+    return ll.join(rl, "_k").groupBy(*key).agg(*sums)

@@ -1,8 +1,7 @@
 """Row union and membership tests.
 
-Membership is a join against the distinct right-hand values: broadcast when
-their count is under ``BROADCAST_ROWS`` (checked with a bounded count),
-otherwise a shuffle join that AQE may still convert.  NaN never matches
+Membership is a join against the distinct right-hand values; Spark broadcasts
+them when their size is under its threshold, also at run time.  NaN never matches
 (numpy equality), unlike Spark's join equality where NaN = NaN.
 """
 
@@ -15,13 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 1_000_000
-
-
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def append(df: DataFrame, other: DataFrame, verify_integrity: bool = False, key: Sequence[str] = ()) -> DataFrame:
     """Union by column name; columns missing on one side become null."""
     out = df.unionByName(other, allowMissingColumns=True)
@@ -45,8 +37,6 @@ def in1d(df: DataFrame, col: str, values: DataFrame, values_col: str, name: str
     """Boolean per row: is ``df[col]`` among ``values[values_col]``.  Two
     valued: null and NaN count as absent (with ``invert``: present)."""
     v = _distinct_values(values, values_col).withColumn("_hit", F.lit(True))
-    if _small(v):
-        v = F.broadcast(v)
     key = F.col(col)
     if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
         key = F.when(~F.isnan(col), key)

@@ -27,7 +27,7 @@ def dropna(df: DataFrame, how: str | None = None, thresh: int | None = None,
            subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows by ``how`` (any / all) xor ``thresh`` (min non-null cells)."""
     if how is not None and thresh is not None:
-        raise TypeError("you cannot set both the how and thresh arguments")
+        raise TypeError("how and thresh exclude each other")
     subset = list(subset or df.columns)
     valid = functools.reduce(lambda a, b: a + b, [(~isna_col(df, c)).cast("int") for c in subset])
     if thresh is not None:

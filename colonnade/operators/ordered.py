@@ -10,12 +10,12 @@ nor a global order ends up in a single task.
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colonnade.functions.columns import sort_keys
+from colonnade.functions.columns import nan_to_null, sort_keys
 from colonnade.plans.ordered import BFill, FFill, Lag, Lead, Pos, RPos, ordered_scan
 
 
@@ -28,20 +28,28 @@ def _reverse(order: Sequence) -> list[Column]:
     return [F.col(c).desc() for c in order]
 
 
+def shifts(df: DataFrame, spec: Sequence[tuple], order: Sequence, by: Sequence[str] = ()) -> DataFrame:
+    """Several shifts along one order in one scan: ``spec`` has (column, periods, new name, fill value).  Positive periods
+    look back, negative ones ahead; positions with no source row take the fill value (existing nulls stay)."""
+    ops, res = [Pos("_pos"), RPos("_rpos")], {}
+    for i, (c, periods, name, fill_value) in enumerate(spec):
+        if periods == 0:
+            res[name] = F.col(c)
+            continue
+        ops.append(Lag(c, periods, f"_s{i}") if periods > 0 else Lead(c, -periods, f"_s{i}"))
+        missing = F.col("_pos" if periods > 0 else "_rpos") < abs(periods)
+        res[name] = F.col(f"_s{i}") if fill_value is None else F.when(missing, F.lit(fill_value)).otherwise(F.col(f"_s{i}"))
+    out = ordered_scan(df, _order(order), by, ops)
+    return out.withColumns(res).drop("_pos", "_rpos", *[f"_s{i}" for i in range(len(spec))])
+
+
 def shift(df: DataFrame, cols: Sequence[str], periods: int, order: Sequence, by: Sequence[str] = (),
           fill_value=None, suffix: str = "") -> DataFrame:
     """Values ``periods`` rows earlier (negative: later) along ``order``;
     positions with no source row take ``fill_value`` (existing nulls stay)."""
     if periods == 0:
         return df
-    ops = [Lag(c, periods, f"_s_{c}") if periods > 0 else Lead(c, -periods, f"_s_{c}") for c in cols]
-    # rows without a source row: the first n (lag) or the last n (lead)
-    ops.append(Pos("_pos") if periods > 0 else RPos("_pos"))
-    out = ordered_scan(df, _order(order), by, ops)
-    missing = F.col("_pos") < abs(periods)
-    res = {f"{c}{suffix}": (F.when(missing, F.lit(fill_value)).otherwise(F.col(f"_s_{c}"))
-                            if fill_value is not None else F.col(f"_s_{c}")) for c in cols}
-    return out.withColumns(res).drop(*[f"_s_{c}" for c in cols], "_pos")
+    return shifts(df, [(c, periods, f"{c}{suffix}", fill_value) for c in cols], order, by)
 
 
 def diff(df: DataFrame, cols: Sequence[str], periods: int, order: Sequence, by: Sequence[str] = (),
@@ -49,7 +57,7 @@ def diff(df: DataFrame, cols: Sequence[str], periods: int, order: Sequence, by:
     """``x - shift(x, periods)``; integral float periods are accepted."""
     if isinstance(periods, float):
         if not periods.is_integer():
-            raise ValueError("periods must be an integer")
+            raise ValueError("periods must be a whole number")
         periods = int(periods)
     s = shift(df, cols, periods, order, by, suffix="_prev")
     return s.withColumns({f"{c}{suffix}": F.col(c) - F.col(f"{c}_prev") for c in cols}) \
@@ -59,6 +67,7 @@ def diff(df: DataFrame, cols: Sequence[str], periods: int, order: Sequence, by:
 def ffill(df: DataFrame, cols: Sequence[str], order: Sequence, by: Sequence[str] = (),
           limit: int | None = None) -> DataFrame:
     """Forward fill; ``limit`` = max consecutive filled rows."""
+    df = nan_to_null(df, cols)
     ops = [FFill(c, f"_f_{c}", f"_fp_{c}") for c in cols] + [Pos("_pos")]
     out = ordered_scan(df, _order(order), by, ops)
     res = {}
@@ -71,6 +80,7 @@ def ffill(df: DataFrame, cols: Sequence[str], order: Sequence, by: Sequence[str]
 def bfill(df: DataFrame, cols: Sequence[str], order: Sequence, by: Sequence[str] = (),
           limit: int | None = None) -> DataFrame:
     """Backward fill; ``limit`` = max consecutive filled rows."""
+    df = nan_to_null(df, cols)
     ops = [BFill(c, f"_b_{c}", f"_bp_{c}") for c in cols] + [Pos("_pos")]
     out = ordered_scan(df, _order(order), by, ops)
     res = {}
@@ -81,10 +91,16 @@ def bfill(df: DataFrame, cols: Sequence[str], order: Sequence, by: Sequence[str]
 
 
 def interpolate(df: DataFrame, cols: Sequence[str], order: Sequence, by: Sequence[str] = (),
-                limit_direction: str = "forward") -> DataFrame:
+                limit_direction: str = "forward", limit: int | None = None, limit_area: str | None = None) -> DataFrame:
     """Linear interpolation on row positions.  Forward direction: leading
-    nulls stay null, trailing nulls take the last valid value; ``both``
-    also fills leading nulls with the first valid value."""
+    nulls stay null, trailing nulls take the last valid value; ``backward``: the other way round; ``both``
+    fills either end.  ``limit``: at most so many nulls in a row, counted from the side(s) of the direction;
+    ``limit_area``: ``inside`` fills only between valid values, ``outside`` only beyond them."""
+    if limit_direction not in ("forward", "backward", "both"):
+        raise ValueError("limit_direction is forward, backward or both")
+    if limit_area not in (None, "inside", "outside"):
+        raise ValueError("limit_area is inside or outside")
+    df = nan_to_null(df, cols)
     ops = [Pos("_pos")]
     for c in cols:
         ops += [FFill(c, f"_pv_{c}", f"_pp_{c}"), BFill(c, f"_nv_{c}", f"_np_{c}")]
@@ -93,11 +109,18 @@ def interpolate(df: DataFrame, cols: Sequence[str], order: Sequence, by: Sequenc
     for c in cols:
         pv, pp, nv, np_ = (F.col(f"_pv_{c}"), F.col(f"_pp_{c}"), F.col(f"_nv_{c}"), F.col(f"_np_{c}"))
         lin = pv + (nv - pv) * (F.col("_pos") - pp) / (np_ - pp)
-        e = F.when(F.col(c).isNotNull(), F.col(c)) \
-            .when(pv.isNotNull() & nv.isNotNull(), lin) \
-            .when(pv.isNotNull(), pv)
-        if limit_direction == "both":
-            e = e.when(nv.isNotNull(), nv)
+        inside = pv.isNotNull() & nv.isNotNull()
+        from_left = F.lit(True) if limit is None else F.coalesce(F.col("_pos") - pp <= limit, F.lit(False))
+        from_right = F.lit(True) if limit is None else F.coalesce(np_ - F.col("_pos") <= limit, F.lit(False))
+        near = {"forward": from_left, "backward": from_right, "both": from_left | from_right}[limit_direction]
+        e = F.when(F.col(c).isNotNull(), F.col(c))
+        if limit_area != "outside":
+            e = e.when(inside & near, lin)
+        if limit_area != "inside":
+            if limit_direction != "backward":
+                e = e.when(~inside & pv.isNotNull() & from_left, pv)
+            if limit_direction != "forward":
+                e = e.when(~inside & nv.isNotNull() & from_right, nv)
         res[c] = e
     drop = ["_pos"] + [f"_{p}_{c}" for c in cols for p in ("pv", "pp", "nv", "np")]
     return out.withColumns(res).drop(*drop)
@@ -126,21 +149,35 @@ def duplicated(df: DataFrame, subset: Sequence[str], keep="first", order: Sequen
 
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep="first",
                     order: Sequence = ()) -> DataFrame:
-    """Remove duplicates.  Without an order, keep='any' uses dropDuplicates."""
+    """Remove duplicates.  keep='first' / 'last' keep the first row of a key along ``order`` or its reverse
+    (one aggregate, combined before the shuffle); keep=False drops every member of a repeated key; keep='any' uses
+    dropDuplicates."""
     subset = list(subset or df.columns)
     if keep == "any":
         return df.dropDuplicates(subset)
-    return duplicated(df, subset, keep, order, "_dup").where(~F.col("_dup")).drop("_dup")
+    names = [c for c in order if isinstance(c, str)]
+    if keep is False or len(names) != len(order) or not names:
+        return duplicated(df, subset, keep, order, "_dup").where(~F.col("_dup")).drop("_dup")
+    pick = F.min_by if keep == "first" else F.max_by
+    at = F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in names])
+    kept = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(subset)]).agg(pick(F.struct("*"), at).alias("_row"))
+    return kept.select("_row.*")
 
 
-def sort_values(df: DataFrame, by: Sequence[str], ascending=True, na_position: str = "last") -> DataFrame:
+def sort_values(df: DataFrame, by: Sequence[str], ascending=True, na_position: str = "last",
+                key: Callable[[Column], Column] | None = None, position: str | None = None) -> DataFrame:
     """Global sort (range-partitioned by Spark); nulls last by default in
-    both directions."""
-    return df.orderBy(*sort_keys(by, ascending, na_position))
+    both directions.  ``key`` maps each sort column (a function of Columns); ``position`` adds the 0-based place as a
+    column of that name, which needs ``by`` to be a total order."""
+    cols = [key(F.col(c)) if key else c for c in by]
+    if position:
+        df = ordered_scan(df, sort_keys(cols, ascending, na_position), [], [Pos(position)])
+    return df.orderBy(*sort_keys(cols, ascending, na_position))
 
 
-def sort_index(df: DataFrame, keys: Sequence[str], ascending=True, na_position: str = "last") -> DataFrame:
-    return sort_values(df, keys, ascending, na_position)
+def sort_index(df: DataFrame, keys: Sequence[str], ascending=True, na_position: str = "last",
+               position: str | None = None) -> DataFrame:
+    return sort_values(df, keys, ascending, na_position, position=position)
 
 
 def nlargest(df: DataFrame, n: int, columns: Sequence[str], keep: str = "first", tiebreak: Sequence[str] = (),
@@ -155,19 +192,13 @@ def nlargest(df: DataFrame, n: int, columns: Sequence[str], keep: str = "first",
     top = df.orderBy(*keys, *ties).limit(n)
     if keep != "all":
         return top
-    last = top.orderBy(*[F.col(c).desc_nulls_first() if asc else F.col(c).asc_nulls_first() for c in columns]) \
-        .select(*columns).limit(1).collect()
-    if not last:
-        return top
-    cond = None
-    # rows that sort before or level with the n-th row on ``columns``
-    for i in range(len(columns)):
-        eq = functools.reduce(lambda a, b: a & b, [F.col(columns[j]) == F.lit(last[0][j]) for j in range(i)], F.lit(True))
-        cmp = F.col(columns[i]) < F.lit(last[0][i]) if asc else F.col(columns[i]) > F.lit(last[0][i])
-        term = eq & cmp
-        cond = term if cond is None else cond | term
-    level = functools.reduce(lambda a, b: a & b, [F.col(c) == F.lit(last[0][k]) for k, c in enumerate(columns)])
-    return df.where(cond | level)
+    # the n-th row is in one of the first n distinct keys; whole keys are kept up to it (null keys too)
+    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).orderBy(*keys).limit(n)
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)  # over at most n rows
+    kept = groups.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < n)
+    kept = kept.select(*[F.col(c).alias(f"_k_{c}") for c in columns])
+    same = functools.reduce(lambda a, b: a & b, [df[c].eqNullSafe(kept[f"_k_{c}"]) for c in columns])
+    return df.join(kept, same, "left_semi")
 
 
 def nsmallest(df: DataFrame, n: int, columns: Sequence[str], keep: str = "first",

@@ -29,7 +29,7 @@ def pivot(df: DataFrame, index: Sequence[str], columns: str, values: str, col_va
     """Long to wide without aggregation; duplicate (index, column) pairs raise."""
     index = list(index)
     if df.groupBy(*index, columns).count().where("count > 1").limit(1).count():
-        raise ValueError("index contains duplicate entries, cannot reshape")
+        raise ValueError("an (index, column) pair occurs more than once")
     col_values = list(col_values) if col_values is not None else pivot_values(df, columns)
     return df.groupBy(*index).pivot(columns, col_values).agg(F.first(values))
 
@@ -94,7 +94,7 @@ def explode(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) ->
         for c in columns[1:]:
             same = same & (F.coalesce(F.size(columns[0]), F.lit(-1)) == F.coalesce(F.size(c), F.lit(-1)))
         df = df.withColumn("_chk", F.when(same, F.lit(True)).otherwise(
-            F.raise_error(F.lit("columns must have matching element counts"))))
+            F.raise_error(F.lit("list columns of one row differ in length"))))
         zipped = F.arrays_zip(*[F.col(c) for c in columns])
         out = df.select(*keep, "_chk", F.posexplode_outer(zipped).alias("pos", "_z"))
         return out.select(*keep, "pos", *[F.col("_z")[c].alias(c) for c in columns])

@@ -59,25 +59,29 @@ def time_grid(df: DataFrame, ts, every: str, name: str, start: Column | None = N
         .cast("timestamp_ntz").alias(name))
 
 
-def bucket(ts, every: str) -> Column:
-    """Start of the fixed-width bucket (epoch aligned) holding ``ts``."""
-    return F.window(ts, every).start
+def bucket(ts, every: str, offset: str | None = None) -> Column:
+    """Start of the fixed-width bucket (epoch aligned, moved by ``offset``) holding ``ts``."""
+    return F.window(ts, every, every, offset).start if offset else F.window(ts, every).start
 
 
 def resample(df: DataFrame, ts: str, every: str, aggs: Sequence[Column], fill_empty: bool = True,
-             label: str = "left", closed: str = "left") -> DataFrame:
+             label: str = "left", closed: str = "left", count_cols: Sequence[str] = (), offset: str | None = None) -> DataFrame:
     """Time-bucket aggregate.  ``every`` is a Spark interval string such as
-    ``"6 hours"``; buckets are left-closed and labelled by their start
+    ``"6 hours"``; buckets are closed on their left or right side, start at multiples of ``every`` plus ``offset``
+    (an interval string too) and are labelled by their start
     (``label='right'`` labels by the end).  Empty buckets appear with null
-    aggregates (counts 0) when ``fill_empty``."""
-    if closed != "left":
-        raise ValueError("only left-closed buckets are supported")
-    g = df.groupBy(bucket(ts, every).alias("bucket")).agg(*aggs)
+    aggregates when ``fill_empty``; the columns named in ``count_cols`` are 0 there."""
+    if closed not in ("left", "right"):
+        raise ValueError("closed is left or right")
+    start = bucket(ts, every, offset)
+    if closed == "right":  # a time on a border belongs to the bucket that ends there
+        start = F.when(F.col(ts) == start, start - F.expr(f"INTERVAL {every}")).otherwise(start)
+    g = df.groupBy(start.alias("bucket")).agg(*aggs)
     if fill_empty:
-        cal = time_grid(df, bucket(ts, every), every, "bucket")
+        cal = time_grid(df, start, every, "bucket")
         g = cal.join(g, "bucket", "left")
-        counts = [a for a in g.columns if a.startswith("n") or a.startswith("count")]
-        g = g.fillna(0, subset=counts)
+        if count_cols:
+            g = g.fillna(0, subset=list(count_cols))
     if label == "right":
         g = g.withColumn("bucket", F.col("bucket") + F.expr(f"INTERVAL {every}"))
     return g

@@ -46,7 +46,7 @@ def applymap(df: DataFrame, func: Callable, cols: Sequence[str], return_type: T.
     """Element-wise Python function as a vectorized pandas UDF.
     ``na_action='ignore'`` leaves nulls untouched; any other string fails."""
     if na_action not in (None, "ignore"):
-        raise ValueError(f"na_action must be 'ignore' or None. Got {na_action!r}")
+        raise ValueError(f"unknown na_action {na_action!r}")
 
     @F.pandas_udf(return_type)
     def elementwise(s: pd.Series) -> pd.Series:

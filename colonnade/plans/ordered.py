@@ -6,36 +6,40 @@ Both break when one key holds a large share of the rows.  ``ordered_scan``
 instead:
 
 1. range-partitions the rows by ``(keys, order)`` into P balanced partitions
-   (a hot key is split over several partitions) and materializes them with a
-   reliable checkpoint, so partition ids stay fixed under retries;
-2. computes every scan locally with a window over ``(_pid, keys)``;
+   (a hot key is split over several partitions; P follows the bytes of the
+   scanned tables), sorts inside them and computes every scan locally, one
+   pass over Arrow data: the only exchange of the rows;
+2. writes the result, which fixes partition ids and local values under
+   retries;
 3. summarizes only the key groups that touch a partition boundary (at most
    two per partition, so at most 2P rows) and folds those summaries across
    partitions with a window over that small table;
-4. broadcasts the carry (at most 2P rows, a proven bound) and combines it
-   with the local results.
+4. broadcasts the carry (at most 2P rows of fixed width, a proven bound) and
+   combines it with the local results.  Lags and leads that reach over a
+   boundary are looked up by position: only rows within the distance of a
+   boundary take part, whatever the distance.
 
 Supported scans: position in the key group (from the start or the end), running sum, forward fill,
 backward fill (with the position of the value used), lag and lead by n.
-The order must be a total order (add a unique tie breaker).
+The order must be a total order (add a unique tie breaker).  There is one plan for every input size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colonnade.session import materialize
 
-MAX_LAG = 10_000  # tails/heads of this many rows per partition are carried
-# Inputs proven (by a bounded count) to hold at most this many rows are
-# scanned with plain windows: the whole input then fits one task by that
-# bound, like a broadcast below its size threshold.  Anything larger takes
-# the range-partition + carry plan.
-SMALL_SCAN_ROWS = 1_000_000
+PARTITION_BYTES = 64 << 20  # input bytes of one range partition, about
+BATCH_ROWS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -83,10 +87,16 @@ class Lead:
     name: str
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that a plan scans (its leaves; estimates of joins are not used)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def partitions_for(df: DataFrame) -> int:
+    """Range partitions by input size, and at least the session's shuffle partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(least, min(-(-scanned_bytes(df) // PARTITION_BYTES), 1_000_000))
 
 
 def _key_eq(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -96,124 +106,154 @@ def _key_eq(left: str, right: str, keys: Sequence[str]) -> Column:
     return cond
 
 
-def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (),
-                 ops: Sequence = (), partitions: int | None = None,
-                 checkpoint: bool = True) -> DataFrame:
-    """Add the columns of ``ops`` computed along ``order`` within ``keys``."""
-    for op in ops:
-        if isinstance(op, (Lag, Lead)) and not 0 < op.n <= MAX_LAG:
-            raise ValueError(f"lag/lead distance must be in 1..{MAX_LAG}")
-    keys = list(keys)
-    if partitions is None and SMALL_SCAN_ROWS and df.limit(SMALL_SCAN_ROWS + 1).count() <= SMALL_SCAN_ROWS:
-        return _window_scan(df, order, keys, ops)
-    dummy = not keys
-    if dummy:
-        df = df.withColumn("_k0", F.lit(0))
-        keys = ["_k0"]
-    user_cols = [c for c in df.columns if c != "_k0"]
-    P = _partitions(df, partitions)
+# -- the local pass (inside tasks) ---------------------------------------------
+
+def _changes(column: pa.ChunkedArray) -> np.ndarray:
+    """True where a sorted column's value differs from the row before (nulls and NaN equal themselves)."""
+    codes = column.combine_chunks().dictionary_encode() if not pa.types.is_dictionary(column.type) else column.combine_chunks()
+    codes = codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes
+    idx = codes.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    return np.append(True, idx[1:] != idx[:-1])[:len(idx)]
 
-    r = df.repartitionByRange(P, *[F.col(k).asc_nulls_first() for k in keys], *order) \
-        .withColumn("_pid", F.spark_partition_id())
 
-    # One pass of windows.  The partition-level window (by _pid) comes first:
-    # its hash exchange on _pid also satisfies every (_pid, keys) window.
-    kstruct = F.struct(*[F.col(k) for k in keys])
-    w_pid = Window.partitionBy("_pid").orderBy(*[F.col(k).asc_nulls_first() for k in keys], *order)
-    w_pid_all = w_pid.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    r = r.withColumns({"_fk": F.first(kstruct).over(w_pid_all), "_lk": F.last(kstruct).over(w_pid_all)})
-    r = r.withColumn("_bnd", kstruct.eqNullSafe(F.col("_fk")) | kstruct.eqNullSafe(F.col("_lk"))).drop("_fk", "_lk")
+def _take(column: pa.ChunkedArray, idx: np.ndarray) -> pa.ChunkedArray:
+    """Rows of a column; null where the index is negative."""
+    return column.take(pa.array(np.where(idx < 0, 0, idx), mask=idx < 0))
 
-    w = Window.partitionBy("_pid", *keys).orderBy(*order)
-    w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy("_pid", *keys)
 
-    local = {"_lpos": F.row_number().over(w) - 1, "_lcnt": F.count(F.lit(1)).over(w_all)}
+def _running_sum(column: pa.ChunkedArray, group: np.ndarray, integral: bool) -> pa.Array:
+    """Running sum within groups of consecutive rows; null until the first value."""
+    values = column.combine_chunks()
+    valid = values.is_valid().to_numpy(zero_copy_only=False)
+    x = values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64 if integral else np.float64)
+    sums = pd.Series(x).groupby(group, sort=False).cumsum().to_numpy()
+    seen = pd.Series(valid.astype(np.int64)).groupby(group, sort=False).cumsum().to_numpy() > 0
+    return pa.array(sums, mask=~seen)
+
+
+def _local_columns(table: pa.Table, keys: Sequence[str], ops: Sequence, part: int) -> pa.Table:
+    """The partition's rows with their local results (see ``ordered_scan``)."""
+    n = table.num_rows
+    change = np.zeros(n, bool)
+    change[:1] = True
+    for k in keys:
+        change |= _changes(table.column(k))
+    group = np.cumsum(change) - 1
+    starts = np.flatnonzero(change)
+    ends = np.append(starts[1:], n)
+    begin, end = starts[group], ends[group]
+    at = np.arange(n)
+    out = {"_pid": pa.array(np.full(n, part, np.int32)), "_lpos": pa.array(at - begin), "_lcnt": pa.array(end - begin),
+           "_bnd": pa.array((group == 0) | (group == len(starts) - 1))}
     for i, op in enumerate(ops):
+        if isinstance(op, (Pos, RPos)):
+            continue
+        c = table.column(op.col)
         if isinstance(op, CumSum):
-            local[f"_l{i}"] = F.sum(op.col).over(w_run)
-        elif isinstance(op, FFill):
-            local[f"_l{i}"] = F.last(op.col, ignorenulls=True).over(w_run)
+            out[f"_l{i}"] = _running_sum(c, group, pa.types.is_integer(c.type))
+            continue
+        if isinstance(op, (FFill, BFill)):
+            valid = c.combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+            if isinstance(op, FFill):
+                src = np.maximum.accumulate(np.where(valid, at, -1))
+                src = np.where(src >= begin, src, -1)
+            else:
+                src = np.minimum.accumulate(np.where(valid, at, n)[::-1])[::-1]
+                src = np.where(src < end, src, -1)
+            out[f"_p{i}"] = pa.array(np.where(src < 0, 0, src - begin), mask=src < 0)
         elif isinstance(op, Lag):
-            local[f"_l{i}"] = F.lag(op.col, op.n).over(w)
-        elif isinstance(op, Lead):
-            local[f"_l{i}"] = F.lead(op.col, op.n).over(w)
-    r = r.withColumns({"_lpos": local.pop("_lpos"), "_lcnt": local.pop("_lcnt")})
-    # positions of the values used by fills need _lpos first.  Backward
-    # fills run as forward fills over the reversed position: a running frame
-    # (linear), never a current-to-unbounded-following frame (quadratic).
-    w_rev = Window.partitionBy("_pid", *keys).orderBy(F.col("_lpos").desc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            src = np.where(at - op.n >= begin, at - op.n, -1)
+        else:
+            src = np.where(at + op.n < end, at + op.n, -1)
+        out[f"_l{i}"] = _take(c, src)
+    for name, col in out.items():
+        table = table.append_column(name, col)
+    return table
+
+
+def _local_scan(df: DataFrame, keys: Sequence[str], ops: Sequence) -> DataFrame:
+    fields = [*df.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField("_lpos", T.LongType()),
+              T.StructField("_lcnt", T.LongType()), T.StructField("_bnd", T.BooleanType())]
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     for i, op in enumerate(ops):
-        if isinstance(op, FFill):
-            local[f"_p{i}"] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_lpos")),
-                                     ignorenulls=True).over(w_run)
-        elif isinstance(op, BFill):
-            local[f"_l{i}"] = F.last(op.col, ignorenulls=True).over(w_rev)
-            local[f"_p{i}"] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_lpos")),
-                                     ignorenulls=True).over(w_rev)
-    if local:
-        r = r.withColumns(local)
-    if checkpoint:
-        # fixes partition ids and local results under retries; both the
-        # boundary summary and the final join read the materialized rows
-        r = materialize(r)
+        if isinstance(op, (Pos, RPos)):
+            continue
+        kind = df.schema[op.col].dataType
+        if isinstance(op, CumSum):
+            if isinstance(kind, T.DecimalType) or not isinstance(kind, T.NumericType):
+                raise TypeError(f"running sums need an integer or floating column, {op.col} is {kind.simpleString()}")
+            kind = T.LongType() if isinstance(kind, integral) else T.DoubleType()
+        elif isinstance(op, (FFill, BFill)):
+            fields.append(T.StructField(f"_p{i}", T.LongType()))
+        fields.append(T.StructField(f"_l{i}", kind))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        rows = [b for b in batches if b.num_rows]
+        if rows:  # one partition of bounded size
+            yield from _local_columns(pa.Table.from_batches(rows), keys, ops, TaskContext.get().partitionId()) \
+                .combine_chunks().to_batches(max_chunksize=BATCH_ROWS)
+
+    return df.mapInArrow(run, T.StructType(fields))
+
+
+# -- the scan ---------------------------------------------------------------------
+
+def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (),
+                 ops: Sequence = (), partitions: int | None = None) -> DataFrame:
+    """Add the columns of ``ops`` computed along ``order`` within ``keys``."""
+    for op in ops:
+        if isinstance(op, (Lag, Lead)) and op.n < 1:
+            raise ValueError("lag and lead distances begin at 1")
+    keys = list(keys)
+    if not keys:
+        df = df.withColumn("_k0", F.lit(0))
+        keys = ["_k0"]
+    user_cols = [c for c in df.columns if c != "_k0"]
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *order]
+    ranged = df.repartitionByRange(partitions or partitions_for(df), *by).sortWithinPartitions(*by)
+    # fixes partition ids and local results: the summary and the final join read the written rows
+    r = materialize(_local_scan(ranged, keys, ops), "ordered")
 
     # -- boundary groups: first and last key group of every partition (<= 2P rows)
-    flagged = r.where("_bnd")
     aggs = [F.count(F.lit(1)).alias("_cnt")]
     for i, op in enumerate(ops):
         c = F.col(op.col) if hasattr(op, "col") else None
         if isinstance(op, CumSum):
             aggs.append(F.sum(c).alias(f"_s{i}"))
-        elif isinstance(op, FFill):
-            aggs.append(F.max_by(c, F.when(c.isNotNull(), F.col("_lpos"))).alias(f"_s{i}"))
-            aggs.append(F.max(F.when(c.isNotNull(), F.col("_lpos"))).alias(f"_q{i}"))
-        elif isinstance(op, BFill):
-            aggs.append(F.min_by(c, F.when(c.isNotNull(), F.col("_lpos"))).alias(f"_s{i}"))
-            aggs.append(F.min(F.when(c.isNotNull(), F.col("_lpos"))).alias(f"_q{i}"))
-        elif isinstance(op, Lag):
-            tail = F.when(F.col("_lpos") >= F.col("_lcnt") - op.n, F.struct(F.col("_lpos").alias("p"), c.alias("v")))
-            aggs.append(F.transform(F.array_sort(F.collect_list(tail)), lambda s: s["v"]).alias(f"_s{i}"))
-        elif isinstance(op, Lead):
-            head = F.when(F.col("_lpos") < op.n, F.struct(F.col("_lpos").alias("p"), c.alias("v")))
-            aggs.append(F.transform(F.array_sort(F.collect_list(head)), lambda s: s["v"]).alias(f"_s{i}"))
-    summ = flagged.groupBy("_pid", *keys).agg(*aggs)
+        elif isinstance(op, (FFill, BFill)):
+            at = F.when(c.isNotNull(), F.col("_lpos"))
+            pick, end = (F.max_by, F.max) if isinstance(op, FFill) else (F.min_by, F.min)
+            aggs += [pick(c, at).alias(f"_s{i}"), end(at).alias(f"_q{i}")]
+    summary = r.where("_bnd").groupBy("_pid", *keys).agg(*aggs)
 
     wk = Window.partitionBy(*keys).orderBy("_pid")
-    prev = wk.rowsBetween(Window.unboundedPreceding, -1)
-    nxt = wk.rowsBetween(1, Window.unboundedFollowing)
-    summ = summ.withColumn("_base", F.coalesce(F.sum("_cnt").over(prev), F.lit(0)))
-    carry = {"_c_cnt": F.col("_base"), "_c_after": F.coalesce(F.sum("_cnt").over(nxt), F.lit(0))}
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    after = wk.rowsBetween(1, Window.unboundedFollowing)
+    summary = summary.withColumn("_base", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+    carry = {"_base": F.col("_base"), "_after": F.coalesce(F.sum("_cnt").over(after), F.lit(0))}
     for i, op in enumerate(ops):
         if isinstance(op, CumSum):
-            carry[f"_c{i}"] = F.sum(f"_s{i}").over(prev)
-        elif isinstance(op, FFill):
-            g = F.when(F.col(f"_q{i}").isNotNull(),
-                       F.struct((F.col("_base") + F.col(f"_q{i}")).alias("p"), F.col(f"_s{i}").alias("v")))
-            carry[f"_c{i}"] = F.last(g, ignorenulls=True).over(prev)
-        elif isinstance(op, BFill):
-            g = F.when(F.col(f"_q{i}").isNotNull(),
-                       F.struct((F.col("_base") + F.col(f"_q{i}")).alias("p"), F.col(f"_s{i}").alias("v")))
-            carry[f"_c{i}"] = F.first(g, ignorenulls=True).over(nxt)
-        elif isinstance(op, Lag):
-            arr = F.flatten(F.collect_list(f"_s{i}").over(prev))
-            carry[f"_c{i}"] = F.slice(arr, F.greatest(F.size(arr) - op.n + 1, F.lit(1)), op.n)
-        elif isinstance(op, Lead):
-            arr = F.flatten(F.collect_list(f"_s{i}").over(nxt))
-            carry[f"_c{i}"] = F.slice(arr, 1, op.n)
-    carry_df = summ.select("_pid", *keys, *[v.alias(k) for k, v in carry.items()])
+            carry[f"_c{i}"] = F.sum(f"_s{i}").over(before)
+        elif isinstance(op, (FFill, BFill)):
+            held = F.when(F.col(f"_q{i}").isNotNull(),
+                          F.struct((F.col("_base") + F.col(f"_q{i}")).alias("p"), F.col(f"_s{i}").alias("v")))
+            carry[f"_c{i}"] = F.last(held, ignorenulls=True).over(before) if isinstance(op, FFill) \
+                else F.first(held, ignorenulls=True).over(after)
+    carry_df = summary.select("_pid", *keys, *[v.alias(k) for k, v in carry.items()])
 
     j = r.alias("r").join(F.broadcast(carry_df.alias("c")),
                           (F.col("r._pid") == F.col("c._pid")) & _key_eq("r", "c", keys), "left")
+    base, after_n = F.coalesce(F.col("c._base"), F.lit(0)), F.coalesce(F.col("c._after"), F.lit(0))
+    lpos, lcnt = F.col("r._lpos"), F.col("r._lcnt")
     out = {}
-    base = F.coalesce(F.col("c._c_cnt"), F.lit(0))
-    lpos = F.col("r._lpos")
+    far = [(i, op) for i, op in enumerate(ops) if isinstance(op, (Lag, Lead))]
     for i, op in enumerate(ops):
         if isinstance(op, Pos):
             out[op.name] = base + lpos
         elif isinstance(op, RPos):
-            out[op.name] = F.coalesce(F.col("c._c_after"), F.lit(0)) + F.col("r._lcnt") - 1 - lpos
+            out[op.name] = after_n + lcnt - 1 - lpos
         elif isinstance(op, CumSum):
             lv, cv = F.col(f"r._l{i}"), F.col(f"c._c{i}")
             out[op.name] = F.when(lv.isNull() & cv.isNull(), F.lit(None)).otherwise(
@@ -223,49 +263,35 @@ def ordered_scan(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (
             out[op.name] = F.when(lp.isNotNull(), lv).otherwise(cv["v"])
             if op.pos_name:
                 out[op.pos_name] = F.when(lp.isNotNull(), base + lp).otherwise(cv["p"])
-        elif isinstance(op, Lag):
-            t = F.coalesce(F.col(f"c._c{i}"), F.array())
-            idx = F.size(t) + lpos - op.n + 1
-            out[op.name] = F.when(lpos >= op.n, F.col(f"r._l{i}")).otherwise(
-                F.when(idx >= 1, F.try_element_at(t, idx.cast("int"))))
-        elif isinstance(op, Lead):
-            h = F.coalesce(F.col(f"c._c{i}"), F.array())
-            idx = lpos + op.n - F.col("r._lcnt") + 1
-            out[op.name] = F.when(F.col("r._lcnt") - lpos > op.n, F.col(f"r._l{i}")).otherwise(
-                F.when(idx <= F.size(h), F.try_element_at(h, idx.cast("int"))))
-    return j.select(*[F.col(f"r.{c}") for c in user_cols], *[v.alias(k) for k, v in out.items()])
-
-
-
-def _window_scan(df: DataFrame, order: Sequence[Column], keys: list[str], ops: Sequence) -> DataFrame:
-    """The same scans with plain windows, for inputs under SMALL_SCAN_ROWS."""
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    part = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    out = df.withColumns({"_wpos": F.row_number().over(w) - 1, "_wcnt": F.count(F.lit(1)).over(part)})
-    rev = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(F.col("_wpos").desc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = {}
-    for op in ops:
-        if isinstance(op, Pos):
-            cols[op.name] = F.col("_wpos")
-        elif isinstance(op, RPos):
-            cols[op.name] = F.col("_wcnt") - 1 - F.col("_wpos")
-        elif isinstance(op, CumSum):
-            cols[op.name] = F.sum(op.col).over(run)
-        elif isinstance(op, FFill):
-            cols[op.name] = F.last(op.col, ignorenulls=True).over(run)
-            if op.pos_name:
-                cols[op.pos_name] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_wpos")), ignorenulls=True).over(run)
-        elif isinstance(op, BFill):
-            cols[op.name] = F.last(op.col, ignorenulls=True).over(rev)
-            if op.pos_name:
-                cols[op.pos_name] = F.last(F.when(F.col(op.col).isNotNull(), F.col("_wpos")), ignorenulls=True).over(rev)
-        elif isinstance(op, Lag):
-            cols[op.name] = F.lag(op.col, op.n).over(w)
-        elif isinstance(op, Lead):
-            cols[op.name] = F.lead(op.col, op.n).over(w)
-    return out.withColumns(cols).drop("_wpos", "_wcnt")
+        else:
+            out[op.name] = F.col(f"r._l{i}")
+    if not far:
+        return j.select(*[F.col(f"r.{c}") for c in user_cols], *[v.alias(k) for k, v in out.items()])
+
+    # rows whose lag or lead lies beyond their partition, and the rows it may lie in
+    needs = [(lpos < op.n) & (base > 0) if isinstance(op, Lag) else (lcnt - lpos <= op.n) & (after_n > 0) for _, op in far]
+    some = needs[0]
+    for x in needs[1:]:
+        some = some | x
+    wide = j.select(*[F.col(f"r.{c}") for c in user_cols], *[F.col(f"r.{k}").alias(k) for k in keys if k not in user_cols],
+                    *[v.alias(k) for k, v in out.items()], (base + lpos).alias("_gpos"), (lcnt - 1 - lpos).alias("_left"), lpos.alias("_here"),
+                    F.coalesce(some, F.lit(False)).alias("_far"), F.col("r._bnd").alias("_edge"), F.col("c._after").alias("_more"), F.col("c._base").alias("_less"))
+    near = wide.where(~F.col("_far"))
+    looked = wide.where("_far")
+    for i, op in far:
+        source = wide.where(F.col("_edge") & ((F.col("_left") < op.n) if isinstance(op, Lag) else (F.col("_here") < op.n)))
+        source = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_gpos").alias("_s_pos"), F.col(op.col).alias("_s_val"))
+        target = F.col("_gpos") - op.n if isinstance(op, Lag) else F.col("_gpos") + op.n
+        cond = target == F.col("_s_pos")
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+        beyond = (F.col("_here") < op.n) & (F.coalesce(F.col("_less"), F.lit(0)) > 0) if isinstance(op, Lag) else \
+            (F.col("_left") < op.n) & (F.coalesce(F.col("_more"), F.lit(0)) > 0)
+        looked = looked.join(source, cond, "left").withColumn(op.name, F.when(beyond, F.col("_s_val")).otherwise(F.col(op.name))) \
+            .drop("_s_pos", "_s_val", *[f"_s_{k}" for k in keys])
+    names = [*user_cols, *[op.name if not isinstance(op, (FFill, BFill)) else n for op in ops
+                           for n in ([op.name] if not isinstance(op, (FFill, BFill)) else [op.name, op.pos_name] if op.pos_name else [op.name])]]
+    return near.select(*names).unionByName(looked.select(*names))
 
 
 def row_number(df: DataFrame, order: Sequence[Column], keys: Sequence[str] = (),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) is a private folder created; on a cluster the setting must
-    point at shared storage.
+    ``spark.checkpoint.dir`` is read from the session; where it is unset, the
+    warehouse folder serves, which all executors share as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,10 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        conf = tempfile.mkdtemp(prefix="colonnade-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
+        conf = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/colonnade-scratch"
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -57,7 +52,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.append(path)
+    return path
+
+
+_WRITTEN: list[str] = []  # scratch paths of this process, oldest first
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has written so far and return their number.  Call it when the results
+    built on them have been consumed."""
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -6,7 +6,8 @@
 * ``partial_fit_stream``: incremental standard-scaler state.  Every
   micro-batch computes its (n, mean, M2) per column and merges them into the
   running state with the parallel-variance formula; the state is a small
-  table rewritten per batch under the shared checkpoint folder.
+  table, one folder per batch number under the shared checkpoint folder, so a
+  replayed batch replaces its own state and never counts twice.
 
 Both finish with ``trigger(availableNow=True)``, so a test or a scheduled
 run processes everything present and stops.
@@ -19,7 +20,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from colonnade.session import scratch_path
 
@@ -62,7 +62,7 @@ def partial_fit_stream(stream: DataFrame, cols: Sequence[str], state_path: str |
     def merge(batch: DataFrame, epoch: int) -> None:
         b = batch.agg(*[F.struct(F.count(c).cast("double").alias("n"), F.avg(c).alias("mean"),
                                  (F.var_pop(c) * F.count(c)).alias("m2")).alias(c) for c in cols]).first()
-        prev = {r["column"]: r for r in _read_state(spark, state_path)}
+        prev = {r["column"]: r for r in _read_state(spark, state_path, epoch)}
         rows = []
         for c in cols:
             nb, mb, m2b = b[c]["n"] or 0.0, b[c]["mean"], b[c]["m2"]
@@ -75,19 +75,28 @@ def partial_fit_stream(stream: DataFrame, cols: Sequence[str], state_path: str |
                 rows.append((c, na, ma, m2a))
             else:
                 rows.append((c, nb, mb, m2b if nb else None))
+        # one folder per batch: a batch that runs again starts from the batch before it and writes the same state
         spark.createDataFrame(rows, "column string, n double, mean double, m2 double") \
-            .write.mode("overwrite").parquet(state_path)
+            .write.mode("overwrite").parquet(f"{state_path}/batch={epoch}")
 
     q = (stream.select(*cols).writeStream.foreachBatch(merge)
          .option("checkpointLocation", state_path + "_ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    st = spark.read.parquet(state_path)
+    st = spark.createDataFrame(_read_state(spark, state_path, None), "column string, n double, mean double, m2 double")
     return st.select("column", F.col("n").cast("long").alias("n"), "mean", (F.col("m2") / F.col("n")).alias("var"))
 
 
-def _read_state(spark: SparkSession, path: str) -> list:
-    """The current state rows (a table of one row per column), or none yet."""
-    try:
-        return spark.read.parquet(path).collect()
-    except AnalysisException:
+def _read_state(spark: SparkSession, path: str, before: int | None) -> list:
+    """The state rows (one per column) of the last complete batch lower than ``before`` (any batch for None); empty when
+    there is none.  A folder counts once its writer committed it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
         return []
+    done = []
+    for f in fs.listStatus(folder):
+        name = f.getPath().getName()
+        if name.startswith("batch=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")):
+            done.append(int(name[6:]))
+    done = [n for n in done if before is None or n < before]
+    return spark.read.parquet(f"{path}/batch={max(done)}").collect() if done else []

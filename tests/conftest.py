@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,7 +10,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     s = (SparkSession.builder.master("local[*]").appName("colonnade-tests")
@@ -21,10 +20,9 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("ckpt")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="colonnade-test-ckpt-"))
     yield s
     s.stop()
 

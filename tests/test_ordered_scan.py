@@ -47,12 +47,29 @@ def test_random(spark, data, parts):
     _check(spark, rows, ["k"], parts)
 
 
-@pytest.mark.parametrize("keys", [[], ["k"]])
-def test_small_input_path_equals_windows(spark, keys):
-    rows = [(i, 0 if i % 5 else i % 3, None if (i // 4) % 3 == 0 else i % 11) for i in range(200)]
+@pytest.mark.parametrize("n", [1, 40, 137, 250])
+def test_far_lag_and_lead(spark, n):
+    """Distances longer than a partition are looked up by position."""
+    rows = [(i, 0 if i % 5 else 1, None if i % 7 == 0 else i) for i in range(300)]
     df = spark.createDataFrame(rows, "o long, k long, v long")
-    got = ordered_scan(df, [F.col("o")], keys, OPS).select("o", "pos", "rpos", "cs", "ff", "bf", "lag3", "lead2")
-    _check(spark, rows, keys, 4)  # the range + carry path on the same data
-    want = ordered_scan(df, [F.col("o")], keys, OPS, partitions=4) \
-        .select("o", "pos", "rpos", "cs", "ff", "bf", "lag3", "lead2")
-    assert sorted(got.collect()) == sorted(want.collect())
+    got = ordered_scan(df, [F.col("o")], ["k"], [Lag("v", n, "a"), Lead("v", n, "b"), Lag("v", 2, "c"), Pos("p")], partitions=6)
+    w = Window.partitionBy("k").orderBy("o")
+    want = df.select("o", F.lag("v", n).over(w).alias("a"), F.lead("v", n).over(w).alias("b"), F.lag("v", 2).over(w).alias("c"),
+                     (F.row_number().over(w) - 1).alias("p"))
+    assert sorted(got.select("o", "a", "b", "c", "p").collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_types_and_nan_keys(spark):
+    """Fills keep the column's type; null and NaN keys are groups of their own."""
+    df = spark.createDataFrame([(i, [None, float("nan"), 1.5][i % 3], None if i % 4 else f"s{i}", None if i % 5 else [i]) for i in range(60)],
+                               "o long, k double, s string, a array<int>")
+    got = ordered_scan(df, [F.col("o")], ["k"], [FFill("s", "fs"), BFill("a", "ba"), Lag("s", 1, "ls")], partitions=4)
+    w = Window.partitionBy("k").orderBy("o")
+    want = df.select("o", F.last("s", True).over(w).alias("fs"), F.first("a", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("ba"),
+                     F.lag("s").over(w).alias("ls"))
+    assert sorted(got.select("o", "fs", "ba", "ls").collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_empty_input(spark):
+    df = spark.range(0).select(F.col("id").alias("o"), F.col("id").alias("v"))
+    assert ordered_scan(df, [F.col("o")], [], [Pos("p"), CumSum("v", "s"), Lag("v", 1, "l")]).count() == 0

@@ -1,10 +1,9 @@
 """Streaming forms agree with the batch functions after availableNow."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from colonnade.ml import features as FT
+from colonnade.session import scratch_path
 from colonnade.operators import timeseries as TS
 from colonnade.sources.tables import Tables
 from colonnade.streaming import jobs as S
@@ -13,7 +12,7 @@ from tests.conftest import SF_SMALL
 
 def _split_events(spark):
     ev = Tables(spark, SF_SMALL).events
-    d = tempfile.mkdtemp(prefix="colonnade-stream-src-")
+    d = scratch_path(spark, "stream-source")
     # four files written in time order (the stream source reads by file age)
     bounds = ev.agg(F.min("ts"), F.max("ts")).first()
     lo, hi = bounds[0], bounds[1]
@@ -47,3 +46,32 @@ def test_partial_fit_stream_matches_batch(spark):
         assert st[c]["n"] == ref.n[c]
         assert abs(st[c]["mean"] - ref.mean[c]) < 1e-9
         assert abs(st[c]["var"] - ref.var[c]) < 1e-6
+
+
+def _state(spark, path):
+    return {r["column"]: (r["n"], r["mean"], r["m2"]) for r in S._read_state(spark, path, None)}
+
+
+def test_replayed_batch_counts_once(spark):
+    """A batch that runs again (its output was written, its commit was not) leaves the same state; one that failed before
+    its state was written starts from the batch before it."""
+    ev, d = _split_events(spark)
+    path = scratch_path(spark, "scaler")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(d + "/events.parquet")
+    S.partial_fit_stream(stream, ["value"], path)
+    want = _state(spark, path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def remove(p):
+        p = jvm.org.apache.hadoop.fs.Path(p)
+        assert p.getFileSystem(conf).delete(p, True)
+
+    remove(f"{path}_ckpt/commits/3")  # the last batch is not committed: it runs again over its own state
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(d + "/events.parquet")
+    S.partial_fit_stream(stream, ["value"], path)
+    assert _state(spark, path) == want
+    remove(f"{path}_ckpt/commits/3")
+    remove(f"{path}/batch=3")  # as after a crash between the batch and its state
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(d + "/events.parquet")
+    S.partial_fit_stream(stream, ["value"], path)
+    assert _state(spark, path) == want
