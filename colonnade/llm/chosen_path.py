@@ -5,8 +5,9 @@ documents by minwise tokens: the path of a document in a tree is its minwise tok
 hash, then its second, and so on. A node of at most ``SMALL`` sets is a leaf and is compared exhaustively;
 a larger one branches again by the next token. Two sets of similarity s share a path of depth d with
 probability s^d, so trees are repeated until the recall aimed at is met (``recall``). Nodes that stay large at
-``DEPTH`` hold sets that are alike: they are linked by a star around one member, and after that only members
-that are not yet in one component are compared.
+``DEPTH`` hold sets that are alike: they are linked by a star around the member with the fewest elements of its own,
+and after that only members that are not yet in one component are compared. There, elements that no other member of
+such a node holds bound what two sets can share, which spares most comparisons of sets that only resemble each other.
 
 Equal sets are one vertex, so copies never make pairs. Candidates whose sizes or minwise signatures rule the
 threshold out are dropped; the others are confirmed on full sets, in rounds, leaving out pairs whose
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from colonnade.llm import common
 from colonnade.plans.components import connected_components
-from colonnade.session import materialize
+from colonnade.session import materialize, materialize_with
 
 SHINGLE = 4
 THRESHOLD = 80  # per cent
@@ -140,24 +141,43 @@ def branch(sets: DataFrame, trees: int, depth: int, small: int) -> tuple[DataFra
         path = F.xxhash64("tree", F.lit(level), F.slice("tokens", 1, level))
         rows = rows.withColumn("node", path)
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        rows = materialize(rows.join(sizes, "node"), "tree-level")
+        rows, seen = materialize_with(rows.join(sizes, "node"), "tree-level", large=F.count_if(F.col("size") > small))
         own = rows.filter(F.col("size") <= small).select("node", "name")
         leaves = own if leaves is None else leaves.unionByName(own)
         rows = rows.filter(F.col("size") > small)
-        if rows.isEmpty():
+        if not seen["large"]:
             return leaves, None
         if level < depth:
             rows = rows.drop("node", "size")
     return leaves, rows.select("node", "name")
 
 
-def candidate_pairs(leaves: DataFrame, dense: DataFrame | None) -> DataFrame:
-    """Distinct pairs (a < b): all pairs of a leaf, and a star in every dense node."""
+def common_elements(members: DataFrame) -> DataFrame:
+    """(name, shared): how many elements of each set another of the given sets holds too."""
+
+    def run(batches):
+        for b in batches:
+            each = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("members")]
+            for i in range(0, len(each), 256):
+                part = each[i:i + 256]
+                yield pa.record_batch([b.column("name").take(pa.array(np.repeat(np.arange(i, i + len(part)), [len(x) for x in part]))),
+                                       pa.array(np.concatenate(part))], ["name", "element"])
+
+    elements = members.mapInArrow(run, "name binary, element long")
+    twice = elements.groupBy("element").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("element")
+    return elements.join(twice, "element").groupBy("name").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def candidate_pairs(leaves: DataFrame, dense: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b): all pairs of a leaf, and in every dense node a star around the member with the fewest
+    elements of its own. ``dense`` has node, name, shared."""
     x, y = leaves.select("node", F.col("name").alias("a")), leaves.select("node", F.col("name").alias("b"))
     pairs = x.join(y, "node").filter("a < b").select("a", "b")
     if dense is not None:
-        centre = dense.groupBy("node").agg(F.min("name").alias("a"))
-        pairs = pairs.union(dense.join(centre, "node").filter("name <> a").select("a", F.col("name").alias("b")))
+        own = dense.join(sets.select("name", "n"), "name").withColumn("lone", F.col("n") - F.col("shared"))
+        centre = own.groupBy("node").agg(F.min_by("name", F.struct("lone", "name")).alias("centre"))
+        star = dense.join(centre, "node").filter("name <> centre")
+        pairs = pairs.union(star.select(F.least("name", "centre").alias("a"), F.greatest("name", "centre").alias("b")))
     return pairs.distinct()
 
 
@@ -204,12 +224,14 @@ def labelled(pairs: DataFrame, components: DataFrame) -> DataFrame:
 
 def resolve(pairs: DataFrame, members: DataFrame, threshold: int, components: DataFrame | None) -> DataFrame:
     """Components after every pair that joins two components has been confirmed or refused. Each round takes, of a
-    set's open pairs, those that agree best: one, then four times as many each round."""
-    most, open_pairs = 1, pairs
+    set's open pairs, those that agree best: one, then eight times as many each round."""
+    most, open_pairs, left = 1, pairs, None
     while True:
         if components is not None:
-            open_pairs = materialize(labelled(open_pairs.select("a", "b", "agree"), components).filter("ca <> cb").select("a", "b", "agree"), "open")
-        if open_pairs.isEmpty():
+            inner = labelled(open_pairs.select("a", "b", "agree"), components).filter("ca <> cb").select("a", "b", "agree")
+            open_pairs, seen = materialize_with(inner, "open")
+            left = seen["rows"]
+        if left == 0:
             return components
         rank = F.expr(f"slice(reverse(array_sort(collect_list(struct(agree, b)))), 1, {most})") if most > 1 else F.array(F.max(F.struct("agree", "b")))
         taken = materialize(open_pairs.groupBy("a").agg(rank.alias("best")).select("a", F.explode("best").alias("p")).select("a", "p.b", "p.agree"), "taken")
@@ -219,22 +241,27 @@ def resolve(pairs: DataFrame, members: DataFrame, threshold: int, components: Da
             edges = edges.union(components.select(F.col("vertex").alias("u"), F.col("component").alias("v")))
         components = materialize(connected_components(edges), "components")
         open_pairs = open_pairs.join(taken.select("a", "b"), ["a", "b"], "left_anti")
-        most *= 4
+        most *= 8
 
 
 def rest_of_dense(dense: DataFrame, components: DataFrame, sets: DataFrame, functions: int, threshold: int) -> DataFrame:
     """Plausible pairs inside dense nodes whose ends are in different components: members outside a node's largest
-    component against all its members."""
+    component against all its members. Two sets share no more than the elements each has in common with any member, so
+    pairs that this bound excludes are left out, and partners with most such elements come first (``agree``)."""
     own = dense.join(components.withColumnRenamed("vertex", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
-    own = materialize(own, "dense-members")
+    own = materialize(own, "dense-members")  # with node, name, shared, component
     shares = own.groupBy("node", "component").agg(F.count(F.lit(1)).alias("k"))
     main = shares.groupBy("node").agg(F.max_by("component", "k").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
     within = own.join(main, "node").join(sets.select("name", "n", "sig"), "name")
-    x = within.filter("component <> main").select("node", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
-    y = within.select("node", F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
+    within = within.filter(F.col("shared") * 100 >= F.col("n") * threshold)  # else it is like no other member
+    x = within.filter("component <> main").select("node", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"), F.col("sig").alias("sig_a"))
+    y = within.select("node", F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"), F.col("sig").alias("sig_b"))
     agree, fits = plausible(F.col("n_a"), F.col("n_b"), F.col("sig_a"), F.col("sig_b"), functions, threshold)
-    pairs = x.join(y, "node").filter((F.col("ca") != F.col("cb")) & fits)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), agree.alias("agree")).distinct()
+    most = F.least("s_a", "s_b")
+    reachable = most * (100 + threshold) >= (F.col("n_a") + F.col("n_b")) * threshold
+    pairs = x.join(y, "node").filter((F.col("ca") != F.col("cb")) & reachable & fits)
+    rank = F.col("s_b") * 1000 / F.col("n_b")  # the member nearest to the middle of the node first
+    return pairs.groupBy(F.col("a"), F.col("b")).agg(F.max((rank * 100 + agree).cast("int")).alias("agree"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
@@ -244,16 +271,24 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     rows = materialize(describe(docs, size, functions), "sets")
     sets = materialize(rows.filter("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "set-names")
     leaves, dense = branch(sets, trees, depth, small)
-    pairs = materialize(prune(candidate_pairs(leaves, dense), sets, functions, threshold), "pairs")
+    members = None
+    if dense is not None:
+        members = materialize(full_sets(docs, sets.select("name", "doc_id").join(dense.select("name").distinct(), "name", "left_semi"), size), "dense-sets")
+        shared = materialize(common_elements(members), "shared")
+        dense = dense.join(shared, "name")  # a set that shares nothing has no link here
+    pairs, seen = materialize_with(prune(candidate_pairs(leaves, dense, sets), sets, functions, threshold), "pairs")
     components = None
-    if not pairs.isEmpty():
+    if seen["rows"]:
         used = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
-        if dense is not None:
-            used = used.union(dense.select("name")).distinct()
-        members = materialize(full_sets(docs, sets.select("name", "doc_id").join(used, "name", "left_semi"), size), "members")
+        if members is not None:
+            used = used.join(members.select("name"), "name", "left_anti")
+        more = materialize(full_sets(docs, sets.select("name", "doc_id").join(used, "name", "left_semi"), size), "members")
+        members = more if members is None else members.unionByName(more)
         components = resolve(pairs, members, threshold, None)
         if dense is not None:
-            more = materialize(rest_of_dense(dense, components, sets, functions, threshold).join(pairs, ["a", "b"], "left_anti"), "dense-pairs")
+            rest = rest_of_dense(dense, components, sets, functions, threshold)
+            known = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            more = materialize(rest.join(known, ["a", "b"], "left_anti"), "dense-pairs")
             components = resolve(more, members, threshold, components)
     if components is None:
         own = rows.withColumn("component_id", F.col("doc_id"))
