@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.session import materialize
+from colonnade.session import materialize_with
 
 
-def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))), F.sum(F.pmod(F.xxhash64("v", "u", F.lit(1)), F.lit(1 << 31)))).first()
-    return tuple(r)
+def _write(star: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges and a fingerprint of them, from one job."""
+    part = lambda *c: F.sum(F.pmod(F.xxhash64(*c), F.lit(1 << 31)))
+    out, seen = materialize_with(star, "star", a=part("u", "v"), b=part("v", "u", F.lit(1)))
+    return out, (seen["rows"], seen["a"], seen["b"])
 
 
 def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -25,21 +27,18 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     repeated edges are fine; vertices may be of any ordered type.
     """
     ends = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u is not null and v is not null")
-    ends = materialize(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    ends, state = _write(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     vertices = ends.select(F.col("u").alias("vertex")).union(ends.select("v")).distinct()
     star = ends.filter("u <> v")
-    state = _state(star)
     while True:
         # large star: every larger neighbour of a vertex links to the smallest of its neighbourhood
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialize(large, "star")
         # small star: a vertex and its smaller neighbours link to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        star = materialize(small.union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "star")
-        now = _state(star)
+        star, now = _write(small.union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         if now == state:
             break
         state = now

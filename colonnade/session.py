@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -79,3 +80,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_with(df: DataFrame, name: str = "stage", **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and aggregates of the rows (at least their number ``rows``) seen by the same write job."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in metrics.items()]), name)
+    return out, seen.get
