@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -78,8 +79,35 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     only once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    out._scratch = path
+    return out
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Inside, Spark removes a query's shuffle files when the query ends; what it wrote replaces them."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the scratch table behind a result of ``materialize`` that nothing will read any more."""
+    path = getattr(df, "_scratch", None)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize_with(df: DataFrame, name: str = "stage", **metrics: Column) -> tuple[DataFrame, dict]:
