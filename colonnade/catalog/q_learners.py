@@ -46,9 +46,18 @@ def _emb(spark, d):
                       array_col="embedding")
 
 
-def _emb_cols(spark, d, k):
+DIMS = 64  # of the embeddings; every query reads them all
+_E = [f"e{i}" for i in range(DIMS)]
+
+
+def _emb_cols(spark, d):
     e = Tables(spark, d).embeddings
-    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(k)])
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(_E)])
+
+
+def _emb_target(spark, d):
+    """A target in the span of the features, so that selection has one right answer."""
+    return _emb_cols(spark, d).withColumn("y", F.col("e0") * 3 - F.col("e5") * 2 + F.col("e7"))
 
 
 @query("logistic")
@@ -67,14 +76,25 @@ def q_logistic_path(spark, d):
 @query("linear_svc")
 def q_linear_svc(spark, d):
     df = _emb(spark, d)
-    return L.linear_svc(df, "label", C=1.0, max_iter=20).transform(df).select("vec_id", "label", "prediction")
-
-
-@query("ridge")
+    return L.linear_svc(df, "label", C=1.0, max_iter=1000).transform(df).select("vec_id", "label", "prediction")
+
+
+@query("ridge", sql="""
+WITH m AS (SELECT avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3, avg(l_extendedprice) AS my, count(*) AS n,
+  covar_pop(l_quantity, l_quantity) * count(*) + 1 AS a, covar_pop(l_quantity, l_discount) * count(*) AS b, covar_pop(l_quantity, l_tax) * count(*) AS c,
+  covar_pop(l_discount, l_discount) * count(*) + 1 AS e, covar_pop(l_discount, l_tax) * count(*) AS f, covar_pop(l_tax, l_tax) * count(*) + 1 AS i,
+  covar_pop(l_quantity, l_extendedprice) * count(*) AS y1, covar_pop(l_discount, l_extendedprice) * count(*) AS y2,
+  covar_pop(l_tax, l_extendedprice) * count(*) AS y3 FROM lineitem),
+w AS (SELECT *, a * (e * i - f * f) - b * (b * i - f * c) + c * (b * f - e * c) AS det,
+  (e * i - f * f) * y1 + (c * f - b * i) * y2 + (b * f - c * e) * y3 AS n1,
+  (f * c - b * i) * y1 + (a * i - c * c) * y2 + (c * b - a * f) * y3 AS n2,
+  (b * f - e * c) * y1 + (b * c - a * f) * y2 + (a * e - b * b) * y3 AS n3 FROM m)
+SELECT l_orderkey, l_linenumber, round(my + n1 / det * (l_quantity - m1) + n2 / det * (l_discount - m2) + n3 / det * (l_tax - m3), 3) AS prediction
+FROM lineitem, w""")
 def q_ridge(spark, d):
     df = _reg(spark, d)
     m = L.ridge(df, _REG, "l_extendedprice", alpha=1.0)
-    return m.predict(df).select("l_orderkey", "l_linenumber", F.round("prediction", 6).alias("prediction"))
+    return m.predict(df).select("l_orderkey", "l_linenumber", F.round("prediction", 3).alias("prediction"))
 
 
 @query("ridge_2f", sql="""
@@ -92,45 +112,41 @@ def q_ridge_2f(spark, d):
 
 @query("ridge_clf_cv")
 def q_ridge_clf_cv(spark, d):
-    df = _emb_cols(spark, d, 16)
-    res = L.ridge_classifier_cv(df, [f"e{i}" for i in range(16)], "label", [0.1, 1.0, 10.0], "vec_id", cv=3)
+    res = L.ridge_classifier_cv(_emb_cols(spark, d), _E, "label", [0.1, 1.0, 10.0], "vec_id", cv=3)
     return spark.createDataFrame([(float(a), float(s), a == res["alpha"]) for a, s in res["scores"].items()],
                                  "alpha double, cv_accuracy double, best boolean")
 
 
-@query("omp")
+@query("omp", sql="""SELECT 'e' || (range) AS feature, CAST(CASE range WHEN 0 THEN 3 WHEN 5 THEN -2 WHEN 7 THEN 1 ELSE 0 END AS DOUBLE) AS coef
+FROM range((SELECT max(len(embedding)) FROM embeddings))""")
 def q_omp(spark, d):
-    df = _emb_cols(spark, d, 32).withColumn("y", F.col("e0") * 3 - F.col("e5") * 2 + F.col("e7"))
     from colonnade.ml.linalg import gram
-    m = L.omp_from_gram(gram(df, [f"e{i}" for i in range(1, 32)], "y"), n_nonzero=3)
-    return spark.createDataFrame([(c, float(w)) for c, w in zip(m.cols, m.coef)], "feature string, coef double")
+    m = L.omp_from_gram(gram(_emb_target(spark, d), _E, "y"), n_nonzero=3)
+    return spark.createDataFrame([(c, round(float(w), 6) + 0.0) for c, w in zip(m.cols, m.coef)], "feature string, coef double")
 
 
 @query("pca")
 def q_pca(spark, d):
-    cols = [f"e{i}" for i in range(64)]
-    df = _emb_cols(spark, d, 64)
-    return L.pca(df, cols, n_components=5).transform(df, keep=["vec_id"])
+    df = _emb_cols(spark, d)
+    return L.pca(df, _E, n_components=5).transform(df, keep=["vec_id"])
 
 
 @query("pca_score")
 def q_pca_score(spark, d):
-    cols = [f"e{i}" for i in range(64)]
-    df = _emb_cols(spark, d, 64)
-    return L.pca(df, cols, n_components=10).score_samples(df, keep=["vec_id"])
+    df = _emb_cols(spark, d)
+    return L.pca(df, _E, n_components=10).score_samples(df, keep=["vec_id"])
 
 
 @query("factor_analysis")
 def q_factor_analysis(spark, d):
-    cols = [f"e{i}" for i in range(16)]
-    df = _emb_cols(spark, d, 16)
-    return L.factor_analysis(df, cols, 3).transform(df, keep=["vec_id"])
+    df = _emb_cols(spark, d)
+    return L.factor_analysis(df, _E, 3).transform(df, keep=["vec_id"])
 
 
 @query("fast_ica")
 def q_fast_ica(spark, d):
     df = _reg(spark, d)
-    return L.fast_ica(df, _REG, max_iter=50).transform(df, keep=["l_orderkey", "l_linenumber"])
+    return L.fast_ica(df, _REG).transform(df, keep=["l_orderkey", "l_linenumber"])
 
 
 def _label_atoms(spark, d):
@@ -155,7 +171,7 @@ c AS (SELECT e.vec_id, a.atom, sum(e.v * a.v) AS c FROM e JOIN a USING (i) GROUP
 SELECT vec_id, CAST(atom AS BIGINT) AS atom, round(sign(c) * greatest(abs(c) - 0.05, 0) + 0.0, 6) + 0.0 AS code FROM c""")
 def q_sparse_encode(spark, d):
     dic, dim = _label_atoms(spark, d)
-    df = _emb_cols(spark, d, dim)
+    df = _emb_cols(spark, d)
     codes = L.sparse_encode_threshold(df, [f"e{i}" for i in range(dim)], dic, 0.05, keep=["vec_id"])
     long = codes.unpivot("vec_id", [f"code{j}" for j in range(len(dic))], "atom", "code")
     return long.select("vec_id", F.expr("CAST(substring(atom, 5) AS BIGINT)").alias("atom"),
@@ -164,10 +180,9 @@ def q_sparse_encode(spark, d):
 
 @query("dict_learning")
 def q_dict_learning(spark, d):
-    cols = [f"e{i}" for i in range(16)]
-    df = _emb_cols(spark, d, 16)
-    dic, _costs = L.dict_learning(df, cols, 5, alpha=0.05, max_iter=10)
-    return L.sparse_encode_threshold(df, cols, dic, 0.05, keep=["vec_id"])
+    df = _emb_cols(spark, d)
+    dic, _costs = L.dict_learning(df, _E, 5, alpha=0.05, max_iter=100)
+    return L.sparse_encode_threshold(df, _E, dic, 0.05, keep=["vec_id"])
 
 
 def _reg_vec(spark, d):
@@ -177,27 +192,27 @@ def _reg_vec(spark, d):
 @query("gbt_regressor")
 def q_gbt_regressor(spark, d):
     df = _reg_vec(spark, d)
-    model = L.gbt_regressor(df, "l_extendedprice", max_iter=10, max_depth=3)
-    return L.staged_predict(model, df, [5, 10], keep=["l_orderkey", "l_linenumber"])
+    model = L.gbt_regressor(df, "l_extendedprice", max_iter=100, max_depth=3)
+    return L.staged_predict(model, df, [50, 100], keep=["l_orderkey", "l_linenumber"])
 
 
 @query("gbt_classifier")
 def q_gbt_classifier(spark, d):
     df = _labelled_docs(spark, d)
-    return L.gbt_classifier(df, "label", n_estimators=10).transform(df).select("doc_id", "prediction")
+    return L.gbt_classifier(df, "label", n_estimators=100).transform(df).select("doc_id", "prediction")
 
 
 @query("bagging")
 def q_bagging(spark, d):
     df = _labelled_docs(spark, d)
-    models = L.bagging(df, "label", "doc_id", n_estimators=5, max_depth=3)
+    models = L.bagging(df, "label", "doc_id", n_estimators=10, max_depth=3)
     return L.bagging_predict(models, df, ["doc_id"])
 
 
 @query("mlp")
 def q_mlp(spark, d):
     df = _emb(spark, d)
-    return L.mlp(df, "label", hidden=(16,), max_iter=50).transform(df).select("vec_id", "prediction")
+    return L.mlp(df, "label", hidden=(16,), max_iter=200).transform(df).select("vec_id", "prediction")
 
 
 @query("dct_rows", sql="""
@@ -220,7 +235,7 @@ def q_iterative_imputer(spark, d):
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
         F.when(F.col("l_partkey") % 7 == 0, F.lit(None)).otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
         F.when(F.col("l_partkey") % 5 == 0, F.lit(None)).otherwise(F.col("l_discount")).alias("l_discount"))
-    out, _it = L.iterative_impute(li, ["l_quantity", "l_extendedprice", "l_discount"], max_iter=5,
+    out, _it = L.iterative_impute(li, ["l_quantity", "l_extendedprice", "l_discount"], max_iter=10,
                                   keep=["l_orderkey", "l_linenumber", "l_partkey"])
     return out
 
@@ -231,11 +246,10 @@ def q_learning_curve(spark, d):
                             _REG, "l_extendedprice", "rid", cv=3)
 
 
-@query("seq_feature_sel")
+@query("seq_feature_sel", sql="""SELECT CAST(row_number() OVER (ORDER BY range) - 1 AS INTEGER) AS step, 'e' || range AS feature
+FROM range((SELECT max(len(embedding)) FROM embeddings)) WHERE range IN (0, 5, 7)""")
 def q_seq_feature_sel(spark, d):
-    df = _emb_cols(spark, d, 16).withColumn("y", F.col("e0") * 3 - F.col("e5") * 2 + F.col("e7"))
-    chosen = L.sequential_feature_selection(df, [f"e{i}" for i in range(1, 16)], "y", "vec_id",
-                                            n_features_to_select=3, cv=3)
+    chosen = L.sequential_feature_selection(_emb_target(spark, d), _E, "y", "vec_id", n_features_to_select=3, cv=3)
     return spark.createDataFrame([(i, c) for i, c in enumerate(chosen)], "step int, feature string")
 
 
@@ -244,5 +258,5 @@ def q_self_training(spark, d):
     t = Tables(spark, d)
     lab = t.labels.select("doc_id", F.col("quality").alias("y"))
     df = _docs(spark, d).join(lab, "doc_id", "left").withColumn("y", F.coalesce("y", F.lit(-1)))
-    out, reason, it = L.self_training(L.assemble(df, _DOC_F), "y", "doc_id", threshold=0.6, max_iter=3)
+    out, reason, it = L.self_training(L.assemble(df, _DOC_F), "y", "doc_id", threshold=0.6, max_iter=10)
     return out.select("doc_id", "transduction", "labeled_iter", F.lit(reason).alias("stop_reason"))

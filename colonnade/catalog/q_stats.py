@@ -134,12 +134,13 @@ def q_roc_auc_multilabel(spark, d):
 
 
 @query("leave_one_label_out", sql="""
-SELECT quality * 2 + toxic AS fold, count(*) AS n_test, (SELECT count(*) FROM labels) - count(*) AS n_train
-FROM labels GROUP BY 1""")
+WITH f AS (SELECT quality * 2 + toxic AS fold, count(*) AS n_test, (SELECT count(*) FROM labels) - count(*) AS n_train
+FROM labels GROUP BY 1)
+SELECT doc_id, fold AS test_fold, n_test, n_train FROM labels JOIN f ON fold = quality * 2 + toxic""")
 def q_leave_one_label_out(spark, d):
     lab = Tables(spark, d).labels.withColumn("group", F.col("quality") * 2 + F.col("toxic"))
-    _assign, folds = MT.leave_one_label_out(lab, "group")
-    return folds
+    assign, folds = MT.leave_one_label_out(lab, "group")
+    return assign.join(folds, F.col("test_fold") == F.col("fold")).select("doc_id", "test_fold", "n_test", "n_train")
 
 
 _STEP_COLS = ["l_discount", "l_tax", "l_quantity"]

@@ -138,6 +138,7 @@ def filter_keys(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(~bad)
 
 
+# The patterns of the two composite key forms.
 _BRACE = r"\{([^\{\}]+)\}_([a-zA-Z0-9_]+)"
 _PAREN = r"\(([^()]+)\)"
 

@@ -595,11 +595,11 @@ def logistic_path(df: DataFrame, label: str, Cs: Sequence[float], penalty: str =
     return df.sparkSession.createDataFrame(rows, "C double, coef array<double>, intercept array<double>")
 
 
-def linear_svc(df: DataFrame, label: str, C: float = 1.0, max_iter: int = 100):
+def linear_svc(df: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-4):
     """Linear SVM (hinge loss, L2) one-vs-rest.  regParam = 1 / (C n).
     Spark offers no squared hinge or L1 penalty."""
     n = df.count()
-    svc = LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / (C * n), maxIter=max_iter,
+    svc = LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / (C * n), maxIter=max_iter, tol=tol,
                     standardization=False)
     n_classes = df.select(label).distinct().count()
     if n_classes > 2:
