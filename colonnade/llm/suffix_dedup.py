@@ -2,8 +2,8 @@
 
 A suffix matters only if its first ``LENGTH`` bytes may start elsewhere too. Every such string holds
 ``LENGTH - GRAM + 1`` grams, and the place of its smallest gram hash depends on its bytes alone, so equal
-strings share that hash: it names the suffix bucket. Suffixes whose bucket holds one place only are done; runs
-of neighbouring suffixes of one bucket travel together with their bytes.
+strings share that hash: it names the suffix bucket. Suffixes whose bucket holds one place only are done;
+neighbouring suffixes of one bucket form a run.
 
 Buckets are then sorted one block of bounded size at a time. Inside a block, suffixes are ordered by their first
 ``PERIOD`` bytes; ties are resolved by ranks that were computed beforehand for the suffixes at a difference
@@ -11,13 +11,14 @@ cover's residues: for any two suffixes some shift below ``PERIOD`` takes both to
 comparison of ranks decides. All ties of a block are refined at once by a three-way quicksort in numpy.
 Neighbours of the sorted order that share ``LENGTH`` bytes are repeated.
 
-Equal runs are combined before they are sorted. Inside a bucket, equal strings have one distance to the shared
+A bucket whose runs are all equal needs no sort: all its strings are repeated. In the others, equal runs are combined
+and only one of each travels with its bytes. Inside a bucket, equal strings have one distance to the shared
 gram, so a bucket too large for a block is cut by that distance; a bucket of more than ``MOST_RUNS`` distinct runs
 is not sorted in one task at all: its strings are counted by their bytes in a distributed aggregate.
 
 Defined cases: null is the empty text; texts shorter than ``LENGTH`` keep all bytes; a string counts as repeated
-within one text too, overlaps included; rows that share doc_id and text repeat each other; null doc_ids work;
-other columns are ignored.
+within one text too, overlaps included; rows that share doc_id and text repeat each other; null doc_ids work (rows
+are told apart by a 64-bit hash of id and text); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.llm import common
-from colonnade.session import materialize
+from colonnade.session import materialize, materialize_with, release
 
 LENGTH = 200
 GRAM = 32
@@ -109,49 +110,45 @@ def runs_of(raw: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[n
 
 
 def find_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc_id, mark, lo, hi, place, bucket of all runs. ``docs`` has doc_id, mark, text."""
+    """mark, lo, shape, bucket, name of all runs. ``docs`` has mark (of row and text) and text. ``shape`` holds the last
+    start and the gram's place, both as distances from ``lo``; ``name`` is a hash of the run's bytes and shape."""
 
     def run(batches):
         for b in common.pieces(batches):
             raw, off = common.utf8(b.column("text"))
             r, lo, hi, place, h = runs_of(raw, off, length, gram)
-            r = pa.array(r)
-            yield pa.record_batch([b.column("doc_id").take(r), b.column("mark").take(r), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
-                                   pa.array(place, pa.int32()), pa.array(h.view(np.int64))], ["doc_id", "mark", "lo", "hi", "place", "bucket"])
+            shape = ((hi - lo) << 8) | (place - lo)
+            name = common.mix(common.PrefixHash(raw).spans(off[r] + lo, off[r] + hi + length) + shape.astype(U64))
+            yield pa.record_batch([b.column("mark").take(pa.array(r)), pa.array(lo, pa.int32()), pa.array(shape, pa.int32()),
+                                   pa.array(h.view(np.int64)), pa.array(name.view(np.int64))], ["mark", "lo", "shape", "bucket", "name"])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "mark", "text").mapInArrow(run, f"doc_id {kind}, mark long, lo int, hi int, place int, bucket long")
+    return docs.select("mark", "text").mapInArrow(run, "mark long, lo int, shape int, bucket long, name long")
 
 
 def run_bytes(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
-    """The runs with their bytes: bucket, name (of lead and bytes), lead (distance from the first start to the gram), body,
-    doc_id, mark, lo. Each document's runs meet its text in one join."""
-    lists = runs.groupBy(F.col("doc_id").alias("r_id"), F.col("mark").alias("r_mark")).agg(
-        F.collect_set(F.struct("lo", "hi", "place", "bucket")).alias("runs"))
-    both = docs.join(lists, docs["doc_id"].eqNullSafe(F.col("r_id")) & (docs["mark"] == F.col("r_mark"))).select("doc_id", "mark", "text", "runs")
+    """One run of each name with its bytes: bucket, name, lead (distance from the first start to the gram), body, n. Each
+    document's runs meet its text in one join."""
+    lists = runs.groupBy(F.col("mark").alias("r_mark")).agg(F.collect_list(F.struct("lo", "shape", "bucket", "name", "n")).alias("runs"))
+    texts = docs.select("mark", "text")
+    both = texts.join(lists, texts["mark"] == F.col("r_mark")).dropDuplicates(["mark"]).select("text", "runs")
 
     def run(batches):
         for b in common.pieces(batches):
             raw, off = common.utf8(b.column("text"))
             data = raw.tobytes()
-            rows, lists = b.column("runs"), []
+            rows = b.column("runs")
             ends = rows.offsets.to_numpy() - rows.offsets[0].as_py()
-            fields = rows.flatten()
-            lo, hi, place, bucket = (fields.field(k).to_numpy() for k in range(4))
+            lo, shape, bucket, name, n = (rows.flatten().field(k) for k in range(5))
+            lo, shape = lo.to_numpy(), shape.to_numpy()
             row = np.repeat(np.arange(b.num_rows), np.diff(ends))
-            a, z = (off[row] + lo).tolist(), (off[row] + hi + length).tolist()
-            body = [data[i:j] for i, j in zip(a, z)]
-            lead = place - lo
-            name = [hashlib.blake2b(t + k.to_bytes(4, "little"), digest_size=16).digest() for t, k in zip(body, lead.tolist())]
-            take = pa.array(row)
-            for i in range(0, len(body), 20_000):
-                cut = slice(i, i + 20_000)
-                yield pa.record_batch([pa.array(bucket[cut]), pa.array(name[cut], pa.binary()), pa.array(lead[cut], pa.int32()), pa.array(body[cut], pa.binary()),
-                                       b.column("doc_id").take(take[cut]), b.column("mark").take(take[cut]), pa.array(lo[cut], pa.int32())],
-                                      ["bucket", "name", "lead", "body", "doc_id", "mark", "lo"])
+            a = off[row] + lo
+            z = a + (shape >> 8) + length
+            body = [data[i:j] for i, j in zip(a.tolist(), z.tolist())]
+            out = pa.record_batch([bucket, name, pa.array(shape & 255, pa.int32()), pa.array(body, pa.binary()), n], ["bucket", "name", "lead", "body", "n"])
+            for i in range(0, out.num_rows, 20_000):
+                yield out.slice(i, 20_000)
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return both.mapInArrow(run, f"bucket long, name binary, lead int, body binary, doc_id {kind}, mark long, lo int")
+    return both.mapInArrow(run, "bucket long, name long, lead int, body binary, n long")
 
 
 # ---- the sort of a block ----------------------------------------------------------------------
@@ -293,7 +290,7 @@ def sort_buckets(distinct: DataFrame, length: int, block: int) -> DataFrame:
         keep = [(r[0], r[1], np.packbits(np.ones(len(h), bool) if r[4] > 1 else h, bitorder="little").tobytes())
                 for r, h in zip(rows, hits) if r[4] > 1 or h.any()]
         cols = list(zip(*keep)) if keep else [(), (), ()]
-        return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())], ["bucket", "name", "hits"])
+        return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], ["bucket", "name", "hits"])
 
     def run(batches):
         held, suffixes, bucket, own = [], 0, None, []
@@ -320,7 +317,7 @@ def sort_buckets(distinct: DataFrame, length: int, block: int) -> DataFrame:
         yield from close(True)
 
     return distinct.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "name", "lead", "body", "n").mapInArrow(
-        run, "bucket long, name binary, hits binary")
+        run, "bucket long, name long, hits binary")
 
 
 def count_strings(distinct: DataFrame, length: int) -> DataFrame:
@@ -336,7 +333,7 @@ def count_strings(distinct: DataFrame, length: int) -> DataFrame:
                                        pa.array([k] * k, pa.int32()), b.column("n").take(pa.array([i] * k)), pa.array(names, pa.binary())],
                                       ["bucket", "name", "j", "k", "n", "string"])
 
-    strings = distinct.select("bucket", "name", "body", "n").mapInArrow(run, "bucket long, name binary, j int, k int, n long, string binary")
+    strings = distinct.select("bucket", "name", "body", "n").mapInArrow(run, "bucket long, name long, j int, k int, n long, string binary")
     twice = strings.groupBy("string").agg(F.sum("n").alias("places")).filter("places > 1").select("string")
     hits = strings.join(twice, "string", "left_semi").groupBy("bucket", "name").agg(F.first("k").alias("k"), F.collect_set("j").alias("js"))
 
@@ -349,32 +346,42 @@ def count_strings(distinct: DataFrame, length: int) -> DataFrame:
                 bits.append(np.packbits(x, bitorder="little").tobytes())
             yield pa.record_batch([b.column("bucket"), b.column("name"), pa.array(bits, pa.binary())], ["bucket", "name", "hits"])
 
-    return hits.mapInArrow(pack, "bucket long, name binary, hits binary")
+    return hits.mapInArrow(pack, "bucket long, name long, hits binary")
 
 
 # ---- the operator -----------------------------------------------------------------------------
 
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK_SUFFIXES, most_runs: int = MOST_RUNS) -> DataFrame:
-    """doc_id, mark, lo, hits: from byte lo on, which starts of a string of ``length`` bytes are repeated."""
+    """mark, lo, shape, hits: from byte lo on, which starts of a string of ``length`` bytes are repeated (null: all)."""
     runs = materialize(find_runs(docs, length, gram), "runs")
-    shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    held = materialize(run_bytes(docs, runs.join(shared, "bucket", "left_semi"), length), "run-bytes")
-    distinct = materialize(held.groupBy("bucket", "name").agg(F.first("lead").alias("lead"), F.first("body").alias("body"), F.count(F.lit(1)).alias("n")), "distinct-runs")
-    sizes = distinct.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-    large = materialize(sizes.filter(F.col("k") > most_runs).select("bucket"), "large-buckets")
-    hits = sort_buckets(distinct.join(large, "bucket", "left_anti"), length, block)
-    if not large.isEmpty():
+    places = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.min("name").alias("a"), F.max("name").alias("b"))
+    shared = places.filter("k > 1").select("bucket", (F.col("a") == F.col("b")).alias("equal"))
+    held = materialize(runs.join(shared, "bucket"), "shared-runs")
+    release(runs)
+    # buckets of different runs: one run of each name, with its bytes
+    one = F.min(F.struct("mark", "lo", "shape")).alias("one")
+    distinct = held.filter("not equal").groupBy("bucket", "name").agg(F.count(F.lit(1)).alias("n"), one).select("bucket", "name", "n", "one.*")
+    distinct = materialize(run_bytes(docs, distinct, length), "run-bytes")
+    sizes = distinct.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"))
+    large, seen = materialize_with(sizes.filter(F.col("k") > most_runs).select("bucket"), "large-buckets")
+    hits = sort_buckets(distinct.join(large, "bucket", "left_anti") if seen["rows"] else distinct, length, block)
+    if seen["rows"]:
         hits = hits.unionByName(count_strings(distinct.join(large, "bucket", "left_semi"), length))
     hits = materialize(hits, "hits")
-    return held.select("bucket", "name", "doc_id", "mark", "lo").join(hits, ["bucket", "name"]).select("doc_id", "mark", "lo", "hits")
+    release(distinct)
+    mixed = held.filter("not equal").select("bucket", "name", "mark", "lo", "shape").join(hits, ["bucket", "name"]).select("mark", "lo", "shape", "hits")
+    return mixed.unionByName(held.filter("equal").select("mark", "lo", "shape", F.lit(None).cast("binary").alias("hits")))
 
 
 def removed(n: int, runs: list[dict], length: int) -> np.ndarray:
     """Which of a text's n bytes a repeated string covers."""
     edge = np.zeros(n + 1, np.int64)
     for r in runs:
-        starts = np.flatnonzero(np.unpackbits(np.frombuffer(r["hits"], np.uint8), bitorder="little")) + r["lo"]
+        if r["hits"] is None:
+            starts = np.arange((r["shape"] >> 8) + 1) + r["lo"]
+        else:
+            starts = np.flatnonzero(np.unpackbits(np.frombuffer(r["hits"], np.uint8), bitorder="little")) + r["lo"]
         np.add.at(edge, starts, 1)
         np.add.at(edge, starts + length, -1)
     return np.cumsum(edge)[:n] > 0
@@ -384,10 +391,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
                    with_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the bytes that stay if
     ``with_text``."""
-    rows = docs.select("doc_id", common.text_of(docs).alias("text")).withColumn("mark", F.xxhash64("text"))
+    rows = docs.select("doc_id", common.text_of(docs).alias("text")).withColumn("mark", F.xxhash64("doc_id", "text"))
     found = repeated_runs(rows, length, gram, block, most_runs)
-    lists = found.groupBy(F.col("doc_id").alias("r_id"), F.col("mark").alias("r_mark")).agg(F.collect_set(F.struct("lo", "hits")).alias("runs"))
-    both = rows.join(lists, rows["doc_id"].eqNullSafe(F.col("r_id")) & (rows["mark"] == F.col("r_mark")), "left").select("doc_id", "text", "runs")
+    lists = found.groupBy(F.col("mark").alias("r_mark")).agg(F.collect_set(F.struct("lo", "shape", "hits")).alias("runs"))
+    both = rows.join(lists, rows["mark"] == F.col("r_mark"), "left").select("doc_id", "text", "runs")
 
     def run(batches):
         for b in common.pieces(batches):
