@@ -1,10 +1,9 @@
 """Numpy-style docstring parsing as a set-based Spark job.
 
-A document is one input row (``doc_id, lib, text``).  The job explodes it
-into lines and classifies every line with windows over ``doc_id`` ordered
-by line number; all windows share one hash exchange on ``doc_id`` and the
-entry grouping reuses it.  A window group is the lines of one input row, so
-it is bounded by the size of a single row.
+A document is one input row (``doc_id, lib, text``).  Arrow batches of
+documents are split into lines, classified and folded with array operations
+inside the batch, so no text is shuffled; key rules, collisions and merging
+are Spark aggregates over the finished entries, keyed by ``doc_id``.
 
 Semantics (per document):
 
@@ -25,6 +24,9 @@ Semantics (per document):
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,46 +50,78 @@ def doc_gate(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.where(F.col(text).contains(DOC_GATE))
 
 
-def split_lines(docs: DataFrame) -> DataFrame:
-    """One row per line: doc_id, lib, line_no (0-based), line (right-stripped).
-    Universal newlines; a final newline does not start an extra line."""
-    body = F.regexp_replace("text", r"(\r\n|\r|\n)$", "")
-    return docs.select("doc_id", "lib", F.posexplode(F.split(body, r"\r\n|\r|\n")).alias("line_no", "raw")) \
-        .select("doc_id", "lib", "line_no", F.regexp_replace("raw", r"\s+$", "").alias("line"))
-
-
-def classify_lines(lines: DataFrame) -> DataFrame:
-    """Add section, header, skip, entry-start and entry membership columns."""
-    w = Window.partitionBy("doc_id").orderBy("line_no")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    line = F.col("line")
-    hp = F.lit(False)
-    for h in HEADER_PREFIXES:
-        hp = hp | line.startswith(h)
-    label = F.when(line.startswith("Parameters"), "param") \
-        .when(line.startswith("Attributes"), "attr").otherwise("none")
-    df = lines.withColumns({"hp": hp, "label": label})
-    # header runs: the 1st, 3rd, ... line of a run of header lines is effective
-    df = df.withColumn("nh_last", F.last(F.when(~F.col("hp"), F.col("line_no")), ignorenulls=True).over(upto))
-    run_start = F.coalesce(F.col("nh_last"), F.lit(-1)) + 1
-    df = df.withColumn("is_header", F.col("hp") & (((F.col("line_no") - run_start) % 2) == 0))
-    df = df.withColumns({
-        "is_skipped": F.coalesce(F.lag("is_header", 1).over(w), F.lit(False)),
-        "section": F.last(F.when(F.col("is_header"), F.col("label")), ignorenulls=True).over(upto),
-        "last_is_header": F.last("is_header").over(whole),
-    })
-    content = ~F.col("is_header") & ~F.col("is_skipped")
-    in_sec = F.col("section").isin("param", "attr")
-    indent = F.length(line) - F.length(F.ltrim(line))
-    cand = content & in_sec & line.contains(":")
-    df = df.withColumns({"indent": indent, "cand": cand})
-    df = df.withColumn("first_indent", F.first(F.when(F.col("cand"), F.col("indent")), ignorenulls=True).over(whole))
-    df = df.withColumn("is_start", F.col("cand") & (F.col("indent") == F.col("first_indent")))
-    marker = F.when(F.col("is_start"), F.col("line_no")).when(F.col("is_header"), F.lit(-1))
-    df = df.withColumn("entry_line", F.last(marker, ignorenulls=True).over(upto))
-    df = df.withColumn("is_member", content & (F.coalesce(F.col("entry_line"), F.lit(-1)) >= 0))
-    return df.drop("hp", "label", "nh_last", "cand")
+# Every document is parsed inside its row: Arrow batches of documents become arrays of lines, and all states (header
+# runs, sections, entries) are running maxima over line numbers that restart with each document.
+
+_NEWLINE = "\r\n|\r|\n"
+_SPACE = " \t\n\x0b\f\r"
+LINE_SCHEMA = ("lib string, line_no int, line string, is_header boolean, is_skipped boolean, section string, last_is_header boolean, "
+               "indent int, first_indent int, is_start boolean, entry_line int, is_member boolean")
+ENTRY_SCHEMA = "lib string, section string, entry_line int, key string, value string"
+
+
+def _line_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, dict[str, np.ndarray]]:
+    """Document number and text of every line of a batch, and the line states."""
+    body = pc.replace_substring_regex(pc.fill_null(batch.column("text"), ""), f"({_NEWLINE})$", "", max_replacements=1)
+    lists = pc.split_pattern_regex(body, _NEWLINE)
+    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    line = pc.utf8_rtrim(pc.list_flatten(lists), characters=_SPACE)
+    doc = np.repeat(np.arange(len(size)), size)
+    begin = (np.cumsum(size) - size)[doc]
+    at = np.arange(len(doc))
+
+    def starts(prefix):
+        return pc.starts_with(line, pattern=prefix).to_numpy(zero_copy_only=False)
+
+    def latest(mark):  # the last marked line of the document up to here, -1 for none
+        seen = np.maximum.accumulate(np.where(mark, at, -1)) if len(at) else at
+        return np.where(seen >= begin, seen, -1)
+
+    like = np.zeros(len(at), bool)
+    for prefix in HEADER_PREFIXES:
+        like |= starts(prefix)
+    label = np.where(starts("Parameters"), 1, np.where(starts("Attributes"), 2, 0))
+    plain = latest(~like)
+    header = like & ((at - np.where(plain < 0, begin, plain + 1)) % 2 == 0)  # 1st, 3rd, .. of a run of header lines
+    skipped = np.append(False, header[:-1])[:len(at)] & (at > begin)
+    opened = latest(header)
+    section = np.where(opened < 0, -1, label[opened] if len(at) else 0)
+    content = ~header & ~skipped
+    indent = (pc.utf8_length(line).to_numpy(zero_copy_only=False) - pc.utf8_length(pc.utf8_ltrim(line, characters=" ")).to_numpy(zero_copy_only=False))
+    candidate = content & (section > 0) & pc.match_substring(line, ":").to_numpy(zero_copy_only=False)
+    first = np.full(len(size), -1)
+    found = np.flatnonzero(candidate)[::-1]
+    first[doc[found]] = indent[found]  # the first candidate is written last
+    first = first[doc]
+    start = candidate & (indent == first)
+    entry = latest(start | header)
+    inside = (entry >= 0) & ~header[entry] if len(at) else np.zeros(0, bool)
+    last = np.zeros(len(size), bool)
+    last[doc] = header  # the last line of a document is written last
+    return doc, line, {"line_no": at - begin, "is_header": header, "is_skipped": skipped, "section": section, "last_is_header": last[doc],
+                       "indent": indent, "first_indent": first, "is_start": start,
+                       "entry_line": np.where(entry < 0, -2, np.where(inside, entry - begin, -1)), "is_member": content & inside}
+
+
+_SECTIONS = np.array(["none", "param", "attr", None], dtype=object)
+
+
+def classify_lines(docs: DataFrame) -> DataFrame:
+    """One row per line (0-based, right-stripped; a final newline starts no further line) with section, header, skip,
+    entry-start and entry membership columns.  No shuffle: rows are independent."""
+
+    def run(batches):
+        for b in batches:
+            doc, line, x = _line_arrays(b)
+            take = pa.array(doc)
+            yield pa.record_batch([
+                b.column("doc_id").take(take), b.column("lib").take(take), pa.array(x["line_no"], pa.int32()), line, pa.array(x["is_header"]),
+                pa.array(x["is_skipped"]), pa.array(_SECTIONS[x["section"]].tolist(), pa.string()), pa.array(x["last_is_header"]),
+                pa.array(x["indent"], pa.int32()), pa.array(x["first_indent"], pa.int32(), mask=x["first_indent"] < 0), pa.array(x["is_start"]),
+                pa.array(x["entry_line"], pa.int32(), mask=x["entry_line"] == -2), pa.array(x["is_member"])],
+                ["doc_id", *(c.split()[0] for c in LINE_SCHEMA.split(", "))])
+
+    return docs.select("doc_id", "lib", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, {LINE_SCHEMA}")
 
 
 def entry_keys(cl: DataFrame) -> DataFrame:
@@ -97,19 +131,29 @@ def entry_keys(cl: DataFrame) -> DataFrame:
         strip(F.substring_index("line", ":", 1)).alias("key"))
 
 
-def fold_entries(cl: DataFrame) -> DataFrame:
-    """One row per entry: doc_id, lib, section, entry_line, key, value."""
-    after_colon = F.expr("substring(line, instr(line, ':') + 1)")
-    piece = F.when(F.col("is_start"), strip(after_colon)).otherwise(strip(F.col("line")))
-    m = cl.where("is_member AND NOT last_is_header").select(
-        "doc_id", "lib", "entry_line", "line_no", "is_start", "section", "line", piece.alias("piece"))
-    g = m.groupBy("doc_id", "lib", "entry_line").agg(
-        F.max(F.when(F.col("is_start"), F.col("section"))).alias("section"),
-        F.max(F.when(F.col("is_start"), strip(F.substring_index("line", ":", 1)))).alias("key"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "piece"))),
-                                 lambda s: s["piece"]), " ").alias("joined"))
-    value = F.regexp_replace(strip(F.col("joined")), r"\s*,\s*", ", ")
-    return g.select("doc_id", "lib", "section", "entry_line", "key", value.alias("value"))
+def fold_entries(docs: DataFrame) -> DataFrame:
+    """One row per entry: doc_id, lib, section, entry_line, key, value.  Lines are folded inside their document's row, so
+    only finished entries leave it."""
+
+    def run(batches):
+        for b in batches:
+            doc, line, x = _line_arrays(b)
+            use = x["is_member"] & ~x["last_is_header"]
+            doc, line, start = doc[use], line.filter(pa.array(use)), x["is_start"][use]
+            piece = pc.if_else(pa.array(start), pc.replace_substring_regex(line, "^[^:]*:", ""), line)
+            own = pa.table({"doc": doc, "entry": x["entry_line"][use], "piece": pc.utf8_trim(piece, characters=_SPACE), "at": np.arange(len(doc))})
+            folded = own.group_by(["doc", "entry"], use_threads=False).aggregate([("piece", "list"), ("at", "min")]).sort_by("at_min")
+            value = pc.utf8_trim(pc.binary_join(folded.column("piece_list").combine_chunks(), " "), characters=_SPACE)
+            value = pc.replace_substring_regex(value, f"[{_SPACE}]*,[{_SPACE}]*", ", ")
+            # entries come in the order of their first lines, which are the start lines
+            key = pc.utf8_trim(pc.replace_substring_regex(line.filter(pa.array(start)), "(?s):.*$", ""), characters=_SPACE)
+            take = folded.column("doc").combine_chunks()
+            yield pa.record_batch([b.column("doc_id").take(take), b.column("lib").take(take),
+                                   pa.array(_SECTIONS[x["section"][use][start]].tolist(), pa.string()),
+                                   folded.column("entry").combine_chunks().cast(pa.int32()), key, value],
+                                  ["doc_id", *(c.split()[0] for c in ENTRY_SCHEMA.split(", "))])
+
+    return docs.select("doc_id", "lib", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, {ENTRY_SCHEMA}")
 
 
 def last_per_key(entries: DataFrame) -> DataFrame:
@@ -195,14 +239,12 @@ def keep_written(parsed: DataFrame, df: DataFrame) -> DataFrame:
 def parse(docs: DataFrame, partitions: int | None = None) -> dict[str, DataFrame]:
     """The whole job; returns every stage keyed by name.
 
-    Documents are hash-partitioned by doc_id *before* they are exploded into
-    lines: the single shuffle moves one row per document, the line split
-    runs in parallel, and every later window / aggregate (all keyed by
-    doc_id) reuses that partitioning."""
+    Lines and entries come from each document's own row.  Only finished entries are shuffled, once, by doc_id; every
+    later aggregate and window (all keyed by doc_id) reuses that partitioning."""
+    cl = classify_lines(docs)
     # no explicit count unless asked: AQE may then coalesce small shuffles
-    by_doc = docs.repartition(partitions, "doc_id") if partitions else docs.repartition("doc_id")
-    cl = classify_lines(split_lines(by_doc))
-    entries = fold_entries(cl)
+    entries = fold_entries(docs)
+    entries = entries.repartition(partitions, "doc_id") if partitions else entries.repartition("doc_id")
     parsed = last_per_key(entries)
     # documents that write output, flagged by a window on the doc_id
     # partitioning the job already has (no second pass over the lines)
