@@ -316,20 +316,39 @@ def kbins_inverse(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
-def term_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", lowercase: bool = True) -> DataFrame:
-    """(doc, term, tf) with tokens of two or more word characters."""
+def term_counts(docs: DataFrame, doc: str = "doc_id", text: str = "text", lowercase: bool = True, ngram_range=(1, 1),
+                analyzer: str = "word", stop_words: Sequence[str] = ()) -> DataFrame:
+    """(doc, term, tf).  ``word``: tokens of two or more word characters without ``stop_words``, and runs of
+    ``ngram_range`` consecutive tokens joined by a blank; ``char`` and ``char_wb``: character n-grams."""
+    if analyzer != "word":
+        return char_ngrams(docs, ngram_range, analyzer, doc, text).select(doc, F.col("ngram").alias("term"), F.col("count").alias("tf"))
     t = F.lower(text) if lowercase else F.col(text)
-    toks = docs.select(doc, F.explode(F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)).alias("term"))
+    words = F.regexp_extract_all(t, F.lit(TOKEN_PATTERN), 0)
+    if stop_words:
+        words = F.filter(words, lambda w: ~w.isin(list(stop_words)))
+    lo, hi = ngram_range
+    if (lo, hi) == (1, 1):
+        grams = words
+    else:
+        docs, words = docs.withColumn("_words", words), F.col("_words")
+
+        def joined(n):
+            return lambda i: F.array_join(F.slice(words, i, n), " ")
+
+        runs = [F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), joined(n)))
+                .otherwise(F.array().cast("array<string>")) for n in range(lo, hi + 1)]
+        grams = F.flatten(F.array(*runs))
+    toks = docs.select(doc, F.explode(grams).alias("term"))
     return toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_df=1, max_df=1.0, max_features=None,
           binary: bool = False, norm: str | None = "l2", use_idf: bool = True, smooth_idf: bool = True,
-          sublinear_tf: bool = False) -> DataFrame:
-    """TF-IDF in long form (doc, term, tfidf).  df cut-offs (ints = document
+          sublinear_tf: bool = False, ngram_range=(1, 1), analyzer: str = "word", stop_words: Sequence[str] = ()) -> DataFrame:
+    """TF-IDF in long form (doc, term, tfidf); terms as in ``term_counts``.  df cut-offs (ints = document
     counts, floats = fractions), optional vocabulary cap by total count,
     smoothed idf ln((1+n)/(1+df))+1, and l1/l2 row norms."""
-    tc = materialize(term_counts(docs, doc, text), "terms")  # read by the frequencies, the weights and the norms
+    tc = materialize(term_counts(docs, doc, text, True, ngram_range, analyzer, stop_words), "terms")  # read by the frequencies, the weights and the norms
     n_docs = docs.select(doc).distinct().count()
     dfreq = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     lo = min_df if isinstance(min_df, int) else math.ceil(min_df * n_docs)

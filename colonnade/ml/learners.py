@@ -562,12 +562,27 @@ def assemble(df: DataFrame, cols: Sequence[str] | None = None, array_col: str |
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
 
+def with_class_weight(df: DataFrame, label: str, class_weight, weight: str | None = None) -> tuple[DataFrame, str | None]:
+    """``df`` with a row weight per class (and times ``weight``): a dict of weights (1 for classes not in it), or
+    ``"balanced"`` for rows / (classes * rows of the class).  Returns the frame and the weight column."""
+    if class_weight is None:
+        return df, weight
+    if class_weight == "balanced":
+        sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+        class_weight = {k: sum(sizes.values()) / (len(sizes) * n) for k, n in sizes.items()}
+    w = F.lit(1.0)
+    for k, v in class_weight.items():
+        w = F.when(F.col(label) == F.lit(k), F.lit(float(v))).otherwise(w)
+    return df.withColumn("_class_weight", w * F.col(weight) if weight else w), "_class_weight"
+
+
 def logistic(df: DataFrame, label: str, C: float = 1.0, penalty: str = "l2", l1_ratio: float = 0.0,
-             max_iter: int = 100, tol: float = 1e-4, multi_class: str = "auto", weight: str | None = None):
+             max_iter: int = 100, tol: float = 1e-4, multi_class: str = "auto", weight: str | None = None, class_weight=None):
     """Spark ML logistic regression with sklearn-style parameters:
     regParam = 1 / (C n) (sklearn's C scales the summed loss, Spark's
     objective is the mean loss), elasticNetParam from the penalty,
-    standardization off.  ``multi_class='ovr'`` wraps OneVsRest."""
+    standardization off.  ``multi_class='ovr'`` wraps OneVsRest; ``class_weight`` as in ``with_class_weight``."""
+    df, weight = with_class_weight(df, label, class_weight, weight)
     n = df.count()
     reg = 0.0 if penalty in (None, "none") else 1.0 / (C * n)
     enet = {"l2": 0.0, "l1": 1.0, "elasticnet": l1_ratio}.get(penalty, 0.0)
@@ -595,12 +610,16 @@ def logistic_path(df: DataFrame, label: str, Cs: Sequence[float], penalty: str =
     return df.sparkSession.createDataFrame(rows, "C double, coef array<double>, intercept array<double>")
 
 
-def linear_svc(df: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-4):
+def linear_svc(df: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-4,
+               class_weight=None):
     """Linear SVM (hinge loss, L2) one-vs-rest.  regParam = 1 / (C n).
     Spark offers no squared hinge or L1 penalty."""
+    df, weight = with_class_weight(df, label, class_weight)
     n = df.count()
     svc = LinearSVC(featuresCol="features", labelCol=label, regParam=1.0 / (C * n), maxIter=max_iter, tol=tol,
                     standardization=False)
+    if weight:
+        svc.setWeightCol(weight)
     n_classes = df.select(label).distinct().count()
     if n_classes > 2:
         return OneVsRest(classifier=svc, featuresCol="features", labelCol=label).fit(df)

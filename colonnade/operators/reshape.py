@@ -34,28 +34,38 @@ def pivot(df: DataFrame, index: Sequence[str], columns: str, values: str, col_va
     return df.groupBy(*index).pivot(columns, col_values).agg(F.first(values))
 
 
-def pivot_table(df: DataFrame, values: str, index: Sequence[str], columns: str, aggfunc="mean",
+def pivot_table(df: DataFrame, values: str | Sequence[str], index: Sequence[str], columns: str | Sequence[str], aggfunc="mean",
                 fill_value=None, col_values: Sequence | None = None, dropna: bool = True) -> DataFrame:
     """Pivot with aggregation.  ``aggfunc`` may be a name, a list (one
-    sub-table per function, columns ``{func}_{value}``) or a dict per value
-    column.  ``fill_value`` fills missing combinations after aggregation;
-    ``dropna`` drops output columns that are entirely null."""
+    sub-table per function) or a dict of names or lists per value
+    column.  Output columns are ``{func}_{column value}``, with ``{value}_`` in front when there are several value
+    columns; several column keys give values joined by ``_``.  ``fill_value`` fills missing combinations after
+    aggregation; ``dropna`` drops output columns that are entirely null."""
     index = list(index)
+    many = not isinstance(values, str)
+    values = list(values) if many else [values]
+    if not isinstance(columns, str):
+        df = df.withColumn("_columns", F.concat_ws("_", *[F.col(c).cast("string") for c in columns]))
+        columns = "_columns"
     col_values = list(col_values) if col_values is not None else pivot_values(df, columns)
-    funcs = [aggfunc] if isinstance(aggfunc, str) else (list(aggfunc.get(values, [])) if isinstance(aggfunc, Mapping)
-                                                        else list(aggfunc))
-    g = df.groupBy(*index).pivot(columns, col_values).agg(*[agg_expr(f, values).alias(f) for f in funcs])
-    if len(funcs) == 1:
-        out = g.select(*index, *[F.col(str(v)).alias(str(v)) for v in col_values]) if len(funcs) == 1 and \
-            all(str(v) in g.columns for v in col_values) else g
-        out = out.select(*index, *[F.col(str(v)).alias(f"{funcs[0]}_{v}") for v in col_values])
-    else:
-        out = g.select(*index, *[F.col(f"{v}_{f}").alias(f"{f}_{v}") for f in funcs for v in col_values])
+    aggs = []
+    for v in values:
+        own = aggfunc.get(v, []) if isinstance(aggfunc, Mapping) else aggfunc
+        for f in [own] if isinstance(own, str) else own:
+            for c in col_values:
+                name = f"{v}_{f}_{c}" if many else f"{f}_{c}"
+                aggs.append(agg_expr(f, F.when(F.col(columns) == F.lit(c), F.col(v))).alias(name))
+                if f in ("sum", "prod", "count", "size", "nunique"):  # no row of the combination: missing, not zero
+                    seen = F.count(F.when(F.col(columns) == F.lit(c), F.lit(1)))
+                    inner = F.count(F.when(F.col(columns) == F.lit(c), F.lit(1))) if f == "size" else agg_expr(f, F.when(F.col(columns) == F.lit(c), F.col(v)))
+                    aggs[-1] = F.when(seen > 0, inner).alias(name)
+    out = df.groupBy(*index).agg(*aggs)
+    rest = [c for c in out.columns if c not in index]
     if fill_value is not None:
-        out = out.fillna(fill_value, subset=[c for c in out.columns if c not in index])
+        out = out.fillna(fill_value, subset=rest)
     if dropna:
-        present = out.agg(*[F.count(c).alias(c) for c in out.columns if c not in index]).first().asDict()
-        out = out.select(*index, *[c for c in out.columns if c not in index and present[c] > 0])
+        present = out.agg(*[F.count(c).alias(c) for c in rest]).first().asDict()
+        out = out.select(*index, *[c for c in rest if present[c] > 0])
     return out
 
 

@@ -169,3 +169,32 @@ def test_norm_ppf_tails(spark):
     p = np.array([1e-12, 1e-6, 0.01, 0.3, 0.5, 0.7, 0.99, 1 - 1e-9])
     assert np.allclose(MT._ppf(p), [NormalDist().inv_cdf(v) for v in p], rtol=1e-9, atol=1e-9)
     assert np.isnan(MT._ppf(np.array([0.0, 1.0, -1.0]))).all()
+
+
+def test_tfidf_terms(spark):
+    df = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "cat"), (3, "")], "doc_id long, text string")
+    got = {(r["doc_id"], r["term"]): r["tf"] for r in FT.term_counts(df, ngram_range=(1, 2), stop_words=["the", "on"]).collect()}
+    assert got == {(1, "cat"): 1, (1, "sat"): 1, (1, "mat"): 1, (1, "cat sat"): 1, (1, "sat mat"): 1, (2, "cat"): 1}
+    chars = FT.tfidf(df, analyzer="char", ngram_range=(3, 3), norm=None, use_idf=False).collect()
+    assert {r["term"] for r in chars if r["doc_id"] == 2} == {"cat"}
+
+
+def test_class_weight(spark):
+    from colonnade.ml import learners as L
+
+    df = spark.createDataFrame([(0.0,)] * 3 + [(1.0,)], "y double")
+    out, name = L.with_class_weight(df, "y", "balanced")
+    assert sorted(r[name] for r in out.collect()) == pytest.approx([4 / 6] * 3 + [2.0])
+    out, name = L.with_class_weight(df, "y", {1.0: 5.0})
+    assert sorted(r[name] for r in out.collect()) == [1.0, 1.0, 1.0, 5.0]
+
+
+def test_pivot_table_forms(spark):
+    from colonnade.operators import reshape as RS
+
+    df = spark.createDataFrame([("a", "x", 1, 1.0, 10.0), ("a", "y", 2, 2.0, 20.0), ("b", "x", 1, 3.0, None), ("b", "x", 2, 5.0, 40.0)],
+                               "k string, c string, d int, v double, w double")
+    r = {r["k"]: r.asDict() for r in RS.pivot_table(df, ["v", "w"], ["k"], "c", {"v": ["sum", "max"], "w": "mean"}).collect()}
+    assert r["b"] == {"k": "b", "v_sum_x": 8.0, "v_sum_y": None, "v_max_x": 5.0, "v_max_y": None, "w_mean_x": 40.0, "w_mean_y": None}
+    r = {r["k"]: r.asDict() for r in RS.pivot_table(df, "v", ["k"], ["c", "d"], "sum", fill_value=0.0).collect()}
+    assert r["a"] == {"k": "a", "sum_x_1": 1.0, "sum_x_2": 0.0, "sum_y_2": 2.0}
