@@ -6,7 +6,7 @@ import contextlib
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -111,7 +111,6 @@ def release(df: DataFrame) -> None:
 
 
 def materialize_with(df: DataFrame, name: str = "stage", **metrics: Column) -> tuple[DataFrame, dict]:
-    """``materialize``, and aggregates of the rows (at least their number ``rows``) seen by the same write job."""
-    seen = Observation()
-    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in metrics.items()]), name)
-    return out, seen.get
+    """``materialize``, and aggregates of the written rows (at least their number ``rows``)."""
+    out = materialize(df, name)
+    return out, out.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in metrics.items()]).first().asDict()
