@@ -26,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colonnade.llm import common
@@ -222,26 +222,25 @@ def labelled(pairs: DataFrame, components: DataFrame) -> DataFrame:
             .withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}))
 
 
-def resolve(pairs: DataFrame, members: DataFrame, threshold: int, components: DataFrame | None) -> DataFrame:
-    """Components after every pair that joins two components has been confirmed or refused. Each round takes, of a
-    set's open pairs, those that agree best: one, then eight times as many each round."""
-    most, open_pairs, left = 1, pairs, None
-    while True:
+def resolve(pairs: DataFrame, members: DataFrame, threshold: int, components: DataFrame | None) -> DataFrame | None:
+    """Components after every pair that joins two components has been confirmed or refused. A set's pairs are ranked by
+    how well they agree; rounds take the first of every set, then up to the 32nd, then up to the 1024th, and so on, and skip
+    pairs whose ends have met."""
+    order = Window.partitionBy("a").orderBy(F.col("agree").desc(), "b")
+    ranked, seen = materialize_with(pairs.select("a", "b", F.row_number().over(order).alias("rank")), "ranked", last=F.max("rank"))
+    done, upto = 0, 1
+    while done < (seen["last"] or 0):
+        batch = ranked.filter((F.col("rank") > done) & (F.col("rank") <= upto)).select("a", "b")
         if components is not None:
-            inner = labelled(open_pairs.select("a", "b", "agree"), components).filter("ca <> cb").select("a", "b", "agree")
-            open_pairs, seen = materialize_with(inner, "open")
-            left = seen["rows"]
-        if left == 0:
-            return components
-        rank = F.expr(f"slice(reverse(array_sort(collect_list(struct(agree, b)))), 1, {most})") if most > 1 else F.array(F.max(F.struct("agree", "b")))
-        taken = materialize(open_pairs.groupBy("a").agg(rank.alias("best")).select("a", F.explode("best").alias("p")).select("a", "p.b", "p.agree"), "taken")
-        links = materialize(confirm(taken, members, threshold), "links")
-        edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if components is not None:
-            edges = edges.union(components.select(F.col("vertex").alias("u"), F.col("component").alias("v")))
-        components = materialize(connected_components(edges), "components")
-        open_pairs = open_pairs.join(taken.select("a", "b"), ["a", "b"], "left_anti")
-        most *= 8
+            batch = labelled(batch, components).filter("ca <> cb").select("a", "b")
+        links, found = materialize_with(confirm(batch, members, threshold), "links")
+        if found["rows"]:
+            edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+            if components is not None:
+                edges = edges.union(components.select(F.col("vertex").alias("u"), F.col("component").alias("v")))
+            components = materialize(connected_components(edges), "components")
+        done, upto = upto, upto * 32
+    return components
 
 
 def rest_of_dense(dense: DataFrame, components: DataFrame, sets: DataFrame, functions: int, threshold: int) -> DataFrame:
@@ -286,6 +285,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
         members = more if members is None else members.unionByName(more)
         components = resolve(pairs, members, threshold, None)
         if dense is not None:
+            if components is None:
+                components = docs.sparkSession.createDataFrame([], "vertex binary, component binary")
             rest = rest_of_dense(dense, components, sets, functions, threshold)
             known = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
             more = materialize(rest.join(known, ["a", "b"], "left_anti"), "dense-pairs")
