@@ -34,7 +34,7 @@ from colonnade.session import materialize
 
 DEPTH = 5
 MOST_CONTEXTS = 1 << 17
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 MERGE_AT = 6_000_000  # distinct counts a partition holds before it merges them
 CACHE = 2_000_000  # scored (context, byte) pairs a worker remembers
 END = 0xFF
@@ -156,15 +156,19 @@ class Level:
 
 
 def bit_nodes(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes with their counts of zeros and ones, from counts of bytes in contexts."""
-    keys, zeros, ones = [], [], []
+    """Nodes with their counts of zeros and ones, from counts of bytes in contexts, sorted by context and byte: then the
+    nodes of one bit place come in order, so each place is a running sum."""
+    nodes, zeros, ones = [], [], []
     for k in range(8):
+        key = context * 256 + ((1 << k) | (symbol >> (8 - k)))
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
         bit = (symbol >> (7 - k)) & 1
-        keys.append(context * 256 + ((1 << k) | (symbol >> (8 - k))))
-        zeros.append(np.where(bit == 0, n, 0))
-        ones.append(np.where(bit == 1, n, 0))
-    node, number = np.unique(np.concatenate(keys), return_inverse=True)
-    return node, np.bincount(number, np.concatenate(zeros), len(node)), np.bincount(number, np.concatenate(ones), len(node))
+        nodes.append(key[first])
+        ones.append(np.add.reduceat(n * bit, first) if len(first) else np.zeros(0))
+        zeros.append((np.add.reduceat(n, first) if len(first) else np.zeros(0)) - ones[-1])
+    node, zeros, ones = np.concatenate(nodes), np.concatenate(zeros), np.concatenate(ones)
+    order = np.argsort(node)
+    return node[order], zeros[order], ones[order]
 
 
 def build_tree(tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[Level]:
@@ -173,8 +177,10 @@ def build_tree(tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[
     below = None  # context's parent number, nodes, zeros, ones and ln P_w of the level below
     for depth in reversed(range(len(tables))):
         key, symbol, n = tables[depth]
+        order = np.lexsort((symbol, key))
+        key, symbol, n = key[order], symbol[order].astype(np.int64), n[order].astype(float)
         contexts, number = np.unique(key, return_inverse=True)
-        node, zeros, ones = bit_nodes(number.astype(np.int64), symbol.astype(np.int64), n)
+        node, zeros, ones = bit_nodes(number.astype(np.int64), symbol, n)
         kt = log_kt(zeros, ones)
         rest0, rest1, children = zeros.copy(), ones.copy(), np.zeros(len(node))
         if below is not None and len(below[0]):
@@ -217,8 +223,8 @@ def fit_tree(counts: DataFrame, depth: int, most: int) -> list[Level]:
     out = []
     for t, s in zip(tables, sized):
         rows = t.withColumn("context", F.shiftrightunsigned("key", 8)).join(s.filter(F.col("total") >= least).select("context"), "context")
-        pdf = rows.select("context", F.col("key").bitwiseAND(F.lit(255)).alias("symbol"), "n").toPandas()
-        out.append((pdf["context"].to_numpy().astype(np.int64).view(np.uint64), pdf["symbol"].to_numpy().astype(np.int64), pdf["n"].to_numpy().astype(float)))
+        got = rows.select("context", F.col("key").bitwiseAND(F.lit(255)).cast("short").alias("symbol"), "n").toArrow()
+        out.append((got.column("context").to_numpy().view(np.uint64), got.column("symbol").to_numpy(), got.column("n").to_numpy()))
     return build_tree(out)
 
 
@@ -304,8 +310,8 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int = MOST_C
     while power >= 0 and kept + histogram.get(power, 0) <= frequent:
         kept += histogram.get(power, 0)
         power -= 1
-    pdf = words.filter(F.col("n") >= (1 << (power + 1))).toPandas()
-    word_keys, word_n = pdf["key"].to_numpy().astype(np.int64).view(np.uint64), pdf["n"].to_numpy().astype(np.int64)
+    got = words.filter(F.col("n") >= (1 << (power + 1))).toArrow()
+    word_keys, word_n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(word_keys)
     scale = np.log10(n_all + 0.5 * (n_distinct + 1))
     shared = spark.sparkContext.broadcast((tree, word_keys[order], word_n[order]))
