@@ -25,6 +25,11 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def lower_word(c: Column) -> Column:
+    """A-Z to a-z in a short string; words of ASCII only, which most are, take the fast path."""
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(lower_ascii(c))
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text column with null as the empty string."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from colonnade.llm import common
-from colonnade.llm.license_scan import normal_words, word_count
+from colonnade.llm.license_scan import NOT_WORD
 from colonnade.session import materialize
 
 WINDOW = 10
@@ -27,17 +27,17 @@ ANCHORS = 3  # rarest terms intersected one after the other; the rest follow in
 SLOP = 15
 
 DOC = ["doc", "mark"]
+LENGTH_WORD = "\u0000"  # no word holds this character
 
 
 def words_of(text):
-    """The words of a text as an array; empty for none."""
-    words = normal_words(text)
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(words, " "))
+    """The words of a text as an array, case as it is; empty for none."""
+    return F.array_remove(F.split(text, NOT_WORD), "")
 
 
 def windows_of(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """The distinct windows of all items as (window, len, off, word), and which items hold them (window, item_id)."""
-    rows = items.select("item_id", words_of(common.text_of(items)).alias("words")).filter(F.size("words") > 0)
+    rows = items.select("item_id", F.transform(words_of(common.text_of(items)), common.lower_word).alias("words")).filter(F.size("words") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))
     cut = rows.select("item_id", "words", F.explode(starts).alias("start")).select(
         "item_id", F.slice("words", F.col("start") + 1, size).alias("words"))
@@ -49,12 +49,21 @@ def windows_of(items: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFra
 
 
 def build_index(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """The postings of all documents for the given distinct words: term, doc, mark, pos. ``docs`` has doc_id, text."""
-    places = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("mark"), F.posexplode(words_of(F.col("text"))).alias("pos", "word"))
-    postings = places.join(words.select("word", F.xxhash64("word").alias("term")), "word").select("term", "doc", "mark", "pos")
+    """The postings of all documents for the given distinct words: term, doc, mark, pos. ``docs`` has doc_id, text. Every
+    document row also has one posting of ``LENGTH_WORD``, whose pos is its number of words."""
+    rows = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("mark"), words_of(F.col("text")).alias("words"))
+    places = rows.select("doc", "mark", F.posexplode(F.concat("words", F.array(F.lit(LENGTH_WORD)))).alias("pos", "word"))
+    places = places.withColumn("word", common.lower_word(F.col("word")))
+    terms = words.select("word").union(docs.sparkSession.createDataFrame([(LENGTH_WORD,)], "word string")).select("word", F.xxhash64("word").alias("term"))
+    postings = places.join(materialize(terms, "index-terms"), "word").select("term", "doc", "mark", "pos")
     return materialize(postings.sortWithinPartitions("term"), "postings")
 
 
+def document_lengths(postings: DataFrame) -> DataFrame:
+    """(doc, mark, n_words), one row for each document row."""
+    return postings.filter(F.col("term") == F.xxhash64(F.lit(LENGTH_WORD))).select("doc", "mark", F.col("pos").cast("long").alias("n_words"))
+
+
 def ranked_terms(terms: DataFrame, postings: DataFrame) -> DataFrame:
     """(window, len, off, term, rank): each window's terms from the rarest on. Windows with a term that no document
     holds cannot occur and are left out."""
@@ -132,7 +141,7 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     by_item = matches.select("window", *DOC).distinct().join(holders, "window").groupBy(*DOC).agg(
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
     near = proximity_matches(postings, ranked).join(holders, "window").groupBy(*DOC).agg(F.countDistinct("item_id").alias("n_near_items"))
-    out = rows.select("doc_id", F.xxhash64("text").alias("mark"), word_count(normal_words(F.col("text"))).alias("n_words"))
+    out = document_lengths(postings).withColumnRenamed("doc", "doc_id")
     for part in (hit_words(matches), by_item, near):
         part = part.withColumnsRenamed({"doc": "p_doc", "mark": "p_mark"})
         out = out.join(part, F.col("doc_id").eqNullSafe(F.col("p_doc")) & (F.col("mark") == F.col("p_mark")), "left").drop("p_doc", "p_mark")

@@ -27,7 +27,7 @@ from colonnade.session import materialize
 
 THRESHOLD = 0.85
 MOST_TEMPLATE_WORDS = 5000
-NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+NOT_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # before A-Z are lowered
 
 # Phrases of consecutive words, and their labels.
 PHRASES = {
@@ -51,9 +51,17 @@ TEMPLATES = [
 ]
 
 
+KELVIN, KRA = "\u212a", "\u0138"  # the one character that lower() would turn into an ASCII letter, and a stand-in
+
+
+def plain_words(text: Column) -> Column:
+    """The words, one blank between two."""
+    return F.trim(F.regexp_replace(text, NOT_WORD, " "))
+
+
 def normal_words(text: Column) -> Column:
-    """Lower-cased words, one blank between two."""
-    return F.trim(F.regexp_replace(common.lower_ascii(text), NOT_WORD, " "))
+    """Lower-cased words, one blank between two. Only ASCII words are looked for, so other letters may be lowered too."""
+    return F.lower(F.replace(plain_words(text), F.lit(KELVIN), F.lit(KRA)))
 
 
 def blanks(c: Column) -> Column:
