@@ -35,8 +35,8 @@ from colonnade.session import materialize
 DEPTH = 5
 MOST_CONTEXTS = 1 << 17
 FREQUENT = 1 << 19
-MERGE_AT = 6_000_000  # distinct counts a partition holds before it merges them
-CACHE = 2_000_000  # scored (context, byte) pairs a worker remembers
+MERGE_AT = 2_000_000  # distinct counts a partition holds before it merges them
+CACHE = 1_000_000  # scored (context, byte) pairs a worker remembers
 END = 0xFF
 END_TOKEN = np.uint64(0x5EED)
 LOG10_HALF = np.log10(0.5)
@@ -323,7 +323,7 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int = MOST_C
         if scorer is None:
             _SCORERS.clear()
             scorer = _SCORERS[id(levels)] = Scorer(levels)
-        for b in common.pieces(batches, most=2 << 20):
+        for b in common.pieces(batches, most=1 << 20):
             raw, off = common.utf8(b.column("text"))
             raw = common.lower_bytes(raw)
             m = b.num_rows
