@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from colonnade.llm import common
 
-SAMPLE = 20_000
+SAMPLE = 8_000
 LEAST_ROWS = 5
 Z = 4.0
 RIDGE = 1e-4
@@ -57,8 +57,8 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return row, common.PrefixHash(raw).spans(start, end)
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, most: int) -> list:
-    """Label, text fingerprint and distinct word hashes of a bounded, hash-chosen sample of labelled rows. Both
+def sample_rows(docs: DataFrame, labels: DataFrame, most: int) -> pa.Table:
+    """toxic, mark (a text fingerprint) and words (distinct word hashes) of a bounded, hash-chosen sample of labelled rows. Both
     sides are cut by the same hash of the id before they meet."""
     known = labels.filter("toxic is not null").select(
         F.col("doc_id").alias("label_id"), F.when(F.col("toxic") == 0, 0).otherwise(1).alias("toxic"))
@@ -76,27 +76,29 @@ def sample_rows(docs: DataFrame, labels: DataFrame, most: int) -> list:
             each = [np.unique(x).tobytes() for x in np.split(h, np.searchsorted(row, np.arange(1, b.num_rows)))]
             yield pa.record_batch([b.column("toxic"), b.column("mark"), pa.array(each, pa.binary())], ["toxic", "mark", "words"])
 
-    return joined.mapInArrow(run, "toxic int, mark long, words binary").collect()
+    return joined.mapInArrow(run, "toxic int, mark long, words binary").toArrow()
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model | None:
     """Learn weights and thresholds from labelled rows."""
-    seen: dict[int, tuple[int, np.ndarray]] = {}
-    for r in sample_rows(docs, labels, most):
-        label = max(r["toxic"], seen[r["mark"]][0]) if r["mark"] in seen else r["toxic"]
-        seen[r["mark"]] = (label, np.frombuffer(r["words"], np.uint64))
-    rows = [seen[k] for k in sorted(seen)]
-    toxic = np.array([t for t, _ in rows]) > 0
-    if len(rows) == 0 or toxic.all() or not toxic.any():
+    rows = sample_rows(docs, labels, most).sort_by("mark")
+    mark, first = np.unique(rows.column("mark").to_numpy(), return_index=True)  # equal texts count once
+    if len(mark) == 0:
         return None
-    row = np.repeat(np.arange(len(rows)), [len(w) for _, w in rows])
-    word, col = np.unique(np.concatenate([w for _, w in rows]), return_inverse=True)
+    toxic = np.maximum.reduceat(rows.column("toxic").to_numpy(), first) > 0
+    if toxic.all() or not toxic.any():
+        return None
+    held = rows.column("words").take(pa.array(first))
+    row = np.repeat(np.arange(len(mark), dtype=np.int32), np.array([len(w.as_buffer()) // 8 for w in held]))
+    word, col = np.unique(np.frombuffer(b"".join(w.as_buffer() for w in held), np.uint64), return_inverse=True)
+    col = col.astype(np.int32)
+    del rows, held
     n = np.bincount(col)
     hits = np.bincount(col, weights=toxic[row])
     base = toxic.mean()
     z = (hits - n * base) / np.sqrt(n * base * (1 - base))
     keep = (n >= LEAST_ROWS) & (np.abs(z) >= Z)
-    markers = np.bincount(row, weights=(keep & (z > 0))[col], minlength=len(rows))
+    markers = np.bincount(row, weights=(keep & (z > 0))[col], minlength=len(mark))
     grade = np.where(toxic, np.where(markers >= SEVERE_WORDS, 2, 1), 0)
     number = np.cumsum(keep) - 1
     use = keep[col]
