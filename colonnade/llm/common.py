@@ -56,7 +56,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]] if len(off) else raw, off - off[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``most`` bytes of text (one long row may exceed it)."""
     for batch in batches:
         if batch.num_rows == 0:

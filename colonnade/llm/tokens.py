@@ -23,7 +23,7 @@ ODD_SPACE = re.compile(r"[^\S \n]")
 #: Marks that never join an ASCII letter next to them (no apostrophe: it begins contractions).
 MARKS = b".,;:!?#$%&*|()[]{}\"-_=+/<>@^~`\\"
 
-CACHE_PIECES = 4_000_000  # entries a worker keeps (about 30 bytes each); further ones are encoded when they come
+CACHE_PIECES = 1_500_000  # entries a worker keeps (about 30 bytes each); further ones are encoded when they come
 
 RUN = 32  # pieces encoded as one string
 
