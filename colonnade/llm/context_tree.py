@@ -5,10 +5,14 @@ known so far. Every node has a Krichevsky-Trofimov estimate of its next bit and
 ``P_w = 1/2 KT + 1/2 (product of its children's P_w)``; the block probabilities of all training bytes give each
 node's share in the mixture over depths, and a text's code length is the sum over its bits.
 
-All training bytes are counted: partitions send their distinct (context, byte) counts, which Spark adds up. The
-tree then keeps the contexts that occur at least ``m`` times, the smallest power of two for which at most
-``MOST_CONTEXTS`` contexts remain; the others of a context share one leaf. So the model that workers load is
-bounded by ``MOST_CONTEXTS`` whatever the input. A node without data takes no part in the mixture.
+The whole tree is kept: every context of the training bytes has its node at every input size. Texts are dealt into
+chunks of about ``CHUNK`` bytes; the distinct (context, byte) keys of the chunks, with their counts, are
+range-partitioned into parts of about ``PART_ROWS`` rows. A key begins with the byte before, so the range of a part
+holds whole subtrees, except the contexts of its first and last key: their counts (at most 2 (``DEPTH`` + 1) contexts
+a part) are added up on the driver and sent back. Each part scores its own keys and sends the scores to the chunks
+that hold them. A node without data takes no part in the mixture. Only where a caller asks for it (``most``) is the
+tree cut to the contexts that occur at least ``m`` times, the smallest power of two that leaves at most ``most``;
+the others of a context then share one leaf.
 
 Next to the model stands a plain unigram baseline of words. Counts of the ``FREQUENT`` most frequent words, about,
 go to the workers (a bounded table); the other words of each text meet their counts in a join.
@@ -28,15 +32,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from colonnade.llm import common
 from colonnade.session import materialize
 
 DEPTH = 5
-MOST_CONTEXTS = 1 << 17
+CHUNK = 32 << 20  # bytes of text that are scored together (one long text may exceed it)
+PART_ROWS = 1 << 19  # (chunk, key) rows of a part of the tree
 FREQUENT = 1 << 19
 MERGE_AT = 2_000_000  # distinct counts a partition holds before it merges them
-CACHE = 1_000_000  # scored (context, byte) pairs a worker remembers
 END = 0xFF
 END_TOKEN = np.uint64(0x5EED)
 LOG10_HALF = np.log10(0.5)
@@ -95,32 +100,67 @@ class Counter:
         return self.parts[0]
 
 
-def training_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """(kind, key, n): kind 0 counts (context, byte) keys, kind 1 word hashes, over all rows of ``docs``."""
+def dealt(rows: DataFrame, kind: str) -> DataFrame:
+    """``rows`` (doc_id, text, learn), written with a row number and a chunk: the number of the chunk's first row."""
+
+    def run(batches):
+        chunk, held = None, 0
+        for b in batches:
+            uid, size = b.column("uid").to_numpy(), np.diff(common.utf8(b.column("text"))[1]) + 1
+            out = np.empty(len(uid), np.int64)
+            for i, n in enumerate(size.tolist()):
+                if chunk is None or held + n > CHUNK:
+                    chunk, held = uid[i], 0
+                held += n
+                out[i] = chunk
+            yield pa.record_batch([b.column("uid"), pa.array(out), *b.columns[1:]], ["uid", "chunk", *b.schema.names[1:]])
+
+    numbered = rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text", "learn")
+    return materialize(numbered.mapInArrow(run, f"uid long, chunk long, doc_id {kind}, text string, learn boolean"), "chunks")
+
+
+def key_counts(texts: DataFrame, depth: int) -> DataFrame:
+    """(kind, chunk, key, n) of ``dealt`` texts: kind 0 has the (context, byte) keys of each chunk, n of them in rows to
+    learn; kind 1 the word hashes of the rows to learn (chunk 0). A pair may have several rows."""
 
     def run(batches):
         grams, tokens = Counter(), Counter()
 
-        def rows(kind, counter):
+        def rows(kind, counter, chunk):
             keys, n = counter.merge()
             counter.parts, counter.held = [], 0
+            if kind == 0 and len(keys):
+                learned, keys = n * (keys & np.uint64(1)).astype(np.int64), keys >> np.uint64(1)
+                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                keys, n = keys[first], np.add.reduceat(learned, first)
             for i in range(0, len(keys), 1 << 17):
                 k = keys[i:i + (1 << 17)]
-                yield pa.record_batch([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(n[i:i + (1 << 17)])], ["kind", "key", "n"])
-
-        for b in common.pieces(batches):
-            raw, off = common.utf8(b.column("text"))
-            raw = common.lower_bytes(raw)
-            grams.add(symbol_keys(raw, off, depth)[0])
-            tokens.add(word_tokens(raw, off)[0])
-            for kind, counter in ((0, grams), (1, tokens)):
-                if counter.held > MERGE_AT // 2 and len(counter.parts) == 1:  # all distinct: send and begin anew
-                    yield from rows(kind, counter)
-        yield from rows(0, grams)
-        yield from rows(1, tokens)
-
-    sent = docs.select("text").mapInArrow(run, "kind int, key long, n long")
-    return materialize(sent.groupBy("kind", "key").agg(F.sum("n").alias("n")), "training-counts")
+                yield pa.record_batch([pa.array(np.full(len(k), kind, np.int32)), pa.array(np.full(len(k), chunk, np.int64)),
+                                       pa.array(k.view(np.int64)), pa.array(n[i:i + (1 << 17)])], ["kind", "chunk", "key", "n"])
+
+        current = 0
+        for piece in common.pieces(batches):
+            chunks = piece.column("chunk").to_numpy()
+            cuts = np.append(np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1])), len(chunks))
+            for begin, end in zip(cuts[:-1], cuts[1:]):
+                b = piece.slice(begin, end - begin)
+                if chunks[begin] != current:
+                    yield from rows(0, grams, current)
+                    current = chunks[begin]
+                raw, off = common.utf8(b.column("text"))
+                raw = common.lower_bytes(raw)
+                learn = b.column("learn").to_numpy(zero_copy_only=False).astype(bool)
+                key, row = symbol_keys(raw, off, depth)
+                grams.add(key << np.uint64(1) | learn[row].astype(np.uint64))
+                token, token_row = word_tokens(raw, off)
+                tokens.add(token[learn[token_row]])
+                for kind, counter in ((0, grams), (1, tokens)):
+                    if counter.held > MERGE_AT // 2 and len(counter.parts) == 1:  # all distinct: send and begin anew
+                        yield from rows(kind, counter, current if kind == 0 else 0)
+        yield from rows(0, grams, current)
+        yield from rows(1, tokens, 0)
+
+    return materialize(texts.select("chunk", "text", "learn").mapInArrow(run, "kind int, chunk long, key long, n long"), "key-counts")
 
 
 # ---- the tree ---------------------------------------------------------------------------------
@@ -199,7 +239,7 @@ def build_tree(tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[
 
 
 def fit_tree(counts: DataFrame, depth: int, most: int) -> list[Level]:
-    """The bounded tree. ``counts`` has key and n of all (context, byte) pairs."""
+    """The tree cut to ``most`` contexts. ``counts`` has key and n of all (context, byte) pairs."""
     tables = []
     table = counts.select("key", "n")
     for d in range(depth, -1, -1):  # (context of depth d, byte), from the oldest byte dropped
@@ -268,41 +308,136 @@ def log10_of(levels: list[Level], keys: np.ndarray) -> np.ndarray:
     return total
 
 
-class Scorer:
-    """Scores keys, remembering those it has met."""
-
-    def __init__(self, levels: list[Level]):
-        self.levels = levels
-        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        at = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == distinct[inside]
-        values = np.zeros(len(distinct))
-        values[known] = self.values[at[known]]
-        new = ~known
-        if new.any():
-            values[new] = log10_of(self.levels, distinct[new])
-            if len(self.keys) + new.sum() > CACHE:
-                self.keys, self.values = distinct, values
-            else:
-                self.keys, self.values = np.insert(self.keys, at[new], distinct[new]), np.insert(self.values, at[new], values[new])
-        return values[inverse]
+# ---- the whole tree, in parts of its key range ------------------------------------------------
 
 
-_SCORERS: dict[int, Scorer] = {}
+def mixed(d: int, depth: int, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Estimate of a one, share and ln P_w of nodes at depth ``d`` from the sum of their children's ln P_w."""
+    kt = log_kt(zeros, ones)
+    log_w = kt if d == depth else np.logaddexp(kt, children) + np.log(0.5)
+    return (ones + 0.5) / (zeros + ones + 1), np.exp(kt + np.log(0.5) - log_w), log_w
 
 
-def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int = MOST_CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+def parents(node: np.ndarray) -> np.ndarray:
+    """(context, bits known) nodes of the next smaller depth."""
+    return node >> 16 << 8 | node & 255
+
+
+def grow_part(keys: np.ndarray, n: np.ndarray, depth: int, closed: list | None = None) -> tuple[list[Level], list]:
+    """Levels 0 to depth of the contexts in the range of the sorted ``keys``, and of each depth the open nodes: those of
+    contexts that hold the first or last key, which other parts may share, as (node, zeros, ones, sum of the finished
+    children's ln P_w). ``closed`` has the finished open nodes of all parts as (node, one, share)."""
+    ends = keys[[0, -1]]
+    key, count = keys[n > 0], n[n > 0].astype(float)
+    levels, opened, below = [], [], None
+    for d in reversed(range(depth + 1)):
+        if d < depth:
+            key = key >> np.uint64(16) << np.uint64(8) | key & np.uint64(255)
+            order = np.argsort(key, kind="stable")
+            key, count = key[order], count[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+            key, count = key[first], np.add.reduceat(count, first) if len(first) else count
+        node, zeros, ones = bit_nodes((key >> np.uint64(8)).astype(np.int64), (key & np.uint64(255)).astype(np.int64), count)
+        children = np.zeros(len(node)) if below is None else np.bincount(np.searchsorted(node, parents(below[0])), below[1], len(node))
+        shared = np.unique(ends >> np.uint64(8 * (depth - d + 1)) if d else ends * np.uint64(0)).astype(np.int64)
+        edge = np.isin(node >> 8, shared)
+        opened.append((node[edge], zeros[edge], ones[edge], children[edge]))
+        node = node[~edge]
+        one, share, log_w = mixed(d, depth, zeros[~edge], ones[~edge], children[~edge])
+        below = node, log_w
+        if closed is not None:
+            own = np.isin(closed[d][0] >> 8, shared)
+            node, one, share = (np.concatenate([x, y[own]]) for x, y in zip((node, one, share), closed[d]))
+            order = np.argsort(node)
+            node, one, share = node[order], one[order], share[order]
+            contexts, number = np.unique(node >> 8, return_inverse=True)
+            levels.append(Level(contexts.astype(np.uint64), number * 256 + (node & 255), one, one, share))
+    return levels[::-1], opened[::-1]
+
+
+def close_nodes(opened: list[list], depth: int) -> list:
+    """The open nodes of all parts, finished: of each depth (node, one, share)."""
+    out, below = [], None
+    for d in reversed(range(depth + 1)):
+        all_nodes, zeros, ones, children = (np.concatenate([part[d][i] for part in opened] or [np.zeros(0)]) for i in range(4))
+        node, at = np.unique(all_nodes.astype(np.int64), return_inverse=True)
+        zeros, ones, children = (np.bincount(at, x, len(node)) for x in (zeros, ones, children))
+        if below is not None:
+            children += np.bincount(np.searchsorted(node, parents(below[0])), below[1], len(node))
+        one, share, log_w = mixed(d, depth, zeros, ones, children)
+        below = node, log_w
+        out.append((node, one, share))
+    return out[::-1]
+
+
+def pack_part(batches, depth: int):
+    """One row for a range of keys: its distinct keys with their counts, which chunk holds which of them, open nodes."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    chunk, key, n = (table.column(c).to_numpy() for c in ("chunk", "key", "n"))
+    keys, at = np.unique(key.view(np.uint64), return_inverse=True)
+    count = np.bincount(at, n, len(keys)).astype(np.int64)
+    order = np.argsort(chunk, kind="stable")
+    opened = grow_part(keys, count, depth)[1]
+    sizes = np.array([len(x[0]) for x in opened], np.int64)
+    nodes = [np.concatenate([x[i] for x in opened]).astype(np.int64 if i == 0 else float) for i in range(4)]
+    row = [keys, count, chunk[order], at[order].astype(np.int32), sizes, *nodes]
+    yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in row], PACKED)
+
+
+PACKED = ["keys", "counts", "chunks", "places", "sizes", "nodes", "zeros", "ones", "children"]
+
+
+def open_nodes(parts: DataFrame) -> list[list]:
+    """The open nodes of every part, by depth."""
+    out = []
+    for r in parts.select("sizes", "nodes", "zeros", "ones", "children").toArrow().to_pylist():
+        cuts = np.cumsum(np.frombuffer(r["sizes"], np.int64))[:-1]
+        columns = [np.split(np.frombuffer(r[c], np.int64 if c == "nodes" else float), cuts) for c in ("nodes", "zeros", "ones", "children")]
+        out.append(list(zip(*columns)))
+    return out
+
+
+def key_scores(counts: DataFrame, depth: int, most: int | None) -> DataFrame:
+    """(chunk, keys, logs): the sorted keys of a part's range that a chunk holds, and log10 P(byte | context) of each."""
+    spark = counts.sparkSession
+    n_parts = -(-counts.count() // PART_ROWS) or 1
+    ranged = counts.select("chunk", "key", "n").repartitionByRange(n_parts, "key")
+    parts = materialize(ranged.mapInArrow(lambda b: pack_part(b, depth), ", ".join(f"{c} binary" for c in PACKED)), "tree-parts")
+    if most is None:
+        shared = spark.sparkContext.broadcast(close_nodes(open_nodes(parts), depth))
+    else:
+        learned = counts.filter("n > 0").groupBy("key").agg(F.sum("n").alias("n"))
+        shared = spark.sparkContext.broadcast(fit_tree(learned, depth, most))
+
+    def run(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                keys, count, chunk, place = (np.frombuffer(b.column(i)[r].as_buffer(), t) for i, t in enumerate((np.uint64, np.int64, np.int64, np.int32)))
+                logs = log10_of(grow_part(keys, count, depth, shared.value)[0] if most is None else shared.value, keys)
+                cuts = np.append(np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])), len(chunk))
+                for begin, end in zip(cuts[:-1], cuts[1:]):
+                    own = np.unique(place[begin:end])
+                    yield pa.record_batch([pa.array([chunk[begin]]), pa.array([keys[own].tobytes()], pa.binary()), pa.array([logs[own].tobytes()], pa.binary())],
+                                          ["chunk", "keys", "logs"])
+
+    return parts.select(*PACKED[:4]).mapInArrow(run, "chunk long, keys binary, logs binary")
+
+
+def joined(blobs: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in blobs] or [np.zeros(0, kind)])
+
+
+def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int | None = None, frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, n_known, train_tokens, base_score, score, n_bytes."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", common.text_of(docs).alias("text"))
-    counts = training_counts(rows.filter(learn), depth)
-    tree = fit_tree(counts.filter("kind = 0"), depth, most)
-    words = counts.filter("kind = 1").select("key", "n")
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = docs.select("doc_id", common.text_of(docs).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    texts = dealt(rows, kind)
+    counts = key_counts(texts, depth)
+    words = materialize(counts.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")), "words")
     stats = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     n_all, n_distinct = int(stats[0] or 0), int(stats[1])
     histogram = {r["power"]: r["k"] for r in words.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).agg(F.count(F.lit(1)).alias("k")).collect()}
@@ -314,21 +449,24 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int = MOST_C
     word_keys, word_n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(word_keys)
     scale = np.log10(n_all + 0.5 * (n_distinct + 1))
-    shared = spark.sparkContext.broadcast((tree, word_keys[order], word_n[order]))
+    shared = spark.sparkContext.broadcast((word_keys[order], word_n[order]))
     unseen_known = power < 0  # every training word is in the table, so any other has the count 0
 
-    def run(batches):
-        levels, keys, n = shared.value
-        scorer = _SCORERS.get(id(levels))
-        if scorer is None:
-            _SCORERS.clear()
-            scorer = _SCORERS[id(levels)] = Scorer(levels)
-        for b in common.pieces(batches, most=1 << 20):
+    def run(texts_of_chunk: pa.Table, scores: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(scored_rows(texts_of_chunk, scores)), fields)
+
+    def scored_rows(texts_of_chunk, scores):
+        keys, n = shared.value
+        known, logs = joined(scores.column("keys"), np.uint64), joined(scores.column("logs"), float)
+        by_key = np.argsort(known)
+        known, logs = known[by_key], logs[by_key]
+        for b in common.pieces(texts_of_chunk.to_batches(), most=1 << 20):
             raw, off = common.utf8(b.column("text"))
             raw = common.lower_bytes(raw)
             m = b.num_rows
             key, row = symbol_keys(raw, off, depth)
-            model = np.bincount(row, weights=scorer(key), minlength=m)
+            distinct, inverse = np.unique(key, return_inverse=True)
+            model = np.bincount(row, weights=logs[np.searchsorted(known, distinct)][inverse], minlength=m)
             token, token_row = word_tokens(raw, off)
             at = np.minimum(np.searchsorted(keys, token), max(len(keys) - 1, 0))
             held = keys[at] == token if len(keys) else np.zeros(len(token), bool)
@@ -341,12 +479,12 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int = MOST_C
             yield pa.record_batch([
                 b.column("uid"), b.column("doc_id"), pa.array(np.diff(off)), pa.array(np.bincount(token_row, minlength=m)),
                 pa.array(np.bincount(token_row[held], minlength=m)), pa.array(base.astype(float)), pa.array(model.astype(float)),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare[by_row]))],
-                ["uid", "doc_id", "n_bytes", "n_tokens", "n_held", "base", "score", "rare"])
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare[by_row]))], schema=fields)
 
-    kind = dict(docs.dtypes)["doc_id"]
-    numbered = rows.withColumn("uid", F.monotonically_increasing_id())
-    scored = materialize(numbered.select("uid", "doc_id", "text").mapInArrow(
+    fields = pa.schema([("uid", pa.int64()), ("doc_id", to_arrow_type(texts.schema["doc_id"].dataType)), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()),
+                        ("n_held", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64()))])
+    of_chunk = key_scores(counts.filter("kind = 0"), depth, most).groupBy("chunk")
+    scored = materialize(texts.select("chunk", "uid", "doc_id", "text").groupBy("chunk").cogroup(of_chunk).applyInArrow(
         run, f"uid long, doc_id {kind}, n_bytes long, n_tokens long, n_held long, base double, score double, rare array<long>"), "scored")
     rare = scored.select("uid", F.explode("rare").alias("key")).groupBy("uid", "key").agg(F.count(F.lit(1)).alias("k"))
     found = rare.join(words, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
