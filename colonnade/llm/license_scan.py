@@ -1,7 +1,9 @@
 """License scan by an exact containment join of text blocks with license templates.
 
-Blocks are the lines of a text. A block matches a template when it holds at least ``THRESHOLD`` of the
-template's distinct words. The join is the set-similarity join with prefix, length and positional
+Blocks are the lines of a text and, for notices wrapped over several lines, the windows of as many consecutive words
+of the whole text as the template has. A block matches a template when it holds at least ``THRESHOLD`` of the
+template's distinct words; a window is asked for its own template only, and made only in texts that hold as many of
+the template's words anywhere. The join is the set-similarity join with prefix, length and positional
 filters: words are ordered by their frequency over all blocks, rarest first, so that a match must share a
 word of a short template prefix; later positions bound what two sets can still share. Only words of
 templates can take part, so a block is reduced to those first. Next to it, ``phrase_places`` finds fixed
@@ -94,20 +96,38 @@ def template_sets(templates: list[tuple[str, str]], threshold: float) -> list[di
         low = "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in text.lower())
         words = sorted(set(low.split()))
         if words:
-            rows.append({"template": number, "label": label, "words": words, "need": math.ceil(threshold * len(words) - 1e-9)})
+            rows.append({"template": number, "label": label, "words": words, "need": math.ceil(threshold * len(words) - 1e-9),
+                         "span": len(low.split())})
     if sum(len(r["words"]) for r in rows) > MOST_TEMPLATE_WORDS:
         raise ValueError("too many template words for literals of a plan")
     return rows
 
 
+def windows(docs: DataFrame, sets: list[dict], vocabulary: list[str]) -> DataFrame:
+    """(doc_id, mark, block, only, words): the template's words in each window, across lines, that holds enough of them;
+    ``only`` is the template. Windows begin at a word of the template and are numbered down from -1."""
+    known = F.array(*[F.struct(F.lit(t["template"]).alias("template"), F.lit(t["need"]).alias("need"), F.lit(t["span"]).alias("span"),
+                               F.array(*map(F.lit, t["words"])).alias("words")) for t in sets])
+    held = F.array(F.array_intersect("all_words", F.array(*map(F.lit, vocabulary))))
+    able = F.transform(held, lambda h: F.filter(known, lambda t: F.size(F.array_intersect(h, t["words"])) >= t["need"]))[0]
+    texts = docs.select("doc_id", "mark", F.split(normal_words(F.col("text")), " ").alias("all_words"))
+    asked = texts.select("doc_id", "mark", "all_words", F.explode(able).alias("t"))
+    starts = F.filter(F.sequence(F.lit(1), F.size("all_words")), lambda p: F.array_contains(F.col("t.words"), F.element_at("all_words", p)))
+    spans = F.transform(starts, lambda p: F.array_intersect(F.slice("all_words", p, F.col("t.span")), F.col("t.words")))
+    enough = F.array_distinct(F.filter(spans, lambda w: F.size(w) >= F.col("t.need")))
+    found = asked.select("doc_id", "mark", F.col("t.template").alias("only"), F.posexplode(enough).alias("block", "words"))
+    return found.select("doc_id", "mark", (-1 - F.col("block")).alias("block"), "only", "words")
+
+
 def block_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold: float = THRESHOLD) -> DataFrame:
     """Every (doc_id, mark, block, template) whose block meets the threshold, with label, overlap and size of the
-    template. ``docs`` has doc_id, mark and text."""
+    template. ``docs`` has doc_id, mark and text; blocks from 0 are lines, those below 0 windows."""
     sets = template_sets(templates, threshold)
     vocabulary = sorted({w for t in sets for w in t["words"]})
     lines = docs.select("doc_id", "mark", F.posexplode(F.split("text", "\n")).alias("block", "line"))
     held = F.array_intersect(F.split(normal_words(F.col("line")), " "), F.array(*map(F.lit, vocabulary)))
-    blocks = materialize(lines.select("doc_id", "mark", "block", held.alias("words")).filter(F.size("words") > 0), "license-blocks")
+    blocks = lines.select("doc_id", "mark", "block", F.lit(None).cast("int").alias("only"), held.alias("words")).filter(F.size("words") > 0)
+    blocks = materialize(blocks.unionByName(windows(docs, sets, vocabulary)), "license-blocks")
     # the global order: rarest word first; one row for each template word
     frequency = {r["word"]: r["n"] for r in blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
@@ -121,11 +141,12 @@ def block_matches(docs: DataFrame, templates: list[tuple[str, str]], threshold:
     spark = docs.sparkSession
     index = spark.createDataFrame([(order[w], *x) for w, xs in prefix.items() for x in xs], "rank int, template int, i int, size int, need int")
     ranked = blocks.filter(F.size("words") >= smallest).select(
-        "doc_id", "mark", "block", F.array_sort(F.transform("words", lambda w: rank[w])).alias("ranks"))
+        "doc_id", "mark", "block", "only", F.array_sort(F.transform("words", lambda w: rank[w])).alias("ranks"))
     probes = ranked.select("*", F.posexplode("ranks").alias("j", "rank"))
     probes = probes.filter(F.col("j") <= F.size("ranks") - smallest)
     candidates = probes.join(F.broadcast(index), "rank").filter(
-        (F.size("ranks") >= F.col("need"))  # length
+        (F.col("only").isNull() | (F.col("only") == F.col("template")))
+        & (F.size("ranks") >= F.col("need"))  # length
         & (F.col("j") <= F.size("ranks") - F.col("need"))  # prefix of the block
         & (1 + F.least(F.col("size") - F.col("i") - 1, F.size("ranks") - F.col("j") - 1) >= F.col("need")))  # position
     members = F.create_map(*chain.from_iterable((F.lit(t["template"]), F.array(*[F.lit(order[w]) for w in t["words"]])) for t in sets))
