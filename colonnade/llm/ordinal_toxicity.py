@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from colonnade.llm import common
 
-SAMPLE = 8_000
+SAMPLE = 20_000
 LEAST_ROWS = 5
 Z = 4.0
 RIDGE = 1e-4
