@@ -45,7 +45,7 @@ def test_parts_equal_the_whole_tree(parts):
 def test_every_context_is_kept(spark, monkeypatch):
     monkeypatch.setattr(context_tree, "CHUNK", 1 << 16, raising=False)
     monkeypatch.setattr(context_tree, "PART_ROWS", 1 << 16, raising=False)
-    texts = random_texts(8, 30_000, "abcdefghijklmnopqrstuvwxyz0123456789 ")
+    texts = [2 * t for t in random_texts(8, 15_000, "abcdefghijklmnopqrstuvwxyz0123456789 ")]
     levels, keys = whole_tree(texts, 5)
     assert sum(len(x.contexts) for x in levels) > 1 << 17
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
