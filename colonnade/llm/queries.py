@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.llm import (chosen_path, common, context_tree, cost_packing, decontaminate, fuse_dedup, language_id,
-                           license_scan, ordinal_toxicity, suffix_dedup, token_files, tokens)
+                           license_scan, multi_index, ordinal_toxicity, pivot_search, suffix_dedup, token_files, tokens, whitening)
 from colonnade.session import scratch_path
 from colonnade.sources.tables import load
 
@@ -67,6 +67,22 @@ def op10_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuse_dedup.dedup(load(spark, sf_dir, "documents"))
 
 
+def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives within the windows of each anchor's positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return multi_index.mine(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading components, scaled to unit variance."""
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
+def op13_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return pivot_search.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _TOKENS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
@@ -134,6 +150,28 @@ g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) O
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
 """
 
+_VECTORS = """f AS (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+x AS (SELECT vec_id, label, list_transform(v, lambda c: floor(256 * c)) AS x FROM f WHERE len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0)"""
+
+SQL["op11_multi_index"] = f"""
+WITH {_VECTORS},
+l AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, x FROM x WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+      FROM l a JOIN l b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+SQL["op13_pivot_search"] = f"""
+WITH {_VECTORS},
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score FROM x q JOIN x c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_license_scan, op3_suffix_dedup, op4_context_tree, op5_chosen_path, op6_decontaminate, op7_token_files, op8_cost_packing, op9_ordinal_toxicity,
-    op10_fuse_dedup)}
+    op10_fuse_dedup, op11_multi_index, op12_lanczos_whitening, op13_pivot_search)}
