@@ -6,6 +6,7 @@ this module starts a job.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,8 +96,9 @@ INVERSE = pow(BASE, -1, 1 << 64)
 
 
 class PrefixHash:
-    """Hashes of any span of a byte array in O(1) after one pass (polynomial mod 2^64 over random
-    byte codes, finalized)."""
+    """Rolling sums of a byte array: a polynomial mod 2^64 over random byte codes, in O(1) a span after one pass. Good for
+    choosing places (equal spans have equal values), not for telling spans apart: some different long spans collide for
+    every base."""
 
     _pow = powers(BASE, 1)
     _inv = powers(INVERSE, 1)
@@ -109,12 +111,51 @@ class PrefixHash:
         self.sums = np.zeros(n + 1, U64)
         np.cumsum(BYTE_CODE[raw] * PrefixHash._pow[:n], out=self.sums[1:])
 
-    def raw_spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * PrefixHash._inv[start]
 
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Equal spans have equal values; the length takes part."""
-        return mix(self.raw_spans(start, end) + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+CHAINED = 512  # bytes up to which spans are hashed block by block; longer ones get a cryptographic digest
+
+
+def blocks_of(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one little-endian number (zeros after the end)."""
+    return np.ndarray(len(raw) + 1, "<u8", np.concatenate([raw, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
+
+
+def block_at(blocks: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The next eight bytes of spans with ``left`` > 0 bytes to go; bytes behind a span's end read as zero."""
+    return blocks[start] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (U64(8) * (U64(8) - np.minimum(left, 8).astype(U64))))
+
+
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit value of each span of bytes. Eight bytes at a time go through a bijective finalizer whose input is the
+    value so far, so there is no algebra by which different spans meet: spans of one length up to 8 bytes never collide,
+    others with the chance of random numbers. Spans above ``CHAINED`` bytes get eight bytes of BLAKE2b."""
+    start, size = np.asarray(start, np.int64), np.asarray(end, np.int64) - start
+    h = size.astype(U64) * U64(0xD6E8FEB86659FD93)
+    blocks = blocks_of(raw)
+    todo = np.flatnonzero(size <= CHAINED)
+    at = 0
+    while len(todo):
+        left = size[todo] - at
+        more = left > 0
+        todo, left = todo[more], left[more]
+        h[todo] = mix(h[todo] ^ block_at(blocks, start[todo] + at, left))
+        at += 8
+    for i in np.flatnonzero(size > CHAINED).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(raw[start[i]:start[i] + size[i]], digest_size=8).digest(), "little")
+    return h
+
+
+def same_spans(raw_a: np.ndarray, start_a: np.ndarray, raw_b: np.ndarray, start_b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether spans of equal size hold the same bytes."""
+    a, b = blocks_of(raw_a), blocks_of(raw_b)
+    same = np.ones(len(size), bool)
+    todo, at = np.flatnonzero(size > 0), 0
+    while len(todo):
+        left = size[todo] - at
+        equal = block_at(a, start_a[todo] + at, left) == block_at(b, start_b[todo] + at, left)
+        same[todo[~equal]] = False
+        todo, at = todo[equal & (left > 8)], at + 8
+    return same
 
 
 def lower_bytes(raw: np.ndarray) -> np.ndarray:

@@ -118,7 +118,7 @@ def find_runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
             raw, off = common.utf8(b.column("text"))
             r, lo, hi, place, h = runs_of(raw, off, length, gram)
             shape = ((hi - lo) << 8) | (place - lo)
-            name = common.mix(common.PrefixHash(raw).spans(off[r] + lo, off[r] + hi + length) + shape.astype(U64))
+            name = common.mix(common.span_hashes(raw, off[r] + lo, off[r] + hi + length) + shape.astype(U64))
             yield pa.record_batch([b.column("mark").take(pa.array(r)), pa.array(lo, pa.int32()), pa.array(shape, pa.int32()),
                                    pa.array(h.view(np.int64)), pa.array(name.view(np.int64))], ["mark", "lo", "shape", "bucket", "name"])
 

@@ -4,7 +4,9 @@ The tokenizer first splits text by a fixed pattern and merges bytes inside each
 part borders can be told from single bytes: before a blank that a non-blank follows, around a
 single line feed, and between an ASCII letter and an ASCII mark. Pieces cut there repeat far more
 often than texts, so numpy cuts and hashes them, the library encodes each new piece, and ids of a
-text are gathered from the cache. Texts with other white space go through the library whole.
+text are gathered from the cache. The hash only finds a piece: its bytes are compared with those that
+were encoded, and texts of a batch in which two pieces share a hash go through the library whole, as do texts
+with other white space.
 """
 
 from __future__ import annotations
@@ -16,14 +18,14 @@ from itertools import chain
 
 import numpy as np
 
-from colonnade.llm.common import PrefixHash
+from colonnade.llm.common import same_spans, span_hashes
 
 #: White space other than the blank and the line feed.
 ODD_SPACE = re.compile(r"[^\S \n]")
 #: Marks that never join an ASCII letter next to them (no apostrophe: it begins contractions).
 MARKS = b".,;:!?#$%&*|()[]{}\"-_=+/<>@^~`\\"
 
-CACHE_PIECES = 1_500_000  # entries a worker keeps (about 30 bytes each); further ones are encoded when they come
+CACHE_PIECES = 1_000_000  # entries a worker keeps (about 50 bytes each); further ones are encoded when they come
 
 RUN = 32  # pieces encoded as one string
 
@@ -72,6 +74,10 @@ class PieceEncoder:
         self.keys = np.zeros(0, np.uint64)
         self.lo = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int32)
+        self.place = np.zeros(0, np.int64)  # of the piece in ``bytes``
+        self.size = np.zeros(0, np.int32)
+        self.bytes = np.zeros(1 << 16, np.uint8)
+        self.held = 0
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
         with contextlib.suppress(AttributeError):  # its own cache only slows new pieces down
@@ -105,30 +111,49 @@ class PieceEncoder:
         each = [self.whole(p.decode()) for p in new]
         return np.concatenate(each), np.array([len(x) for x in each], np.int64)
 
-    def add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        """Append ids to the pool; ``keys`` are sorted and new."""
+    def add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray, data: bytes, size: np.ndarray) -> None:
+        """Append ids and bytes to the pools; ``keys`` are sorted and new."""
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+        while self.held + len(data) > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros(len(self.bytes), np.uint8)])
         self.pool[self.used:self.used + len(ids)] = ids
-        lo = self.used + np.cumsum(count) - count
+        self.bytes[self.held:self.held + len(data)] = np.frombuffer(data, np.uint8)
+        lo, place = self.used + np.cumsum(count) - count, self.held + np.cumsum(size) - size
         self.used += len(ids)
+        self.held += len(data)
         at = np.searchsorted(self.keys, keys)
         self.keys, self.lo, self.count = np.insert(self.keys, at, keys), np.insert(self.lo, at, lo), np.insert(self.count, at, count)
+        self.place, self.size = np.insert(self.place, at, place), np.insert(self.size, at, size)
 
-    def encode_regular(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and n + 1 offsets into them."""
+    def forget(self) -> None:
+        self.keys, self.lo, self.count, self.place, self.size = (x[:0] for x in (self.keys, self.lo, self.count, self.place, self.size))
+        self.used = self.held = 0
+
+    def encode_regular(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of all texts one after the other, and n + 1 offsets into them; None if two pieces share a hash."""
         start = piece_starts(raw, off)
-        end = np.append(start[1:], len(raw))
-        h = PrefixHash(raw).spans(start, end)
+        size = np.append(start[1:], len(raw)) - start
+        h = span_hashes(raw, start, start + size)
         keys, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        long = size > 8  # shorter ones cannot collide at one size
+        origin = first[inverse]
+        if (size != size[origin]).any() or not same_spans(raw, start[long], raw, start[origin[long]], size[long]).all():
+            return None
         at = np.searchsorted(self.keys, keys)
         missing = np.ones(len(keys), bool)
         inside = at < len(self.keys)
         missing[inside] = self.keys[at[inside]] != keys[inside]
+        known, own = at[~missing], first[~missing]
+        if (self.size[known] != size[own]).any() or not same_spans(self.bytes[:self.held], self.place[known], raw, start[own], size[own]).all():
+            return None
         if missing.any():
+            if len(self.keys) > self.cache_pieces:
+                self.forget()
+                return self.encode_regular(raw, off)
             data = raw.tobytes()
-            s, e = start[first[missing]].tolist(), end[first[missing]].tolist()
-            new = [data[a:b] for a, b in zip(s, e)]
+            s, n = start[first[missing]], size[first[missing]]
+            new = [data[a:b] for a, b in zip(s.tolist(), (s + n).tolist())]
             line = [i for i, p in enumerate(new) if p == b"\n"]
             ids, count = self.new_ids([p if p != b"\n" else b"." for p in new])
             if line:
@@ -136,10 +161,7 @@ class PieceEncoder:
                 for i in line:
                     each[i] = self.whole("\n")
                 ids, count = np.concatenate(each), np.array([len(x) for x in each], np.int64)
-            if len(self.keys) > self.cache_pieces:
-                self.keys, self.lo, self.count, self.used = self.keys[:0], self.lo[:0], self.count[:0], 0
-                return self.encode_regular(raw, off)
-            self.add(keys[missing], ids, count)
+            self.add(keys[missing], ids, count, b"".join(new), n)
             at = np.searchsorted(self.keys, keys)
         count = self.count[at][inverse].astype(np.int64)
         ends = np.cumsum(count)
@@ -161,9 +183,14 @@ class PieceEncoder:
             data = [texts[i].encode() for i in plain]
             off = np.zeros(len(data) + 1, np.int64)
             np.cumsum([len(d) for d in data], out=off[1:])
-            ids, at = self.encode_regular(np.frombuffer(b"".join(data), np.uint8), off)
-            for i, lo, hi in zip(plain, at[:-1].tolist(), at[1:].tolist()):
-                out[i] = ids[lo:hi]
+            found = self.encode_regular(np.frombuffer(b"".join(data), np.uint8), off)
+            if found is None:
+                for i in plain:
+                    out[i] = self.whole(texts[i])
+            else:
+                ids, at = found
+                for i, lo, hi in zip(plain, at[:-1].tolist(), at[1:].tolist()):
+                    out[i] = ids[lo:hi]
         return out
 
 
