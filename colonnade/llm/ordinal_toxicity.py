@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colonnade.llm import common
+from colonnade.session import materialize
 
 SAMPLE = 20_000
 LEAST_ROWS = 5
@@ -54,18 +55,18 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, off = common.utf8(column)
     raw = common.lower_bytes(raw)
     start, end, row = common.words(raw, off, IS_SEPARATOR)
-    return row, common.PrefixHash(raw).spans(start, end)
+    return row, common.span_hashes(raw, start, end)
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, most: int) -> pa.Table:
-    """toxic, mark (a text fingerprint) and words (distinct word hashes) of a bounded, hash-chosen sample of labelled rows. Both
-    sides are cut by the same hash of the id before they meet."""
+def sample_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """mark (a text fingerprint), toxic and words (distinct word hashes) of a bounded, hash-chosen sample of labelled rows, equal
+    texts once. Both sides are cut by the same hash of the id before they meet."""
     known = labels.filter("toxic is not null").select(
         F.col("doc_id").alias("label_id"), F.when(F.col("toxic") == 0, 0).otherwise(1).alias("toxic"))
     n = known.count()
     share = min(1.0, most / max(n, 1))
     cut = int(share * (1 << 30))
-    mark = lambda c: F.pmod(F.xxhash64(c.cast("long"), F.lit(7)), F.lit(1 << 30)) < cut
+    mark = lambda c: F.pmod(F.xxhash64(c.cast("string"), F.lit(7)), F.lit(1 << 30)) < cut
     known = known.filter(mark(F.col("label_id"))).groupBy("label_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(docs["doc_id"].alias("id"), common.text_of(docs).alias("text")).filter(mark(F.col("id")))
     joined = rows.join(known, rows["id"] == known["label_id"]).select(known["toxic"], F.xxhash64("text").alias("mark"), "text")
@@ -73,38 +74,51 @@ def sample_rows(docs: DataFrame, labels: DataFrame, most: int) -> pa.Table:
     def run(batches):
         for b in common.pieces(batches):
             row, h = word_hashes(b.column("text"))
-            each = [np.unique(x).tobytes() for x in np.split(h, np.searchsorted(row, np.arange(1, b.num_rows)))]
-            yield pa.record_batch([b.column("toxic"), b.column("mark"), pa.array(each, pa.binary())], ["toxic", "mark", "words"])
+            each = [np.unique(x).view(np.int64) for x in np.split(h, np.searchsorted(row, np.arange(1, b.num_rows)))]
+            yield pa.record_batch([b.column("toxic"), b.column("mark"), pa.array(each, pa.list_(pa.int64()))], ["toxic", "mark", "words"])
 
-    return joined.mapInArrow(run, "toxic int, mark long, words binary").toArrow()
+    found = joined.mapInArrow(run, "toxic int, mark long, words array<long>")
+    return materialize(found.groupBy("mark").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words")), "toxic-sample")
+
+
+def word_statistics(rows: DataFrame, n: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of at least ``LEAST_ROWS`` sampled texts whose toxic share cannot be chance, sorted, and which of them are
+    markers. Counts and the test are Spark's; the driver gets the words that pass."""
+    base = toxic / n
+    counts = rows.select(F.explode("words").alias("word"), "toxic").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hits"))
+    z = (F.col("hits") - F.col("n") * base) / F.sqrt(F.col("n") * (base * (1 - base)))
+    kept = counts.filter((F.col("n") >= LEAST_ROWS) & (F.abs(z) >= Z)).select("word", (z > 0).alias("marker")).toArrow()
+    word = kept.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(word)
+    return word[order], kept.column("marker").to_numpy()[order].astype(bool)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model | None:
     """Learn weights and thresholds from labelled rows."""
-    rows = sample_rows(docs, labels, most).sort_by("mark")
-    mark, first = np.unique(rows.column("mark").to_numpy(), return_index=True)  # equal texts count once
-    if len(mark) == 0:
-        return None
-    toxic = np.maximum.reduceat(rows.column("toxic").to_numpy(), first) > 0
-    if toxic.all() or not toxic.any():
+    rows = sample_rows(docs, labels, most)
+    n, n_toxic = (int(x or 0) for x in rows.agg(F.count(F.lit(1)), F.sum("toxic")).first())
+    if n_toxic in (0, n):
         return None
-    held = rows.column("words").take(pa.array(first))
-    row = np.repeat(np.arange(len(mark), dtype=np.int32), np.array([len(w.as_buffer()) // 8 for w in held]))
-    word, col = np.unique(np.frombuffer(b"".join(w.as_buffer() for w in held), np.uint64), return_inverse=True)
-    col = col.astype(np.int32)
-    del rows, held
-    n = np.bincount(col)
-    hits = np.bincount(col, weights=toxic[row])
-    base = toxic.mean()
-    z = (hits - n * base) / np.sqrt(n * base * (1 - base))
-    keep = (n >= LEAST_ROWS) & (np.abs(z) >= Z)
-    markers = np.bincount(row, weights=(keep & (z > 0))[col], minlength=len(mark))
+    word, marker = word_statistics(rows, n, n_toxic)
+
+    def run(batches):  # of each text, the places of its kept words
+        for b in batches:
+            held = b.column("words")
+            at = np.searchsorted(word, h := held.flatten().to_numpy().view(np.uint64))
+            hit = word[np.minimum(at, max(len(word) - 1, 0))] == h if len(word) else np.zeros(len(h), bool)
+            row = np.repeat(np.arange(b.num_rows), held.value_lengths().to_numpy())[hit]
+            ends = np.searchsorted(row, np.arange(b.num_rows + 1))
+            yield pa.record_batch([b.column("mark"), b.column("toxic"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at[hit].astype(np.int32)))],
+                                  ["mark", "toxic", "at"])
+
+    held = rows.select("mark", "toxic", "words").mapInArrow(run, "mark long, toxic int, at array<int>").toArrow().sort_by("mark").combine_chunks()
+    toxic = held.column("toxic").to_numpy() > 0
+    at = held.column("at").combine_chunks()
+    row, col = np.repeat(np.arange(n, dtype=np.int32), at.value_lengths().to_numpy()), at.flatten().to_numpy()
+    markers = np.bincount(row, weights=marker[col], minlength=n)
     grade = np.where(toxic, np.where(markers >= SEVERE_WORDS, 2, 1), 0)
-    number = np.cumsum(keep) - 1
-    use = keep[col]
-    row, col, k = row[use], number[col[use]], int(keep.sum())
-    weights, thresholds = solve(grade, row, col, k)
-    return Model(word[keep], weights, thresholds)
+    weights, thresholds = solve(grade, row, col, len(word))
+    return Model(word, weights, thresholds)
 
 
 def solve(grade: np.ndarray, row: np.ndarray, col: np.ndarray, k: int, steps: int = STEPS,
