@@ -5,9 +5,10 @@ documents by minwise tokens: the path of a document in a tree is its minwise tok
 hash, then its second, and so on. A node of at most ``SMALL`` sets is a leaf and is compared exhaustively;
 a larger one branches again by the next token. Two sets of similarity s share a path of depth d with
 probability s^d, so trees are repeated until the recall aimed at is met (``recall``). Nodes that stay large at
-``DEPTH`` hold sets that are alike: they are linked by a star around the member with the fewest elements of its own,
-and after that only members that are not yet in one component are compared. There, elements that no other member of
-such a node holds bound what two sets can share, which spares most comparisons of sets that only resemble each other.
+``DEPTH`` hold sets that are alike: they are linked by a star around their centre, the member with the fewest elements of its own,
+and after that only members that are not yet in one component are compared. There, what each set has in common with the
+centre, and the elements outside the centre that both hold, bound what two sets can share, which spares most comparisons of
+sets that only resemble each other.
 
 Equal sets are one vertex, so copies never make pairs. Candidates whose sizes or minwise signatures rule the
 threshold out are dropped; the others are confirmed on full sets, in rounds, leaving out pairs whose
@@ -38,6 +39,7 @@ THRESHOLD = 80  # per cent
 TREES = 12
 DEPTH = 4
 SMALL = 32
+FIRST = 4  # partners of a set that are compared before components are looked at
 MISS = 1e-7  # chance that a pair at the threshold fails the signature test
 
 MULTIPLIERS = common.mix(np.arange(1, 1 << 12, dtype=np.uint64)) | np.uint64(1)
@@ -65,7 +67,7 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
     raw, off = common.utf8(column)
     raw = common.lower_bytes(raw)
     start, end, row = common.words(raw, off)
-    w = common.PrefixHash(raw).spans(start, end)
+    w = common.span_hashes(raw, start, end)
     n = len(off) - 1
     first = np.searchsorted(row, np.arange(n + 1))
     code = np.zeros(max(len(w) - size + 1, 0), np.uint64)
@@ -168,15 +170,18 @@ def common_elements(members: DataFrame) -> DataFrame:
     return elements.join(twice, "element").groupBy("name").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def candidate_pairs(leaves: DataFrame, dense: DataFrame | None, sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b): all pairs of a leaf, and in every dense node a star around the member with the fewest
-    elements of its own. ``dense`` has node, name, shared."""
+def centres(dense: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, centre): in every dense node the member with the fewest elements of its own. ``dense`` has node, name, shared."""
+    own = dense.join(sets.select("name", "n"), "name").withColumn("lone", F.col("n") - F.col("shared"))
+    return own.groupBy("node").agg(F.min_by("name", F.struct("lone", "name")).alias("centre"))
+
+
+def candidate_pairs(leaves: DataFrame, dense: DataFrame | None) -> DataFrame:
+    """Distinct pairs (a < b): all pairs of a leaf, and in every dense node a star around its centre. ``dense`` has node, name, centre."""
     x, y = leaves.select("node", F.col("name").alias("a")), leaves.select("node", F.col("name").alias("b"))
     pairs = x.join(y, "node").filter("a < b").select("a", "b")
     if dense is not None:
-        own = dense.join(sets.select("name", "n"), "name").withColumn("lone", F.col("n") - F.col("shared"))
-        centre = own.groupBy("node").agg(F.min_by("name", F.struct("lone", "name")).alias("centre"))
-        star = dense.join(centre, "node").filter("name <> centre")
+        star = dense.filter("name <> centre")
         pairs = pairs.union(star.select(F.least("name", "centre").alias("a"), F.greatest("name", "centre").alias("b")))
     return pairs.distinct()
 
@@ -223,14 +228,13 @@ def labelled(pairs: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def resolve(pairs: DataFrame, members: DataFrame, threshold: int, components: DataFrame | None) -> DataFrame | None:
-    """Components after every pair that joins two components has been confirmed or refused. A set's pairs are ranked by
-    how well they agree; rounds take the first of every set, then up to the 32nd, then up to the 1024th, and so on, and skip
-    pairs whose ends have met."""
+    """Components after every pair that joins two components has been confirmed or refused: first the pairs in which a set
+    agrees best with another (``FIRST`` of each), then all others whose ends have not met by those."""
     order = Window.partitionBy("a").orderBy(F.col("agree").desc(), "b")
     ranked, seen = materialize_with(pairs.select("a", "b", F.row_number().over(order).alias("rank")), "ranked", last=F.max("rank"))
-    done, upto = 0, 1
-    while done < (seen["last"] or 0):
-        batch = ranked.filter((F.col("rank") > done) & (F.col("rank") <= upto)).select("a", "b")
+    rounds = [F.col("rank") <= FIRST, F.col("rank") > FIRST]
+    for some in rounds if (seen["last"] or 0) > FIRST else rounds[:1]:
+        batch = ranked.filter(some).select("a", "b")
         if components is not None:
             batch = labelled(batch, components).filter("ca <> cb").select("a", "b")
         links, found = materialize_with(confirm(batch, members, threshold), "links")
@@ -239,28 +243,46 @@ def resolve(pairs: DataFrame, members: DataFrame, threshold: int, components: Da
             if components is not None:
                 edges = edges.union(components.select(F.col("vertex").alias("u"), F.col("component").alias("v")))
             components = materialize(connected_components(edges), "components")
-        done, upto = upto, upto * 32
     return components
 
 
-def rest_of_dense(dense: DataFrame, components: DataFrame, sets: DataFrame, functions: int, threshold: int) -> DataFrame:
-    """Plausible pairs inside dense nodes whose ends are in different components: members outside a node's largest
-    component against all its members. Two sets share no more than the elements each has in common with any member, so
-    pairs that this bound excludes are left out, and partners with most such elements come first (``agree``)."""
-    own = dense.join(components.withColumnRenamed("vertex", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
-    own = materialize(own, "dense-members")  # with node, name, shared, component
-    shares = own.groupBy("node", "component").agg(F.count(F.lit(1)).alias("k"))
-    main = shares.groupBy("node").agg(F.max_by("component", "k").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
-    within = own.join(main, "node").join(sets.select("name", "n", "sig"), "name")
-    within = within.filter(F.col("shared") * 100 >= F.col("n") * threshold)  # else it is like no other member
-    x = within.filter("component <> main").select("node", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"), F.col("sig").alias("sig_a"))
-    y = within.select("node", F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"), F.col("sig").alias("sig_b"))
-    agree, fits = plausible(F.col("n_a"), F.col("n_b"), F.col("sig_a"), F.col("sig_b"), functions, threshold)
-    most = F.least("s_a", "s_b")
-    reachable = most * (100 + threshold) >= (F.col("n_a") + F.col("n_b")) * threshold
-    pairs = x.join(y, "node").filter((F.col("ca") != F.col("cb")) & reachable & fits)
-    rank = F.col("s_b") * 1000 / F.col("n_b")  # the member nearest to the middle of the node first
-    return pairs.groupBy(F.col("a"), F.col("b")).agg(F.max((rank * 100 + agree).cast("int")).alias("agree"))
+def against_centre(ties: DataFrame, members: DataFrame) -> DataFrame:
+    """(name, centre, k, other): of each tie (name, centre), how many elements the centre holds too, and the other elements."""
+
+    def run(batches):
+        for b in batches:
+            k, other = [], []
+            for x, c in zip(b.column("x"), b.column("c")):
+                x, c = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(c.as_buffer(), np.uint64)
+                held = c[np.minimum(np.searchsorted(c, x), len(c) - 1)] == x
+                k.append(int(held.sum()))
+                other.append(x[~held].view(np.int64))
+            yield pa.record_batch([b.column("name"), b.column("centre"), pa.array(k, pa.int64()), pa.array(other, pa.list_(pa.int64()))], ["name", "centre", "k", "other"])
+
+    both = ties.join(members.select("name", F.col("members").alias("x")), "name").join(members.select(F.col("name").alias("centre"), F.col("members").alias("c")), "centre")
+    return both.select("name", "centre", "x", "c").mapInArrow(run, "name binary, centre binary, k long, other array<long>")
+
+
+def rest_of_dense(dense: DataFrame, members: DataFrame, components: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs inside dense nodes whose ends are in different components and that may reach the threshold. Nodes with the same centre
+    are one group; in each, members outside its largest component meet all members. Two sets share at most the elements that
+    each has in common with the centre, and the elements outside the centre that both hold: the first bound alone lets few pairs
+    through, all others have such an element, and are found by it."""
+    own = dense.select("centre", "name", "shared").distinct().join(components.withColumnRenamed("vertex", "name"), "name", "left").join(sets.select("name", "n"), "name")
+    own = own.withColumn("component", F.coalesce("component", "name"))
+    main = own.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("size")).groupBy("centre").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
+    within = own.join(main, "centre").filter(F.col("shared") * 100 >= F.col("n") * threshold)  # else it is like no other member
+    within = materialize(within.withColumn("out", F.col("component") != F.col("main")).select("centre", "name", "n", "component", "out"), "dense-members")
+    tied = materialize(within.join(against_centre(within.select("name", "centre"), members), ["name", "centre"]), "dense-ties")
+    x = tied.filter("out").select("centre", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("k").alias("ka"), F.col("other").alias("oa"))
+    y = tied.select("centre", F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("k").alias("kb"), F.col("other").alias("ob"))
+    enough = lambda k: k * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold
+    by_centre = x.drop("oa").join(y.drop("ob"), "centre").filter((F.col("ca") != F.col("cb")) & enough(F.least("ka", "kb"))).select("a", "b")
+    held = x.withColumn("element", F.explode("oa")).drop("oa").join(y.withColumn("element", F.explode("ob")).drop("ob"), ["centre", "element"]).filter("ca <> cb")
+    by_element = held.groupBy("centre", "a", "b", "na", "nb", "ka", "kb").agg(F.count(F.lit(1)).alias("more")).filter(enough(F.least("ka", "kb") + F.col("more"))).select("a", "b")
+    pairs = by_centre.union(by_element)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
@@ -275,7 +297,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
         members = materialize(full_sets(docs, sets.select("name", "doc_id").join(dense.select("name").distinct(), "name", "left_semi"), size), "dense-sets")
         shared = materialize(common_elements(members), "shared")
         dense = dense.join(shared, "name")  # a set that shares nothing has no link here
-    pairs, seen = materialize_with(prune(candidate_pairs(leaves, dense, sets), sets, functions, threshold), "pairs")
+        dense = materialize(dense.join(centres(dense, sets), "node"), "dense")
+    pairs, seen = materialize_with(prune(candidate_pairs(leaves, dense), sets, functions, threshold), "pairs")
     components = None
     if seen["rows"]:
         used = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
@@ -287,9 +310,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
     if dense is not None:
         if components is None:
             components = docs.sparkSession.createDataFrame([], "vertex binary, component binary")
-        rest = rest_of_dense(dense, components, sets, functions, threshold)
-        known = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        more = materialize(rest.join(known, ["a", "b"], "left_anti"), "dense-pairs")
+        rest = rest_of_dense(dense, members, components, sets, threshold)
+        more = materialize(prune(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), sets, functions, threshold), "dense-pairs")
         components = resolve(more, members, threshold, components)
     if components is None:
         own = rows.withColumn("component_id", F.col("doc_id"))
