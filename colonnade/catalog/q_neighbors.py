@@ -1,9 +1,10 @@
-"""2.15 Neighbor graphs and graph clustering (exact, grid-blocked)."""
+"""2.15 Neighbor graphs and graph clustering (exact, on a metric index)."""
 
 from pyspark.sql import functions as F
 
 from colonnade.catalog import query
 from colonnade.ml import neighbors as N
+from colonnade.ml import spectral as S
 from colonnade.sources.tables import Tables
 
 
@@ -59,4 +60,4 @@ def q_density_clusters(spark, d):
 
 @query("spectral")
 def q_spectral(spark, d):
-    return N.spectral(_space(spark, d), n_clusters=10, n_neighbors=10)
+    return S.spectral(_space(spark, d), n_clusters=10, n_neighbors=10, tol=1e-3)

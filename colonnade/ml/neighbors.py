@@ -1,127 +1,213 @@
-"""Exact neighbor queries, neighbor graphs and graph clustering.
-
-Candidates come from a grid over a low-dimensional PCA projection of the
-vectors: an orthogonal projection never increases distances, so every pair
-within radius r lies in the same or an adjacent grid cell (cell size r).
-Each point is joined only with the points of its 3^m neighboring cells; the
-exact distance then filters the candidates.  k-nearest neighbors grow the
-radius per point (doubling) until a point has at least k neighbors within
-it, which makes them exact.  The work follows the data: it is small when
-the projection separates the points and approaches all pairs only when the
-vectors have no low-dimensional structure (then exact neighbors need it).
-
-Connected components alternate large-star and small-star steps (``plans.components``).
+"""Exact neighbor queries, neighbor graphs and graph clustering on a metric index of balls.
+
+Centres, spread out by farthest-first choice from a bounded sample, cut the points into balls: each point belongs to its nearest
+centre. A ball keeps its number of points and its radius, so the triangle inequality tells which balls can hold a point within
+r of a query: those whose centre is no farther than r plus their radius. Queries are sent to these balls only, and meet their
+points in blocks of bounded size (a ball of any number of points is many blocks). Inside a block points whose distance to the
+centre excludes them are left out, one matrix product per block gives squared distances that only select candidates (widened by
+more than their rounding error), and the candidates' distances are computed exactly by differences.
+
+k nearest neighbors: a first join inside each point's own ball gives its k best so far; the k-th distance, or a bound from the
+balls' sizes where it is smaller, is the radius of the second join. Both keep k rows a point and block. Clusterings never write
+pairs: blocks return counts, forests of their own components, and one link for each component that a border point touches.
+
+The work follows the data: points with structure meet few balls, and exact neighbors of points without any need all of them.
+Connected components come from ``plans.components``.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
+
 import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import PowerIterationClustering
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from colonnade.ml.linalg import gram
 from colonnade.plans import components
+from colonnade.plans.components import least_reachable
 from colonnade.session import materialize
 
-PROJ_DIMS = 2
-CELL_ROWS = 2000  # points of a grid cell that one task compares
+BALL_ROWS = 512  # points of a ball, about
+MOST_BALLS = 1024
+SAMPLE = 8192  # points among which centres are chosen
+BLOCK = 4096  # points that one task compares
+GROUP = 2048  # queries that it compares them with
+CELLS = 1 << 21  # distances that are held at once
+
+
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The rows of a list column of one length, as doubles."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+    return flat.reshape(len(column), len(flat) // len(column) if len(column) else 0)
+
+
+def farthest_first(x: np.ndarray, n: int) -> np.ndarray:
+    """``n`` rows, each the farthest from those before it (fewer if rows repeat)."""
+    picked = [0]
+    near = ((x - x[0]) ** 2).sum(1)
+    while len(picked) < min(n, len(x)) and near.max() > 0:
+        picked.append(int(near.argmax()))
+        near = np.minimum(near, ((x - x[picked[-1]]) ** 2).sum(1))
+    return x[picked]
+
+
+def from_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Distances of rows to all centres, by differences."""
+    out = np.empty((len(x), len(centres)))
+    for c, centre in enumerate(centres):
+        out[:, c] = np.sqrt(((x - centre) ** 2).sum(1))
+    return out
 
 
-@F.pandas_udf(T.DoubleType())
-def euclidean(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Row-wise Euclidean distance of two array columns, one Arrow batch at
-    a time (numpy; higher-order SQL functions would run interpreted)."""
-    if len(a) == 0:
-        return pd.Series([], dtype=float)
-    x, y = np.stack(a.to_numpy()), np.stack(b.to_numpy())
-    return pd.Series(np.sqrt(((x - y) ** 2).sum(axis=1)))
+def exact_distances(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    out = np.empty(len(i))
+    for at in range(0, len(i), 1 << 15):
+        out[at:at + (1 << 15)] = np.sqrt(((q[i[at:at + (1 << 15)]] - x[j[at:at + (1 << 15)]]) ** 2).sum(1))
+    return out
+
+
+def candidates(q: np.ndarray, x: np.ndarray, reach: np.ndarray, k: int | None = None):
+    """(query, row, distance) with distance <= reach, in runs of queries; with ``k`` at least the k nearest of them, ties
+    included. One matrix product a run selects, differences decide."""
+    square_q, square_x = (q * q).sum(1), (x * x).sum(1)
+    step = max(1, CELLS // max(len(x), 1))
+    for at in range(0, len(q), step):
+        part, own = q[at:at + step], reach[at:at + step]
+        slack = 1e-9 * (square_q[at:at + step] + square_x.max(initial=0)) + 1e-12
+        d2 = square_q[at:at + step, None] + square_x[None, :] - 2 * part @ x.T
+        limit = own * own
+        if k is not None and k < len(x):
+            limit = np.minimum(limit, np.partition(d2, k - 1, axis=1)[:, k - 1])
+        i, j = np.nonzero(d2 <= (limit + 2 * slack)[:, None])
+        dist = exact_distances(part, x, i, j)
+        keep = dist <= own[i]
+        yield i[keep] + at, j[keep], dist[keep]
 
 
 class Space:
-    """Points (id, vector) with their PCA projection for grid blocking."""
-
-    def __init__(self, df: DataFrame, id_col: str, vec_col: str, dims: int = PROJ_DIMS):
-        first = df.select(F.size(vec_col)).first()
-        d = first[0]
-        cols = [f"_x{i}" for i in range(d)]
-        wide = df.select(F.col(id_col).alias("_id"), *[F.col(vec_col)[i].cast("double").alias(c)
-                                                       for i, c in enumerate(cols)])
-        g = gram(wide, cols)
-        vals, vecs = np.linalg.eigh(g.cov(ddof=0))
-        top = vecs[:, np.argsort(vals)[::-1][:min(dims, d)]].T      # (m, d), orthonormal rows
-        mean = g.mean
-        proj = []
-        for k in range(len(top)):
-            e = F.lit(0.0)
-            for i in range(d):
-                e = e + (F.col(vec_col)[i].cast("double") - F.lit(float(mean[i]))) * F.lit(float(top[k, i]))
-            proj.append(e)
-        self.m = len(top)
-        self.n = g.n
-        self.points = materialize(df.select(F.col(id_col).alias("_id"),
-                                            F.col(vec_col).cast("array<double>").alias("_v"),
-                                            F.array(*proj).alias("_p")))
-        ext = self.points.agg(*[F.min(F.col("_p")[k]) for k in range(self.m)],
-                              *[F.max(F.col("_p")[k]) for k in range(self.m)]).first()
-        self.extent = [ext[self.m + k] - ext[k] for k in range(self.m)]
-        self.trace = float(np.trace(g.cov(ddof=0)))
-        self.d = d
-        centre = F.array(*[F.lit(float(x)) for x in mean])
-        far = self.points.agg(F.max(euclidean(F.col("_v"), centre))).first()[0] or 0.0
-        self.diameter = max(2.0 * far * (1 + 1e-9), 1e-9)  # a bound on the distance of any two points
+    """Points (id, vector) in balls. ``points`` has _id, _v, _ball and _far (distance from the centre); ids are unique."""
+
+    def __init__(self, df: DataFrame, id_col: str, vec_col: str, balls: int | None = None, block: int = BLOCK, group: int = GROUP):
+        self.spark, self.block, self.group = df.sparkSession, block, group
+        rows = df.select(F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")).where(F.col("_v").isNotNull())
+        some = rows.orderBy(F.xxhash64("_id", F.lit(7)), "_id").limit(SAMPLE).toArrow()
+        self.n = rows.count()
+        wanted = balls or min(MOST_BALLS, math.ceil(self.n / BALL_ROWS))
+        self.centres = centres = farthest_first(matrix(some.column("_v")), wanted) if some.num_rows else np.zeros((0, 0))
+        self.id_type = rows.schema["_id"].dataType
+        self.kind = self.id_type.simpleString()
+
+        def assign(batches):
+            for b in batches:
+                if b.num_rows:
+                    d = from_centres(matrix(b.column("_v")), centres)
+                    yield pa.record_batch([b.column("_id"), b.column("_v"), pa.array(d.argmin(1).astype(np.int32)), pa.array(d.min(1))], ["_id", "_v", "_ball", "_far"])
+
+        self.points = materialize(rows.mapInArrow(assign, f"_id {self.kind}, _v array<double>, _ball int, _far double"), "balls")
+        self.sizes, self.radius = self._extent(self.points)
+
+    def _extent(self, points: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        sizes, radius = np.zeros(len(self.centres), np.int64), np.zeros(len(self.centres))
+        for r in points.groupBy("_ball").agg(F.count(F.lit(1)).alias("n"), F.max("_far").alias("r")).collect():  # at most MOST_BALLS rows
+            sizes[r["_ball"]], radius[r["_ball"]] = r["n"], r["r"]
+        return sizes, radius
+
+    def addressed(self, asks: DataFrame, sizes: np.ndarray, radius: np.ndarray, k: int | None = None) -> DataFrame:
+        """``asks`` (i, vi, reach, ..) once for every ball that may hold a point within reach. With ``k``, reach shrinks to a
+        distance within which the balls' sizes promise k points, and the own ball (column ``own``) is left out."""
+        centres = self.centres
+
+        def run(batches):
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                d = from_centres(matrix(b.column("vi")), centres)
+                reach = b.column("reach").to_numpy().copy()
+                if k is not None:
+                    outer = d + radius
+                    order = np.argsort(outer, 1)
+                    enough = np.argmax(np.cumsum(sizes[order], 1) >= k, 1)
+                    bound = np.take_along_axis(outer, np.take_along_axis(order, enough[:, None], 1), 1)[:, 0] * (1 + 1e-9)
+                    reach = np.minimum(reach, np.where(sizes.sum() >= k, bound, np.inf))
+                may = (d - radius[None, :] <= reach[:, None] * (1 + 1e-9) + 1e-12) & (sizes > 0)[None, :]
+                if k is not None:
+                    may[np.arange(len(d)), b.column("own").to_numpy()] = False
+                i, ball = np.nonzero(may)
+                at = pa.array(i)
+                kept = [pa.array(reach).take(at) if c == "reach" else b.column(c).take(at) for c in b.schema.names]
+                yield pa.record_batch([*kept, pa.array(ball.astype(np.int32)), pa.array(d[i, ball])], [*b.schema.names, "ball", "far"])
+
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asks.schema.fields)
+        return materialize(asks.mapInArrow(run, f"{fields}, ball int, far double"), "addressed")
+
+    def meet(self, asks: DataFrame, points: DataFrame, compare, schema: str, sizes: np.ndarray) -> DataFrame:
+        """``compare(asks, points)`` on Arrow tables for every block of a ball and group of queries sent to it. No block holds much
+        more than ``block`` points and ``group`` queries."""
+        asked = {r["ball"]: r["n"] for r in asks.groupBy("ball").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most MOST_BALLS rows
+        cut = [(int(b), math.ceil(int(sizes[b]) / self.block), math.ceil(n / self.group)) for b, n in asked.items() if sizes[b]]
+        cuts = F.broadcast(self.spark.createDataFrame(cut or [(-1, 1, 1)], "ball int, slices int, parts int"))
+        each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        keys = ["ball", "slice", "part"]
+        left = asks.join(cuts, "ball").withColumn("part", F.pmod(F.xxhash64("i", F.lit(3)), F.col("parts")).cast("int")).withColumn("slice", each("slices"))
+        right = points.withColumnRenamed("_ball", "ball").join(cuts, "ball").withColumn(
+            "slice", F.pmod(F.xxhash64("_id", F.lit(5)), F.col("slices")).cast("int")).withColumn("part", each("parts"))
+        empty = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in self.spark.createDataFrame([], schema).schema.fields]).empty_table()
+
+        def run(a: pa.Table, p: pa.Table) -> pa.Table:
+            if a.num_rows == 0 or p.num_rows == 0:
+                return empty
+            far, own, reach = p.column("_far").to_numpy(), a.column("far").to_numpy(), a.column("reach").to_numpy()
+            low, high = (own - reach).min(), (own + reach).max()
+            wide = 1e-9 * (1 + far.max())
+            p = p.filter(pa.array((far >= low - wide) & (far <= high + wide)))
+            out = compare(a, p) if p.num_rows else empty
+            return out.cast(empty.schema)
+
+        return left.drop("slices", "parts").groupBy(*keys).cogroup(right.drop("slices", "parts").groupBy(*keys)).applyInArrow(run, schema)
 
     def within(self, queries: DataFrame, r: float, strict: bool = False) -> DataFrame:
-        """All (i, j, dist) with dist <= r (< r when strict), i from
-        ``queries`` (columns _id, _v, _p), j from all points, i == j included.
-
-        A cell of more than ``CELL_ROWS`` points is cut into slices, so a dense cell is many tasks' work: each of its
-        points has one slice, and each query of the cell meets all slices."""
-        cell = lambda p, off=None: F.array(*[F.floor(p[k] / F.lit(r)).cast("long") + (off[k] if off else 0)
-                                             for k in range(self.m)])
-        offsets = list(itertools.product((-1, 0, 1), repeat=self.m))
-        data = self.points.select(F.col("_id").alias("j"), F.col("_v").alias("vj"), cell(F.col("_p")).alias("cell"))
-        slices = data.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("slices"))
-        q = queries.select(F.col("_id").alias("i"), F.col("_v").alias("vi"),
-                           F.explode(F.array(*[cell(F.col("_p"), off) for off in offsets])).alias("cell"))
-        q = q.join(slices, "cell").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
-        data = data.join(slices, "cell").withColumn("slice", F.pmod(F.xxhash64("j"), F.col("slices")).cast("int")).drop("slices")
-        cand = q.join(data, ["cell", "slice"]).select("i", "j", euclidean(F.col("vi"), F.col("vj")).alias("dist"))
-        return cand.where(F.col("dist") < r if strict else F.col("dist") <= r)
-
-    def knn(self, k: int) -> DataFrame:
-        """Exact k nearest neighbors (self included): (i, j, dist, rank)."""
-        area = 1.0
-        for e in self.extent:
-            area *= max(e, 1e-12)
-        r_proj = (k * area / max(self.n, 1)) ** (1.0 / self.m)
-        # in many dimensions neighbor distances approach sqrt(2 * total variance);
-        # start from the larger estimate (any start radius gives exact results)
-        r_spread = 0.5 * math.sqrt(2 * self.trace) * (k / max(self.n, 1)) ** (1.0 / max(self.d, 1))
-        r = max(r_proj, r_spread, 1e-9)
-        todo = self.points
-        found = []
-        while True:
-            last = r >= self.diameter  # no pair is farther apart: every point sees all others
-            near = materialize(self.within(todo, r), "near")
-            done_ids = near.groupBy("i").agg(F.count(F.lit(1)).alias("c"))
-            done_ids = done_ids.select("i") if last else done_ids.where(F.col("c") >= k).select("i")
-            # the k best of each point: Spark keeps k rows per point and partition before the shuffle
-            best = Window.partitionBy("i").orderBy("dist", "j")
-            ranked = near.join(done_ids, "i", "left_semi").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            found.append(materialize(ranked, "knn"))
-            todo = materialize(todo.join(done_ids.withColumnRenamed("i", "_id"), "_id", "left_anti"), "todo")
-            if last or todo.isEmpty():
-                break
-            r = min(r * 2.0, self.diameter)
-        out = found[0]
-        for f in found[1:]:
-            out = out.unionByName(f)
-        return out
+        """All (i, j, dist) with dist <= r (< r when strict), i from ``queries`` (columns _id, _v), j from all points, i == j
+        included."""
+
+        def compare(a, p):
+            ids, own, out = p.column("_id").combine_chunks(), a.column("i").combine_chunks(), []
+            for i, j, dist in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy()):
+                keep = dist < r if strict else np.ones(len(dist), bool)
+                out.append(pa.table([own.take(pa.array(i[keep])), ids.take(pa.array(j[keep])), pa.array(dist[keep])], ["i", "j", "dist"]))
+            return pa.concat_tables(out)
+
+        asks = queries.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"))
+        return self.meet(self.addressed(asks, self.sizes, self.radius), self.points, compare, f"i {self.kind}, j {self.kind}, dist double", self.sizes)
+
+    def knn(self, k: int, max_reach: float = math.inf) -> DataFrame:
+        """Exact k nearest neighbors (self included) no farther than ``max_reach``: (i, j, dist, rank), ties by the smaller id."""
+        schema = f"i {self.kind}, j {self.kind}, dist double"
+
+        def compare(a, p):
+            ids, own, out = p.column("_id").combine_chunks(), a.column("i").combine_chunks(), []
+            by_id = pc.rank(ids, tiebreaker="first").to_numpy()
+            for i, j, dist in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy(), k):
+                order = np.lexsort((by_id[j], dist, i))
+                i, j, dist = i[order], j[order], dist[order]
+                first = np.flatnonzero(np.append(True, i[1:] != i[:-1])[:len(i)])
+                keep = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i)))) < k
+                out.append(pa.table([own.take(pa.array(i[keep])), ids.take(pa.array(j[keep])), pa.array(dist[keep])], ["i", "j", "dist"]))
+            return pa.concat_tables(out)
+
+        best = Window.partitionBy("i").orderBy("dist", "j")
+        home = self.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(max_reach)).alias("reach"), F.col("_ball").alias("ball"), F.col("_far").alias("far"))
+        near = materialize(self.meet(home, self.points, compare, schema, self.sizes), "own-ball")
+        if np.count_nonzero(self.sizes) > 1:
+            kth = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("i", F.col("dist").alias("kth"))
+            more = self.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.col("_ball").alias("own")).join(kth, "i", "left").select(
+                "i", "vi", "own", F.least(F.coalesce("kth", F.lit(math.inf)), F.lit(float(max_reach))).alias("reach"))
+            sent = self.addressed(more, self.sizes, self.radius, k)
+            near = near.unionByName(self.meet(sent, self.points, compare, schema, self.sizes))
+        return materialize(near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "knn")
 
 
 def knn_graph(space: Space, k: int) -> DataFrame:
@@ -136,14 +222,7 @@ def knn_graph(space: Space, k: int) -> DataFrame:
 def core_distance(space: Space, min_samples: int, max_eps: float = math.inf) -> DataFrame:
     """Distance to the min_samples-th neighbor (self counted); infinite when
     it lies beyond ``max_eps``."""
-    if math.isinf(max_eps):
-        nb = space.knn(min_samples).where(F.col("rank") == min_samples)
-        return space.points.select(F.col("_id").alias("id")).join(
-            nb.select(F.col("i").alias("id"), F.col("dist").alias("core_distance")), "id", "left") \
-            .fillna(math.inf, subset=["core_distance"])
-    near = space.within(space.points, max_eps)
-    best = Window.partitionBy("i").orderBy("dist", "j")
-    kth = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= min_samples).where(F.col("rank") == min_samples)
+    kth = space.knn(min_samples, max_eps).where(F.col("rank") == min_samples)
     return space.points.select(F.col("_id").alias("id")).join(
         kth.select(F.col("i").alias("id"), F.col("dist").alias("core_distance")), "id", "left") \
         .fillna(math.inf, subset=["core_distance"])
@@ -157,12 +236,57 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         .select("id", F.coalesce("component", "id").alias("component"))
 
 
+def neighbor_counts(space: Space, r: float) -> DataFrame:
+    """(i, n): how many points lie within r of each point, itself included.  Blocks return one row a query."""
+
+    def compare(a, p):
+        n = np.zeros(a.num_rows, np.int64)
+        for i, _, _ in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy()):
+            n += np.bincount(i, minlength=len(n))
+        return pa.table([a.column("i"), pa.array(n)], ["i", "n"])
+
+    asks = space.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"))
+    met = space.meet(space.addressed(asks, space.sizes, space.radius), space.points, compare, f"i {space.kind}, n long", space.sizes)
+    return met.groupBy("i").agg(F.sum("n").alias("n"))
+
+
+def links(space: Space, points: DataFrame, r: float, strict: bool = False) -> DataFrame:
+    """(src, dst, inner) that connect what lies within r of each other.  ``points`` has the columns of ``Space.points`` and
+    _core.  Core points within r of each other end in one component of the ``inner`` links; a point that is not core has
+    a link (not inner) to one core point of each component that it touches in a block.  Blocks return at most one link a
+    point and component, never their pairs."""
+    core = materialize(points.where("_core").drop("_core"), "cores")
+    sizes, radius = space._extent(core)
+
+    def compare(a, p):
+        ids, own = p.column("_id").combine_chunks(), a.column("i").combine_chunks()
+        is_core = a.column("core").to_numpy(zero_copy_only=False).astype(bool)
+        m, n = p.num_rows, p.num_rows + a.num_rows
+        label, touch = np.arange(n), [np.zeros((2, 0), np.int64)]
+        for i, j, dist in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy()):
+            near = dist < r if strict else np.ones(len(dist), bool)
+            i, j = i[near], j[near]
+            inner = is_core[i]
+            label = least_reachable(np.concatenate([np.arange(n), i[inner] + m]), np.concatenate([label, j[inner]]), n)
+            touch.append(np.unique(np.stack([i[~inner], label[j[~inner]]]), axis=1))
+        q = np.flatnonzero(label[m:] < m)  # core queries with a point in reach
+        rows = np.flatnonzero(label[:m] < np.arange(m))
+        t = np.concatenate(touch, 1)
+        t = np.unique(np.stack([t[0], label[t[1]]]), axis=1)
+        src = pa.concat_arrays([own.take(pa.array(q)), ids.take(pa.array(rows)), own.take(pa.array(t[0]))])
+        dst = ids.take(pa.array(np.concatenate([label[m:][q], label[:m][rows], t[1]])))
+        return pa.table([src, dst, pa.array(np.arange(len(src)) < len(q) + len(rows))], ["src", "dst", "inner"])
+
+    asks = points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"), F.col("_core").alias("core"))
+    met = space.meet(space.addressed(asks, sizes, radius), core, compare, f"src {space.kind}, dst {space.kind}, inner boolean", sizes)
+    return materialize(met, "links")
+
+
 def single_link(space: Space, distance_threshold: float) -> DataFrame:
     """Single-linkage clusters cut at a distance: connected components of
     the graph of pairs closer than the threshold.  (id, cluster)."""
-    e = space.within(space.points, distance_threshold, strict=True).where(F.col("i") != F.col("j")) \
-        .select(F.col("i").alias("src"), F.col("j").alias("dst"))
-    cc = connected_components(space.points.select(F.col("_id").alias("id")), e)
+    found = links(space, space.points.withColumn("_core", F.lit(True)), distance_threshold, strict=True)
+    cc = connected_components(space.points.select(F.col("_id").alias("id")), found.select("src", "dst"))
     return cc.withColumnRenamed("component", "cluster")
 
 
@@ -171,22 +295,12 @@ def density_clusters(space: Space, eps: float, min_samples: int) -> DataFrame:
     points (self included) within eps; clusters are the connected
     components of core points; a border point joins the smallest cluster
     label among its core neighbors; the rest is noise (-1)."""
-    near = space.within(space.points, eps)
-    counts = near.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    core = counts.where(F.col("n") >= min_samples).select(F.col("i").alias("id"))
-    cc_edges = near.join(core.withColumnRenamed("id", "i"), "i", "left_semi") \
-        .join(core.withColumnRenamed("id", "j"), "j", "left_semi").select(F.col("i").alias("src"), F.col("j").alias("dst"))
-    cc = connected_components(core, cc_edges)
-    border = near.join(cc.select(F.col("id").alias("j"), "component"), "j") \
-        .groupBy("i").agg(F.min("component").alias("b"))
+    counts = neighbor_counts(space, eps).withColumnRenamed("i", "_id")
+    points = materialize(space.points.join(counts, "_id").withColumn("_core", F.col("n") >= min_samples).drop("n"), "core-flags")
+    found = links(space, points, eps)
+    core = points.where("_core").select(F.col("_id").alias("id"))
+    cc = materialize(connected_components(core, found.where("inner").select("src", "dst")), "core-components")
+    border = found.where("not inner").join(cc.select(F.col("id").alias("dst"), "component"), "dst").groupBy("src").agg(F.min("component").alias("b"))
     pts = space.points.select(F.col("_id").alias("id"))
-    return pts.join(cc, "id", "left").join(border.withColumnRenamed("i", "id"), "id", "left") \
+    return pts.join(cc, "id", "left").join(border.withColumnRenamed("src", "id"), "id", "left") \
         .select("id", F.coalesce("component", "b", F.lit(-1)).alias("cluster"))
-
-
-def spectral(space: Space, n_clusters: int, n_neighbors: int = 10, max_iter: int = 20, seed: int = 0) -> DataFrame:
-    """Spectral clustering on the symmetrized kNN graph by power iteration
-    clustering (Spark ML).  (id, cluster)."""
-    g = knn_graph(space, n_neighbors).where(F.col("src") != F.col("dst"))
-    pic = PowerIterationClustering(k=n_clusters, maxIter=max_iter, weightCol="weight", srcCol="src", dstCol="dst")
-    return pic.assignClusters(g).select("id", "cluster")

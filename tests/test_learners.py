@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from colonnade.ml import learners as L
 from colonnade.ml import neighbors as NB
+from colonnade.ml import spectral as SP
 from colonnade.ml.linalg import gram
 
 N, D = 240, 6
@@ -184,7 +185,7 @@ def test_spectral_splits_two_blobs(spark):
     rng = np.random.default_rng(8)
     x = np.r_[rng.normal(size=(40, 3)), rng.normal(size=(40, 3)) + 30]
     df = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(x)], "id long, v array<double>")
-    out = {r["id"]: r["cluster"] for r in NB.spectral(NB.Space(df, "id", "v"), 2, n_neighbors=5).collect()}
+    out = {r["id"]: r["cluster"] for r in SP.spectral(NB.Space(df, "id", "v"), 2, n_neighbors=5).collect()}
     assert len(out) == 80
     share = [np.mean([out[i] == out[0] for i in part]) for part in (range(40), range(40, 80))]
     assert share[0] > 0.9 and share[1] < 0.1  # nothing links the blobs
