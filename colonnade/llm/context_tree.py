@@ -42,6 +42,7 @@ CHUNK = 32 << 20  # bytes of text that are scored together (one long text may ex
 PART_ROWS = 1 << 19  # (chunk, key) rows of a part of the tree
 FREQUENT = 1 << 19
 MERGE_AT = 2_000_000  # distinct counts a partition holds before it merges them
+PIECE = 1 << 19  # bytes of text that a worker counts at once (one long text may exceed it)
 END = 0xFF
 END_TOKEN = np.uint64(0x5EED)
 LOG10_HALF = np.log10(0.5)
@@ -71,7 +72,7 @@ def word_tokens(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Hash and row of each word, then of each row's end token."""
     start, end, row = common.words(raw, off)
     n = len(off) - 1
-    return np.append(common.PrefixHash(raw).spans(start, end), np.full(n, END_TOKEN)), np.append(row, np.arange(n))
+    return np.append(common.span_hashes(raw, start, end), np.full(n, END_TOKEN)), np.append(row, np.arange(n))
 
 
 class Counter:
@@ -139,7 +140,7 @@ def key_counts(texts: DataFrame, depth: int) -> DataFrame:
                                        pa.array(k.view(np.int64)), pa.array(n[i:i + (1 << 17)])], ["kind", "chunk", "key", "n"])
 
         current = 0
-        for piece in common.pieces(batches):
+        for piece in common.pieces(batches, most=PIECE):
             chunks = piece.column("chunk").to_numpy()
             cuts = np.append(np.flatnonzero(np.append(True, chunks[1:] != chunks[:-1])), len(chunks))
             for begin, end in zip(cuts[:-1], cuts[1:]):
@@ -155,7 +156,7 @@ def key_counts(texts: DataFrame, depth: int) -> DataFrame:
                 token, token_row = word_tokens(raw, off)
                 tokens.add(token[learn[token_row]])
                 for kind, counter in ((0, grams), (1, tokens)):
-                    if counter.held > MERGE_AT // 2 and len(counter.parts) == 1:  # all distinct: send and begin anew
+                    if counter.held > MERGE_AT * 3 // 4 and len(counter.parts) == 1:  # all distinct: send and begin anew
                         yield from rows(kind, counter, current if kind == 0 else 0)
         yield from rows(0, grams, current)
         yield from rows(1, tokens, 0)
@@ -426,8 +427,11 @@ def key_scores(counts: DataFrame, depth: int, most: int | None) -> DataFrame:
     return parts.select(*PACKED[:4]).mapInArrow(run, "chunk long, keys binary, logs binary")
 
 
-def joined(blobs: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in blobs] or [np.zeros(0, kind)])
+def joined(scores: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a chunk, sorted, and their scores: the ranges of the parts are disjoint, so they only need to stand in order."""
+    pairs = [(np.frombuffer(k.as_buffer(), np.uint64), np.frombuffer(v.as_buffer(), float)) for k, v in zip(scores.column("keys"), scores.column("logs"))]
+    pairs.sort(key=lambda p: int(p[0][0]))
+    return tuple(np.concatenate([p[i] for p in pairs] or [np.zeros(0, t)]) for i, t in enumerate((np.uint64, float)))
 
 
 def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int | None = None, frequent: int = FREQUENT) -> DataFrame:
@@ -457,10 +461,8 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, most: int | None =
 
     def scored_rows(texts_of_chunk, scores):
         keys, n = shared.value
-        known, logs = joined(scores.column("keys"), np.uint64), joined(scores.column("logs"), float)
-        by_key = np.argsort(known)
-        known, logs = known[by_key], logs[by_key]
-        for b in common.pieces(texts_of_chunk.to_batches(), most=1 << 20):
+        known, logs = joined(scores)
+        for b in common.pieces(texts_of_chunk.to_batches(), most=PIECE):
             raw, off = common.utf8(b.column("text"))
             raw = common.lower_bytes(raw)
             m = b.num_rows
