@@ -60,4 +60,4 @@ def q_density_clusters(spark, d):
 
 @query("spectral")
 def q_spectral(spark, d):
-    return S.spectral(_space(spark, d), n_clusters=10, n_neighbors=10, tol=1e-3)
+    return S.spectral(_space(spark, d), n_clusters=10, n_neighbors=10, tol=1e-2)

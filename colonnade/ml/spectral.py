@@ -22,7 +22,7 @@ from colonnade.ml.neighbors import Space, knn_graph, matrix
 from colonnade.session import materialize
 
 STEPS = 6  # blocks of the basis before a restart
-EXTRA = 2  # vectors of a block above those that are wanted
+EXTRA = 2  # a block has twice the vectors that are wanted, and so many more: the wider, the faster it converges
 
 
 def lists(rows: np.ndarray) -> pa.Array:
@@ -128,7 +128,7 @@ def leading(affinity, k: int, tol: float = 1e-6, max_products: int = 200, steps:
     degrees = materialize(degrees.withColumn("scale", root), "degrees")
     n = degrees.count()
     k = min(k, n)
-    width = min(k + EXTRA, n)
+    width = min(2 * k + EXTRA, n)
     noise = lambda j: (F.pmod(F.xxhash64("id", F.lit(seed * 1000 + j)), F.lit(1 << 30)) / F.lit(float(1 << 30))) - 0.5
     first = F.when(F.col("degree") > 0, F.sqrt("degree")).otherwise(0.0)  # the leading vector of a connected graph
     block = degrees.select("id", "degree", "scale", F.array(first, *[noise(j) for j in range(1, width)]).alias("b"))
