@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from colonnade.catalog import query
 from colonnade.ml import learners as L
+from colonnade.ml import linear as LN
+from colonnade.ml import trees as TR
 from colonnade.sources.tables import Tables
 
 _REG = ["l_quantity", "l_discount", "l_tax"]
@@ -70,13 +72,24 @@ def q_logistic(spark, d):
 
 @query("logistic_path")
 def q_logistic_path(spark, d):
-    return L.logistic_path(_labelled_docs(spark, d), "label", [0.01, 0.1, 1.0, 10.0, 100.0])
+    """Coefficients for every strength and penalty, all strengths in the same passes; l1 starts from the l2 coefficients."""
+    df = _labelled_docs(spark, d).select("label", *_DOC_F)
+    strengths = [0.01, 0.1, 1.0, 10.0, 100.0]
+    smooth = LN.fit(df, _DOC_F, "label", strengths)
+    sparse = LN.fit(df, _DOC_F, "label", strengths, penalty="l1", start=smooth)
+    rows = [(p, float(c), m.coef[i, 0].tolist(), [float(m.intercept[i, 0])]) for p, m in (("l2", smooth), ("l1", sparse)) for i, c in enumerate(strengths)]
+    return spark.createDataFrame(rows, "penalty string, C double, coef array<double>, intercept array<double>")
 
 
 @query("linear_svc")
 def q_linear_svc(spark, d):
+    """Predictions by hinge loss, by squared hinge, and by squared hinge with the l1 penalty."""
     df = _emb(spark, d)
-    return L.linear_svc(df, "label", C=1.0, max_iter=1000).transform(df).select("vec_id", "label", "prediction")
+    hinge = L.linear_svc(df, "label", C=1.0, max_iter=1000).transform(df).select("vec_id", "label", "prediction")
+    wide = _emb_cols(spark, d)
+    squared = LN.fit(wide, _E, "label", [1.0], "squared_hinge").predict(wide, ["vec_id", *_E], name="squared_hinge")
+    both = LN.fit(wide, _E, "label", [1.0], "squared_hinge", "l1", tol=1e-4).predict(squared, ["vec_id", "squared_hinge"], name="squared_hinge_l1")
+    return hinge.join(both, "vec_id")
 
 
 @query("ridge", sql="""
@@ -191,9 +204,14 @@ def _reg_vec(spark, d):
 
 @query("gbt_regressor")
 def q_gbt_regressor(spark, d):
+    """Squared loss after 50 and 100 rounds, and the Poisson mean of the quantity after 5 and 10."""
     df = _reg_vec(spark, d)
     model = L.gbt_regressor(df, "l_extendedprice", max_iter=100, max_depth=3)
-    return L.staged_predict(model, df, [50, 100], keep=["l_orderkey", "l_linenumber"])
+    counts = TR.boost(df, ["l_extendedprice", "l_discount", "l_tax"], "l_quantity", "poisson", learning_rate=0.3, max_iter=10, max_depth=3, max_bins=64)
+    out = L.staged_predict(model, df, [50, 100], keep=["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax"])
+    keep = ["l_orderkey", "l_linenumber", "stage_50", "stage_100"]
+    out = counts.staged(out, [5, 10], keep)
+    return out.select(*keep, F.col("stage_5").alias("poisson_5"), F.col("stage_10").alias("poisson_10"))
 
 
 @query("gbt_classifier")
@@ -204,9 +222,13 @@ def q_gbt_classifier(spark, d):
 
 @query("bagging")
 def q_bagging(spark, d):
-    df = _labelled_docs(spark, d)
-    models = L.bagging(df, "label", "doc_id", n_estimators=10, max_depth=3)
-    return L.bagging_predict(models, df, ["doc_id"])
+    """Votes of all bags, votes of the bags that do not hold the document, and the out-of-bag accuracy."""
+    df = _labelled_docs(spark, d).select("doc_id", "label", *_DOC_F)
+    bags = TR.bag(df, _DOC_F, "label", "doc_id", n_estimators=10, max_samples=0.8, max_features=0.75, max_depth=3)
+    out = bags.predict(df, ["doc_id", *_DOC_F]).withColumnRenamed("prediction", "vote").withColumnRenamed("share", "vote_share")
+    oob = bags.predict(out, ["doc_id", "vote", "vote_share"], oob_key="doc_id")
+    return oob.select("doc_id", F.col("vote").alias("prediction"), "vote_share", F.col("prediction").alias("oob_prediction"),
+                      F.lit(bags.oob_score(df, "label", "doc_id")).alias("oob_score"))
 
 
 @query("mlp")
