@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from colonnade.catalog import query
+from colonnade.ml import imputation as IM
 from colonnade.ml import learners as L
 from colonnade.ml import linear as LN
 from colonnade.ml import trees as TR
@@ -251,15 +252,31 @@ def q_dct_rows(spark, d):
         .select("vec_id", F.col("k").cast("bigint").alias("k"), (F.round("value", 6) + F.lit(0.0)).alias("value"))
 
 
-@query("iterative_imputer")
+def _impute_round(k: int) -> str:
+    """One round in SQL: the price on quantity and discount, then the discount on quantity and price (ridge 1e-6)."""
+    def column(step, y, x, before, after):
+        return f"""
+s{step} AS (SELECT avg(q) AS mq, avg({x}) AS mx, avg({y}) AS my, count(*) * covar_pop(q, q) + 1e-6 AS qq, count(*) * covar_pop(q, {x}) AS qx,
+  count(*) * covar_pop({x}, {x}) + 1e-6 AS xx, count(*) * covar_pop(q, {y}) AS qy, count(*) * covar_pop({x}, {y}) AS xy FROM {before} WHERE NOT no_{y}),
+w{step} AS (SELECT mq, mx, my, (xx * qy - qx * xy) / (qq * xx - qx * qx) AS wq, (qq * xy - qx * qy) / (qq * xx - qx * qx) AS wx FROM s{step}),
+{after} AS (SELECT * REPLACE (CASE WHEN no_{y} THEN my + wq * (q - mq) + wx * ({x} - mx) ELSE {y} END AS {y}) FROM {before}, (SELECT mq, mx, my, wq, wx FROM w{step}))"""
+    drop = "SELECT * EXCLUDE (mq, mx, my, wq, wx) FROM"
+    return (column(f"{k}a", "p", "d", f"t{k - 1}", f"u{k}_") + f",\nu{k} AS ({drop} u{k}_)," + column(f"{k}b", "d", "p", f"u{k}", f"t{k}_") + f",\nt{k} AS ({drop} t{k}_)")
+
+
+@query("iterative_imputer", sql=f"""
+WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS q, l_partkey % 7 = 0 AS no_p, l_partkey % 5 = 0 AS no_d,
+  CASE WHEN l_partkey % 7 <> 0 THEN l_extendedprice END AS p, CASE WHEN l_partkey % 5 <> 0 THEN l_discount END AS d FROM lineitem),
+t0 AS (SELECT * REPLACE (coalesce(p, (SELECT avg(p) FROM n)) AS p, coalesce(d, (SELECT avg(d) FROM n)) AS d) FROM n),{_impute_round(1)},{_impute_round(2)},{_impute_round(3)}
+SELECT l_orderkey, l_linenumber, l_partkey, q AS l_quantity, round(p, 2) AS l_extendedprice, round(d, 7) AS l_discount FROM t3""")
 def q_iterative_imputer(spark, d):
     li = Tables(spark, d).lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
         F.when(F.col("l_partkey") % 7 == 0, F.lit(None)).otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
         F.when(F.col("l_partkey") % 5 == 0, F.lit(None)).otherwise(F.col("l_discount")).alias("l_discount"))
-    out, _it = L.iterative_impute(li, ["l_quantity", "l_extendedprice", "l_discount"], max_iter=10,
-                                  keep=["l_orderkey", "l_linenumber", "l_partkey"])
-    return out
+    out, _it = IM.iterative_impute(li, ["l_quantity", "l_extendedprice", "l_discount"], max_iter=3, tol=0.0,
+                                   keep=["l_orderkey", "l_linenumber", "l_partkey"], min_value=None, max_value=None)
+    return out.withColumns({"l_extendedprice": F.round("l_extendedprice", 2), "l_discount": F.round("l_discount", 7)})
 
 
 @query("learning_curve")

@@ -431,43 +431,6 @@ def dict_learning(df: DataFrame, cols: Sequence[str], n_components: int, alpha:
     return dic, costs
 
 
-# -- iterative imputer --------------------------------------------------------
-
-def iterative_impute(df: DataFrame, cols: Sequence[str], max_iter: int = 10, tol: float = 1e-3,
-                     alpha: float = 1e-6, keep: Sequence[str] = ()) -> tuple[DataFrame, int]:
-    """Round-robin linear imputation: missing cells start at the column
-    mean; each feature (in order of fewest missing) is regressed on the
-    others over the rows where it is observed (one Gram aggregate), its
-    missing cells are predicted and clipped to the observed range.  Stops
-    when the largest change is below ``tol`` times the largest absolute
-    value.  The frame is checkpointed every round."""
-    cols, keep = list(cols), list(keep)
-    base = df.select(*keep, *cols, *[F.col(c).isNull().alias(f"_m_{c}") for c in cols])
-    stats = base.agg(*[F.avg(c).alias(f"a_{c}") for c in cols], *[F.min(c).alias(f"lo_{c}") for c in cols],
-                     *[F.max(c).alias(f"hi_{c}") for c in cols], *[F.count(c).alias(f"n_{c}") for c in cols],
-                     *[F.max(F.abs(c)).alias(f"x_{c}") for c in cols], F.count(F.lit(1)).alias("_rows")).first()
-    cur = materialize(base.withColumns({c: F.coalesce(F.col(c), F.lit(stats[f"a_{c}"])) for c in cols}))
-    order = sorted([c for c in cols if stats[f"n_{c}"] < stats["_rows"]], key=lambda c: -stats[f"n_{c}"])
-    scale = max(abs(stats[f"x_{c}"] or 0.0) for c in cols) or 1.0
-    it = 0
-    for it in range(1, max_iter + 1):
-        cur = cur.withColumns({f"_p_{c}": F.col(c) for c in order})
-        for c in order:
-            others = [o for o in cols if o != c]
-            g = gram(cur.where(~F.col(f"_m_{c}")), others, c)
-            m = ridge_from_gram(g, alpha)
-            pred = F.least(F.greatest(linear_predict(m.coef, others, m.intercept), F.lit(stats[f"lo_{c}"])),
-                           F.lit(stats[f"hi_{c}"]))
-            cur = cur.withColumn(c, F.when(F.col(f"_m_{c}"), pred).otherwise(F.col(c)))
-        cur = materialize(cur)
-        diff = cur.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"_p_{c}")) for c in order], F.lit(0.0)))).first()[0] \
-            if order else 0.0
-        cur = cur.drop(*[f"_p_{c}" for c in order])
-        if (diff or 0.0) < tol * scale:
-            break
-    return cur.drop(*[f"_m_{c}" for c in cols]), it
-
-
 # -- selection and curves -----------------------------------------------------
 
 def _combine(grams: list[Gram]) -> Gram:

@@ -243,7 +243,7 @@ def direction(hess: np.ndarray, grad: np.ndarray, w: np.ndarray, penalty: str |
         p = penalised if penalty == "l2" else np.zeros(d)
         return -np.linalg.solve(hess + np.diag(p) + damp * np.eye(d), grad + w * p)
     h = hess + damp * np.eye(d)
-    step, image = np.zeros(d), np.zeros(d)
+    step, image, first = np.zeros(d), np.zeros(d), None
     for _ in range(1000):  # coordinate descent: soft thresholds of one coefficient at a time
         most = 0.0
         for j in range(d):
@@ -254,6 +254,7 @@ def direction(hess: np.ndarray, grad: np.ndarray, w: np.ndarray, penalty: str |
                 step[j] += move
                 image += move * h[:, j]
                 most = max(most, abs(move) * np.sqrt(h[j, j]))
-        if most <= 1e-12 * (1 + np.sqrt(abs(grad @ step))):
+        first = most if first is None else first
+        if most <= max(1e-3 * first, 1e-12):  # a step need not be exact: the next round corrects it
             break
     return step

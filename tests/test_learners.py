@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from colonnade.ml import imputation as IM
 from colonnade.ml import learners as L
 from colonnade.ml import neighbors as NB
 from colonnade.ml import spectral as SP
@@ -116,7 +117,7 @@ def test_iterative_imputer(spark):
     c = 2 * a - b + 1
     rows = [(i, float(a[i]), float(b[i]), None if i % 5 == 0 else float(c[i])) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, a double, b double, c double")
-    out, rounds = L.iterative_impute(df, ["a", "b", "c"], keep=["id"])
+    out, rounds = IM.iterative_impute(df, ["a", "b", "c"], keep=["id"])
     seen = np.array([r[3] for r in rows if r[3] is not None])
     want = np.where(np.arange(200) % 5 == 0, np.clip(c, seen.min(), seen.max()), c)
     assert rounds <= 10 and np.allclose(by_id(out, "c")[:, 0], want, atol=1e-4)
