@@ -36,8 +36,8 @@ from colonnade.session import materialize, materialize_with
 
 SHINGLE = 4
 THRESHOLD = 80  # per cent
-TREES = 12
 DEPTH = 4
+RECALL = 0.9999  # of pairs at the threshold, also of those that meet only in nodes at ``DEPTH``
 SMALL = 32
 FIRST = 4  # partners of a set that are compared before components are looked at
 MISS = 1e-7  # chance that a pair at the threshold fails the signature test
@@ -45,6 +45,14 @@ MISS = 1e-7  # chance that a pair at the threshold fails the signature test
 MULTIPLIERS = common.mix(np.arange(1, 1 << 12, dtype=np.uint64)) | np.uint64(1)
 
 
+def trees_for(target: float, similarity: float, depth: int) -> int:
+    """The fewest trees in which a pair of that similarity meets at the given depth with probability ``target``."""
+    return math.ceil(math.log(1 - target) / math.log(1 - similarity ** depth))
+
+
+TREES = trees_for(RECALL, THRESHOLD / 100, DEPTH)
+
+
 def recall(similarity: float, trees: int = TREES, depth: int = 1) -> float:
     """Chance that a pair meets in a node of the given depth in at least one tree."""
     return 1 - (1 - similarity ** depth) ** trees

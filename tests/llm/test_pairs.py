@@ -83,6 +83,23 @@ def test_near_duplicates_recall(small):
     """Every link of similarity 0.8 or more is found at the target rate."""
     assert chosen_path.recall(0.8) > 0.99999
     assert chosen_path.recall(0.8, depth=4) > 0.99
+    assert chosen_path.recall(0.8, depth=chosen_path.DEPTH) >= chosen_path.RECALL > chosen_path.recall(0.8, chosen_path.TREES - 1, chosen_path.DEPTH)
+    assert chosen_path.trees_for(0.99, 0.5, 1) == 7
+
+
+def test_recall_at_the_full_depth(spark):
+    """Planted pairs at the threshold in nodes that all branch (leaves of one set): the links found are those of all pairs."""
+    rng = np.random.default_rng(6)
+    data = []
+    for i in range(120):
+        words = [f"p{i}_{k}" for k in range(60)]
+        other = list(words)
+        other[:1] = [f"o{i}"] if i % 2 else [f"o{i}", f"q{i}"]
+        data += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other[: 60 - int(rng.integers(0, 5))]))]
+    got = rows(chosen_path.near_duplicates(documents(spark, data, extra=False), small=1), "doc_id", "n_shingles", "component_id")
+    want = brute.near(data, 4)
+    assert sum(d != c for d, _, c in want) > 60
+    same(got, want)
 
 
 def test_repeats_small_table(small):
