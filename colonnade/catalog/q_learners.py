@@ -126,9 +126,13 @@ def q_ridge_2f(spark, d):
 
 @query("ridge_clf_cv")
 def q_ridge_clf_cv(spark, d):
-    res = L.ridge_classifier_cv(_emb_cols(spark, d), _E, "label", [0.1, 1.0, 10.0], "vec_id", cv=3)
-    return spark.createDataFrame([(float(a), float(s), a == res["alpha"]) for a, s in res["scores"].items()],
-                                 "alpha double, cv_accuracy double, best boolean")
+    """Each alpha's accuracy over three folds and its leave-one-out error; predictions of the better are tested, not returned."""
+    rows = _emb_cols(spark, d)
+    res = L.ridge_classifier_cv(rows, _E, "label", [0.1, 1.0, 10.0], "vec_id", cv=3)
+    loo = L.ridge_classifier_loo(rows, _E, "label", [0.1, 1.0, 10.0], class_weight="balanced")
+    right = loo.predict(rows, ["label"]).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    return spark.createDataFrame([(float(a), float(s), a == res["alpha"], loo.scores[a], a == loo.alpha, right) for a, s in res["scores"].items()],
+                                 "alpha double, cv_accuracy double, best boolean, loo_score double, loo_best boolean, loo_fit_accuracy double")
 
 
 @query("omp", sql="""SELECT 'e' || (range) AS feature, CAST(CASE range WHEN 0 THEN 3 WHEN 5 THEN -2 WHEN 7 THEN 1 ELSE 0 END AS DOUBLE) AS coef
@@ -279,10 +283,29 @@ def q_iterative_imputer(spark, d):
     return out.withColumns({"l_extendedprice": F.round("l_extendedprice", 2), "l_discount": F.round("l_discount", 7)})
 
 
-@query("learning_curve")
+_CURVE = "l_quantity, l_discount, l_tax, l_extendedprice"
+
+
+@query("learning_curve", sql=f"""
+WITH f AS (SELECT l_orderkey * 100 + l_linenumber AS rid, (l_orderkey * 100 + l_linenumber) % 3 AS fold, {_CURVE} FROM lineitem),
+t AS (SELECT k, f.*, row_number() OVER (PARTITION BY k ORDER BY rid, {_CURVE}) AS pos, count(*) OVER (PARTITION BY k) AS n FROM f, range(3) r(k) WHERE fold <> k),
+s AS (SELECT DISTINCT k, greatest(CAST(floor(x * n) AS BIGINT), 1) AS m FROM t, (VALUES (0.1::DOUBLE), (0.325), (0.55), (0.775), (1.0)) v(x)),
+g AS (SELECT s.k, m, avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3, avg(l_extendedprice) AS my,
+  covar_pop(l_quantity, l_quantity) * m + 1e-6 AS a, covar_pop(l_quantity, l_discount) * m AS b, covar_pop(l_quantity, l_tax) * m AS c,
+  covar_pop(l_discount, l_discount) * m + 1e-6 AS e, covar_pop(l_discount, l_tax) * m AS f, covar_pop(l_tax, l_tax) * m + 1e-6 AS i,
+  covar_pop(l_quantity, l_extendedprice) * m AS y1, covar_pop(l_discount, l_extendedprice) * m AS y2, covar_pop(l_tax, l_extendedprice) * m AS y3
+  FROM s JOIN t ON t.k = s.k AND pos <= m GROUP BY s.k, m),
+w AS (SELECT *, a * (e * i - f * f) - b * (b * i - f * c) + c * (b * f - e * c) AS det, (e * i - f * f) * y1 + (c * f - b * i) * y2 + (b * f - c * e) * y3 AS n1,
+  (f * c - b * i) * y1 + (a * i - c * c) * y2 + (c * b - a * f) * y3 AS n2, (b * f - e * c) * y1 + (b * c - a * f) * y2 + (a * e - b * b) * y3 AS n3 FROM g),
+p AS (SELECT w.k, w.m, true AS train, l_extendedprice AS y, my + n1 / det * (l_quantity - m1) + n2 / det * (l_discount - m2) + n3 / det * (l_tax - m3) AS z
+  FROM w JOIN t ON t.k = w.k AND pos <= w.m
+  UNION ALL SELECT w.k, w.m, false, l_extendedprice, my + n1 / det * (l_quantity - m1) + n2 / det * (l_discount - m2) + n3 / det * (l_tax - m3) FROM w JOIN f ON fold = w.k),
+r AS (SELECT k, m, train, 1 - sum((y - z) * (y - z)) / (var_pop(y) * count(*)) AS r2 FROM p GROUP BY ALL)
+SELECT CAST(a.k AS INTEGER) AS fold, a.m AS n_train, round(a.r2, 6) AS train_score, round(b.r2, 6) AS test_score FROM r a JOIN r b ON a.k = b.k AND a.m = b.m AND a.train AND NOT b.train""")
 def q_learning_curve(spark, d):
-    return L.learning_curve(_reg(spark, d).withColumn("rid", F.col("l_orderkey") * 100 + F.col("l_linenumber")),
-                            _REG, "l_extendedprice", "rid", cv=3)
+    rows = _reg(spark, d).withColumn("rid", F.col("l_orderkey") * 100 + F.col("l_linenumber"))
+    out = L.learning_curve(rows, _REG, "l_extendedprice", "rid", cv=3, fold=F.col("rid") % 3, order=[F.col(c) for c in ("rid", *_REG, "l_extendedprice")])
+    return out.withColumns({"train_score": F.round("train_score", 6), "test_score": F.round("test_score", 6)})
 
 
 @query("seq_feature_sel", sql="""SELECT CAST(row_number() OVER (ORDER BY range) - 1 AS INTEGER) AS step, 'e' || range AS feature

@@ -21,14 +21,14 @@ from pyspark.ml.feature import DCT, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colonnade.functions.columns import bounded_distinct
 from colonnade.ml.linalg import Gram, affine_columns, gram, grouped_vector_sum, linear_predict, vector_sum
 from colonnade.ml.metrics import kfold
-from colonnade.plans.ordered import Pos, ordered_scan
+from colonnade.plans.ordered import CumSum, Pos, ordered_scan
 from colonnade.session import materialize
 
 # -- ridge / OMP --------------------------------------------------------------
@@ -162,6 +162,75 @@ def ridge_classifier_cv(df: DataFrame, cols: Sequence[str], label: str, alphas:
     return {"alpha": best_alpha, "scores": scores}
 
 
+@dataclass
+class RidgeClassifier:
+    """One ridge model a class (targets +1 and -1); the class with the highest value is predicted."""
+
+    cols: list[str]
+    classes: list[float]
+    coef: np.ndarray  # (features, classes)
+    intercept: np.ndarray
+    alpha: float
+    scores: dict[float, float]  # minus the mean squared leave-one-out error of each alpha
+
+    def predict(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        names = [f"_d{k}" for k in range(len(self.classes))]
+        out = affine_columns(df, self.coef.T, self.cols, names, keep=list(keep))
+        value = [F.col(c) + F.lit(float(b)) for c, b in zip(names, self.intercept)]
+        best = F.array_max(F.array(*[F.struct(v.alias("v"), F.lit(-k).alias("k"), F.lit(float(c)).alias("c")) for k, (v, c) in enumerate(zip(value, self.classes))]))
+        return out.select(*keep, best.getField("c").alias("prediction"))
+
+
+def ridge_classifier_loo(df: DataFrame, cols: Sequence[str], label: str, alphas: Sequence[float], class_weight=None) -> RidgeClassifier:
+    """The alpha with the smallest mean squared leave-one-out error over all classes, in closed form.
+
+    A ridge fit is linear in the targets, so the error of a row when it is left out is its residual over 1 - h, h being its leverage
+    w z'(Z'WZ + D)^-1 z with a leading one in z that D does not penalise. One pass sums Z'WZ and Z'WT; the eigenvectors of the
+    centred Gram then serve all alphas, and a second pass adds up the squared errors of every alpha. Errors are weighted by
+    ``class_weight`` (None, 'balanced' or a dict), as the fit is. Rows with a null take no part."""
+    cols = list(cols)
+    d = len(cols)
+    rows = df.where(F.col(label).isNotNull()).where(" AND ".join(f"`{c}` IS NOT NULL" for c in cols))
+    rows, weight = with_class_weight(rows, label, class_weight)
+    classes = [float(c) for c in bounded_distinct(rows, label, 1000, "classes")]
+    if len(classes) < 2:
+        raise ValueError("one label only")
+    K, given = len(classes), np.array(classes)
+    taken = [*cols, label] + ([weight] if weight else [])
+
+    def parts(m):
+        w = m[:, d + 1] if weight else np.ones(len(m))
+        return m[:, :d], np.where(m[:, d][:, None] == given[None, :], 1.0, -1.0), w
+
+    def moments(m):
+        x, t, w = parts(m)
+        return np.concatenate([[w.sum()], w @ x, ((x * w[:, None]).T @ x).ravel(), w @ t, ((x * w[:, None]).T @ t).ravel()])
+
+    v = vector_sum(rows.select(*[F.col(c).cast("double").alias(c) for c in taken]), taken, moments, 1 + d + d * d + K + d * K)
+    n, sx, xx = v[0], v[1:1 + d], v[1 + d:1 + d + d * d].reshape(d, d)
+    st, xt = v[1 + d + d * d:1 + d + d * d + K], v[1 + d + d * d + K:].reshape(d, K)
+    mean = sx / n
+    values, axes = np.linalg.eigh(xx - n * np.outer(mean, mean))
+    along = axes.T @ (xt - n * np.outer(mean, st / n))  # the targets' products with each eigenvector
+    fits = {a: (W := axes @ (along / (np.maximum(values, 0) + a)[:, None]), st / n - mean @ W) for a in alphas}
+
+    def errors(m):
+        x, t, w = parts(m)
+        z = ((x - mean) @ axes) ** 2
+        out = []
+        for a in alphas:
+            W, b = fits[a]
+            h = w * (1 / n + (z / (np.maximum(values, 0) + a)).sum(1))
+            left = (t - x @ W - b) / np.maximum(1 - h, 1e-12)[:, None]
+            out.append((w[:, None] * left * left).sum())
+        return np.array(out)
+
+    total = vector_sum(rows.select(*[F.col(c).cast("double").alias(c) for c in taken]), taken, errors, len(alphas))
+    scores = {a: -float(e / (n * K)) for a, e in zip(alphas, total)}
+    best = max(alphas, key=lambda a: (scores[a], -a))
+    return RidgeClassifier(cols, classes, *fits[best], best, scores)
+
+
 # -- PCA / factor analysis ----------------------------------------------------
 
 @dataclass
@@ -491,28 +560,38 @@ def sequential_feature_selection(df: DataFrame, cols: Sequence[str], y: str, key
 
 
 def learning_curve(df: DataFrame, cols: Sequence[str], y: str, key: str, train_sizes=(0.1, 0.325, 0.55, 0.775, 1.0),
-                   cv: int = 5, alpha: float = 1e-6) -> DataFrame:
-    """Train / test R^2 of a ridge model for k folds x train sizes.  Train
-    sets are prefixes (by a hash order of ``key``) of each training fold;
-    each cell is one Gram aggregate."""
-    f = kfold(df, cv, key).withColumn("_o", F.xxhash64(F.col(key), F.lit(7)))
-    spark = df.sparkSession
-    rows = []
+                   cv: int = 5, alpha: float = 1e-6, fold: Column | None = None, order: Sequence[Column] | None = None) -> DataFrame:
+    """Train / test R^2 of a ridge model for k folds x train sizes.  Train sets are prefixes of each training fold along ``order``
+    (default: by a hash of ``key``); ``fold`` (0 to cv - 1) defaults to a hash of ``key``.
+
+    One ordered scan numbers the rows and counts the rows of each fold before them, so each row's place in every training fold is
+    known, and with it the prefixes that hold it.  Rows of one fold that are in the same prefixes form a group (at most cv (cv x
+    sizes + 1) of them); one grouped Gram serves all cells: a cell's Gram is a sum of groups."""
+    order = list(order) if order is not None else [F.xxhash64(F.col(key), F.lit(7)), F.col(key)]
+    f = (kfold(df, cv, key) if fold is None else df.withColumn("fold", fold.cast("int")))
+    names = [f"_o{i}" for i in range(len(order))]
+    sizes = {r["fold"]: r["n"] for r in f.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(sizes.values())
+    bounds = [sorted(max(int(math.floor(s * (n - sizes.get(k, 0)))), 1) for s in train_sizes) for k in range(cv)]
+    marked = f.select(*cols, y, "fold", *[o.alias(c) for o, c in zip(order, names)], *[(F.col("fold") == k).cast("long").alias(f"_f{k}") for k in range(cv)])
+    numbered = ordered_scan(marked, [F.col(c).asc() for c in names], [], [Pos("_pos"), *[CumSum(f"_f{k}", f"_c{k}") for k in range(cv)]])
+    places = []
+    for k in range(cv):
+        place = F.col("_pos") - F.col(f"_c{k}") + F.col(f"_f{k}")
+        places.append(sum(((place >= b).cast("int") for b in bounds[k]), F.lit(0)))
+    groups = gram(numbered.withColumn("_g", F.concat_ws(",", "fold", *[p.cast("string") for p in places])), cols, y, by="_g")
+    parts = [([int(v) for v in g.split(",")], m) for g, m in groups.items()]
+    rows, idx = [], list(range(len(cols)))
     for k in range(cv):
-        train = f.where(F.col("fold") != k)
-        n_train = train.count()
-        test_g = gram(f.where(F.col("fold") == k), cols, y)
-        # positions along the hash order, once per fold (range + carry scan:
-        # no large global limit funnels the rows through one partition)
-        numbered = ordered_scan(train.select(*cols, y, "_o", key), [F.col("_o").asc(), F.col(key).asc()], [],
-                                [Pos("_pos")])
-        for frac in train_sizes:
-            m_n = max(int(math.floor(frac * n_train)), 1)
-            g = gram(numbered.where(F.col("_pos") < m_n), cols, y)
-            model = ridge_from_gram(g, alpha)
-            idx = list(range(len(cols)))
-            rows.append((k, int(g.n), float(_r2_on(g, model, idx)), float(_r2_on(test_g, model, idx))))
-    return spark.createDataFrame(rows, "fold int, n_train long, train_score double, test_score double")
+        test = _combine([m for g, m in parts if g[0] == k]) if any(g[0] == k for g, _ in parts) else None
+        for b in bounds[k]:
+            below = sum(x < b for x in bounds[k])  # a row is in the prefix if it is past no more bounds than those below it
+            own = [m for g, m in parts if g[0] != k and g[1 + k] <= below]
+            if own and test is not None:
+                train = _combine(own)
+                model = ridge_from_gram(train, alpha)
+                rows.append((k, int(train.n), float(_r2_on(train, model, idx)), float(_r2_on(test, model, idx))))
+    return df.sparkSession.createDataFrame(rows, "fold int, n_train long, train_score double, test_score double")
 
 
 # -- Spark ML wrappers --------------------------------------------------------

@@ -137,6 +137,49 @@ def test_ridge_classifier_cv(frame):
     assert res["scores"][res["alpha"]] == max(res["scores"].values()) > 0.85
 
 
+@pytest.mark.parametrize("class_weight", [None, "balanced"])
+def test_ridge_leave_one_out(spark, data, class_weight):
+    """The closed form equals refitting without each of 50 rows."""
+    x, label = data[0][:50], np.digitize(data[0][:50, 0], [data[0][:, 0].mean() - 1, data[0][:, 0].mean() + 1]).astype(float)
+    df = spark.createDataFrame([(i, *map(float, r), float(c)) for i, (r, c) in enumerate(zip(x, label))], "id long, " + ", ".join(f"{c} double" for c in COLS) + ", kind double")
+    classes, n = np.unique(label, return_counts=True)
+    w = np.ones(50) if class_weight is None else (50 / (len(classes) * n))[np.searchsorted(classes, label)]
+    t = np.where(label[:, None] == classes[None, :], 1.0, -1.0)
+
+    def fit(rows, a):
+        z = np.c_[np.ones(len(rows)), x[rows]]
+        return np.linalg.solve(z.T @ (z * w[rows, None]) + a * np.diag([0.0] + [1.0] * D), z.T @ (t[rows] * w[rows, None]))
+
+    alphas = [0.01, 1.0, 30.0]
+    m = L.ridge_classifier_loo(df, COLS, "kind", alphas, class_weight)
+    every = np.arange(50)
+    for a in alphas:
+        left = np.array([t[i] - np.r_[1, x[i]] @ fit(np.delete(every, i), a) for i in range(50)])
+        assert m.scores[a] == pytest.approx(-(w[:, None] * left ** 2).sum() / (w.sum() * len(classes)), rel=1e-9)
+    assert m.alpha == max(alphas, key=lambda a: m.scores[a])
+    best = fit(every, m.alpha)
+    assert np.allclose(m.coef, best[1:], atol=1e-9) and np.allclose(m.intercept, best[0], atol=1e-9)
+    assert (by_id(m.predict(df, ["id"]), "prediction")[:, 0] == classes[(np.c_[np.ones(50), x] @ best).argmax(1)]).all()
+
+
+def test_learning_curve_cells(frame, data):
+    """Every cell equals a fit on the prefix itself."""
+    out = {(r["fold"], r["n_train"]): (r["train_score"], r["test_score"]) for r in L.learning_curve(
+        frame, COLS[:3], "y", "id", train_sizes=(0.3, 0.05, 1.0), cv=3, alpha=0.5, fold=F.col("id") % 3, order=[(F.col("id") * 37) % 240, F.col("id")]).collect()}
+    x, y = data[0][:, :3], data[1]
+    turn = sorted(range(N), key=lambda i: ((i * 37) % 240, i))
+    assert len(out) == 9
+    for k in range(3):
+        train, test = [i for i in turn if i % 3 != k], [i for i in turn if i % 3 == k]
+        for share in (0.3, 0.05, 1.0):
+            own = train[:int(share * len(train))]
+            c = x[own] - x[own].mean(0)
+            w = np.linalg.solve(c.T @ c + 0.5 * np.eye(3), c.T @ (y[own] - y[own].mean()))
+            for rows, score in zip((own, test), out[k, len(own)]):
+                z = (x[rows] - x[own].mean(0)) @ w + y[own].mean()
+                assert score == pytest.approx(1 - ((y[rows] - z) ** 2).sum() / ((y[rows] - y[rows].mean()) ** 2).sum(), rel=1e-6)
+
+
 def test_logistic_matches_its_objective(vectors, data):
     x, _, label = data
     p = by_id(L.logistic(vectors, "label", C=1.0, tol=1e-9).transform(vectors).select("id", vector_to_array("probability")[1].alias("p")), "p")[:, 0]
