@@ -199,8 +199,8 @@ def q_sparse_encode(spark, d):
 @query("dict_learning")
 def q_dict_learning(spark, d):
     df = _emb_cols(spark, d)
-    dic, _costs = L.dict_learning(df, _E, 5, alpha=0.05, max_iter=100)
-    return L.sparse_encode_threshold(df, _E, dic, 0.05, keep=["vec_id"])
+    dic, _costs = L.dict_learning(df, _E, 5, alpha=0.05, max_iter=100, tol=1e-4, method="lasso")
+    return L.sparse_encode_lasso(df, _E, dic, 0.05, keep=["vec_id"])
 
 
 def _reg_vec(spark, d):

@@ -466,11 +466,64 @@ def sparse_encode_omp(df: DataFrame, cols: Sequence[str], dictionary: np.ndarray
     return df.select(*keep, *[c for c in cols if c not in keep]).mapInPandas(run, schema)
 
 
-def dict_learning(df: DataFrame, cols: Sequence[str], n_components: int, alpha: float = 0.1,
-                  max_iter: int = 20, tol: float = 1e-6, seed: int = 0) -> tuple[np.ndarray, list[float]]:
-    """Alternating minimization: soft-threshold codes (per batch) and a
+def lasso_codes(x: np.ndarray, dictionary: np.ndarray, alpha: float, positive: bool = False, tol: float = 1e-10, max_iter: int = 2000) -> np.ndarray:
+    """Codes that minimise |x - code D|^2 / 2 + alpha |code|_1 for each row of a batch: coordinate descent on the dictionary's
+    Gram, one coefficient of all rows at a time; rows that no longer move are left out of further sweeps."""
+    g = dictionary @ dictionary.T
+    against = x @ dictionary.T
+    codes = np.zeros_like(against)
+    open_ = np.arange(len(x))
+    for _ in range(max_iter):
+        a, c, moved = codes[open_], against[open_], np.zeros(len(open_))
+        for j in range(len(dictionary)):
+            if g[j, j] <= 0:
+                continue
+            want = c[:, j] - a @ g[:, j] + a[:, j] * g[j, j]
+            want = (np.maximum(want - alpha, 0) if positive else np.sign(want) * np.maximum(np.abs(want) - alpha, 0)) / g[j, j]
+            moved = np.maximum(moved, np.abs(want - a[:, j]))
+            a[:, j] = want
+        codes[open_] = a
+        open_ = open_[moved > tol * (1 + np.abs(a).max(1, initial=0))]
+        if len(open_) == 0:
+            break
+    return codes
+
+
+def sparse_encode_lasso(df: DataFrame, cols: Sequence[str], dictionary: np.ndarray, alpha: float, keep: Sequence[str] = (), positive: bool = False) -> DataFrame:
+    """Lasso codes, rows independent: computed per Arrow batch."""
+    cols, keep = list(cols), list(keep)
+    k = len(dictionary)
+    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(f"code{j}", T.DoubleType()) for j in range(k)])
+
+    def run(batches):
+        for pdf in batches:
+            c = lasso_codes(pdf[cols].to_numpy(float), dictionary, alpha, positive)
+            out = pdf[keep].copy()
+            for j in range(k):
+                out[f"code{j}"] = c[:, j]
+            yield out
+
+    return df.select(*keep, *[c for c in cols if c not in keep]).mapInPandas(run, schema)
+
+
+def atoms_in_turn(dic: np.ndarray, ata: np.ndarray, atx: np.ndarray) -> np.ndarray:
+    """Each atom in turn at its best for the codes, given the others, and scaled back where its norm is above 1: the cost does not rise.
+    Atoms that no code uses stay."""
+    dic = dic.copy()
+    for j in range(len(dic)):
+        if ata[j, j] > 1e-12:
+            dic[j] += (atx[j] - ata[j] @ dic) / ata[j, j]
+            dic[j] /= max(np.linalg.norm(dic[j]), 1.0)
+    return dic
+
+
+def dict_learning(df: DataFrame, cols: Sequence[str], n_components: int, alpha: float = 0.1, max_iter: int = 20, tol: float = 1e-6,
+                  seed: int = 0, method: str = "threshold") -> tuple[np.ndarray, list[float]]:
+    """Alternating minimization: codes (per batch; soft thresholds or, with ``method`` 'lasso', lasso codes) and a
     dictionary update from the aggregates A'A and A'X; stops when the
     relative change of the cost is below ``tol``."""
+    if method not in ("threshold", "lasso"):
+        raise ValueError("method is 'threshold' or 'lasso'")
     cols = list(cols)
     d = len(cols)
     rng = np.random.default_rng(seed)
@@ -483,15 +536,18 @@ def dict_learning(df: DataFrame, cols: Sequence[str], n_components: int, alpha:
         for _ in range(max_iter):
             def stats(x, dic=dic):
                 c = dic @ x.T
-                a = (np.sign(c) * np.maximum(np.abs(c) - alpha, 0.0)).T      # (b, k)
+                a = lasso_codes(x, dic, alpha) if method == "lasso" else (np.sign(c) * np.maximum(np.abs(c) - alpha, 0.0)).T      # (b, k)
                 r = x - a @ dic
                 cost = 0.5 * (r * r).sum() + alpha * np.abs(a).sum()
                 return np.concatenate([(a.T @ a).ravel(), (a.T @ x).ravel(), [cost]])
             v = vector_sum(data, cols, stats, k * k + k * d + 1)
             ata, atx, cost = v[:k * k].reshape(k, k), v[k * k:k * k + k * d].reshape(k, d), v[-1]
-            new = np.linalg.solve(ata + 1e-10 * np.eye(k), atx)
-            norms = np.linalg.norm(new, axis=1, keepdims=True)
-            dic = np.where(norms > 0, new / np.maximum(norms, 1e-300), dic)
+            if method == "lasso":
+                dic = atoms_in_turn(dic, ata, atx)
+            else:
+                new = np.linalg.solve(ata + 1e-10 * np.eye(k), atx)
+                norms = np.linalg.norm(new, axis=1, keepdims=True)
+                dic = np.where(norms > 0, new / np.maximum(norms, 1e-300), dic)
             costs.append(float(cost))
             if len(costs) > 1 and abs(costs[-2] - costs[-1]) < tol * costs[-1]:
                 break

@@ -137,6 +137,25 @@ def test_ridge_classifier_cv(frame):
     assert res["scores"][res["alpha"]] == max(res["scores"].values()) > 0.85
 
 
+@pytest.mark.parametrize("positive", [False, True])
+def test_lasso_codes(frame, data, positive):
+    """The subgradient of every row's objective vanishes at its codes."""
+    x, alpha = data[0], 0.8
+    dic = np.random.default_rng(4).normal(size=(5, D))
+    dic /= np.linalg.norm(dic, axis=1, keepdims=True)
+    a = by_id(L.sparse_encode_lasso(frame, COLS, dic, alpha, ["id"], positive), *[f"code{j}" for j in range(5)])
+    slope = (a @ dic - x) @ dic.T
+    assert np.abs(slope[a != 0] + alpha * np.sign(a[a != 0])).max() < 1e-6 and (a == 0).any()
+    assert (slope[a == 0] >= -alpha - 1e-6).all() and (positive or (slope[a == 0] <= alpha + 1e-6).all())
+    assert not positive or (a >= 0).all()
+
+
+def test_dictionary_by_lasso(frame):
+    dic, costs = L.dict_learning(frame, COLS, 3, alpha=0.3, max_iter=8, method="lasso")
+    assert all(b <= a * (1 + 1e-9) for a, b in zip(costs, costs[1:])) and costs[-1] < 0.9 * costs[0]
+    assert (np.linalg.norm(dic, axis=1) <= 1 + 1e-12).all()
+
+
 @pytest.mark.parametrize("class_weight", [None, "balanced"])
 def test_ridge_leave_one_out(spark, data, class_weight):
     """The closed form equals refitting without each of 50 rows."""
