@@ -33,7 +33,7 @@ from colonnade.session import materialize
 BALL_ROWS = 512  # points of a ball, about
 MOST_BALLS = 1024
 SAMPLE = 8192  # points among which centres are chosen
-BLOCK = 4096  # points that one task compares
+CELL_ROWS = 4096  # points of a ball that one task compares
 GROUP = 2048  # queries that it compares them with
 CELLS = 1 << 21  # distances that are held at once
 
@@ -91,8 +91,8 @@ def candidates(q: np.ndarray, x: np.ndarray, reach: np.ndarray, k: int | None =
 class Space:
     """Points (id, vector) in balls. ``points`` has _id, _v, _ball and _far (distance from the centre); ids are unique."""
 
-    def __init__(self, df: DataFrame, id_col: str, vec_col: str, balls: int | None = None, block: int = BLOCK, group: int = GROUP):
-        self.spark, self.block, self.group = df.sparkSession, block, group
+    def __init__(self, df: DataFrame, id_col: str, vec_col: str, balls: int | None = None, block: int | None = None, group: int = GROUP):
+        self.spark, self.block, self.group = df.sparkSession, block or CELL_ROWS, group
         rows = df.select(F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")).where(F.col("_v").isNotNull())
         some = rows.orderBy(F.xxhash64("_id", F.lit(7)), "_id").limit(SAMPLE).toArrow()
         self.n = rows.count()
