@@ -275,7 +275,7 @@ def rest_of_dense(dense: DataFrame, members: DataFrame, components: DataFrame, s
     """Pairs inside dense nodes whose ends are in different components and that may reach the threshold. Nodes with the same centre
     are one group; in each, members outside its largest component meet all members. Two sets share at most the elements that
     each has in common with the centre, and the elements outside the centre that both hold: the first bound alone lets few pairs
-    through, all others have such an element, and are found by it."""
+    through, all others have such elements, and are found by the rarest of them (a prefix filter)."""
     own = dense.select("centre", "name", "shared").distinct().join(components.withColumnRenamed("vertex", "name"), "name", "left").join(sets.select("name", "n"), "name")
     own = own.withColumn("component", F.coalesce("component", "name"))
     main = own.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("size")).groupBy("centre").agg(
@@ -283,12 +283,24 @@ def rest_of_dense(dense: DataFrame, members: DataFrame, components: DataFrame, s
     within = own.join(main, "centre").filter(F.col("shared") * 100 >= F.col("n") * threshold)  # else it is like no other member
     within = materialize(within.withColumn("out", F.col("component") != F.col("main")).select("centre", "name", "n", "component", "out"), "dense-members")
     tied = materialize(within.join(against_centre(within.select("name", "centre"), members), ["name", "centre"]), "dense-ties")
-    x = tied.filter("out").select("centre", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("k").alias("ka"), F.col("other").alias("oa"))
-    y = tied.select("centre", F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("k").alias("kb"), F.col("other").alias("ob"))
+    # elements outside the centre that another member holds too, the rarest first, and how many of them a link needs at least
+    each = tied.select("centre", "name", F.explode("other").alias("element"))
+    twice = each.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    rare = each.join(twice, ["centre", "element"]).groupBy("centre", "name").agg(F.array_sort(F.collect_list(F.struct("holders", "element"))).alias("rare"))
+    least = tied.groupBy("centre").agg(F.min("n").alias("least_n"))
+    member = tied.drop("other").join(rare, ["centre", "name"], "left").join(least, "centre").withColumn(
+        "rare", F.coalesce(F.transform("rare", lambda e: e["element"]), F.array().cast("array<long>")))
+    member = member.withColumn("wants", F.ceil((F.col("n") + F.col("least_n")) * threshold / (100 + threshold)) - F.col("k"))
+    member = materialize(member.filter(F.size("rare") >= F.col("wants")), "dense-rare")  # the others reach no member's threshold
+    x = member.filter("out").select("centre", F.col("name").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("k").alias("ka"), F.col("rare").alias("ra"), "wants")
+    y = member.select("centre", F.col("name").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("k").alias("kb"), F.col("rare").alias("rb"))
     enough = lambda k: k * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold
-    by_centre = x.drop("oa").join(y.drop("ob"), "centre").filter((F.col("ca") != F.col("cb")) & enough(F.least("ka", "kb"))).select("a", "b")
-    held = x.withColumn("element", F.explode("oa")).drop("oa").join(y.withColumn("element", F.explode("ob")).drop("ob"), ["centre", "element"]).filter("ca <> cb")
-    by_element = held.groupBy("centre", "a", "b", "na", "nb", "ka", "kb").agg(F.count(F.lit(1)).alias("more")).filter(enough(F.least("ka", "kb") + F.col("more"))).select("a", "b")
+    by_centre = x.drop("ra", "wants").join(y.drop("rb"), "centre").filter((F.col("ca") != F.col("cb")) & enough(F.least("ka", "kb"))).select("a", "b")
+    # who shares as many of them as it wants shares one of all but so many of the rarest
+    first = F.slice("ra", 1, F.size("ra") - F.greatest("wants", F.lit(1)).cast("int") + 1)
+    held = x.filter(F.size("ra") > 0).withColumn("element", F.explode(first)).drop("wants").join(y.withColumn("element", F.explode("rb")), ["centre", "element"]).filter("ca <> cb")
+    met = held.groupBy("centre", "a", "b", "na", "nb", "ka", "kb").agg(F.any_value("ra").alias("ra"), F.any_value("rb").alias("rb"))
+    by_element = met.filter(enough(F.least("ka", "kb") + F.size(F.array_intersect("ra", "rb")))).select("a", "b")
     pairs = by_centre.union(by_element)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
