@@ -2,14 +2,16 @@
 
 Centres, spread out by farthest-first choice from a bounded sample, cut the points into balls: each point belongs to its nearest
 centre. A ball keeps its number of points and its radius, so the triangle inequality tells which balls can hold a point within
-r of a query: those whose centre is no farther than r plus their radius. Queries are sent to these balls only, and meet their
-points in blocks of bounded size (a ball of any number of points is many blocks). Inside a block points whose distance to the
-centre excludes them are left out, one matrix product per block gives squared distances that only select candidates (widened by
+r of a query: those whose centre is no farther than r plus their radius. Neighboring balls are packed into units of at most
+``block`` points (a larger ball is several units). Queries travel in the same units: a query is sent once to each unit with a ball
+that it may need, and one task compares the queries of a unit with the points of a unit, a few balls at a time. So rows are copied
+once a unit, not once a ball, and no task holds more than two units and ``CELLS`` distances. Balls whose distances to the
+centre exclude a query are left out, one matrix product per run gives squared distances that only select candidates (widened by
 more than their rounding error), and the candidates' distances are computed exactly by differences.
 
-k nearest neighbors: a first join inside each point's own ball gives its k best so far; the k-th distance, or a bound from the
-balls' sizes where it is smaller, is the radius of the second join. Both keep k rows a point and block. Clusterings never write
-pairs: blocks return counts, forests of their own components, and one link for each component that a border point touches.
+k nearest neighbors: a first join inside each point's own unit gives its k best so far; the k-th distance, or a bound from the
+balls' sizes where it is smaller, is the radius of the second join. Both keep k rows a point and unit. Clusterings never write
+pairs: units return counts, forests of their own components, and one link for each component that a border point touches.
 
 The work follows the data: points with structure meet few balls, and exact neighbors of points without any need all of them.
 Connected components come from ``plans.components``.
@@ -33,9 +35,12 @@ from colonnade.session import materialize
 BALL_ROWS = 512  # points of a ball, about
 MOST_BALLS = 1024
 SAMPLE = 8192  # points among which centres are chosen
-CELL_ROWS = 4096  # points of a ball that one task compares
-GROUP = 2048  # queries that it compares them with
-CELLS = 1 << 21  # distances that are held at once
+UNIT_ROWS = (2048, 16384)  # least and most points that one task compares with as many queries
+UNITS = 12  # units at least, where there are points enough
+RUN_ROWS = 2048  # points that are compared at once, about
+SENT_ROWS = 4096  # rows of a batch of sent queries
+CELLS = 1 << 19  # distances that are held at once
+PAIRS = 1 << 22  # pairs that a task may return
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -58,11 +63,23 @@ def farthest_first(x: np.ndarray, n: int) -> np.ndarray:
 def from_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Distances of rows to all centres, by differences."""
     out = np.empty((len(x), len(centres)))
-    for c, centre in enumerate(centres):
-        out[:, c] = np.sqrt(((x - centre) ** 2).sum(1))
+    for at in range(0, len(x), 1024):
+        part = x[at:at + 1024]
+        for c, centre in enumerate(centres):
+            out[at:at + 1024, c] = np.sqrt(((part - centre) ** 2).sum(1))
     return out
 
 
+def along(centres: np.ndarray) -> np.ndarray:
+    """The centres in an order in which each is followed by the nearest of those left."""
+    left, order, at = np.ones(len(centres), bool), [], 0
+    while len(order) < len(centres):
+        order.append(at)
+        left[at] = False
+        at = int(np.where(left, ((centres - centres[at]) ** 2).sum(1), np.inf).argmin())
+    return centres[order]
+
+
 def exact_distances(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     out = np.empty(len(i))
     for at in range(0, len(i), 1 << 15):
@@ -80,26 +97,62 @@ def candidates(q: np.ndarray, x: np.ndarray, reach: np.ndarray, k: int | None =
         slack = 1e-9 * (square_q[at:at + step] + square_x.max(initial=0)) + 1e-12
         d2 = square_q[at:at + step, None] + square_x[None, :] - 2 * part @ x.T
         limit = own * own
+        hit = d2 <= (limit + 2 * slack)[:, None]
         if k is not None and k < len(x):
-            limit = np.minimum(limit, np.partition(d2, k - 1, axis=1)[:, k - 1])
-        i, j = np.nonzero(d2 <= (limit + 2 * slack)[:, None])
+            busy = np.flatnonzero(np.count_nonzero(hit, axis=1) > 4 * k)
+            if len(busy):
+                some = d2[busy]
+                hit[busy] = some <= (np.minimum(limit[busy], np.partition(some, k - 1, axis=1)[:, k - 1]) + 2 * slack[busy])[:, None]
+        i, j = np.nonzero(hit)
         dist = exact_distances(part, x, i, j)
         keep = dist <= own[i]
         yield i[keep] + at, j[keep], dist[keep]
 
 
+def runs(a: pa.Table, p: pa.Table, centres: np.ndarray, reach: np.ndarray):
+    """(queries, rows of p, their vectors) for runs of balls of ``p``, with the queries of ``a`` that may hold one of a run's points within
+    ``reach``, which may shrink between the runs."""
+    order = np.argsort(p.column("_ball").to_numpy(), kind="stable")
+    ball, far, v = p.column("_ball").to_numpy()[order], p.column("_far").to_numpy()[order], matrix(p.column("_v"))
+    start = np.flatnonzero(np.append(True, ball[1:] != ball[:-1])[:len(ball)])
+    d = from_centres(matrix(a.column("vi")), centres[ball[start]])
+    low, high = np.minimum.reduceat(far, start), np.maximum.reduceat(far, start)
+    wide = 1e-9 * (1 + far.max() + d.max(initial=0))
+    end, at = np.append(start[1:], len(ball)), 0
+    while at < len(start):
+        to = at + 1
+        while to < len(start) and end[to] - start[at] <= RUN_ROWS:
+            to += 1
+        gap = np.maximum(d[:, at:to] - high[at:to], low[at:to] - d[:, at:to]).min(1)
+        asks = np.flatnonzero(gap <= reach + wide)
+        if len(asks):
+            for row in range(start[at], end[to - 1], RUN_ROWS):
+                rows = order[row:min(row + RUN_ROWS, end[to - 1])]
+                yield asks, rows, v[rows]
+        at = to
+
+
 class Space:
     """Points (id, vector) in balls. ``points`` has _id, _v, _ball and _far (distance from the centre); ids are unique."""
 
-    def __init__(self, df: DataFrame, id_col: str, vec_col: str, balls: int | None = None, block: int | None = None, group: int = GROUP):
-        self.spark, self.block, self.group = df.sparkSession, block or CELL_ROWS, group
+    def __init__(self, df: DataFrame, id_col: str, vec_col: str, balls: int | None = None, block: int | None = None, group: int | None = None):
+        self.spark = df.sparkSession
         rows = df.select(F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")).where(F.col("_v").isNotNull())
         some = rows.orderBy(F.xxhash64("_id", F.lit(7)), "_id").limit(SAMPLE).toArrow()
         self.n = rows.count()
+        self.block = block or min(max(math.ceil(self.n / UNITS), UNIT_ROWS[0]), UNIT_ROWS[1])
+        self.group = group or self.block
         wanted = balls or min(MOST_BALLS, math.ceil(self.n / BALL_ROWS))
-        self.centres = centres = farthest_first(matrix(some.column("_v")), wanted) if some.num_rows else np.zeros((0, 0))
+        self.centres = along(farthest_first(matrix(some.column("_v")), wanted)) if some.num_rows else np.zeros((0, 0))
         self.id_type = rows.schema["_id"].dataType
         self.kind = self.id_type.simpleString()
+        self.points = materialize(self._assigned(rows), "balls")
+        self.sizes, self.radius = self._extent(self.points)
+        self.units = self._packed(self.sizes, self.block)
+
+    def _assigned(self, rows: DataFrame) -> DataFrame:
+        """_id and _v with the nearest ball and the distance of its centre."""
+        centres = self.centres
 
         def assign(batches):
             for b in batches:
@@ -107,8 +160,7 @@ class Space:
                     d = from_centres(matrix(b.column("_v")), centres)
                     yield pa.record_batch([b.column("_id"), b.column("_v"), pa.array(d.argmin(1).astype(np.int32)), pa.array(d.min(1))], ["_id", "_v", "_ball", "_far"])
 
-        self.points = materialize(rows.mapInArrow(assign, f"_id {self.kind}, _v array<double>, _ball int, _far double"), "balls")
-        self.sizes, self.radius = self._extent(self.points)
+        return rows.select("_id", "_v").mapInArrow(assign, f"_id {self.kind}, _v array<double>, _ball int, _far double")
 
     def _extent(self, points: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         sizes, radius = np.zeros(len(self.centres), np.int64), np.zeros(len(self.centres))
@@ -116,97 +168,184 @@ class Space:
             sizes[r["_ball"]], radius[r["_ball"]] = r["n"], r["r"]
         return sizes, radius
 
-    def addressed(self, asks: DataFrame, sizes: np.ndarray, radius: np.ndarray, k: int | None = None) -> DataFrame:
-        """``asks`` (i, vi, reach, ..) once for every ball that may hold a point within reach. With ``k``, reach shrinks to a
-        distance within which the balls' sizes promise k points, and the own ball (column ``own``) is left out."""
-        centres = self.centres
+    @staticmethod
+    def _packed(sizes: np.ndarray, block: int) -> list[tuple[int, int, int]]:
+        """(ball, first unit, units): consecutive balls share a unit of at most ``block`` rows, a larger ball has several units."""
+        out, unit, held = [], 0, 0
+        for ball, n in enumerate(sizes.tolist()):
+            if held and held + n > block:
+                unit, held = unit + 1, 0
+            many = max(1, math.ceil(n / block))
+            out.append((ball, unit, many))
+            unit, held = (unit + many, 0) if many > 1 else (unit, held + n)
+        return out
+
+    def _placed(self, rows: DataFrame, units: list[tuple[int, int, int]], ball: str, key: str, name: str) -> DataFrame:
+        """``rows`` with the number of their unit."""
+        table = F.broadcast(self.spark.createDataFrame(units or [(-1, 0, 1)], f"`{ball}` int, _first int, _many int"))
+        at = F.col("_first") + F.pmod(F.xxhash64(key, F.lit(5)), F.col("_many")).cast("int")
+        return rows.join(table, ball).withColumn(name, at).drop("_first", "_many")
+
+    def _may(self, vi: np.ndarray, reach: np.ndarray, sizes: np.ndarray, radius: np.ndarray, k: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which balls may hold a point within reach, the reach and the distances of the centres. With ``k``, reach shrinks to a
+        distance within which the balls' sizes promise k points."""
+        d = from_centres(vi, self.centres)
+        if k is not None and sizes.sum() >= k:
+            outer = d + radius
+            order = np.argsort(outer, 1)
+            enough = np.argmax(np.cumsum(sizes[order], 1) >= k, 1)
+            bound = np.take_along_axis(outer, np.take_along_axis(order, enough[:, None], 1), 1)[:, 0] * (1 + 1e-9)
+            reach = np.minimum(reach, bound)
+        return (d - radius[None, :] <= reach[:, None] * (1 + 1e-9) + 1e-12) & (sizes > 0)[None, :], reach, d
+
+    def _sending(self, asks: DataFrame, pick, schema: str) -> DataFrame:
+        """``pick(vectors, reach, batch)`` names (row, target, reach, distance); its rows go out in batches of bounded size."""
 
         def run(batches):
             for b in batches:
-                if not b.num_rows:
-                    continue
-                d = from_centres(matrix(b.column("vi")), centres)
-                reach = b.column("reach").to_numpy().copy()
-                if k is not None:
-                    outer = d + radius
-                    order = np.argsort(outer, 1)
-                    enough = np.argmax(np.cumsum(sizes[order], 1) >= k, 1)
-                    bound = np.take_along_axis(outer, np.take_along_axis(order, enough[:, None], 1), 1)[:, 0] * (1 + 1e-9)
-                    reach = np.minimum(reach, np.where(sizes.sum() >= k, bound, np.inf))
-                may = (d - radius[None, :] <= reach[:, None] * (1 + 1e-9) + 1e-12) & (sizes > 0)[None, :]
-                if k is not None:
-                    may[np.arange(len(d)), b.column("own").to_numpy()] = False
-                i, ball = np.nonzero(may)
-                at = pa.array(i)
-                kept = [pa.array(reach).take(at) if c == "reach" else b.column(c).take(at) for c in b.schema.names]
-                yield pa.record_batch([*kept, pa.array(ball.astype(np.int32)), pa.array(d[i, ball])], [*b.schema.names, "ball", "far"])
+                for at in range(0, b.num_rows, 1024):
+                    part = b.slice(at, 1024)
+                    i, target, reach, d = pick(matrix(part.column("vi")), part.column("reach").to_numpy(), part)
+                    for to in range(0, len(i), SENT_ROWS):
+                        rows = i[to:to + SENT_ROWS]
+                        take = pa.array(rows)
+                        kept = [pa.array(reach[rows]) if c == "reach" else part.column(c).take(take) for c in part.schema.names]
+                        more = [pa.array(target[to:to + SENT_ROWS].astype(np.int32))] + ([] if d is None else [pa.array(d[to:to + SENT_ROWS])])
+                        yield pa.record_batch([*kept, *more], [*part.schema.names, *schema])
 
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asks.schema.fields)
-        return materialize(asks.mapInArrow(run, f"{fields}, ball int, far double"), "addressed")
-
-    def meet(self, asks: DataFrame, points: DataFrame, compare, schema: str, sizes: np.ndarray) -> DataFrame:
-        """``compare(asks, points)`` on Arrow tables for every block of a ball and group of queries sent to it. No block holds much
-        more than ``block`` points and ``group`` queries."""
-        asked = {r["ball"]: r["n"] for r in asks.groupBy("ball").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most MOST_BALLS rows
-        cut = [(int(b), math.ceil(int(sizes[b]) / self.block), math.ceil(n / self.group)) for b, n in asked.items() if sizes[b]]
-        cuts = F.broadcast(self.spark.createDataFrame(cut or [(-1, 1, 1)], "ball int, slices int, parts int"))
-        each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-        keys = ["ball", "slice", "part"]
-        left = asks.join(cuts, "ball").withColumn("part", F.pmod(F.xxhash64("i", F.lit(3)), F.col("parts")).cast("int")).withColumn("slice", each("slices"))
-        right = points.withColumnRenamed("_ball", "ball").join(cuts, "ball").withColumn(
-            "slice", F.pmod(F.xxhash64("_id", F.lit(5)), F.col("slices")).cast("int")).withColumn("part", each("parts"))
+        return asks.mapInArrow(run, fields + "".join(f", {n} {t}" for n, t in schema.items()))
+
+    def addressed(self, asks: DataFrame, sizes: np.ndarray, radius: np.ndarray) -> DataFrame:
+        """``asks`` (i, vi, reach, ..) once for every ball that may hold a point within reach."""
+
+        def pick(vi, reach, _):
+            may, reach, d = self_may(vi, reach)
+            i, ball = np.nonzero(may)
+            return i, ball, reach, d[i, ball]
+
+        self_may = self._picker(sizes, radius)
+        return self._sending(asks, pick, {"ball": "int", "far": "double"})
+
+    def _picker(self, sizes: np.ndarray, radius: np.ndarray, k: int | None = None):
+        """``_may`` as a function that tasks can hold."""
+        bare = Space.__new__(Space)
+        bare.centres = self.centres
+        return lambda vi, reach: bare._may(vi, reach, sizes, radius, k)
+
+    def sent(self, asks: DataFrame, sizes: np.ndarray, radius: np.ndarray, k: int | None = None, asked: np.ndarray | None = None) -> tuple[DataFrame, DataFrame]:
+        """``asks`` (i, vi, reach, ball, ..; ball is the nearest) once for every unit (columns grp, unit) that may hold a point within
+        reach, and the (grp, unit) that occur. With ``k`` a query's own unit is left out. ``asked``: queries by ball, if not the points."""
+        firsts, many = (np.array([u[c] for u in self.units]) for c in (1, 2))
+        n_units = int((firsts + many).max(initial=0))
+        may_of = self._picker(sizes, radius, k)
+
+        def units_of(vi, reach, part):
+            may, reach, _ = may_of(vi, reach)
+            to = np.zeros((len(vi), n_units), bool)
+            for ball in np.flatnonzero(may.any(0)):
+                to[:, firsts[ball]:firsts[ball] + many[ball]] |= may[:, ball, None]
+            if k is not None:
+                to[np.arange(len(vi)), part.column("grp").to_numpy()] = False
+            return to, reach
+
+        def pick(vi, reach, part):
+            to, reach = units_of(vi, reach, part)
+            i, unit = np.nonzero(to)
+            return i, unit, reach, None
+
+        def pairs(batches):
+            for b in batches:
+                for at in range(0, b.num_rows, 1024):
+                    part = b.slice(at, 1024)
+                    i, unit = np.nonzero(units_of(matrix(part.column("vi")), part.column("reach").to_numpy(), part)[0])
+                    seen = np.unique(part.column("grp").to_numpy()[i].astype(np.int64) * n_units + unit)
+                    yield pa.record_batch([pa.array((seen // n_units).astype(np.int32)), pa.array((seen % n_units).astype(np.int32))], ["grp", "unit"])
+
+        groups = self.units if asked is None else self._packed(asked, self.block)
+        asks = self._placed(asks, groups, "ball", "i", "grp")
+        used = materialize(asks.select("vi", "reach", "grp").mapInArrow(pairs, "grp int, unit int").distinct(), "unit-pairs")
+        return self._sending(asks, pick, {"unit": "int"}), used
+
+    def meet(self, sent: tuple[DataFrame, DataFrame], points: DataFrame, compare, schema: str, parts: int = 1) -> DataFrame:
+        """``compare(asks, points)`` on Arrow tables for the queries of every unit and the points of every unit that they are sent to,
+        about ``block`` rows each; ``parts`` cuts both finer."""
+        asks, used = sent
+        keys = ["grp", "unit", "part", "slice"]
+        cuts = max(parts, math.ceil(self.block / self.group))
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        mine = lambda c, seed, n: F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(n)).cast("int")
+        left = asks.withColumn("part", mine("i", 3, cuts)).withColumn("slice", each(parts))
+        right = self._placed(points, self.units, "_ball", "_id", "unit").join(F.broadcast(used), "unit").withColumn(
+            "slice", mine("_id", 11, parts)).withColumn("part", each(cuts))
         empty = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in self.spark.createDataFrame([], schema).schema.fields]).empty_table()
 
         def run(a: pa.Table, p: pa.Table) -> pa.Table:
-            if a.num_rows == 0 or p.num_rows == 0:
-                return empty
-            far, own, reach = p.column("_far").to_numpy(), a.column("far").to_numpy(), a.column("reach").to_numpy()
-            low, high = (own - reach).min(), (own + reach).max()
-            wide = 1e-9 * (1 + far.max())
-            p = p.filter(pa.array((far >= low - wide) & (far <= high + wide)))
-            out = compare(a, p) if p.num_rows else empty
-            return out.cast(empty.schema)
+            return compare(a, p).cast(empty.schema) if a.num_rows and p.num_rows else empty
+
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
-        return left.drop("slices", "parts").groupBy(*keys).cogroup(right.drop("slices", "parts").groupBy(*keys)).applyInArrow(run, schema)
+    def asks(self, reach: float, *more) -> DataFrame:
+        """All points as queries."""
+        return self.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(reach)).alias("reach"), F.col("_ball").alias("ball"), *more)
 
     def within(self, queries: DataFrame, r: float, strict: bool = False) -> DataFrame:
         """All (i, j, dist) with dist <= r (< r when strict), i from ``queries`` (columns _id, _v), j from all points, i == j
         included."""
+        centres = self.centres
 
         def compare(a, p):
-            ids, own, out = p.column("_id").combine_chunks(), a.column("i").combine_chunks(), []
-            for i, j, dist in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy()):
-                keep = dist < r if strict else np.ones(len(dist), bool)
-                out.append(pa.table([own.take(pa.array(i[keep])), ids.take(pa.array(j[keep])), pa.array(dist[keep])], ["i", "j", "dist"]))
+            ids, own, q = p.column("_id").combine_chunks(), a.column("i").combine_chunks(), matrix(a.column("vi"))
+            reach, out = a.column("reach").to_numpy(), [pa.table([own[:0], ids[:0], pa.array([], pa.float64())], ["i", "j", "dist"])]
+            for asks, rows, v in runs(a, p, centres, reach):
+                for i, j, dist in candidates(q[asks], v, reach[asks]):
+                    keep = dist < r if strict else np.ones(len(dist), bool)
+                    out.append(pa.table([own.take(pa.array(asks[i[keep]])), ids.take(pa.array(rows[j[keep]])), pa.array(dist[keep])], ["i", "j", "dist"]))
             return pa.concat_tables(out)
 
-        asks = queries.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"))
-        return self.meet(self.addressed(asks, self.sizes, self.radius), self.points, compare, f"i {self.kind}, j {self.kind}, dist double", self.sizes)
+        near = self._assigned(queries)
+        asked, _ = self._extent(near)
+        asks = near.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"), F.col("_ball").alias("ball"))
+        return self.meet(self.sent(asks, self.sizes, self.radius, asked=asked), self.points, compare, f"i {self.kind}, j {self.kind}, dist double",
+                         math.ceil(self.block / math.sqrt(PAIRS)))
 
     def knn(self, k: int, max_reach: float = math.inf) -> DataFrame:
         """Exact k nearest neighbors (self included) no farther than ``max_reach``: (i, j, dist, rank), ties by the smaller id."""
-        schema = f"i {self.kind}, j {self.kind}, dist double"
+        schema, centres = f"i {self.kind}, j {self.kind}, dist double", self.centres
 
         def compare(a, p):
-            ids, own, out = p.column("_id").combine_chunks(), a.column("i").combine_chunks(), []
-            by_id = pc.rank(ids, tiebreaker="first").to_numpy()
-            for i, j, dist in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy(), k):
+            ids, own, q = p.column("_id").combine_chunks(), a.column("i").combine_chunks(), matrix(a.column("vi"))
+            by_id, reach = pc.rank(ids, tiebreaker="first").to_numpy(), a.column("reach").to_numpy().copy()
+            found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+
+            def first(i, j, dist):
+                """The k nearest of each query, sorted, and the k-th distances of those that have so many."""
                 order = np.lexsort((by_id[j], dist, i))
                 i, j, dist = i[order], j[order], dist[order]
-                first = np.flatnonzero(np.append(True, i[1:] != i[:-1])[:len(i)])
-                keep = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i)))) < k
-                out.append(pa.table([own.take(pa.array(i[keep])), ids.take(pa.array(j[keep])), pa.array(dist[keep])], ["i", "j", "dist"]))
-            return pa.concat_tables(out)
+                begin = np.flatnonzero(np.append(True, i[1:] != i[:-1])[:len(i)])
+                rank = np.arange(len(i)) - np.repeat(begin, np.diff(np.append(begin, len(i))))
+                last = rank == k - 1
+                reach[i[last]] = np.minimum(reach[i[last]], dist[last])
+                return i[rank < k], j[rank < k], dist[rank < k]
+
+            for asks, rows, v in runs(a, p, centres, reach):
+                for i, j, dist in candidates(q[asks], v, reach[asks], k):
+                    for held, new in zip(found, first(asks[i], rows[j], dist)):
+                        held.append(new)
+            i, j, dist = first(*map(np.concatenate, found))
+            return pa.table([own.take(pa.array(i)), ids.take(pa.array(j)), pa.array(dist)], ["i", "j", "dist"])
 
         best = Window.partitionBy("i").orderBy("dist", "j")
-        home = self.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(max_reach)).alias("reach"), F.col("_ball").alias("ball"), F.col("_far").alias("far"))
-        near = materialize(self.meet(home, self.points, compare, schema, self.sizes), "own-ball")
-        if np.count_nonzero(self.sizes) > 1:
+        ids = sorted({unit + x for _, unit, many in self.units for x in range(many)})
+        home = self._placed(self.asks(max_reach), self.units, "ball", "i", "grp").withColumn("unit", F.col("grp"))
+        own = self.spark.createDataFrame([(u, u) for u in ids] or [(-1, -1)], "grp int, unit int")
+        near = materialize(self.meet((home, own), self.points, compare, schema), "own-unit")
+        if len(ids) > 1:
             kth = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("i", F.col("dist").alias("kth"))
-            more = self.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.col("_ball").alias("own")).join(kth, "i", "left").select(
-                "i", "vi", "own", F.least(F.coalesce("kth", F.lit(math.inf)), F.lit(float(max_reach))).alias("reach"))
-            sent = self.addressed(more, self.sizes, self.radius, k)
-            near = near.unionByName(self.meet(sent, self.points, compare, schema, self.sizes))
+            more = self.asks(max_reach).drop("reach").join(kth, "i", "left").select(
+                "i", "vi", F.least(F.coalesce("kth", F.lit(math.inf)), F.lit(float(max_reach))).alias("reach"), "ball")
+            sent = self.sent(materialize(more, "asks"), self.sizes, self.radius, k)
+            near = near.unionByName(self.meet(sent, self.points, compare, schema))
         return materialize(near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "knn")
 
 
@@ -237,38 +376,46 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def neighbor_counts(space: Space, r: float) -> DataFrame:
-    """(i, n): how many points lie within r of each point, itself included.  Blocks return one row a query."""
+    """(i, n): how many points lie within r of each point, itself included.  Units return one row a query."""
+    centres = space.centres
 
     def compare(a, p):
-        n = np.zeros(a.num_rows, np.int64)
-        for i, _, _ in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy()):
-            n += np.bincount(i, minlength=len(n))
+        n, q, reach = np.zeros(a.num_rows, np.int64), matrix(a.column("vi")), a.column("reach").to_numpy()
+        for asks, _, v in runs(a, p, centres, reach):
+            for i, _, _ in candidates(q[asks], v, reach[asks]):
+                n[asks] += np.bincount(i, minlength=len(asks))
         return pa.table([a.column("i"), pa.array(n)], ["i", "n"])
 
-    asks = space.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"))
-    met = space.meet(space.addressed(asks, space.sizes, space.radius), space.points, compare, f"i {space.kind}, n long", space.sizes)
+    met = space.meet(space.sent(space.asks(r), space.sizes, space.radius), space.points, compare, f"i {space.kind}, n long")
     return met.groupBy("i").agg(F.sum("n").alias("n"))
 
 
 def links(space: Space, points: DataFrame, r: float, strict: bool = False) -> DataFrame:
     """(src, dst, inner) that connect what lies within r of each other.  ``points`` has the columns of ``Space.points`` and
     _core.  Core points within r of each other end in one component of the ``inner`` links; a point that is not core has
-    a link (not inner) to one core point of each component that it touches in a block.  Blocks return at most one link a
+    a link (not inner) to one core point of each component that it touches in a unit.  Units return at most one link a
     point and component, never their pairs."""
     core = materialize(points.where("_core").drop("_core"), "cores")
     sizes, radius = space._extent(core)
+    centres = space.centres
 
     def compare(a, p):
         ids, own = p.column("_id").combine_chunks(), a.column("i").combine_chunks()
         is_core = a.column("core").to_numpy(zero_copy_only=False).astype(bool)
         m, n = p.num_rows, p.num_rows + a.num_rows
         label, touch = np.arange(n), [np.zeros((2, 0), np.int64)]
-        for i, j, dist in candidates(matrix(a.column("vi")), matrix(p.column("_v")), a.column("reach").to_numpy()):
-            near = dist < r if strict else np.ones(len(dist), bool)
-            i, j = i[near], j[near]
-            inner = is_core[i]
-            label = least_reachable(np.concatenate([np.arange(n), i[inner] + m]), np.concatenate([label, j[inner]]), n)
-            touch.append(np.unique(np.stack([i[~inner], label[j[~inner]]]), axis=1))
+        q, reach = matrix(a.column("vi")), a.column("reach").to_numpy()
+        for asks, rows, v in runs(a, p, centres, reach):
+            for i, j, dist in candidates(q[asks], v, reach[asks]):
+                near = dist < r if strict else np.ones(len(dist), bool)
+                i, j = asks[i[near]], rows[j[near]]
+                if not len(i):
+                    continue
+                inner = is_core[i]
+                if inner.any():
+                    label = least_reachable(np.concatenate([np.arange(n), i[inner] + m]), np.concatenate([label, j[inner]]), n)
+                if not inner.all():
+                    touch.append(np.unique(np.stack([i[~inner], label[j[~inner]]]), axis=1))
         q = np.flatnonzero(label[m:] < m)  # core queries with a point in reach
         rows = np.flatnonzero(label[:m] < np.arange(m))
         t = np.concatenate(touch, 1)
@@ -277,8 +424,8 @@ def links(space: Space, points: DataFrame, r: float, strict: bool = False) -> Da
         dst = ids.take(pa.array(np.concatenate([label[m:][q], label[:m][rows], t[1]])))
         return pa.table([src, dst, pa.array(np.arange(len(src)) < len(q) + len(rows))], ["src", "dst", "inner"])
 
-    asks = points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"), F.col("_core").alias("core"))
-    met = space.meet(space.addressed(asks, sizes, radius), core, compare, f"src {space.kind}, dst {space.kind}, inner boolean", sizes)
+    asks = points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float(r)).alias("reach"), F.col("_ball").alias("ball"), F.col("_core").alias("core"))
+    met = space.meet(space.sent(asks, sizes, radius), core, compare, f"src {space.kind}, dst {space.kind}, inner boolean")
     return materialize(met, "links")
 
 

@@ -50,8 +50,7 @@ class RbfAffinity:
     def __init__(self, space: Space, gamma: float):
         self.space, self.gamma = space, gamma
         self.vertices = space.points.select(F.col("_id").alias("id"))
-        asks = space.points.select(F.col("_id").alias("i"), F.col("_v").alias("vi"), F.lit(float("inf")).alias("reach"))
-        self.sent = space.addressed(asks, space.sizes, space.radius)
+        self.sent = space.sent(space.asks(float("inf")), space.sizes, space.radius)
 
     def times(self, x: DataFrame, width: int) -> DataFrame:
         space, gamma = self.space, self.gamma
@@ -67,7 +66,7 @@ class RbfAffinity:
             return pa.table([a.column("i"), lists(out)], ["i", "y"])
 
         points = space.points.join(x.withColumnRenamed("id", "_id"), "_id")
-        met = space.meet(self.sent, points, compare, f"i {space.kind}, y array<double>", space.sizes)
+        met = space.meet(self.sent, points, compare, f"i {space.kind}, y array<double>")
         sums = met.groupBy("i").agg(*[F.sum(F.col("y")[k]).alias(f"y{k}") for k in range(width)])
         return sums.select(F.col("i").alias("id"), F.array(*[f"y{k}" for k in range(width)]).alias("y"))
 

@@ -152,3 +152,18 @@ def test_spectral_clusters(spark, affinity):
     got = {r["id"]: r["cluster"] for r in SP.spectral(NB.Space(df, "id", "v"), 3, affinity, n_neighbors=6, gamma=0.2).collect()}
     groups = [{got[i] for i in range(k * 25, k * 25 + 25)} for k in range(3)]
     assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3
+
+
+def test_queries_travel_in_units(spark):
+    """Points without structure need all balls; a query is sent once a unit, not once a ball, in batches of bounded size."""
+    x = np.random.default_rng(5).normal(size=(600, 16))
+    df = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(x)], "id long, v array<double>").coalesce(1)
+    space = NB.Space(df, "id", "v", balls=40, block=200)
+    units = {u for _, u, _ in space.units}
+    asks, used = space.sent(space.asks(float("inf")), space.sizes, space.radius)
+    assert len(units) <= 6 and asks.count() == 600 * len(units) and used.count() == len(units) ** 2
+    sizes = asks.mapInArrow(lambda batches: (NB.pa.record_batch([NB.pa.array([b.num_rows])], ["n"]) for b in batches), "n long").collect()
+    assert max(r["n"] for r in sizes) <= NB.SENT_ROWS
+    got = {(r["i"], r["rank"]): r["j"] for r in space.knn(3).collect()}
+    d = distances(x)
+    assert all([got[i, k] for k in (1, 2, 3)] == np.lexsort((np.arange(600), d[i]))[:3].tolist() for i in range(600))
