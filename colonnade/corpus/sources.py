@@ -44,15 +44,21 @@ def _defs_of(lib: str, sha: str, path: str, source: str) -> list[tuple]:
                     else:
                         out.append((lib, sha, path, "method", child.name, parent_cls, child.lineno, doc, None))
                 visit(child, child.name if isinstance(child, ast.ClassDef) else parent_cls)
-            else:
+            elif isinstance(child, (ast.stmt, ast.excepthandler, ast.match_case)):  # expressions hold no definitions
                 visit(child, parent_cls)
 
     visit(tree, None)
     return out
 
 
+TASKS_A_CORE = 4
+
+
 def extract_defs(sources: DataFrame) -> DataFrame:
-    """(lib, sha, filepath, source) rows -> one row per gated definition."""
+    """(lib, sha, filepath, source) rows -> one row per gated definition.  Parsing costs far more than reading, so the rows are
+    dealt out evenly first, however few files or partitions they come in."""
+    spark = sources.sparkSession
+    tasks = max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cols = ["lib", "sha", "filepath", "kind", "name", "parent", "line", "docstring", "code"]
 
     def run(batches):
@@ -62,7 +68,7 @@ def extract_defs(sources: DataFrame) -> DataFrame:
                 rows.extend(_defs_of(r.lib, r.sha, r.filepath, r.source))
             yield pd.DataFrame(rows, columns=cols)
 
-    return sources.select("lib", "sha", "filepath", "source").mapInPandas(run, DEF_SCHEMA)
+    return sources.select("lib", "sha", "filepath", "source").repartition(tasks).mapInPandas(run, DEF_SCHEMA)
 
 
 def match_targets(manifest: DataFrame, defs: DataFrame) -> DataFrame:
