@@ -3,7 +3,7 @@
 All Python runs in Arrow batches (``mapInPandas`` / ``pandas_udf`` /
 ``applyInPandas``), never row at a time.  A plain per-group apply holds one
 whole group in one task, so it is only for groups of bounded size; the
-``apply_group_partial`` form splits every group into salted chunks and
+``apply_group_partial`` form splits large groups into salted chunks and
 merges the partial results with Spark aggregates, which keeps hot groups
 spread over many tasks.
 """
@@ -11,6 +11,8 @@ spread over many tasks.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -19,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+CHUNK_ROWS = 4096  # rows of a group that one call takes without salt
+
+
 def apply_rows(df: DataFrame, func: Callable[[pd.Series], pd.Series | dict], schema: str | T.StructType,
                result_type: str = "expand") -> DataFrame:
     """``func`` on every row (axis=1) of each Arrow batch; ``expand`` turns a
@@ -65,15 +70,19 @@ def apply_group(df: DataFrame, by: Sequence[str], func: Callable[[pd.DataFrame],
 def apply_group_partial(df: DataFrame, by: Sequence[str], partial: Callable[[pd.DataFrame], pd.DataFrame],
                         partial_schema: str, merge: Sequence, salt_buckets: int = 64,
                         salt_key: str | None = None) -> DataFrame:
-    """Decomposable per-group function.  Each group is split into up to
-    ``salt_buckets`` chunks by a hash of ``salt_key`` (a row id); ``partial``
-    maps a chunk to one row of additive statistics (``partial_schema``
-    must include the ``by`` columns) and ``merge`` (Spark aggregate
-    expressions) combines the chunk rows per group.  A hot group spreads
-    over ``salt_buckets`` tasks instead of one."""
-    salt = F.pmod(F.xxhash64(F.col(salt_key) if salt_key else F.monotonically_increasing_id()),
-                  F.lit(salt_buckets))
-    chunks = df.withColumn("_salt", salt).groupBy(*by, "_salt").applyInPandas(partial, partial_schema)
+    """Decomposable per-group function.  A group of more than
+    ``CHUNK_ROWS`` rows is split into ``salt_buckets`` chunks by a hash of
+    ``salt_key`` (a row id); ``partial`` maps a chunk to one row of additive
+    statistics (``partial_schema`` must include the ``by`` columns) and
+    ``merge`` (Spark aggregate expressions) combines the chunk rows per
+    group.  A hot group spreads over ``salt_buckets`` tasks instead of one;
+    a small group, of which there are many, is one call."""
+    large = df.groupBy(*by).count().where(F.col("count") > CHUNK_ROWS).select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
+                                                                              F.lit(salt_buckets).alias("_chunks"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)])
+    rows = df.withColumn("_row", F.col(salt_key) if salt_key else F.monotonically_increasing_id()).join(F.broadcast(large), same, "left")
+    salt = F.pmod(F.xxhash64("_row"), F.coalesce("_chunks", F.lit(1)))
+    chunks = rows.withColumn("_salt", salt).select(*df.columns, "_salt").groupBy(*by, "_salt").applyInPandas(partial, partial_schema)
     return chunks.groupBy(*by).agg(*merge)
 
 
