@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colonnade.functions.columns import missing, nan_to_null
@@ -365,8 +365,9 @@ def tfidf(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_df=1, ma
     w = tc.join(vocab, "term").select(doc, "term", (tf * F.col("idf")).alias("w"))
     if norm is None:
         return w.withColumnRenamed("w", "tfidf")
-    nrm = w.groupBy(doc).agg((F.sqrt(F.sum(F.col("w") * F.col("w"))) if norm == "l2" else F.sum(F.abs("w"))).alias("_norm"))
-    return w.join(nrm, doc).select(doc, "term", (F.col("w") / F.col("_norm")).alias("tfidf"))
+    of = Window.partitionBy(doc)  # the terms of one document; one shuffle of the weights, which are computed once
+    nrm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(of)) if norm == "l2" else F.sum(F.abs("w")).over(of)
+    return w.where(F.col(doc).isNotNull()).withColumn("_norm", nrm).select(doc, "term", (F.col("w") / F.col("_norm")).alias("tfidf"))
 
 
 def _substr_of(col: str, n: int):
