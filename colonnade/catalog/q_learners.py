@@ -14,6 +14,7 @@ from colonnade.ml import imputation as IM
 from colonnade.ml import learners as L
 from colonnade.ml import linear as LN
 from colonnade.ml import trees as TR
+from colonnade.session import materialize
 from colonnade.sources.tables import Tables
 
 _REG = ["l_quantity", "l_discount", "l_tax"]
@@ -74,7 +75,7 @@ def q_logistic(spark, d):
 @query("logistic_path")
 def q_logistic_path(spark, d):
     """Coefficients for every strength and penalty, all strengths in the same passes; l1 starts from the l2 coefficients."""
-    df = _labelled_docs(spark, d).select("label", *_DOC_F)
+    df = materialize(_labelled_docs(spark, d).select("label", *_DOC_F), "labelled-docs")  # both fits read it
     strengths = [0.01, 0.1, 1.0, 10.0, 100.0]
     smooth = LN.fit(df, _DOC_F, "label", strengths)
     sparse = LN.fit(df, _DOC_F, "label", strengths, penalty="l1", start=smooth)

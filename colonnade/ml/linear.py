@@ -123,7 +123,8 @@ def fit(df: DataFrame, cols: Sequence[str], label: str, strengths: Sequence[floa
         fine = fine & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
     x = F.array(*[F.col(c).cast("double") for c in cols], *([F.lit(1.0)] if fit_intercept else []))
     base = df.where(fine).select(x.alias("x"), F.col(label).cast("double").alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"))
-    counts = base.groupBy("y").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
+    rows = materialize(base, "linear-rows")  # the input is computed once, for the counts and all passes
+    counts = rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
     labels = sorted(r["y"] for r in counts)
     if not 2 <= len(labels) <= most:
         raise ValueError(f"{len(labels)} labels; 2 to {most} are possible")
@@ -133,8 +134,7 @@ def fit(df: DataFrame, cols: Sequence[str], label: str, strengths: Sequence[floa
         factor = F.lit(1.0)
         for k, v in given.items():
             factor = F.when(F.col("y") == float(k), F.lit(float(v))).otherwise(factor)
-        base = base.withColumn("w", F.col("w") * factor)
-    rows = materialize(base, "linear-rows")
+        rows = rows.withColumn("w", F.col("w") * factor)
     against = labels[1:] if len(labels) == 2 else labels
     pairs = [(c, k) for c in strengths for k in against]
     d = len(cols) + fit_intercept
