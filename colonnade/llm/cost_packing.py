@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.llm import common, tokens
-from colonnade.session import materialize
+from colonnade.session import BATCH_ROWS, held_conf, materialize
 
 GROUP_TOKENS = 1 << 20
 REST_PARTITIONS = 256
+TEXTS = 500  # of a batch that goes to a worker
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 REST_IDS = 1 << 62  # sequence ids of the second round begin here
 
@@ -150,7 +151,8 @@ def pack(docs: DataFrame, vocab: str, length: int = 2048, end_id: int = 1, group
         return out
 
     kept = docs.select(docs["doc_id"].cast("long").alias("doc_id"), common.text_of(docs).alias("text"))
-    first = materialize(kept.mapInArrow(run, PIECES + ", ids binary, part long"), "pack")
+    with held_conf(docs.sparkSession, BATCH_ROWS, str(TEXTS)):
+        first = materialize(kept.mapInArrow(run, PIECES + ", ids binary, part long"), "pack")
     rest = first.filter("sequence_id is null").withColumn("bunch", F.floor(F.col("part") / rest_partitions))
     second = rest.groupBy("bunch").applyInPandas(run_rest, PIECES + ", ids binary")
     out = first.filter("sequence_id is not null").select(*names, "ids").unionByName(second)

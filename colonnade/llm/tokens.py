@@ -25,9 +25,11 @@ ODD_SPACE = re.compile(r"[^\S \n]")
 #: Marks that never join an ASCII letter next to them (no apostrophe: it begins contractions).
 MARKS = b".,;:!?#$%&*|()[]{}\"-_=+/<>@^~`\\"
 
-CACHE_PIECES = 1_000_000  # entries a worker keeps (about 50 bytes each); further ones are encoded when they come
+CACHE_PIECES = 250_000  # entries a worker keeps (about 80 bytes each); further ones are encoded when they come
 
 RUN = 32  # pieces encoded as one string
+CALL = 128  # such strings in one call: the library's result takes a few hundred bytes a token
+TEXT_BYTES = 1 << 19  # of regular texts cut and looked up at a time (one long text may exceed it)
 
 IS_MARK = np.zeros(256, bool)
 IS_MARK[list(MARKS)] = True
@@ -92,14 +94,18 @@ class PieceEncoder:
         e = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(e.ids, np.uint32)
 
+    def run_ids(self, runs: list[str]) -> np.ndarray:
+        """Ids of the strings one after the other."""
+        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+        return np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+
     def new_ids(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after the other, and how many each has. A line feed between two
         pieces is a part of its own, so one call encodes all; byte lengths tell the ids apart."""
         sizes = np.array([len(p) for p in new], np.int64)
         runs = [b"\n".join(new[i:i + RUN]).decode() + "\n" for i in range(0, len(new), RUN)]
         runs[-1] = runs[-1][:-1]
-        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-        ids = np.array(list(chain.from_iterable(e.ids for e in found)), np.uint32)
+        ids = np.concatenate([self.run_ids(runs[i:i + CALL]) for i in range(0, len(runs), CALL)])
         ends = np.cumsum(self.lengths[ids])
         want = np.cumsum(sizes + 1) - 1
         at = np.searchsorted(ends, want)
@@ -172,14 +178,11 @@ class PieceEncoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; none for null."""
         out = [np.zeros(0, np.uint32)] * len(texts)
-        plain = []
-        for i, text in enumerate(texts):
-            if text:
-                if regular(text):
-                    plain.append(i)
-                else:
-                    out[i] = self.whole(text)
-        if plain:
+        plain, size = [], 0
+
+        def flush():
+            if not plain:
+                return
             data = [texts[i].encode() for i in plain]
             off = np.zeros(len(data) + 1, np.int64)
             np.cumsum([len(d) for d in data], out=off[1:])
@@ -191,6 +194,19 @@ class PieceEncoder:
                 ids, at = found
                 for i, lo, hi in zip(plain, at[:-1].tolist(), at[1:].tolist()):
                     out[i] = ids[lo:hi]
+            plain.clear()
+
+        for i, text in enumerate(texts):
+            if text:
+                if regular(text):
+                    if size + len(text) > TEXT_BYTES:
+                        flush()
+                        size = 0
+                    plain.append(i)
+                    size += len(text)
+                else:
+                    out[i] = self.whole(text)
+        flush()
         return out
 
 

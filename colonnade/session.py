@@ -79,25 +79,31 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     only once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with _shuffles_dropped(spark):
+    with held_conf(spark, SHUFFLE_CLEANUP, "true"):
         df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
     out._scratch = path
     return out
 
 
+#: Spark removes a query's shuffle files when the query ends; what it wrote replaces them.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of a batch that goes to Python and back.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextlib.contextmanager
-def _shuffles_dropped(spark: SparkSession):
-    """Inside, Spark removes a query's shuffle files when the query ends; what it wrote replaces them."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def held_conf(spark: SparkSession, key: str, value: str):
+    """Inside, the session's setting ``key`` is ``value``."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def release(df: DataFrame) -> None:

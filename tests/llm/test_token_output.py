@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from colonnade.llm import cost_packing, token_files, tokens
-from colonnade.session import scratch_path
+from colonnade.session import BATCH_ROWS, scratch_path
 from tests.llm.conftest import EDGE
 
 VOCAB = tokens.vocabulary_path()
@@ -33,6 +33,32 @@ def test_encoder_equals_library(library, small):
     assert [x.tolist() for x in enc.encode(ODD)] == [library(t) for t in ODD]
 
 
+def test_encoder_works_in_bounded_steps(library, monkeypatch):
+    """Texts are cut and looked up in runs of bounded size and new pieces encoded in calls of bounded size."""
+    monkeypatch.setattr(tokens, "TEXT_BYTES", 4000)
+    monkeypatch.setattr(tokens, "CALL", 2)
+    runs, calls = [], []
+    enc = tokens.PieceEncoder(VOCAB, cache_pieces=300)
+    whole, each = enc.encode_regular, enc.run_ids
+    monkeypatch.setattr(enc, "encode_regular", lambda raw, off: runs.append(len(raw)) or whole(raw, off))
+    monkeypatch.setattr(enc, "run_ids", lambda run: calls.append(len(run)) or each(run))
+    texts = [" ".join(f"w{i * j % 977}" for j in range(1, 120)) for i in range(1, 60)] + ["x" * 5000, None, "", " odd  text"]
+    assert [x.tolist() for x in enc.encode(texts)] == [library(t) for t in texts]
+    assert max(runs) <= 5000 and sum(n > 4000 for n in runs) <= 2 and max(calls) <= 2
+    assert len(enc.keys) <= 300 + 4000
+
+
+def test_packing_gets_small_batches(spark, monkeypatch):
+    """A worker holds a bounded number of whole texts at a time, and the session's setting is as before."""
+    monkeypatch.setattr(cost_packing, "TEXTS", 7)
+    seen, real = [], cost_packing.materialize
+    monkeypatch.setattr(cost_packing, "materialize", lambda df, name: seen.append(spark.conf.get(BATCH_ROWS)) or real(df, name))
+    before = spark.conf.get(BATCH_ROWS)
+    docs = spark.createDataFrame([(i, "a b " * i) for i in range(40)], "doc_id long, text string")
+    assert cost_packing.pack(docs, VOCAB, 64).agg({"length": "sum"}).first()[0] > 40
+    assert seen == ["7"] and spark.conf.get(BATCH_ROWS) == before
+
+
 @pytest.mark.parametrize("bits", [1, 3, 7, 8, 13, 16, 17, 31, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 10_001).astype(np.uint32)
