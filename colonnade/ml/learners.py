@@ -15,17 +15,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, DecisionTreeClassifier)
-from pyspark.ml.feature import DCT, VectorAssembler
+from pyspark.ml.feature import DCT, Bucketizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colonnade.functions.columns import bounded_distinct
+from colonnade.ml import trees as TR
 from colonnade.ml.linalg import Gram, affine_columns, gram, grouped_vector_sum, linear_predict, vector_sum
 from colonnade.ml.metrics import kfold
 from colonnade.plans.ordered import CumSum, Pos, ordered_scan
@@ -724,18 +726,140 @@ def linear_svc(df: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000,
     return svc.fit(df)
 
 
+def bin_edges(df: DataFrame, cols: Sequence[str], max_bins: int) -> list[np.ndarray]:
+    """Upper edges of the bins of each column but the last. Up to ``max_bins`` values are told apart, at the middle between
+    neighbors, as Spark's trees do; columns with more values are cut at quantiles."""
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    few = [c for c in cols if sizes[c] <= 2 * max_bins]  # the estimate is off by a few hundredths
+    values = {c: [r[0] for r in df.select(c).distinct().limit(max_bins + 1).collect()] for c in few}
+    values = {c: np.unique(np.array(v, float)) for c, v in values.items()}
+    edges = {c: (v[:-1] + v[1:]) / 2 for c, v in values.items() if len(v) <= max_bins}
+    many = [c for c in cols if c not in edges]
+    edges |= dict(zip(many, TR.edges_of(df, many, max_bins))) if many else {}
+    return [edges[c] for c in cols]
+
+
+@dataclass
+class BinnedGbt:
+    """Boosted trees of Spark on bin numbers, and the edges that give the bins of the vectors in ``features``."""
+
+    model: GBTRegressionModel
+    edges: list[np.ndarray]
+
+    @property
+    def trees(self):
+        return self.model.trees
+
+    @property
+    def treeWeights(self):
+        return self.model.treeWeights
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        names = [f"_b{i}" for i in range(len(self.edges))]
+        rows = binned_features(df, self.edges).withColumn("_bins", array_to_vector(F.array(*names)))
+        return self.model.copy().setFeaturesCol("_bins").transform(rows).drop("_bins", *names)
+
+    def staged(self, df: DataFrame, stages: Sequence[int], keep: Sequence[str]) -> DataFrame:
+        """``keep`` and the sums of the first m trees: looked up in a table of all bins where that is small, else by walks
+        through the trees."""
+        walk, sizes = tree_walks(self.model, stages), [len(e) + 1 for e in self.edges]
+        table = walk(np.stack([x.ravel() for x in np.indices(sizes)], 1)) if math.prod(sizes) <= TABLE else None
+        names = [f"_b{i}" for i in range(len(sizes))]
+
+        def run(batches):
+            for b in batches:
+                codes = TR.columns_matrix(b, names).astype(np.int64)
+                sums = walk(codes) if table is None else table[np.ravel_multi_index(tuple(codes.T), sizes)]
+                yield pa.record_batch([*[b.column(c) for c in keep], *[pa.array(x) for x in sums.T]], [*keep, *[f"stage_{m}" for m in stages]])
+
+        schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(f"stage_{m}", T.DoubleType()) for m in stages]])
+        return binned_features(df, self.edges).select(*keep, *names).mapInArrow(run, schema)
+
+
+TABLE = 1 << 16  # combinations of bins up to which staged sums are held in a table
+
+
+def binned_features(df: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """``df`` with the bins of its vectors, _b0 and so on as doubles: the number of edges below each entry."""
+    x = vector_to_array("features")
+    df = df.withColumns({f"_x{i}": x[i] for i in range(len(edges))} | {f"_b{i}": F.lit(0.0) for i, e in enumerate(edges) if not len(e)})
+    cut = [i for i, e in enumerate(edges) if len(e)]
+    if cut:  # a bucket holds its lower end, a bin its upper one
+        splits = [[-math.inf, *np.nextafter(edges[i], math.inf).tolist(), math.inf] for i in cut]
+        df = Bucketizer(splitsArray=splits, inputCols=[f"_x{i}" for i in cut], outputCols=[f"_b{i}" for i in cut]).transform(df)
+    return df.drop(*[f"_x{i}" for i in range(len(edges))])
+
+
+def tree_walks(model: GBTRegressionModel, stages: Sequence[int]):
+    """A function of a matrix of bins that gives the weighted sums of the first m trees, a column for each stage. The nodes
+    are read from the model's text; a leaf leads to itself."""
+    trees: list[tuple[np.ndarray, ...]] = []
+    lines = [x.strip() for x in model.toDebugString.splitlines()[1:]]
+    lines = iter([x for x in lines if x and not x.startswith("Tree ")])
+
+    def node(rows: list) -> int:
+        at, line = len(rows), next(lines)
+        rows.append(None)
+        if line.startswith("Predict: "):
+            rows[at] = (0, math.inf, at, at, float(line.removeprefix("Predict: ")))
+            return at
+        feature, cut = line.removeprefix("If (feature ").removesuffix(")").split(" <= ")
+        left = node(rows)
+        next(lines)  # Else
+        rows[at] = (int(feature), float(cut), left, node(rows), 0.0)
+        return at
+
+    for tree in model.trees[:max(stages)]:
+        rows: list = []
+        node(rows)
+        feature, cut, left, right, value = (np.array(x) for x in zip(*rows))
+        trees.append((feature, cut, left, right, value, tree.depth))
+    weights = list(model.treeWeights)
+
+    def walk(codes: np.ndarray) -> np.ndarray:
+        every, total, out = np.arange(len(codes)), np.zeros(len(codes)), {}
+        for k, (feature, cut, left, right, value, depth) in enumerate(trees, 1):
+            at = np.zeros(len(codes), np.int64)
+            for _ in range(depth):
+                at = np.where(codes[every, feature[at]] <= cut[at], left[at], right[at])
+            total = total + value[at] * weights[k - 1]
+            out[k] = total
+        return np.stack([out.get(m, total) for m in stages], 1)
+
+    return walk
+
+
 def gbt_regressor(df: DataFrame, label: str, loss: str = "squared", learning_rate: float = 0.1, max_iter: int = 20,
                   max_bins: int = 255, max_depth: int = 5, seed: int = 0):
     """Gradient-boosted trees (squared or absolute loss).  Spark has no
-    Poisson loss."""
+    Poisson loss.
+
+    With the squared loss, rows in the same bins of all features get the same predictions, and what their labels differ
+    by adds the same to both sides of every split: Spark's trees are fitted on the number and the mean label of the rows of
+    each combination of bins, so the many passes of boosting do not grow with the rows but with those combinations."""
     if loss not in ("squared", "absolute"):
         raise ValueError("Spark GBT supports squared and absolute losses")
-    return GBTRegressor(featuresCol="features", labelCol=label, lossType=loss, stepSize=learning_rate,
-                        maxIter=max_iter, maxBins=min(max_bins, 256), maxDepth=max_depth, seed=seed).fit(df)
+    max_bins = min(max_bins, 256)
+    gbt = GBTRegressor(featuresCol="features", labelCol=label, lossType=loss, stepSize=learning_rate,
+                       maxIter=max_iter, maxBins=max_bins, maxDepth=max_depth, seed=seed)
+    first = df.select(F.size(vector_to_array("features")).alias("d")).first()
+    if loss == "absolute" or not first:
+        return gbt.fit(df)
+    names = [f"_x{i}" for i in range(first["d"])]
+    x, y = vector_to_array("features"), F.col(label).cast("double")
+    edges = bin_edges(df.select(*[x[i].alias(c) for i, c in enumerate(names)]), names, max_bins)
+    y = F.when(y.isNull() | F.isnan(y), F.raise_error(F.lit("Labels MUST NOT be Null or NaN"))).otherwise(y)
+    bins = [f"_b{i}" for i in range(len(edges))]
+    cells = binned_features(df.select("features", y.alias("_y")), edges).groupBy(*bins) \
+        .agg(F.avg("_y").alias(label), F.count(F.lit(1)).cast("double").alias("_weight"))
+    cells = materialize(cells, "cells").select(array_to_vector(F.array(*bins)).alias("features"), label, "_weight")
+    return BinnedGbt(gbt.setWeightCol("_weight").fit(cells), edges)
 
 
 def staged_predict(model, df: DataFrame, stages: Sequence[int], keep: Sequence[str] = ()) -> DataFrame:
     """Predictions using only the first m trees, for each m in ``stages``."""
+    if isinstance(model, BinnedGbt):
+        return model.staged(df, stages, keep)
     trees, weights = model.trees, model.treeWeights
     out = df
     for i, t in enumerate(trees[:max(stages)]):

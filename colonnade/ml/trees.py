@@ -9,6 +9,9 @@ Trees of a pass share the rows: for bagging a tree is a bag, whose row weights a
 from a hash of the row's key and the bag, so out-of-bag rows are known again when scoring; for boosting on several classes a tree is
 a class. Raw predictions are written every ``KEPT`` rounds, so a pass never walks through more than that many trees a row.
 
+Where the gradient is linear in the label (squared, Poisson and logistic loss), rows that fall into the same bins of all features add
+up to their number and mean label: these cells are written once, and the rounds of boosting pass over them instead of the rows.
+
 Rows with a null label take no part in fitting. A missing feature value (null or NaN) goes to the first bin, that of the
 smallest values.
 """
@@ -207,6 +210,7 @@ LOSSES: dict[str, Callable] = {
     "logistic": lambda raw, y: ((p := 1 / (1 + np.exp(-raw))) - y[:, None], np.maximum(p * (1 - p), 1e-12)),
     "multinomial": lambda raw, y: ((p := softmax(raw)) - (y[:, None] == np.arange(raw.shape[1])[None, :]), np.maximum(p * (1 - p), 1e-12)),
 }
+LINEAR = ("squared", "poisson", "logistic")  # gradients linear in the label, hessians without it
 LINKS = {"poisson": np.exp, "logistic": lambda raw: 1 / (1 + np.exp(-raw)), "multinomial": softmax}
 
 
@@ -266,8 +270,13 @@ def boost(df: DataFrame, cols: Sequence[str], y: str, loss: str = "squared", lea
     cols = list(cols)
     base = df.where(F.col(y).isNotNull()).withColumn("_y", F.col(y).cast("double"))
     edges = edges_of(base, cols, max_bins)
-    rows = materialize(binned_rows(base, cols, edges, ["_y"]), "binned")
-    s = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("_y").alias("mean"), F.percentile_approx("_y", 0.5, 100_000).alias("median"), F.min("_y").alias("low")).first()
+    rows = binned_rows(base, cols, edges, ["_y"])
+    if loss in LINEAR:
+        rows = materialize(rows.groupBy("bins").agg(F.count(F.lit(1)).cast("double").alias("_w"), F.avg("_y").alias("_y"), F.min("_y").alias("_low")), "cells")
+        s = rows.agg(F.sum("_w").alias("n"), (F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("mean"), F.min("_low").alias("low")).first()
+    else:
+        rows = materialize(rows.withColumn("_w", F.lit(1.0)), "binned")
+        s = rows.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_y", 0.5, 100_000).alias("median")).first()
     if not s["n"]:
         raise ValueError("no labelled rows")
     if loss == "poisson" and (s["low"] < 0 or s["mean"] <= 0):
@@ -284,7 +293,7 @@ def boost(df: DataFrame, cols: Sequence[str], y: str, loss: str = "squared", lea
     n_bins = max((len(e) for e in edges), default=0) + 1
     gradient = LOSSES[loss]
     model = Boosted(cols, edges, loss, start, [], labels)
-    rows = rows.select("bins", "_y", F.array(*[F.lit(float(v)) for v in start]).alias("_raw"))
+    rows = rows.select("bins", "_y", "_w", F.array(*[F.lit(float(v)) for v in start]).alias("_raw"))
     written: list[Trees] = []  # rounds since the raw predictions were written
 
     def raw_of(batch, codes, rounds):
@@ -299,9 +308,10 @@ def boost(df: DataFrame, cols: Sequence[str], y: str, loss: str = "squared", lea
 
         def stats(batch, codes, tree, rounds=rounds):
             g, h = gradient(raw_of(batch, codes, rounds), batch.column("_y").to_numpy())
-            return np.column_stack([np.ones(len(codes)), h[:, tree], g[:, tree]])
+            w = batch.column("_w").to_numpy()
+            return np.column_stack([w, w * h[:, tree], w * g[:, tree]])
 
-        trees = grow(rows, ["_y", "_raw"], stats, k, 1, n_bins, len(cols), max_depth, least, ridge)
+        trees = grow(rows, ["_y", "_w", "_raw"], stats, k, 1, n_bins, len(cols), max_depth, least, ridge)
         if loss == "absolute":
             set_medians(rows, trees, lambda b, c, rounds=rounds: b.column("_y").to_numpy() - raw_of(b, c, rounds)[:, 0])
         trees.value *= learning_rate
@@ -314,9 +324,9 @@ def boost(df: DataFrame, cols: Sequence[str], y: str, loss: str = "squared", lea
                 for b in batches:
                     if b.num_rows:
                         raw = raw_of(b, codes_matrix(b.column("bins")), done)
-                        yield pa.record_batch([b.column("bins"), b.column("_y"), pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1) * k, pa.int32()), pa.array(raw.ravel()))], ["bins", "_y", "_raw"])
+                        yield pa.record_batch([b.column("bins"), b.column("_y"), b.column("_w"), pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1) * k, pa.int32()), pa.array(raw.ravel()))], ["bins", "_y", "_w", "_raw"])
 
-            rows = materialize(rows.mapInArrow(advance, "bins array<short>, _y double, _raw array<double>"), "raw-predictions")
+            rows = materialize(rows.mapInArrow(advance, "bins array<short>, _y double, _w double, _raw array<double>"), "raw-predictions")
             written = []
     return model
 

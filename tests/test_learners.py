@@ -234,6 +234,29 @@ def test_gbt_regressor_stages(vectors, data):
     assert err[0] > err[1] > err[2] and err[2] < 0.1 * data[1].var()
 
 
+def test_gbt_is_fitted_on_cells(spark, monkeypatch):
+    """Rows of the same bins go into the rounds once, with the trees of Spark's fit on all rows."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 6, 900), rng.integers(0, 5, 900), rng.integers(0, 2, 900)]).astype(float)
+    y = x[:, 0] ** 2 - 3 * x[:, 1] * x[:, 2] + rng.normal(size=900)
+    rows = [(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))]
+    df = L.assemble(spark.createDataFrame(rows, "id long, a double, b double, c double, y double"), ["a", "b", "c"]).cache()
+    sizes, real = [], L.materialize
+    monkeypatch.setattr(L, "materialize", lambda d, *a: sizes.append((out := real(d, *a)).count()) or out)
+    model = L.gbt_regressor(df, "y", max_iter=6, max_depth=3)
+    assert sizes == [len(np.unique(x, axis=0))]
+    plain = L.GBTRegressor(featuresCol="features", labelCol="y", stepSize=0.1, maxIter=6, maxBins=255, maxDepth=3, seed=0).fit(df)
+    want = by_id(L.staged_predict(plain, df, [2, 6], keep=["id"]), "stage_2", "stage_6")
+    assert np.allclose(by_id(L.staged_predict(model, df, [2, 6], keep=["id"]), "stage_2", "stage_6"), want, rtol=1e-9)
+    assert np.allclose(by_id(model.transform(df), "prediction")[:, 0], want[:, 1], rtol=1e-9)
+    monkeypatch.setattr(L, "TABLE", 1)
+    assert np.allclose(by_id(model.staged(df, [2, 6], ["id"]), "stage_2", "stage_6"), want, rtol=1e-9)
+    few = L.gbt_regressor(df, "y", max_iter=3, max_depth=2, max_bins=4)  # more values than bins
+    assert all(len(e) <= 3 for e in few.edges)
+    with pytest.raises(Exception, match="Null or NaN"):
+        L.gbt_regressor(df.withColumn("y", F.when(F.col("id") > 0, F.col("y"))), "y")
+
+
 def test_self_training_labels_the_rest(vectors, data):
     partly = vectors.withColumn("part", F.when(F.col("id") % 4 == 0, F.col("label").cast("int")).otherwise(F.lit(-1)))
     out, reason, rounds = L.self_training(partly, "part", "id", threshold=0.6)

@@ -91,6 +91,17 @@ def test_poisson_deviance_falls(frame, monkeypatch):
     assert np.allclose(got[:, -1], boosted(TR.bin_codes(X, model.edges), Y, "poisson", 6, 2, 0.3, 5)[-1], rtol=1e-9)
 
 
+def test_boosting_passes_over_cells(frame, monkeypatch):
+    """With a gradient linear in the label, rows of the same bins are one row of the passes."""
+    sizes, real = [], TR.materialize
+    monkeypatch.setattr(TR, "materialize", lambda df, name: sizes.append((out := real(df, name)).count()) or out)
+    model = TR.boost(frame, ["b"], "y", "poisson", learning_rate=0.3, max_iter=3, max_depth=2, max_bins=16, least=5)
+    codes = TR.bin_codes(X[:, 1:2], model.edges)
+    assert sizes == [len(np.unique(codes))]
+    got = by_id(model.staged(frame, [3], ["id"]), "stage_3")[:, 0]
+    assert np.allclose(got, boosted(codes, Y, "poisson", 3, 2, 0.3, 5)[-1], rtol=1e-9)
+
+
 def test_absolute_loss(frame):
     model = TR.boost(frame, COLS, "y", "absolute", learning_rate=0.5, max_iter=5, max_depth=2, least=10)
     got = by_id(model.staged(frame, [1, 5], ["id"]), "stage_1", "stage_5")
