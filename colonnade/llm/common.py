@@ -117,7 +117,7 @@ CHAINED = 512  # bytes up to which spans are hashed block by block; longer ones
 
 def blocks_of(raw: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as one little-endian number (zeros after the end)."""
-    return np.ndarray(len(raw) + 1, "<u8", np.concatenate([raw, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))
+    return np.ndarray(len(raw) + 1, "<u8", np.concatenate([raw, np.zeros(8, np.uint8)]), strides=(1,))
 
 
 def block_at(blocks: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:

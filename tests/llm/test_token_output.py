@@ -48,6 +48,49 @@ def test_encoder_works_in_bounded_steps(library, monkeypatch):
     assert len(enc.keys) <= 300 + 4000
 
 
+def test_full_cache_keeps_what_came_again(library, monkeypatch):
+    """Pieces that come in every run are encoded once, however often the cache is full of others."""
+    enc = tokens.PieceEncoder(VOCAB, cache_pieces=200)
+    encoded, real = [], enc.new_ids
+    monkeypatch.setattr(enc, "new_ids", lambda new: encoded.extend(new) or real(new))
+    common = " ".join(f"Common{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]} n{i}." for i in range(40))
+    texts = [common + "".join(f" once{i}x{j}" for j in range(30)) for i in range(60)]
+    assert [enc.encode([t])[0].tolist() for t in texts] == [library(t) for t in texts]
+    assert [encoded.count(p) for p in common.encode().replace(b" ", b"\0 ").split(b"\0")] == [1] * 80
+    assert len(encoded) == 80 + 60 * 30 and len(enc.keys) <= 200 + 30
+    # more of them than may stay: still right, and bounded
+    enc = tokens.PieceEncoder(VOCAB, cache_pieces=40)
+    for t in texts + texts[:3]:
+        assert enc.encode([t])[0].tolist() == library(t) and len(enc.keys) <= 40 + 110
+
+
+def test_letters_pass_the_pattern(library, monkeypatch):
+    """Pieces of letters go to the merges at once; any others, and letters of other scripts, through the pattern."""
+    enc = tokens.PieceEncoder(VOCAB)
+    through, real = [], enc.run_ids
+    monkeypatch.setattr(enc, "run_ids", lambda runs: through.extend(runs) or real(runs))
+    plain = ["Words of\nletters", "größe naïve façade", "Łódź Ðuro ǅemper ȿ", "x" * 700]
+    assert [x.tolist() for x in enc.encode(plain)] == [library(t) for t in plain]
+    assert through == ["."]  # in place of the line feed
+    odd = [f"a{chr(c)}b {chr(c)}{chr(c)} {chr(c)}c1" for c in range(0x80, 0x2C0)] + ["3×4 a×b ×÷ x÷y", "д东京 ёж 한국", "a1b2 'tis it's we'll"]
+    assert [x.tolist() for x in enc.encode(odd)] == [library(t) for t in odd]
+    assert [enc.encode([t])[0].tolist() for t in odd] == [library(t) for t in odd]
+    assert any("×" in r for r in through) and any("东京" in r for r in through)
+
+
+def test_other_patterns_cut_words(tmp_path):
+    """Words go past the pattern only where it is known to leave them whole."""
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+
+    t = Tokenizer.from_file(VOCAB)
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(r"e|\n| ?[^e \n]+"), "isolated"), pre_tokenizers.ByteLevel(False, use_regex=False)])
+    t.save(str(tmp_path / "t.json"))
+    enc = tokens.PieceEncoder(str(tmp_path / "t.json"))
+    texts = ["there were seven", "one\ntree here"]
+    assert [x.tolist() for x in enc.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert enc.encode(["there"])[0].tolist() != tokens.PieceEncoder(VOCAB).encode(["there"])[0].tolist()
+
+
 def test_packing_gets_small_batches(spark, monkeypatch):
     """A worker holds a bounded number of whole texts at a time, and the session's setting is as before."""
     monkeypatch.setattr(cost_packing, "TEXTS", 7)
