@@ -36,6 +36,7 @@ BALL_ROWS = 512  # points of a ball, about
 MOST_BALLS = 1024
 SAMPLE = 8192  # points among which centres are chosen
 UNIT_ROWS = (2048, 16384)  # least and most points that one task compares with as many queries
+CELL_ROWS = 16384  # the most points of a unit, also where ``UNIT_ROWS`` asks for more
 UNITS = 12  # units at least, where there are points enough
 RUN_ROWS = 2048  # points that are compared at once, about
 SENT_ROWS = 4096  # rows of a batch of sent queries
@@ -140,7 +141,7 @@ class Space:
         rows = df.select(F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")).where(F.col("_v").isNotNull())
         some = rows.orderBy(F.xxhash64("_id", F.lit(7)), "_id").limit(SAMPLE).toArrow()
         self.n = rows.count()
-        self.block = block or min(max(math.ceil(self.n / UNITS), UNIT_ROWS[0]), UNIT_ROWS[1])
+        self.block = block or min(max(math.ceil(self.n / UNITS), UNIT_ROWS[0]), UNIT_ROWS[1], CELL_ROWS)
         self.group = group or self.block
         wanted = balls or min(MOST_BALLS, math.ceil(self.n / BALL_ROWS))
         self.centres = along(farthest_first(matrix(some.column("_v")), wanted)) if some.num_rows else np.zeros((0, 0))
