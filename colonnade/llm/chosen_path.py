@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from colonnade.llm import common
 from colonnade.plans.components import connected_components
-from colonnade.session import materialize, materialize_with
+from colonnade.session import BROADCAST, held_conf, least_broadcast, materialize, materialize_with
 
 SHINGLE = 4
 THRESHOLD = 80  # per cent
@@ -41,6 +41,7 @@ RECALL = 0.9999  # of pairs at the threshold, also of those that meet only in no
 SMALL = 32
 FIRST = 4  # partners of a set that are compared before components are looked at
 MISS = 1e-7  # chance that a pair at the threshold fails the signature test
+RELATION = 1 << 20  # most bytes of files that a join may broadcast; the driver's relation is about eight times as large, and it holds several
 
 MULTIPLIERS = common.mix(np.arange(1, 1 << 12, dtype=np.uint64)) | np.uint64(1)
 
@@ -305,9 +306,8 @@ def rest_of_dense(dense: DataFrame, members: DataFrame, components: DataFrame, s
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
-                    small: int = SMALL) -> DataFrame:
-    """One row per row of ``docs``: doc_id, mark (64-bit fingerprint of its text), n_shingles, set_name, component_id, kept."""
+def classes(docs: DataFrame, size: int, threshold: int, trees: int, depth: int, small: int) -> tuple[DataFrame, DataFrame]:
+    """The described rows, and (name, least): the smallest doc_id of the component of every set."""
     functions = trees * depth
     rows = materialize(describe(docs, size, functions), "sets")
     sets = materialize(rows.filter("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "set-names")
@@ -341,8 +341,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRES
         named = sets.join(components.select(F.col("vertex").alias("name"), "component"), "name", "left").withColumn("component", F.coalesce("component", "name"))
         least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
         totals = named.select("name", "component").join(least, "component").select("name", "least")
-    multiple = materialize(totals, "classes")
-    out = own.select("doc_id", "mark", "n", "name").join(multiple, "name", "left")
+    return own, materialize(totals, "classes")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, trees: int = TREES, depth: int = DEPTH,
+                    small: int = SMALL) -> DataFrame:
+    """One row per row of ``docs``: doc_id, mark (64-bit fingerprint of its text), n_shingles, set_name, component_id, kept."""
+    with held_conf(docs.sparkSession, BROADCAST, least_broadcast(docs.sparkSession, RELATION)):
+        own, multiple = classes(docs, size, threshold, trees, depth, small)
+    out = own.select("doc_id", "mark", "n", "name").join(multiple.hint("merge"), "name", "left")  # as many rows as sets
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least"))
     return out.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.hex("name").alias("set_name"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))

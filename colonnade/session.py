@@ -106,6 +106,15 @@ def held_conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, before)
 
 
+#: Up to this size Spark broadcasts one side of a join. It goes by encoded files; the relation that the driver builds is several times as large.
+BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
+
+
+def least_broadcast(spark: SparkSession, most: int) -> str:
+    """The session's broadcast threshold, ``most`` bytes where it is larger (a threshold that forbids broadcasts stays)."""
+    return str(min(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold(), most))
+
+
 def release(df: DataFrame) -> None:
     """Delete the scratch table behind a result of ``materialize`` that nothing will read any more."""
     path = getattr(df, "_scratch", None)
